@@ -19,7 +19,12 @@ from geospan.operators.filters import attr_filter, where_filter
 from geospan.operators.filters import bbox_filter as box_filter
 from geospan.operators.geometry import decode_geometry, points_from_lonlat, with_srid
 from geospan.plans.oracle import FILTER_BOX, _EXACT_BOX
+from geospan.operators.pages import (assemble_linked_pages, assemble_offset_pages,
+                                     assemble_single_page)
+from geospan.plans import jobs as J
+from geospan.plans.requests import plan_requests
 from geospan.sources import derived as D
+from geospan.sources.responses import parse_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -187,3 +192,97 @@ def envelope_mixed(spark, sf_dir):
 def points_lonlat(spark, sf_dir):
     pts = with_srid(points_from_lonlat(D.point_features(_t(spark, sf_dir, "events"))))
     return pts.select("event_id", *bbox_cols("bbox"), "srid")
+
+
+# --- web API request planning and page assembly (A1-A9, S2, S3) --------------
+
+PAGE_PROPS = "struct<o_orderkey: bigint, layer: string>"
+
+
+@register
+def api_requests(spark, sf_dir):
+    """Request URLs for every page of every API job."""
+    jobs = D.api_jobs(_t(spark, sf_dir, "nation"))
+    return plan_requests(jobs, arcgis_pages=3).select("job_name", "page", "request_url")
+
+
+@register
+def offset_pages(spark, sf_dir):
+    """ArcGIS-style offset pages -> features, ignoring the page after the
+    short one."""
+    pages = D.offset_pages(_t(spark, sf_dir, "orders"))
+    out = assemble_offset_pages(pages, limit=D.PAGE_SIZE, properties_schema=PAGE_PROPS)
+    return out.select("job", "off", "o_orderkey", "layer", "complete")
+
+
+@register
+def linked_pages(spark, sf_dir):
+    """OGC-style next-link chains -> features in page order."""
+    pages, starts = D.linked_pages(_t(spark, sf_dir, "orders"))
+    out = assemble_linked_pages(pages, starts, properties_schema=PAGE_PROPS)
+    return out.select("job", "step", "o_orderkey", "complete")
+
+
+@register
+def single_page_features(spark, sf_dir):
+    """A9 + S2 + G7: each page parsed on its own (property schema inferred),
+    geometry envelope from the GeoJSON text."""
+    pages, _ = D.linked_pages(_t(spark, sf_dir, "orders"))
+    out = assemble_single_page(pages)
+    return out.select("o_orderkey", "layer", *bbox_cols(env_geojson("geometry")))
+
+
+@register
+def parse_record_bodies(spark, sf_dir):
+    """S3: JSON list -> row per element, object -> one row, text -> raw row."""
+    out = parse_records(D.record_responses(_t(spark, sf_dir, "events")))
+    return out.select("event_id", "_shape", "_pos", "k", "_raw")
+
+
+# --- jobs: resolve, route, metadata, names (S10-S13, M1-M3, SC7, SC8) ------------
+
+@register
+def resolve_jobs(spark, sf_dir):
+    """S13 + S10 + S11: catalogue lookup, then routing of the resolved URL."""
+    jobs = D.extraction_jobs(_t(spark, sf_dir, "nation"))
+    res = J.resolve_jobs(jobs, J.builtin_sources(spark), J.builtin_locations(spark))
+    return res.select("job_name", "status", "source_name", "url", "geometry_column",
+                      J.route("url").alias("route"), J.file_kind("url").alias("file_kind"),
+                      *bbox_cols("bbox"))
+
+
+@register
+def route_page_urls(spark, sf_dir):
+    """SC8 + S10 + S11 over every recorded page URL."""
+    pages = _t(spark, sf_dir, "pages").select("page_id", "url")
+    return J.route_sources(pages).drop("url")
+
+
+@register
+def output_filenames(spark, sf_dir):
+    """SC7 + K4 format status: one name per job and requested format, for a
+    fixed run timestamp (reruns give the same names)."""
+    jobs = D.extraction_jobs(_t(spark, sf_dir, "nation"))
+    ts = F.to_timestamp(F.lit("2024-01-02 03:04:05"))
+    x = jobs.select("job_name", "output_prefix", F.explode("output_formats").alias("format"))
+    return x.select("job_name", "format",
+                    J.output_filename(F.col("output_prefix"), F.col("job_name"), F.col("format"),
+                                      ts).alias("file_name"),
+                    J.format_status(F.col("format")).alias("status"))
+
+
+@register
+def metadata_merge(spark, sf_dir):
+    """M1-M3: user metadata JSON (invalid text -> empty map) updated by the
+    default keys (extraction date, source, box), later keys winning."""
+    ev = _t(spark, sf_dir, "events")
+    text = F.when(F.col("event_type") == "error", F.lit("not json {")).otherwise(F.col("props"))
+    user = J.merge_maps(J.parse_metadata(text),
+                        F.create_map(F.lit("source"), F.lit("user value")))
+    pts = D.point_features(ev).select("event_id", "lon", "lat")
+    d = ev.join(pts, "event_id").withColumn(
+        "bbox", F.struct(F.col("lon").alias("xmin"), F.col("lat").alias("ymin"),
+                         F.col("lon").alias("xmax"), F.col("lat").alias("ymax")))
+    defaults = J.default_metadata(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"),
+                                  F.col("event_type"), F.col("bbox"))
+    return d.select("event_id", J.map_text(J.merge_maps(user, defaults)).alias("metadata"))

@@ -207,3 +207,138 @@ WITH {FA} SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'geojson' WHEN 1 TH
 ORACLE["points_lonlat"] = f"""
 WITH {FB}
 SELECT event_id, lon AS xmin, lat AS ymin, lon AS xmax, lat AS ymax, 4326 AS srid FROM fb"""
+
+
+# --- web API planning and pages -------------------------------------------------
+
+_CSV = "bx0::VARCHAR || ',' || by0::VARCHAR || ',' || bx1::VARCHAR || ',' || by1::VARCHAR"
+ORACLE["api_requests"] = f"""
+WITH {FE}, j AS (
+  SELECT fe.*, n.n_nationkey % 4 AS kind, lower(n.n_name) AS lname, n.n_name
+  FROM fe JOIN nation n ON fe.job_name = 'job_' || lower(n.n_name)),
+pages AS (SELECT j.*, unnest(CASE WHEN kind = 0 THEN [0, 1, 2] ELSE [0] END) AS page FROM j)
+SELECT job_name, page,
+  CASE kind
+  WHEN 0 THEN 'https://gis.example.com/services/' || lname || '/query?f=geojson&outFields=%2A&where='
+    || url_encode('n_regionkey = ' || n_regionkey::VARCHAR) || '&returnGeometry=true&geometry='
+    || url_encode({_CSV}) || '&geometryType=esriGeometryEnvelope'
+    || '&spatialRel=esriSpatialRelIntersects&resultOffset=' || (page * 1000)::VARCHAR
+    || '&resultRecordCount=1000'
+  WHEN 1 THEN 'https://gis.example.com/services/' || lname || '?service=WFS&version=2.0.0'
+    || '&request=GetFeature&typeName=' || url_encode(n_name) || '&outputFormat='
+    || url_encode('application/json') || '&bbox=' || url_encode({_CSV} || ',EPSG:4326')
+    || '&srsName=' || url_encode('EPSG:4326')
+  WHEN 2 THEN 'https://gis.example.com/services/' || lname || '/collections/' || lname
+    || '/items?f=json&limit=100&bbox=' || url_encode({_CSV})
+  ELSE 'https://gis.example.com/services/' || lname || '?format=json&minx='
+    || url_encode(bx0::VARCHAR) || '&miny=' || url_encode(by0::VARCHAR) || '&maxx='
+    || url_encode(bx1::VARCHAR) || '&maxy=' || url_encode(by1::VARCHAR)
+  END AS request_url
+FROM pages"""
+
+_PAGED = """paged AS (
+  SELECT o_orderkey, o_orderpriority AS layer,
+         o_orderpriority || '/' || (o_orderkey // 10000)::VARCHAR AS job,
+         row_number() OVER (PARTITION BY o_orderpriority, o_orderkey // 10000
+                            ORDER BY o_orderkey) - 1 AS rn
+  FROM orders)"""
+
+ORACLE["offset_pages"] = f"""
+WITH {_PAGED}
+SELECT job, (rn // 100) * 100 AS off, o_orderkey, layer, true AS complete FROM paged"""
+
+ORACLE["linked_pages"] = f"""
+WITH {_PAGED}
+SELECT job, rn // 100 AS step, o_orderkey, true AS complete FROM paged"""
+
+ORACLE["single_page_features"] = f"WITH {FA} SELECT o_orderkey, layer, xmin, ymin, xmax, ymax FROM fa"
+
+ORACLE["parse_record_bodies"] = """
+WITH r AS (
+  SELECT event_id, props, event_type,
+         CASE event_id % 3 WHEN 0 THEN 'object' WHEN 1 THEN 'list' ELSE 'raw' END AS _shape
+  FROM events),
+e AS (SELECT r.*, unnest(CASE WHEN _shape = 'list' THEN [0, 1] ELSE [0] END) AS _pos FROM r)
+SELECT event_id, _shape, _pos,
+       CASE WHEN _shape <> 'raw' THEN json_extract(props, '$.k')::BIGINT END AS k,
+       CASE WHEN _shape = 'raw' THEN 'status=' || event_type END AS _raw
+FROM e"""
+
+
+# --- jobs ---------------------------------------------------------------------------
+
+_SCHEME = "lower(regexp_extract({u}, '^([A-Za-z][A-Za-z0-9+.\\-]*)://', 1))"
+_ROUTE = """CASE WHEN {s} IN ('http', 'https') AND contains(lower({u}), 'api') THEN 'api'
+  WHEN {s} IN ('s3', 'gcs', 'azure', 'ftp', 'ssh', 'hdfs') THEN 'remote' ELSE 'file' END"""
+_SUFFIX_OF = "lower(regexp_extract({p}, '(\\.[A-Za-z0-9]+)$', 1))"
+_KIND = """CASE WHEN {x} IN ('.geojson', '.json') THEN 'json' WHEN {x} = '.parquet' THEN 'parquet'
+  WHEN {x} = '.csv' THEN 'csv' WHEN {x} IN ('.shp', '.gpkg', '.gdb') THEN 'unsupported'
+  ELSE 'csv' END"""
+
+
+def _route_sql(u):
+    return _ROUTE.format(s=_SCHEME.format(u=u), u=u)
+
+
+def _kind_sql(u):
+    return _KIND.format(x=_SUFFIX_OF.format(p=f"regexp_replace({u}, '[?#].*$', '')"))
+
+
+ORACLE["resolve_jobs"] = f"""
+WITH {FE}, j AS (
+  SELECT fe.*, n.n_nationkey % 3 AS kind, n.n_nationkey % 5 = 0 AS named_loc,
+         n.n_nationkey % 4 = 3 AS no_box, n.n_regionkey AS rk, n.n_nationkey AS nk, n.n_name
+  FROM fe JOIN nation n ON fe.job_name = 'job_' || lower(n.n_name)),
+r AS (
+  SELECT job_name,
+    CASE kind WHEN 0 THEN 'FWS Florida Wetlands' WHEN 1 THEN 'Nation ' || n_name END AS source_name,
+    CASE kind WHEN 0 THEN 'zip://https://documentst.ecosphere.fws.gov/wetlands/data/State-Downloads/FL_geodatabase_wetlands.zip!FL_geodatabase_wetlands.gdb'
+      WHEN 1 THEN 's3://bucket-' || rk::VARCHAR || '/nation_' || nk::VARCHAR || '.parquet' END AS url,
+    CASE kind WHEN 0 THEN 'geom' WHEN 1 THEN 'geometry' ELSE 'geom' END AS geometry_column,
+    CASE WHEN named_loc THEN -81.61303476507055 WHEN NOT no_box THEN bx0 END AS xmin,
+    CASE WHEN named_loc THEN 28.34441345722594 WHEN NOT no_box THEN by0 END AS ymin,
+    CASE WHEN named_loc THEN -81.56830935354668 WHEN NOT no_box THEN bx1 END AS xmax,
+    CASE WHEN named_loc THEN 28.3768179430727 WHEN NOT no_box THEN by1 END AS ymax
+  FROM j)
+SELECT job_name,
+  CASE WHEN url IS NULL THEN 'unknown_source' WHEN xmin IS NULL THEN 'no_bbox' ELSE 'ok' END AS status,
+  source_name, url, geometry_column,
+  {_route_sql('url')} AS route, {_kind_sql('url')} AS file_kind, xmin, ymin, xmax, ymax
+FROM r"""
+
+ORACLE["route_page_urls"] = f"""
+WITH p AS (
+  SELECT page_id, url,
+    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://([^/?#!]*)', 1) AS host,
+    CASE WHEN {_SCHEME.format(u='url')} = '' THEN url
+      ELSE regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#!]*([^?#]*)', 1) END AS path
+  FROM pages)
+SELECT page_id, {_SCHEME.format(u='url')} AS scheme, host, path,
+  {_SUFFIX_OF.format(p='path')} AS suffix, {_route_sql('url')} AS route,
+  {_kind_sql('url')} AS file_kind
+FROM p"""
+
+ORACLE["output_filenames"] = """
+WITH j AS (SELECT 'job_' || lower(n_name) AS job_name,
+                  unnest(['geojson', 'filegdb', 'csv', 'GPKG', 'xlsx']) AS format FROM nation)
+SELECT job_name, format,
+  'extracted_data_' || job_name || '_20240102_030405' ||
+  CASE lower(format) WHEN 'geojson' THEN '.geojson' WHEN 'filegdb' THEN '.gdb'
+    WHEN 'shapefile' THEN '.shp' ELSE '.' || lower(format) END AS file_name,
+  CASE WHEN lower(format) IN ('geojson', 'csv', 'parquet') THEN 'supported'
+    WHEN lower(format) IN ('shapefile', 'gpkg', 'filegdb') THEN 'unsupported'
+    ELSE 'unknown' END AS status
+FROM j"""
+
+ORACLE["metadata_merge"] = f"""
+WITH {FB}, e AS (
+  SELECT ev.event_id, ev.event_type, ev.ts, fb.lon, fb.lat,
+    CASE WHEN ev.event_type = 'error' THEN NULL
+      ELSE json_extract_string(ev.props, '$.k') END AS k
+  FROM events ev JOIN fb ON ev.event_id = fb.event_id)
+SELECT event_id,
+  'bbox=' || to_json([lon, lat, lon, lat]::DOUBLE[])::VARCHAR
+  || ';extraction_date=' || strftime(ts, '%Y-%m-%dT%H:%M:%S')
+  || CASE WHEN k IS NOT NULL THEN ';k=' || k ELSE '' END
+  || ';source=' || event_type AS metadata
+FROM e"""

@@ -179,11 +179,14 @@ def offset_pages(orders: DataFrame) -> DataFrame:
     pages = _pages(orders)
     real = pages.select("job", (F.col("page") * PAGE_SIZE).alias("off"),
                         F.lit(200).alias("status"), _collection(F.col("features")).alias("body"))
-    last = (pages.groupBy("job").agg(F.max(F.struct("page", "n", "features")).alias("l"))
-            .where(F.col("l.n") < PAGE_SIZE))
-    spurious = last.select("job", ((F.col("l.page") + 1) * PAGE_SIZE).alias("off"),
-                           F.lit(200).alias("status"), _collection(F.col("l.features")).alias("body"))
-    return real.unionByName(spurious)
+    last = pages.groupBy("job").agg(F.max(F.struct("page", "n", "features")).alias("l"))
+    # After a short last page: a spurious page repeating it (must be ignored).
+    # After a full last page: the empty page that ends the paging.
+    tail = last.select(
+        "job", ((F.col("l.page") + 1) * PAGE_SIZE).alias("off"), F.lit(200).alias("status"),
+        _collection(F.when(F.col("l.n") < PAGE_SIZE, F.col("l.features"))
+                    .otherwise(F.array().cast("array<string>"))).alias("body"))
+    return real.unionByName(tail)
 
 
 PAGE_URL_PREFIX = "https://features.example.org/collections/"
@@ -210,3 +213,70 @@ def linked_pages(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
     body = p.select(url.alias("url"), _collection(F.col("features"), links).alias("body"))
     starts = last.select("job", page_url(F.col("job"), F.lit(0)).alias("url"))
     return body, starts
+
+
+# ---------------------------------------------------------------------------
+# API jobs and generic responses.
+# ---------------------------------------------------------------------------
+
+API_BASE_URL = "https://gis.example.com/services/"
+
+
+def api_jobs(nation: DataFrame) -> DataFrame:
+    """One API job per nation; the family cycles through the four supported
+    types (with mixed case, as users write them)."""
+    k = F.col("n_nationkey")
+    kind = F.pmod(k, F.lit(4))
+    api_type = (F.when(kind == 0, "ArcGIS").when(kind == 1, "wfs")
+                .when(kind == 2, "OGCAPI").otherwise("rest"))
+    params = (F.when(kind == 0, F.create_map(F.lit("where"), F.concat(
+                  F.lit("n_regionkey = "), F.col("n_regionkey").cast("string"))))
+              .when(kind == 1, F.create_map(F.lit("srsName"), F.lit("EPSG:4326")))
+              .when(kind == 2, F.create_map(F.lit("limit"), F.lit("100")))
+              .otherwise(F.create_map(F.lit("format"), F.lit("json"), F.lit("minx"), F.lit("0"))))
+    boxes = job_boxes(nation)
+    return nation.select(
+        F.concat(F.lit("job_"), F.lower(F.col("n_name"))).alias("job_name"),
+        api_type.alias("api_type"),
+        F.concat(F.lit(API_BASE_URL), F.lower(F.col("n_name"))).alias("url"),
+        F.col("n_name").alias("layer_name"), F.lower(F.col("n_name")).alias("collection"),
+        params.alias("params")).join(boxes.select("job_name", "bbox"), "job_name")
+
+
+def record_responses(events: DataFrame) -> DataFrame:
+    """Generic HTTP bodies of three shapes: a JSON object, a JSON list of two
+    objects, and plain text (shape chosen by event id)."""
+    kind = F.pmod(F.col("event_id"), F.lit(3))
+    body = (F.when(kind == 0, F.col("props"))
+            .when(kind == 1, F.concat(F.lit("["), F.col("props"), F.lit(","), F.col("props"),
+                                      F.lit("]")))
+            .otherwise(F.concat(F.lit("status="), F.col("event_type"))))
+    return events.select("event_id", body.alias("body"))
+
+
+def extraction_jobs(nation: DataFrame) -> DataFrame:
+    """Jobs of every shape the job reader accepts: a catalogue source name, an
+    inline source, an unknown name; a named location, an explicit box, or
+    neither (shape chosen by nation key)."""
+    k = F.col("n_nationkey")
+    kind = F.pmod(k, F.lit(3))
+    inline = F.struct(
+        F.concat(F.lit("Nation "), F.col("n_name")).alias("name"),
+        F.concat(F.lit("s3://bucket-"), F.col("n_regionkey").cast("string"), F.lit("/nation_"),
+                 k.cast("string"), F.lit(".parquet")).alias("url"),
+        F.lit(None).cast("string").alias("layer_name"),
+        F.lit("geometry").alias("geometry_column"), F.lit("").alias("description"))
+    boxes = job_boxes(nation).select("job_name", "bbox")
+    jobs = nation.select(
+        F.concat(F.lit("job_"), F.lower(F.col("n_name"))).alias("job_name"),
+        F.when(kind == 0, F.lit("fws_wetlands_fl")).when(kind == 2, F.lit("no_such_source"))
+        .alias("source_key"),
+        F.when(kind == 1, inline).alias("inline_source"),
+        F.when(F.pmod(k, F.lit(5)) == 0, F.lit("disney_animal_kingdom")).alias("location"),
+        (F.pmod(k, F.lit(4)) == 3).alias("_no_box"),
+        F.create_map(F.lit("owner"), F.col("n_name")).alias("metadata"),
+        F.array(F.lit("geojson"), F.lit("filegdb"), F.lit("csv"), F.lit("GPKG"),
+                F.lit("xlsx")).alias("output_formats"),
+        F.lit("extracted_data").alias("output_prefix"))
+    return (jobs.join(boxes, "job_name")
+            .withColumn("bbox", F.when(~F.col("_no_box"), F.col("bbox"))).drop("_no_box"))
