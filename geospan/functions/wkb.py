@@ -309,3 +309,77 @@ def geometry_text_to_wkb(text):
     if _HEX.match(s.strip()):
         return bytes.fromhex(s.strip())
     return wkt_to_wkb(s)
+
+
+# --------------------------------------------------------------------------
+# Readers to GeoJSON (for the GeoJSON sink).
+# --------------------------------------------------------------------------
+
+_GJ_NAMES = {POINT: "Point", LINESTRING: "LineString", POLYGON: "Polygon",
+             MULTIPOINT: "MultiPoint", MULTILINESTRING: "MultiLineString",
+             MULTIPOLYGON: "MultiPolygon", GEOMETRYCOLLECTION: "GeometryCollection"}
+
+
+def _read_geojson(buf, pos):
+    order = buf[pos]
+    end = "<" if order == 1 else ">"
+    (code,) = struct.unpack_from(end + "I", buf, pos + 1)
+    pos += 5
+    has_z, has_m = bool(code & EWKB_Z), bool(code & EWKB_M)
+    if code & EWKB_SRID:
+        pos += 4
+    code &= 0x0FFFFFFF
+    base, iso = code % 1000, code // 1000
+    dims = 2 + int(has_z) + int(has_m) + (1 if iso in (1, 2) else 2 if iso == 3 else 0)
+    keep = 3 if (has_z or iso in (1, 3)) else 2
+
+    def seq(pos, n):
+        vals = struct.unpack_from(f"{end}{n * dims}d", buf, pos)
+        pts = [list(vals[i * dims:i * dims + keep]) for i in range(n)]
+        return pos + 8 * n * dims, pts
+
+    if base not in _GJ_NAMES:
+        raise WKBError(f"unsupported geometry type {code}")
+    name = _GJ_NAMES[base]
+    if base == POINT:
+        pos, pts = seq(pos, 1)
+        coords = [] if any(math.isnan(v) for v in pts[0][:2]) else pts[0]
+        return pos, {"type": name, "coordinates": coords}
+    (n,) = struct.unpack_from(end + "I", buf, pos)
+    pos += 4
+    if base == LINESTRING:
+        pos, pts = seq(pos, n)
+        return pos, {"type": name, "coordinates": pts}
+    if base == POLYGON:
+        rings = []
+        for _ in range(n):
+            (m,) = struct.unpack_from(end + "I", buf, pos)
+            pos, pts = seq(pos + 4, m)
+            rings.append(pts)
+        return pos, {"type": name, "coordinates": rings}
+    parts = []
+    for _ in range(n):
+        pos, g = _read_geojson(buf, pos)
+        parts.append(g)
+    if base == GEOMETRYCOLLECTION:
+        return pos, {"type": name, "geometries": parts}
+    return pos, {"type": name, "coordinates": [p["coordinates"] for p in parts]}
+
+
+def wkb_to_geojson(buf):
+    if buf is None:
+        return None
+    return json.dumps(_read_geojson(bytes(buf), 0)[1], separators=(",", ":"))
+
+
+def geometry_to_geojson(value):
+    """Any supported geometry value (GeoJSON/WKT/hex text or WKB bytes) ->
+    GeoJSON geometry text."""
+    if value is None:
+        return None
+    if isinstance(value, (bytes, bytearray, memoryview)):
+        return wkb_to_geojson(value)
+    s = value.strip()
+    if s.startswith("{"):
+        return s
+    return wkb_to_geojson(geometry_text_to_wkb(s))

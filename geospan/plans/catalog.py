@@ -23,6 +23,7 @@ from geospan.operators.pages import (assemble_linked_pages, assemble_offset_page
                                      assemble_single_page)
 from geospan.plans import jobs as J
 from geospan.plans.requests import plan_requests
+from geospan.sinks.publish import folder_id, get_or_create_folders, publish_manifest
 from geospan.sources import derived as D
 from geospan.sources.responses import parse_records
 
@@ -286,3 +287,28 @@ def metadata_merge(spark, sf_dir):
     defaults = J.default_metadata(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"),
                                   F.col("event_type"), F.col("bbox"))
     return d.select("event_id", J.map_text(J.merge_maps(user, defaults)).alias("metadata"))
+
+
+# --- publish bookkeeping (K6-K8) ---------------------------------------------------
+
+@register
+def publish_upsert(spark, sf_dir):
+    """K6 + K7: upsert the new batch into the published manifest."""
+    current, batch = D.publish_state(_t(spark, sf_dir, "orders"))
+    out = publish_manifest(current, batch)
+    return out.select("folder", "file_name", "action", "version", "bytes",
+                      J.map_text("metadata").alias("metadata"))
+
+
+@register
+def folder_get_or_create(spark, sf_dir):
+    """K8: folders for the batch (one per priority and per year) created only
+    where they do not exist yet."""
+    current, batch = D.publish_state(_t(spark, sf_dir, "orders"))
+    existing = current.select(F.lit("root").alias("parent"), F.col("folder").alias("name")
+                              ).distinct().withColumn("folder_id",
+                                                      folder_id(F.col("parent"), F.col("name")))
+    req = batch.select(F.lit("root").alias("parent"), F.col("folder").alias("name")).unionByName(
+        batch.select(F.lit("root").alias("parent"),
+                     F.concat(F.lit("y"), F.regexp_extract("file_name", r"(\d{4})", 1)).alias("name")))
+    return get_or_create_folders(existing, req)

@@ -342,3 +342,39 @@ SELECT event_id,
   || CASE WHEN k IS NOT NULL THEN ';k=' || k ELSE '' END
   || ';source=' || event_type AS metadata
 FROM e"""
+
+
+# --- publish --------------------------------------------------------------------
+
+_PER = """per AS (SELECT o_orderpriority AS folder, year(o_orderdate) AS year, count(*) AS n
+  FROM orders GROUP BY 1, 2)"""
+
+ORACLE["publish_upsert"] = f"""
+WITH {_PER},
+c AS (SELECT folder, 'orders_' || year::VARCHAR || '.geojson' AS file_name, year % 3 + 1 AS v,
+             n * 100 AS b, n, year FROM per WHERE year <= 1998),
+bt AS (SELECT folder, 'orders_' || year::VARCHAR || '.geojson' AS file_name, n * 120 AS b, n,
+              folder <> '5-LOW' AS ok FROM per WHERE year >= 1997),
+j AS (SELECT coalesce(c.folder, bt.folder) AS folder, coalesce(c.file_name, bt.file_name) AS file_name,
+             c.v, c.b AS cb, c.n AS cn, c.year AS cy, bt.b AS bb, bt.n AS bn, bt.ok
+      FROM c FULL OUTER JOIN bt ON c.folder = bt.folder AND c.file_name = bt.file_name),
+a AS (SELECT *, CASE WHEN ok = false THEN 'missing' WHEN ok AND v IS NOT NULL THEN 'update'
+                     WHEN ok THEN 'insert' ELSE 'keep' END AS action FROM j)
+SELECT folder, file_name, action,
+  CASE action WHEN 'update' THEN v + 1 WHEN 'insert' THEN 1 ELSE v END AS version,
+  CASE WHEN action IN ('insert', 'update') THEN bb ELSE cb END AS bytes,
+  CASE action WHEN 'update' THEN 'batch=r2;rows=' || bn::VARCHAR || ';year=' || cy::VARCHAR
+    WHEN 'insert' THEN 'batch=r2;rows=' || bn::VARCHAR
+    ELSE 'rows=' || cn::VARCHAR || ';year=' || cy::VARCHAR END AS metadata
+FROM a WHERE (CASE action WHEN 'update' THEN v + 1 WHEN 'insert' THEN 1 ELSE v END) IS NOT NULL"""
+
+ORACLE["folder_get_or_create"] = f"""
+WITH {_PER},
+ex AS (SELECT DISTINCT 'root' AS parent, folder AS name FROM per WHERE year <= 1998),
+rq AS (SELECT 'root' AS parent, folder AS name FROM per WHERE year >= 1997
+       UNION SELECT 'root', 'y' || year::VARCHAR FROM per WHERE year >= 1997)
+SELECT parent, name, 'f_' || substr(sha256(parent || '/' || name), 1, 12) AS folder_id,
+       false AS created FROM ex
+UNION ALL
+SELECT parent, name, 'f_' || substr(sha256(parent || '/' || name), 1, 12), true
+FROM rq WHERE (parent, name) NOT IN (SELECT parent, name FROM ex)"""

@@ -280,3 +280,24 @@ def extraction_jobs(nation: DataFrame) -> DataFrame:
         F.lit("extracted_data").alias("output_prefix"))
     return (jobs.join(boxes, "job_name")
             .withColumn("bbox", F.when(~F.col("_no_box"), F.col("bbox"))).drop("_no_box"))
+
+
+def publish_state(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """F-K: the published manifest (files of order years up to 1998) and a new
+    batch (years from 1997): one file per (priority, year).  Batch files of the
+    ``5-LOW`` folder are missing on disk."""
+    year = F.year("o_orderdate")
+    per = (orders.groupBy(F.col("o_orderpriority").alias("folder"), year.alias("year"))
+           .agg(F.count(F.lit(1)).alias("n")))
+    name = F.concat(F.lit("orders_"), F.col("year").cast("string"), F.lit(".geojson"))
+    current = per.where(F.col("year") <= 1998).select(
+        "folder", name.alias("file_name"), (F.pmod(F.col("year"), F.lit(3)) + 1).alias("version"),
+        (F.col("n") * 100).alias("bytes"),
+        F.create_map(F.lit("rows"), F.col("n").cast("string"),
+                     F.lit("year"), F.col("year").cast("string")).alias("metadata"))
+    batch = per.where(F.col("year") >= 1997).select(
+        "folder", name.alias("file_name"), (F.col("n") * 120).alias("bytes"),
+        F.create_map(F.lit("rows"), F.col("n").cast("string"),
+                     F.lit("batch"), F.lit("r2")).alias("metadata"),
+        (F.col("folder") != "5-LOW").alias("exists"))
+    return current, batch
