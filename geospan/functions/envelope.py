@@ -18,12 +18,21 @@ from geospan.functions.bbox import BBOX_FIELDS, make_bbox
 from geospan.functions import wkb as _wkb
 
 # Fixed pattern of one number in WKT / GeoJSON text: accepts ``-.5``, ``1e-3``,
-# ``+2`` and plain integers.  The SQL oracle uses the same text.
-NUM = r"[-+]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][-+]?[0-9]+)?"
+# ``+2`` and plain integers.  The SQL oracle (a linear-time RE2 engine) uses
+# these portable forms.
+NUM = r"[-+]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][-+]?[0-9]+)?"
 # One WKT coordinate: x and y, then up to two more ordinates (Z, M) ignored.
 WKT_PAIR = rf"({NUM})\s+({NUM})(?:\s+{NUM}){{0,2}}"
 # One innermost GeoJSON position array ``[x, y(, z(, m))]``.
 GEOJSON_PAIR = rf"\[\s*({NUM})\s*,\s*({NUM})(?:\s*,\s*{NUM}){{0,2}}\s*\]"
+
+# The same patterns for Spark's backtracking (java.util.regex) engine: a
+# match may not start inside a number, and quantifiers are possessive, so
+# long digit runs (hex WKB, big integers) are scanned in linear time.
+_NUM_J = r"(?<![0-9.])[-+]?+(?:[0-9]++(?:\.[0-9]*+)?+|\.[0-9]++)(?:[eE][-+]?+[0-9]++)?+"
+WKT_PAIR_J = rf"({_NUM_J})\s++({_NUM_J})(?:\s++{_NUM_J}){{0,2}}+"
+GEOJSON_PAIR_J = (rf"\[\s*+({_NUM_J})\s*+,\s*+({_NUM_J})(?:\s*+,\s*+{_NUM_J}){{0,2}}+"
+                  rf"\s*+\]")
 # A GeoJSON ``"bbox": [...]`` member, which must never count as coordinates.
 GEOJSON_BBOX_MEMBER = r'"bbox"\s*:\s*\[[^\]]*\]'
 
@@ -50,7 +59,7 @@ def _env_from_pairs(text: Column, pattern: str) -> Column:
 
 def env_wkt(col) -> Column:
     """Envelope of WKT / EWKT text of any type; EMPTY or NULL -> NULL."""
-    return _env_from_pairs(_c(col), WKT_PAIR)
+    return _env_from_pairs(_c(col), WKT_PAIR_J)
 
 
 def env_geojson(col) -> Column:
@@ -59,7 +68,7 @@ def env_geojson(col) -> Column:
     A ``bbox`` member is removed first so it is never read as a coordinate.
     """
     cleaned = F.regexp_replace(_c(col), GEOJSON_BBOX_MEMBER, "")
-    return _env_from_pairs(cleaned, GEOJSON_PAIR)
+    return _env_from_pairs(cleaned, GEOJSON_PAIR_J)
 
 
 def _bounds_frame(rows) -> pd.DataFrame:

@@ -37,7 +37,6 @@ from pyspark.sql import functions as F
 from geospan.functions.bbox import bbox_intersects
 from geospan.operators.extent import extent
 
-CELL_TYPE = "array<struct<lvl:int,cx:bigint,cy:bigint>>"
 LEVEL_FACTOR = 8
 
 
@@ -59,7 +58,7 @@ def grid_spec(cell_size: float, max_cells: int = 16) -> GridSpec:
     return GridSpec(sizes, max_cells)
 
 
-def _span(b: Column, s: float) -> Column:
+def _span(b: Column, s) -> Column:
     nx = F.floor(b.xmax / s) - F.floor(b.xmin / s) + 1
     ny = F.floor(b.ymax / s) - F.floor(b.ymin / s) + 1
     return nx * ny
@@ -73,23 +72,22 @@ def own_level(b: Column, spec: GridSpec) -> Column:
     return expr
 
 
-def _cells_at(b: Column, s: float, lvl: int) -> Column:
-    xs = F.sequence(F.floor(b.xmin / s), F.floor(b.xmax / s))
-    ys = F.sequence(F.floor(b.ymin / s), F.floor(b.ymax / s))
-    return F.flatten(F.transform(xs, lambda x: F.transform(
-        ys, lambda y: F.struct(F.lit(lvl).alias("lvl"), x.alias("cx"), y.alias("cy")))))
+def explode_cells(df: DataFrame, b: Column, own: Column, spec: GridSpec,
+                  levels: Sequence[int] | None = None) -> DataFrame:
+    """One row per grid cell a box covers, at its own level and at every
+    coarser level in ``levels`` (all coarser levels when None).
 
-
-def cells(b: Column, own: Column, spec: GridSpec, levels: Sequence[int] | None = None) -> Column:
-    """Cells of a box at its own level and at every coarser level in ``levels``
-    (all coarser levels when ``levels`` is None)."""
-    empty = F.array().cast(CELL_TYPE)
-    parts = []
-    for lvl, s in enumerate(spec.sizes):
-        coarser = (own < lvl) if levels is None else (
-            (own < lvl) if lvl in set(levels) else F.lit(False))
-        parts.append(F.when((own == lvl) | coarser, _cells_at(b, s, lvl)).otherwise(empty))
-    return F.flatten(F.array(*parts))
+    Built from chained ``explode(sequence(..))`` generators, which stay in
+    generated code, rather than nested array lambdas."""
+    allowed = set(range(spec.levels)) if levels is None else set(levels)
+    lv = F.array_compact(F.array(*[
+        F.when((own == lvl) | ((own < lvl) & F.lit(lvl in allowed)), F.lit(lvl))
+        for lvl in range(spec.levels)]))
+    sizes = F.array(*[F.lit(x) for x in spec.sizes])
+    out = df.withColumn("lvl", F.explode(lv))
+    s = F.element_at(sizes, F.col("lvl") + 1)
+    out = out.withColumn("cx", F.explode(F.sequence(F.floor(b.xmin / s), F.floor(b.xmax / s))))
+    return out.withColumn("cy", F.explode(F.sequence(F.floor(b.ymin / s), F.floor(b.ymax / s))))
 
 
 def _valid_box(b: Column) -> Column:
@@ -106,13 +104,19 @@ def _keep_once(fb: Column, jb: Column, spec: GridSpec) -> Column:
             & (F.floor(rx / s) == F.col("cx")) & (F.floor(ry / s) == F.col("cy")))
 
 
-def choose_cell_size(jobs: DataFrame, job_bbox: str = "job_bbox") -> float:
-    """Median box side of the job boxes (one small aggregate over the jobs)."""
+def box_stats(jobs: DataFrame, job_bbox: str = "job_bbox") -> tuple[int, float]:
+    """(number of valid boxes, median box side): one aggregate over the jobs."""
     b = F.col(job_bbox)
     side = F.greatest(b.xmax - b.xmin, b.ymax - b.ymin)
-    row = jobs.where(_valid_box(b)).agg(F.percentile_approx(side, 0.5).alias("s")).first()
+    row = jobs.where(_valid_box(b)).agg(F.count(F.lit(1)).alias("n"),
+                                        F.percentile_approx(side, 0.5).alias("s")).first()
     s = row["s"] if row and row["s"] is not None else 1.0
-    return float(min(max(s, 1e-4), 360.0))
+    return int(row["n"] or 0), float(min(max(s, 1e-4), 360.0))
+
+
+def choose_cell_size(jobs: DataFrame, job_bbox: str = "job_bbox") -> float:
+    """Median box side of the job boxes (one small aggregate over the jobs)."""
+    return box_stats(jobs, job_bbox)[1]
 
 
 def _prepare_jobs(jobs: DataFrame, bbox: str) -> DataFrame:
@@ -142,22 +146,26 @@ def extract_jobs(features: DataFrame, jobs: DataFrame, strategy: str = "auto",
             F.broadcast(jobs.where(_valid_box(jb))), bbox_intersects(fb, jb), "inner")
 
     spec = grid_spec(cell_size if cell_size else choose_cell_size(jobs), max_cells)
-    jcells = (jobs.where(_valid_box(jb))
-              .withColumn("_j_lvl", own_level(jb, spec))
-              .withColumn("_cell", F.explode(cells(jb, F.col("_j_lvl"), spec)))
-              .select("*", "_cell.*").drop("_cell"))
-    # Levels at which some job box lives: features must also appear there.
-    box_levels = [r[0] for r in jobs.where(_valid_box(jb))
-                  .select(own_level(jb, spec).alias("l")).distinct().collect()]
-    fcells = (features.where(_valid_box(fb))
-              .withColumn("_f_lvl", own_level(fb, spec))
-              .withColumn("_cell", F.explode(cells(fb, F.col("_f_lvl"), spec, box_levels)))
-              .select("*", "_cell.*").drop("_cell"))
+    jlev = jobs.where(_valid_box(jb)).withColumn("_j_lvl", own_level(jb, spec))
+    # One aggregate gives both the levels at which job boxes live (features
+    # must also appear there) and the exact number of box cells, the proven
+    # bound checked before broadcasting them.
+    sizes = F.array(*[F.lit(x) for x in spec.sizes])
+    s_own = F.element_at(sizes, F.col("_j_lvl") + 1)
+    stats = jlev.agg(F.collect_set("_j_lvl").alias("levels"),
+                     F.sum(_span(jb, s_own)).alias("own_cells")).first()
+    box_levels = sorted(stats["levels"] or [])
+    jcells = explode_cells(jlev, jb, F.col("_j_lvl"), spec)
+    fcells = explode_cells(features.where(_valid_box(fb)).withColumn("_f_lvl", own_level(fb, spec)),
+                           fb, F.col("_f_lvl"), spec, box_levels)
     keys = ["lvl", "cx", "cy"]
 
     if strategy == "grid_auto":
-        n_cells = jcells.limit(broadcast_cells + 1).count()
-        strategy = "grid_broadcast" if n_cells <= broadcast_cells else "grid"
+        # Coarser levels add at most ``max_cells`` cells per box each.
+        bound = (stats["own_cells"] or 0) + len(box_levels) * spec.levels * spec.max_cells
+        if bound > broadcast_cells:
+            bound = jcells.limit(broadcast_cells + 1).count()
+        strategy = "grid_broadcast" if bound <= broadcast_cells else "grid"
     if strategy == "grid_broadcast":
         joined = fcells.join(F.broadcast(jcells), keys, "inner")
     elif strategy == "grid":

@@ -29,66 +29,87 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def deg_text(units: Column) -> Column:
-    """Integer 1e-4-degree units -> decimal text with four places (``-12.3400``)."""
-    a = F.abs(units)
-    return F.concat(F.when(units < 0, F.lit("-")).otherwise(F.lit("")),
-                    (a / UNIT).cast("long").cast("string"), F.lit("."),
-                    F.lpad(F.pmod(a, F.lit(UNIT)).cast("string"), 4, "0"))
-
-
 def _deg(units: Column) -> Column:
     return units.cast("double") / UNIT
 
 
-def _rect_units(key: Column, size_key: Column, side_mod: int = SIDE_MOD):
-    x0 = F.pmod(key * X_MULT, F.lit(X_SPAN)) - X_SPAN // 2
-    y0 = F.pmod(key * Y_MULT, F.lit(Y_SPAN)) - Y_SPAN // 2
-    w = F.pmod(size_key * W_MULT, F.lit(side_mod)) + 1
-    h = F.pmod(size_key * H_MULT, F.lit(side_mod)) + 1
-    return x0, y0, x0 + w, y0 + h
+# The rectangle builders below are written as SQL expression text: one
+# ``expr`` call per column keeps driver-side planning cheap (a Column tree
+# built call by call costs hundreds of Py4J round trips per query).
+
+def _rect_sql(key: str, size_key: str, side_mod: int = SIDE_MOD) -> dict:
+    x0 = f"(pmod({key} * {X_MULT}, {X_SPAN}) - {X_SPAN // 2})"
+    y0 = f"(pmod({key} * {Y_MULT}, {Y_SPAN}) - {Y_SPAN // 2})"
+    return {"x0": x0, "y0": y0,
+            "x1": f"({x0} + pmod({size_key} * {W_MULT}, {side_mod}) + 1)",
+            "y1": f"({y0} + pmod({size_key} * {H_MULT}, {side_mod}) + 1)"}
+
+
+def _deg_sql(u: str) -> str:
+    return (f"concat(CASE WHEN {u} < 0 THEN '-' ELSE '' END, "
+            f"CAST(CAST(abs({u}) DIV {UNIT} AS BIGINT) AS STRING), '.', "
+            f"lpad(CAST(pmod(abs({u}), {UNIT}) AS STRING), 4, '0'))")
+
+
+def _pt_sql(x: str, y: str, sep: str = " ") -> str:
+    return f"{_deg_sql(x)}, '{sep}', {_deg_sql(y)}"
+
+
+def _ring_wkt_sql(pts) -> str:
+    inner = ", ', ', ".join(_pt_sql(x, y) for x, y in pts)
+    return f"concat('POLYGON ((', {inner}, '))')"
+
+
+def _ring_geojson_sql(pts) -> str:
+    inner = ", ',', ".join(f"'[', {_pt_sql(x, y, ',')}, ']'" for x, y in pts)
+    return f"""concat('{{"type":"Polygon","coordinates":[[', {inner}, ']]}}')"""
+
+
+def _rect_pts(r):
+    return [(r["x0"], r["y0"]), (r["x1"], r["y0"]), (r["x1"], r["y1"]),
+            (r["x0"], r["y1"]), (r["x0"], r["y0"])]
+
+
+def _bbox_sql(r) -> str:
+    return (f"named_struct('xmin', CAST({r['x0']} AS DOUBLE) / {UNIT}, "
+            f"'ymin', CAST({r['y0']} AS DOUBLE) / {UNIT}, "
+            f"'xmax', CAST({r['x1']} AS DOUBLE) / {UNIT}, "
+            f"'ymax', CAST({r['y1']} AS DOUBLE) / {UNIT})")
 
 
-def _pt(x, y, sep=" "):
-    return F.concat(deg_text(x), F.lit(sep), deg_text(y))
+_ORDER_RECT = _rect_sql("o_orderkey", "o_custkey")
 
 
-def rect_wkt(x0, y0, x1, y1) -> Column:
-    return F.concat(F.lit("POLYGON (("), F.concat_ws(", ", _pt(x0, y0), _pt(x1, y0), _pt(x1, y1),
-                                                    _pt(x0, y1), _pt(x0, y0)), F.lit("))"))
+def rect_wkt(x0=None, y0=None, x1=None, y1=None) -> Column:
+    """WKT of the order rectangle (F-A)."""
+    return F.expr(_ring_wkt_sql(_rect_pts(_ORDER_RECT)))
 
 
-def rect_geojson(x0, y0, x1, y1) -> Column:
-    def p(x, y):
-        return F.concat(F.lit("["), _pt(x, y, ","), F.lit("]"))
-    ring = F.concat_ws(",", p(x0, y0), p(x1, y0), p(x1, y1), p(x0, y1), p(x0, y0))
-    return F.concat(F.lit('{"type":"Polygon","coordinates":[['), ring, F.lit("]]}"))
+def rect_geojson(x0=None, y0=None, x1=None, y1=None) -> Column:
+    """GeoJSON geometry text of the order rectangle (F-C)."""
+    return F.expr(_ring_geojson_sql(_rect_pts(_ORDER_RECT)))
 
 
 def polygon_features(orders: DataFrame) -> DataFrame:
     """F-A: one rectangle per order; layer = order priority."""
-    x0, y0, x1, y1 = _rect_units(F.col("o_orderkey"), F.col("o_custkey"))
     return orders.select(
         "o_orderkey", F.col("o_orderpriority").alias("layer"),
-        rect_wkt(x0, y0, x1, y1).alias("wkt"),
-        make_bbox(_deg(x0), _deg(y0), _deg(x1), _deg(y1)).alias("bbox"))
+        rect_wkt().alias("wkt"), F.expr(_bbox_sql(_ORDER_RECT)).alias("bbox"))
 
 
 def triangle_features(orders: DataFrame) -> DataFrame:
     """F-A variant: right triangles (x0,y0),(x1,y0),(x0,y1) for exact tests."""
-    x0, y0, x1, y1 = _rect_units(F.col("o_orderkey"), F.col("o_custkey"))
-    ring = F.concat_ws(", ", _pt(x0, y0), _pt(x1, y0), _pt(x0, y1), _pt(x0, y0))
+    r = _ORDER_RECT
+    tri = [(r["x0"], r["y0"]), (r["x1"], r["y0"]), (r["x0"], r["y1"]), (r["x0"], r["y0"])]
     return orders.select(
         "o_orderkey", F.col("o_orderpriority").alias("layer"),
-        F.concat(F.lit("POLYGON (("), ring, F.lit("))")).alias("wkt"),
-        make_bbox(_deg(x0), _deg(y0), _deg(x1), _deg(y1)).alias("bbox"))
+        F.expr(_ring_wkt_sql(tri)).alias("wkt"), F.expr(_bbox_sql(r)).alias("bbox"))
 
 
 def geojson_features(orders: DataFrame) -> DataFrame:
     """F-C: F-A rectangles written as GeoJSON geometry text."""
-    x0, y0, x1, y1 = _rect_units(F.col("o_orderkey"), F.col("o_custkey"))
     return orders.select("o_orderkey", F.col("o_orderpriority").alias("layer"),
-                         rect_geojson(x0, y0, x1, y1).alias("geometry"))
+                         rect_geojson().alias("geometry"))
 
 
 def wkb_features(orders: DataFrame) -> DataFrame:
@@ -99,10 +120,9 @@ def wkb_features(orders: DataFrame) -> DataFrame:
 
 def mixed_geometry(orders: DataFrame) -> DataFrame:
     """F-J: key mod 3 picks the encoding: GeoJSON, WKT, or hex WKB."""
-    x0, y0, x1, y1 = _rect_units(F.col("o_orderkey"), F.col("o_custkey"))
     kind = F.pmod(F.col("o_orderkey"), F.lit(3))
-    wkt = rect_wkt(x0, y0, x1, y1)
-    geom = (F.when(kind == 0, rect_geojson(x0, y0, x1, y1))
+    wkt = rect_wkt()
+    geom = (F.when(kind == 0, rect_geojson())
             .when(kind == 1, wkt)
             .otherwise(F.hex(text_to_wkb(F.when(kind == 2, wkt)))))
     return orders.select("o_orderkey", F.col("o_orderpriority").alias("layer"),
@@ -132,9 +152,9 @@ def job_boxes(nation: DataFrame) -> DataFrame:
 
 def many_boxes(df: DataFrame, key: str, prefix: str) -> DataFrame:
     """F-G: one box (up to 5 x 5 degrees) per supplier / customer key."""
-    x0, y0, x1, y1 = _rect_units(F.col(key), F.col(key), BOX_SIDE_MOD)
+    r = _rect_sql(key, key, BOX_SIDE_MOD)
     return df.select(F.concat(F.lit(prefix), F.col(key).cast("string")).alias("job_name"),
-                     make_bbox(_deg(x0), _deg(y0), _deg(x1), _deg(y1)).alias("bbox"))
+                     F.expr(_bbox_sql(r)).alias("bbox"))
 
 
 # ---------------------------------------------------------------------------
@@ -144,14 +164,13 @@ def many_boxes(df: DataFrame, key: str, prefix: str) -> DataFrame:
 def _page_rows(orders: DataFrame) -> DataFrame:
     """Features numbered within their job.  A job is (layer, key block), so a
     window partition never holds more than ``KEY_BLOCK`` rows at any scale."""
-    x0, y0, x1, y1 = _rect_units(F.col("o_orderkey"), F.col("o_custkey"))
     job = F.concat(F.col("o_orderpriority"), F.lit("/"),
                    (F.col("o_orderkey") / KEY_BLOCK).cast("long").cast("string"))
     w = Window.partitionBy("job").orderBy("o_orderkey")
     feat = F.concat(F.lit('{"type":"Feature","properties":{"o_orderkey":'),
                     F.col("o_orderkey").cast("string"), F.lit(',"layer":"'),
                     F.col("o_orderpriority"), F.lit('"},"geometry":'),
-                    rect_geojson(x0, y0, x1, y1), F.lit("}"))
+                    rect_geojson(), F.lit("}"))
     return (orders.select("o_orderkey", "o_orderpriority", job.alias("job"), feat.alias("feature"))
             .withColumn("rn", F.row_number().over(w) - 1)
             .withColumn("page", (F.col("rn") / PAGE_SIZE).cast("int")))
