@@ -25,8 +25,21 @@ PAGE_SIZE = 100                # F-H / F-I: features per page
 KEY_BLOCK = 10000              # pages are numbered within blocks of keys
 
 
+# Tables small enough that spreading them over tasks is not worth a shuffle.
+SMALL_TABLES = ("region", "nation")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return df if name in SMALL_TABLES else balanced(df)
+
+
+def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores
+    (e.g. one file with a single row group) with a round-robin repartition.
+    Large inputs already split into many tasks and are returned unchanged."""
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
 
 def _deg(units: Column) -> Column:
