@@ -312,3 +312,33 @@ def folder_get_or_create(spark, sf_dir):
         batch.select(F.lit("root").alias("parent"),
                      F.concat(F.lit("y"), F.regexp_extract("file_name", r"(\d{4})", 1)).alias("name")))
     return get_or_create_folders(existing, req)
+
+
+# --- SQL surface (section 2.9) and layers (S9) ------------------------------------
+
+@register
+def sql_box_filter(spark, sf_dir):
+    """F1 + G6 through ``spark.sql`` with the registered SQL functions."""
+    from geospan.functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    _fa(spark, sf_dir).createOrReplaceTempView("geospan_features")
+    x0, y0, x1, y1 = FILTER_BOX
+    return spark.sql(f"""
+        SELECT o_orderkey, layer, e.xmin, e.ymin, e.xmax, e.ymax
+        FROM (SELECT o_orderkey, layer, env_wkt(wkt) AS e FROM geospan_features)
+        WHERE bbox_intersects(e, make_bbox({x0}, {y0}, {x1}, {y1}))""")
+
+
+@register
+def select_first_layer(spark, sf_dir):
+    """No layer named -> the first (lowest) layer; extent of its features."""
+    from geospan.sources.files import select_layer
+    return extent(select_layer(_fa(spark, sf_dir)), by="layer")
+
+
+@register
+def extract_points_summary(spark, sf_dir):
+    """J3 on zero-area features (event points) through the grid join."""
+    pts = points_from_lonlat(D.point_features(_t(spark, sf_dir, "events")))
+    return job_summary(pts, _fe(spark, sf_dir), "job_name", strategy="grid_broadcast",
+                       cell_size=10.0)

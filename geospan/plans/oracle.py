@@ -378,3 +378,20 @@ SELECT parent, name, 'f_' || substr(sha256(parent || '/' || name), 1, 12) AS fol
 UNION ALL
 SELECT parent, name, 'f_' || substr(sha256(parent || '/' || name), 1, 12), true
 FROM rq WHERE (parent, name) NOT IN (SELECT parent, name FROM ex)"""
+
+
+ORACLE["sql_box_filter"] = f"""
+WITH {FA}
+SELECT o_orderkey, layer, xmin, ymin, xmax, ymax FROM fa
+WHERE {_box_pred('xmin', 'ymin', 'xmax', 'ymax')}"""
+
+ORACLE["select_first_layer"] = f"""
+WITH {FA}
+SELECT layer, {_EXTENT} FROM fa WHERE layer = (SELECT min(layer) FROM fa) GROUP BY layer"""
+
+ORACLE["extract_points_summary"] = f"""
+WITH {FB}, {FE}
+SELECT j.job_name, min(f.lon) AS xmin, min(f.lat) AS ymin, max(f.lon) AS xmax,
+       max(f.lat) AS ymax, count(f.event_id) AS feature_count
+FROM fe j LEFT JOIN fb f ON f.lon <= j.bx1 AND f.lon >= j.bx0 AND f.lat <= j.by1 AND f.lat >= j.by0
+GROUP BY j.job_name"""

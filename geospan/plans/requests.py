@@ -176,3 +176,24 @@ def plan_requests(jobs: DataFrame, arcgis_pages: int | str = 1) -> DataFrame:
 
 def arcgis_layer_url(service_url: Column, layer_id: Column) -> Column:
     return F.concat(service_url, F.lit("/"), layer_id.cast("string"))
+
+
+def arcgis_jobs(df: DataFrame, service_url: str = "service_url", layer_id: str = "layer_id"
+                ) -> DataFrame:
+    """ArcGIS preset: one job per (service, layer id), url ``{service}/{layer}``."""
+    return df.withColumn("url", arcgis_layer_url(F.col(service_url), F.col(layer_id))) \
+             .withColumn("api_type", F.lit("arcgis"))
+
+
+def wfs_jobs(df: DataFrame, wfs_url: str = "wfs_url", layer_name: str = "layer_name"
+             ) -> DataFrame:
+    """WFS preset: version 2.0.0, the layer as ``typeName``."""
+    return (df.withColumn("url", F.col(wfs_url)).withColumn("api_type", F.lit("wfs"))
+              .withColumn("version", F.lit(WFS_DEFAULT_VERSION))
+              .withColumn("layer_name", F.col(layer_name)))
+
+
+def s3_jobs(df: DataFrame, bucket: str = "bucket", key: str = "key") -> DataFrame:
+    """S3 preset: ``s3://bucket/key`` file jobs (read through the Hadoop
+    ``s3a`` connector; credentials go to Hadoop options, never to rows)."""
+    return df.withColumn("url", F.concat(F.lit("s3://"), F.col(bucket), F.lit("/"), F.col(key)))
