@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geospan.functions.bbox import (bbox_cols, bbox_to_csv, bbox_to_json, bbox_to_list,
-                                    bbox_to_wkt, expand_bbox)
+                                    bbox_to_text, bbox_to_wkt, expand_bbox)
 from geospan.functions.envelope import env_geojson, env_wkt, geometry_kind
 from geospan.operators.extent import bbox_intersection_agg, bbox_union_agg, extent
 from geospan.operators.extract import extract_jobs, job_summary
@@ -159,7 +159,8 @@ def bbox_scalars(spark, sf_dir):
         "job_name", bbox_to_list("bbox").alias("bbox_list"), bbox_to_wkt("bbox").alias("bbox_wkt"),
         exp.xmin.alias("exp_xmin"), exp.ymin.alias("exp_ymin"),
         exp.xmax.alias("exp_xmax"), exp.ymax.alias("exp_ymax"),
-        bbox_to_json("bbox").alias("bbox_json"), bbox_to_csv("bbox").alias("bbox_csv"))
+        bbox_to_json("bbox").alias("bbox_json"), bbox_to_csv("bbox").alias("bbox_csv"),
+        bbox_to_text("bbox").alias("bbox_text"))
 
 
 # --- geometry normalisation (G1-G8) ------------------------------------------
@@ -342,3 +343,22 @@ def extract_points_summary(spark, sf_dir):
     pts = points_from_lonlat(D.point_features(_t(spark, sf_dir, "events")))
     return job_summary(pts, _fe(spark, sf_dir), "job_name", strategy="grid_broadcast",
                        cell_size=10.0)
+
+
+@register
+def extent_with_empty_geometry(spark, sf_dir):
+    """AG2 / D12: orders in status P carry ``POLYGON EMPTY``; they count as
+    features but add nothing to the extent."""
+    fa = D.polygon_features(_t(spark, sf_dir, "orders"), keep=("o_orderstatus",))
+    geom = F.when(F.col("o_orderstatus") == "P", F.lit("POLYGON EMPTY")).otherwise(F.col("wkt"))
+    feats = decode_geometry(fa.drop("bbox").withColumn("wkt", geom), "wkt")
+    return extent(feats, by="layer", count_geometries=True)
+
+
+@register
+def csv_projection(spark, sf_dir):
+    """F7 (+F6): decoded GeoJSON features projected to their attributes, as
+    written by the CSV sink."""
+    from geospan.operators.filters import drop_geometry
+    fc = decode_geometry(D.geojson_features(_t(spark, sf_dir, "orders")), "geometry")
+    return drop_geometry(fc)

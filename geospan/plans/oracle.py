@@ -21,7 +21,7 @@ def _pt(x: str, y: str, sep: str = " ") -> str:
 
 # F-A rectangles in integer units, and as doubles.
 FA_UNITS = """fa_u AS (
-  SELECT o_orderkey, o_orderpriority AS layer, o_custkey,
+  SELECT o_orderkey, o_orderpriority AS layer, o_custkey, o_orderstatus,
          (o_orderkey * 7919) % 3400000 - 1700000 AS ux0,
          (o_orderkey * 104729) % 1600000 - 800000 AS uy0,
          (o_orderkey * 7919) % 3400000 - 1700000 + (o_custkey * 31) % 5000 + 1 AS ux1,
@@ -30,7 +30,7 @@ FA_UNITS = """fa_u AS (
 
 FA = FA_UNITS + """,
 fa AS (
-  SELECT o_orderkey, layer, ux0, uy0, ux1, uy1,
+  SELECT o_orderkey, layer, o_orderstatus, ux0, uy0, ux1, uy1,
          ux0::DOUBLE / 10000 AS xmin, uy0::DOUBLE / 10000 AS ymin,
          ux1::DOUBLE / 10000 AS xmax, uy1::DOUBLE / 10000 AS ymax
   FROM fa_u)"""
@@ -186,7 +186,12 @@ SELECT job_name,
          || bx0::VARCHAR || ',' || by0::VARCHAR || ',' || bx1::VARCHAR || ',' || by1::VARCHAR
          || ']}}' AS bbox_json,
        bx0::VARCHAR || ',' || by0::VARCHAR || ',' || bx1::VARCHAR || ',' || by1::VARCHAR
-         AS bbox_csv
+         AS bbox_csv,
+       'Bounding Box:' || chr(10) || '  Min Longitude: ' || bx0::VARCHAR || chr(10)
+         || '  Min Latitude:  ' || by0::VARCHAR || chr(10) || '  Max Longitude: '
+         || bx1::VARCHAR || chr(10) || '  Max Latitude:  ' || by1::VARCHAR || chr(10)
+         || '  Array format:  [' || bx0::VARCHAR || ', ' || by0::VARCHAR || ', '
+         || bx1::VARCHAR || ', ' || by1::VARCHAR || ']' AS bbox_text
 FROM fe"""
 
 ORACLE["envelope_wkt"] = f"""
@@ -395,3 +400,17 @@ SELECT j.job_name, min(f.lon) AS xmin, min(f.lat) AS ymin, max(f.lon) AS xmax,
        max(f.lat) AS ymax, count(f.event_id) AS feature_count
 FROM fe j LEFT JOIN fb f ON f.lon <= j.bx1 AND f.lon >= j.bx0 AND f.lat <= j.by1 AND f.lat >= j.by0
 GROUP BY j.job_name"""
+
+
+ORACLE["extent_with_empty_geometry"] = f"""
+WITH {FA}
+SELECT layer,
+  min(CASE WHEN o_orderstatus <> 'P' THEN xmin END) AS xmin,
+  min(CASE WHEN o_orderstatus <> 'P' THEN ymin END) AS ymin,
+  max(CASE WHEN o_orderstatus <> 'P' THEN xmax END) AS xmax,
+  max(CASE WHEN o_orderstatus <> 'P' THEN ymax END) AS ymax,
+  count(*) AS feature_count,
+  count(CASE WHEN o_orderstatus <> 'P' THEN 1 END) AS geometry_count
+FROM fa GROUP BY layer"""
+
+ORACLE["csv_projection"] = "SELECT o_orderkey, o_orderpriority AS layer FROM orders"

@@ -52,9 +52,13 @@ def write_geoparquet(df: DataFrame, path: str, geometry: str = "geometry",
     cx = F.floor((F.col("bbox.xmin") + 180) / cell)
     cy = F.floor((F.col("bbox.ymin") + 90) / cell)
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    clustered = (out.withColumn("_cy", cy).withColumn("_cx", cx)
-                 .repartitionByRange(n, "_cy", "_cx")
-                 .sortWithinPartitions("_cy", "_cx").drop("_cy", "_cx"))
+    # The hash tiebreaker lets the range partitioner split a cell that holds a
+    # large share of all rows over several tasks instead of one.
+    tie = F.xxhash64(F.col("bbox.xmin"), F.col("bbox.ymin"), F.col("bbox.xmax"),
+                     F.col("bbox.ymax"), F.monotonically_increasing_id())
+    clustered = (out.withColumn("_cy", cy).withColumn("_cx", cx).withColumn("_tie", tie)
+                 .repartitionByRange(n, "_cy", "_cx", "_tie")
+                 .sortWithinPartitions("_cy", "_cx").drop("_cy", "_cx", "_tie"))
     clustered.write.mode(mode).parquet(path)
     ext = extent(df, with_count=False).first()
     geo = {"version": "1.1.0", "primary_column": geometry,

@@ -103,10 +103,10 @@ def rect_geojson(x0=None, y0=None, x1=None, y1=None) -> Column:
     return F.expr(_ring_geojson_sql(_rect_pts(_ORDER_RECT)))
 
 
-def polygon_features(orders: DataFrame) -> DataFrame:
+def polygon_features(orders: DataFrame, keep=()) -> DataFrame:
     """F-A: one rectangle per order; layer = order priority."""
     return orders.select(
-        "o_orderkey", F.col("o_orderpriority").alias("layer"),
+        "o_orderkey", *keep, F.col("o_orderpriority").alias("layer"),
         rect_wkt().alias("wkt"), F.expr(_bbox_sql(_ORDER_RECT)).alias("bbox"))
 
 

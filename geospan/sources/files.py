@@ -3,14 +3,13 @@
 Each reader returns a DataFrame with the attributes, one text/binary geometry
 column and, after :func:`geospan.operators.geometry.decode_geometry`, a
 ``bbox`` struct.  Large inputs should be newline-delimited GeoJSON or
-(Geo)Parquet: those split across tasks.  A FeatureCollection file or a zip
-archive is one row per file, so parallelism there equals the number of files
-(members of archives are redistributed after listing).
+(Geo)Parquet: those split across tasks.  A FeatureCollection file is one
+row per file (parallelism = number of files); zip archives are listed per
+file and their members are then read by many tasks.
 """
 
 from __future__ import annotations
 
-import io
 import zipfile
 from typing import Iterator
 
@@ -83,32 +82,61 @@ def select_layer(df: DataFrame, layer: str | None = None, column: str = "layer")
 
 # --- S7: zip archive members ----------------------------------------------------
 
+def _arrow_uri(path: str) -> str:
+    """Hadoop-style path from a Spark file listing -> a pyarrow filesystem URI."""
+    if path.startswith("file:") and not path.startswith("file://"):
+        return "file://" + path[len("file:"):]
+    if path.startswith("s3a://") or path.startswith("s3n://"):
+        return "s3://" + path.split("://", 1)[1]
+    return path
+
+
+def _open(path: str):
+    import pyarrow.fs as pafs
+    fs, inner = pafs.FileSystem.from_uri(_arrow_uri(path))
+    return fs.open_input_file(inner)
+
+
 def _list_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Read only each archive's central directory (random access)."""
     for pdf in batches:
         rows = []
-        for path, content in zip(pdf["path"], pdf["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as z:
-                for info in z.infolist():
-                    if not info.is_dir():
-                        rows.append((path, info.filename, info.file_size, z.read(info)))
-        yield pd.DataFrame(rows, columns=["archive", "member", "size", "content"])
+        for path in pdf["path"]:
+            with _open(path) as f, zipfile.ZipFile(f) as z:
+                rows.extend((path, i.filename, i.file_size) for i in z.infolist()
+                            if not i.is_dir())
+        yield pd.DataFrame(rows, columns=["archive", "member", "size"])
+
+
+def _read_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Read the listed members; each task opens only the archives it needs."""
+    for pdf in batches:
+        out = []
+        for archive, group in pdf.groupby("archive", sort=False):
+            with _open(archive) as f, zipfile.ZipFile(f) as z:
+                for member, size in zip(group["member"], group["size"]):
+                    out.append((archive, member, int(size), z.read(member)))
+        yield pd.DataFrame(out, columns=["archive", "member", "size", "content"])
 
 
 def read_archive(spark: SparkSession, path: str, member_glob: str | None = None,
                  partitions: int | None = None) -> DataFrame:
     """``zip://archive!member`` -> table (archive, member, size, content).
 
-    Archives are read by ``binaryFile`` (parallel over files) and unpacked in
-    ``mapInPandas``; members are then spread over ``partitions`` tasks so
-    the parsing that follows is not bound to one task per archive."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
-    members = files.select("path", "content").mapInPandas(
-        _list_members, "archive string, member string, size long, content binary")
+    Archives are listed with ``binaryFile`` without reading their content;
+    one task per archive reads only the central directory; the member list is
+    then spread over ``partitions`` tasks, each of which seeks to and inflates
+    its own members.  A single huge archive is therefore unpacked by many
+    tasks, and no archive is ever held whole in one row."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
+             .select("path"))
+    members = files.mapInPandas(_list_members, "archive string, member string, size long")
     if member_glob:
         like = member_glob.replace("*", "%").replace("?", "_")
         members = members.where(F.col("member").like(like))
     n = partitions or spark.sparkContext.defaultParallelism
-    return members.repartition(n, "archive", "member")
+    return members.repartition(n, "archive", "member").mapInPandas(
+        _read_members, "archive string, member string, size long, content binary")
 
 
 def parse_zip_url(url: str) -> tuple[str, str | None]:
