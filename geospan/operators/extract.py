@@ -13,10 +13,11 @@ small (jobs) side only:
                     grid cells, the box cells are broadcast and joined by hash
                     on the cell key.  Features are still never shuffled.
 ``grid``            box cells too many to broadcast: both sides are
-                    hash-partitioned on the cell key.  Cells that hold more
-                    than 1/``hot_parts`` of all feature rows are salted into
-                    ``salts`` sub-keys (box rows of those cells replicated), so
-                    a hot spot never lands in a single task.
+                    hash-partitioned on the cell key.  A cell that holds more
+                    than 1/``hot_parts`` of one side's rows is split into
+                    ``salts`` sub-keys on that side (the other side's rows of
+                    the cell replicated), so a hot spot of features or of
+                    boxes never lands in a single task.
 
 Grid details: cells are squares of side ``c * 8**level``.  Each object sits at
 the finest level where it covers at most ``max_cells`` cells, so a
@@ -173,33 +174,53 @@ def extract_jobs(features: DataFrame, jobs: DataFrame, strategy: str = "auto",
     else:
         raise ValueError(f"unknown strategy {strategy}")
     out = joined.where(bbox_intersects(fb, jb) & _keep_once(fb, jb, spec))
-    return out.drop(*keys, "_f_lvl", "_j_lvl", "_salt")
+    return out.drop(*keys, "_f_lvl", "_j_lvl")
+
+
+def _hot_cells(spark, cells: DataFrame, keys: list, hot_parts: int, tag: str) -> DataFrame:
+    """Cells holding more than 1/``hot_parts`` of one side's rows.
+
+    One partial-aggregated count per cell plus one total; at most
+    ``hot_parts`` cells can qualify, the bound that makes broadcasting the
+    result safe."""
+    counts = cells.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n").alias("t")).first()["t"] or 0
+    threshold = max(total // max(hot_parts, 1), 1)
+    return counts.where(F.col("_n") > threshold).select(*keys, F.lit(True).alias(tag))
 
 
 def _salted_cell_join(spark, fcells: DataFrame, jcells: DataFrame, keys: list,
                       salts: int, hot_parts: int | None) -> DataFrame:
-    """Shuffle join on cell keys with hot cells split into ``salts`` pieces.
-
-    Hot cells are found with one partial-aggregated count over the feature
-    cells.  A cell is hot when it holds more than 1/``hot_parts`` of all rows,
-    so at most ``hot_parts`` cells qualify: that bound is what makes the
-    broadcast of the hot-cell list safe.
-    """
+    """Shuffle join on cell keys with hot cells split on both sides.
+
+    A cell hot in features gets its feature rows spread over ``salts``
+    sub-keys (``_fs``) and its box rows replicated to each; a cell hot in
+    boxes gets the mirror treatment (``_bs``).  A cell hot on both sides is
+    split into ``salts x salts`` blocks.  Each (feature, box) pair of the cell
+    meets in exactly one block.  Salts come from a hash of the row's position
+    in its input split, which is stable when a task is retried."""
     if hot_parts is None:
         hot_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = fcells.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("t")).first()["t"] or 0
-    threshold = max(total // max(hot_parts, 1), 1)
-    hot = counts.where(F.col("_n") > threshold).select(*keys, F.lit(True).alias("_hot"))
-    f = (fcells.join(F.broadcast(hot), keys, "left")
-         .withColumn("_salt", F.when(F.col("_hot"), F.pmod(
-             F.xxhash64(F.monotonically_increasing_id()), F.lit(salts))).otherwise(F.lit(0)))
-         .drop("_hot"))
-    j = (jcells.join(F.broadcast(hot), keys, "left")
-         .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                        .otherwise(F.array(F.lit(0)))))
-         .drop("_hot"))
-    return f.join(j, keys + ["_salt"], "inner")
+    hot_f = _hot_cells(spark, fcells, keys, hot_parts, "_hf")
+    hot_b = _hot_cells(spark, jcells, keys, hot_parts, "_hb")
+    hot = hot_f.join(hot_b, keys, "full_outer").select(
+        *keys, F.coalesce("_hf", F.lit(False)).alias("_hf"),
+        F.coalesce("_hb", F.lit(False)).alias("_hb"))
+    hot = F.broadcast(hot)
+    spread = F.sequence(F.lit(0), F.lit(salts - 1))
+
+    def own_salt():
+        return F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts))
+
+    f = (fcells.join(hot, keys, "left")
+         .withColumn("_fs", F.when(F.col("_hf"), own_salt()).otherwise(F.lit(0)))
+         .withColumn("_bs", F.explode(F.when(F.col("_hb"), spread).otherwise(F.array(F.lit(0)))))
+         .drop("_hf", "_hb"))
+    j = (jcells.join(hot, keys, "left")
+         .withColumn("_bs", F.when(F.col("_hb"), own_salt()).otherwise(F.lit(0)))
+         .withColumn("_fs", F.explode(F.when(F.col("_hf"), spread).otherwise(F.array(F.lit(0)))))
+         .drop("_hf", "_hb"))
+    return f.join(j, keys + ["_fs", "_bs"], "inner").drop("_fs", "_bs")
 
 
 def job_summary(features: DataFrame, jobs: DataFrame, job_key: str | Sequence[str] = "job_name",

@@ -99,3 +99,14 @@ def test_linked_pages_cycle_and_missing(spark):
     assert sorted(by["J"]) == [(0, 1, True), (1, 2, True), (2, 3, True)]
     assert sorted(by["S"]) == [(0, 3, True), (1, 1, True), (2, 2, True)]
     assert sorted(s for s, _, _ in by["K"]) == [0, 1] and by["K"][0][2] is False
+
+
+def test_box_side_hot_cell(spark):
+    rnd = random.Random(11)
+    f = [(i, rnd.uniform(-50, 50), rnd.uniform(-50, 50), 0, 0) for i in range(200)]
+    f = [(i, x, y, x + 0.5, y + 0.5) for i, x, y, _, _ in f]
+    j = [(i, 1 + rnd.random() * 0.1, 1 + rnd.random() * 0.1, 1.2, 1.2) for i in range(300)]
+    j.append((999, -60.0, -60.0, 60.0, 60.0))
+    fdf, jdf = _boxes(spark, f, "fid"), _boxes(spark, j, "jid")
+    got = _pairs(extract_jobs(fdf, jdf, strategy="grid", cell_size=1.0, hot_parts=4, salts=5))
+    assert got == _brute(f, j)
