@@ -63,6 +63,9 @@ def chain_steps(edges: DataFrame, starts: DataFrame, job: str = "job", max_round
     """
     jump = edges.where(F.col("dst").isNotNull()).select("src", "dst")
     reached = starts.select(job, F.col("url"), F.lit(0).cast("long").alias("step"))
+    if checkpoint:
+        jump = jump.checkpoint(eager=True)
+        reached = reached.checkpoint(eager=True)
     hop = 1
     n_prev = reached.count()
     for _ in range(max_rounds):
@@ -78,7 +81,9 @@ def chain_steps(edges: DataFrame, starts: DataFrame, job: str = "job", max_round
             nxt_jump = nxt_jump.checkpoint(eager=True)
         n = nxt_reached.count()
         reached, jump, hop = nxt_reached, nxt_jump, hop * 2
-        if n == n_prev:
+        # Done when nothing new was reached (a cycle closed) or when no page
+        # has a successor 2*hop links ahead (every chain is fully covered).
+        if n == n_prev or jump.isEmpty():
             break
         n_prev = n
     return reached

@@ -221,6 +221,10 @@ def offset_pages(spark, sf_dir):
 def linked_pages(spark, sf_dir):
     """OGC-style next-link chains -> features in page order."""
     pages, starts = D.linked_pages(_t(spark, sf_dir, "orders"))
+    # The recorded pages are derived data used three times by the assembly
+    # (links, start pages, bodies): materialise them once in the shared
+    # checkpoint folder instead of recomputing the derivation.
+    pages, starts = pages.checkpoint(eager=True), starts.checkpoint(eager=True)
     out = assemble_linked_pages(pages, starts, properties_schema=PAGE_PROPS)
     return out.select("job", "step", "o_orderkey", "complete")
 
