@@ -110,3 +110,26 @@ def test_box_side_hot_cell(spark):
     fdf, jdf = _boxes(spark, f, "fid"), _boxes(spark, j, "jid")
     got = _pairs(extract_jobs(fdf, jdf, strategy="grid", cell_size=1.0, hot_parts=4, salts=5))
     assert got == _brute(f, j)
+
+
+def test_self_link_terminates(spark):
+    link = [{"rel": "next", "href": "s1"}]
+    pdf = spark.createDataFrame([("s1", _body([1], link))], "url string, body string")
+    starts = spark.createDataFrame([("J", "s1")], "job string, url string")
+    out = assemble_linked_pages(pdf, starts, properties_schema="struct<k:int>").collect()
+    assert [(r["step"], r["k"]) for r in out] == [(0, 1)]
+
+
+def test_offset_assembly_independent_of_order_and_partitioning(spark):
+    rows = [("a", off, _body(list(range(off, off + (2 if off < 6 else 1)))))
+            for off in range(0, 8, 2)]
+    rows += [("b", off, _body([100 + off, 101 + off])) for off in range(0, 6, 2)] + \
+        [("b", 6, _body([]))]
+    base = spark.createDataFrame(rows, "job string, off int, body string")
+    want = sorted((r["job"], r["k"], r["complete"]) for r in assemble_offset_pages(
+        base, limit=2, properties_schema="struct<k:int>").collect())
+    shuffled = spark.createDataFrame(list(reversed(rows)), base.schema).repartition(5)
+    got = sorted((r["job"], r["k"], r["complete"]) for r in assemble_offset_pages(
+        shuffled, limit=2, properties_schema="struct<k:int>").collect())
+    assert got == want
+    assert {c for _, _, c in got} == {True}

@@ -98,3 +98,10 @@ def test_expand_roundtrip(spark):
     assert all(math.isclose(a, b) for a, b in zip(r, (1, 2, 3, 4)))
     z = spark.range(1).select(expand_bbox(lit_bbox([1, 2, 3, 4]), 0).alias("b")).first()["b"]
     assert tuple(z) == (1, 2, 3, 4)
+
+
+def test_negative_buffer_inverts_and_is_flagged(spark):
+    from geospan.functions.bbox import bbox_inverted
+    r = spark.range(1).select(expand_bbox(lit_bbox([0, 0, 1, 1]), -0.75).alias("b")).select(
+        "b", bbox_inverted("b").alias("bad")).first()
+    assert r["b"].xmin > r["b"].xmax and r["bad"] is True
