@@ -232,11 +232,18 @@ def job_summary(features: DataFrame, jobs: DataFrame, job_key: str | Sequence[st
     keys = [job_key] if isinstance(job_key, str) else list(job_key)
     fbox = kw.pop("feature_bbox", "bbox")
     jbox = kw.pop("job_bbox", "bbox")
+    limit = kw.get("broadcast_boxes", 64)
+    few = False
+    if strategy == "auto":
+        few = jobs.limit(limit + 1).count() <= limit
+        strategy = "broadcast" if few else "auto"
     slim_f = features.select(F.col(fbox).alias("bbox"))
     slim_j = jobs.select(*keys, F.col(jbox).alias("job_bbox"))
     pairs = extract_jobs(slim_f, slim_j, strategy=strategy, job_bbox="job_bbox", **kw)
     summary = extent(pairs, by=keys)
     # Jobs that catch nothing are reported with a zero count and NULL extent.
-    # Both sides hold one row per job, so this join is small.
-    return (jobs.select(*keys).join(summary, keys, "left")
+    # Both sides hold one row per job; with a proven-small job table the
+    # summary is broadcast, otherwise AQE picks the join from runtime sizes.
+    right = F.broadcast(summary) if few else summary
+    return (jobs.select(*keys).join(right, keys, "left")
             .withColumn("feature_count", F.coalesce(F.col("feature_count"), F.lit(0))))
