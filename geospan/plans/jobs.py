@@ -194,18 +194,24 @@ def hadoop_path(url: str) -> str:
 
 
 def hadoop_options(url: str, storage_options: Mapping[str, str] | None) -> dict:
-    """Storage options -> Hadoop configuration keys for ``spark.read``."""
+    """Storage options -> Hadoop filesystem options for one read.
+
+    S3 credentials are scoped to the URL's bucket (``fs.s3a.bucket.<b>.*``),
+    so jobs reading different buckets with different keys do not interfere.
+    The result is passed as reader options, never stored in rows or logs."""
     opts = dict(storage_options or {})
-    scheme = url.partition("://")[0].lower()
+    scheme, _, rest = url.partition("://")
+    scheme = scheme.lower()
+    fs = HADOOP_SCHEMES.get(scheme, scheme)
     out = {}
     if scheme == "s3":
-        if "key" in opts:
-            out["fs.s3a.access.key"] = opts.pop("key")
-        if "secret" in opts:
-            out["fs.s3a.secret.key"] = opts.pop("secret")
-        if "endpoint_url" in opts:
-            out["fs.s3a.endpoint"] = opts.pop("endpoint_url")
-    out.update({f"fs.{HADOOP_SCHEMES.get(scheme, scheme)}.{k}": str(v) for k, v in opts.items()})
+        bucket = rest.split("/", 1)[0]
+        prefix = f"fs.s3a.bucket.{bucket}." if bucket else "fs.s3a."
+        for src, dst in (("key", "access.key"), ("secret", "secret.key"),
+                         ("token", "session.token"), ("endpoint_url", "endpoint")):
+            if src in opts:
+                out[prefix + dst] = str(opts.pop(src))
+    out.update({f"fs.{fs}.{k}": str(v) for k, v in opts.items()})
     return out
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geospan.operators.geometry import decode_geometry, resolve_geometry_column
-from geospan.plans.jobs import file_kind, hadoop_path
+from geospan.plans.jobs import file_kind, hadoop_options, hadoop_path
 from geospan.sources.responses import flatten_properties, parse_features
 
 
@@ -41,10 +41,11 @@ def read_geojson_lines(spark: SparkSession, path: str, properties_schema: str |
     return flatten_properties(rows, "properties", properties_schema)
 
 
-def read_json_records(spark: SparkSession, path: str) -> DataFrame:
+def read_json_records(spark: SparkSession, path: str, options: dict | None = None
+                      ) -> DataFrame:
     """JSON without ``features``: a list of records -> row per record; an
     object of equal-length column arrays -> one row per position."""
-    df = spark.read.option("multiLine", True).json(path)
+    df = spark.read.options(**(options or {})).option("multiLine", True).json(path)
     fields = df.schema.fields
     if fields and all(f.dataType.typeName() == "array" for f in fields if not
                       f.name.startswith("_corrupt")):
@@ -146,21 +147,31 @@ def parse_zip_url(url: str) -> tuple[str, str | None]:
     return archive, (member or None)
 
 
-def read_source(spark: SparkSession, url: str, geometry: str | None = None) -> DataFrame:
+def read_source(spark: SparkSession, url: str, geometry: str | None = None,
+                storage_options: dict | None = None) -> DataFrame:
     """S10/S11 for one file source: pick the reader by suffix, then decode
-    the geometry column.  Remote URLs are mapped to Hadoop paths (S8)."""
+    the geometry column.  Remote URLs are mapped to Hadoop paths and their
+    storage options become per-read Hadoop options (S8)."""
     path = hadoop_path(url)
+    opts = hadoop_options(url, storage_options)
+    reader = spark.read.options(**opts)
     kind = spark.range(1).select(file_kind(F.lit(url)).alias("k")).first()["k"]
     if kind == "parquet":
-        return read_features_parquet(spark, path, geometry)
+        df = reader.parquet(path)
+        if "bbox" in df.columns:
+            return df
+        return decode_geometry(df, resolve_geometry_column(df, geometry or "geom"))
     if kind == "json":
-        text = spark.read.text(path, wholetext=True).select(F.col("value").alias("body"))
+        text = reader.text(path, wholetext=True).select(F.col("value").alias("body"))
         has_features = text.where(F.col("body").contains('"features"')).limit(1).count() > 0
-        df = read_geojson(spark, path) if has_features else read_json_records(spark, path)
+        if has_features:
+            df = parse_features(text).drop("_pos")
+        else:
+            df = read_json_records(spark, path, opts)
     elif kind == "unsupported":
         raise ValueError(f"single-file GIS format is not supported: {url}")
     else:
-        df = read_features_csv(spark, path)
+        df = reader.option("header", True).option("inferSchema", True).csv(path)
     try:
         col = resolve_geometry_column(df, geometry or "geom")
     except ValueError:

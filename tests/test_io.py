@@ -123,3 +123,16 @@ def test_streaming_box_filter_equals_batch(spark, scratch):
     q.awaitTermination(120)
     got = sorted(r["id"] for r in spark.read.parquet(f"{scratch}/sink").collect())
     assert got == list(range(49, 61))
+
+
+def test_read_source_dispatch(spark, scratch):
+    with open(f"{scratch}/a.geojson", "w") as f:
+        json.dump(FC, f)
+    with open(f"{scratch}/p.csv", "w") as f:
+        f.write("id,geom\n1,POINT (3 4)\n2,\n")
+    g = S.read_source(spark, f"{scratch}/a.geojson", geometry="geometry")
+    assert g.where("bbox IS NOT NULL").count() == 2
+    c = S.read_source(spark, f"{scratch}/p.csv").orderBy("id").collect()
+    assert c[0]["bbox"].xmin == 3.0 and c[1]["bbox"] is None
+    _features(spark).write.parquet(f"{scratch}/f.parquet")
+    assert S.read_source(spark, f"{scratch}/f.parquet").count() == 2

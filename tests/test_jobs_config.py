@@ -101,7 +101,7 @@ def test_remote_paths():
     assert J.hadoop_path("s3://bucket/key/a.parquet") == "s3a://bucket/key/a.parquet"
     assert J.hadoop_path("gcs://b/x") == "gs://b/x"
     opts = J.hadoop_options("s3://b/k", {"key": "AK", "secret": "SK"})
-    assert opts == {"fs.s3a.access.key": "AK", "fs.s3a.secret.key": "SK"}
+    assert opts == {"fs.s3a.bucket.b.access.key": "AK", "fs.s3a.bucket.b.secret.key": "SK"}
 
 
 def test_routing(spark):
