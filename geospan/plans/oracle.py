@@ -250,7 +250,8 @@ _PAGED = """paged AS (
 
 ORACLE["offset_pages"] = f"""
 WITH {_PAGED}
-SELECT job, (rn // 100) * 100 AS off, o_orderkey, layer, true AS complete FROM paged"""
+SELECT job, CAST((rn // 100) * 100 AS INTEGER) AS off, o_orderkey, layer, true AS complete
+FROM paged"""
 
 ORACLE["linked_pages"] = f"""
 WITH {_PAGED}
@@ -366,7 +367,8 @@ j AS (SELECT coalesce(c.folder, bt.folder) AS folder, coalesce(c.file_name, bt.f
 a AS (SELECT *, CASE WHEN ok = false THEN 'missing' WHEN ok AND v IS NOT NULL THEN 'update'
                      WHEN ok THEN 'insert' ELSE 'keep' END AS action FROM j)
 SELECT folder, file_name, action,
-  CASE action WHEN 'update' THEN v + 1 WHEN 'insert' THEN 1 ELSE v END AS version,
+  CAST(CASE action WHEN 'update' THEN v + 1 WHEN 'insert' THEN 1 ELSE v END AS INTEGER)
+    AS version,
   CASE WHEN action IN ('insert', 'update') THEN bb ELSE cb END AS bytes,
   CASE action WHEN 'update' THEN 'batch=r2;rows=' || bn::VARCHAR || ';year=' || cy::VARCHAR
     WHEN 'insert' THEN 'batch=r2;rows=' || bn::VARCHAR
