@@ -95,33 +95,56 @@ def export_multiple(df: DataFrame, output_dir: str, base_name: str, formats,
                     geometry: str = "geometry") -> DataFrame:
     """K4: write ``df`` once per format under ``{dir}/{base}{ext}``.
 
+    The extraction is computed once.  When GeoParquet is requested it is
+    written first and the other formats are produced from that written table
+    (a cheap columnar re-read, and it survives executor loss); otherwise the
+    frame is persisted with spill to disk for the duration of the export.
+
     Returns a manifest (format, path, status, rows): ``ok``, ``failed`` (the
     writer raised; other formats continue), ``unsupported`` (single-file GIS
     formats such as shapefile / gpkg / filegdb), or ``unknown``."""
     spark = df.sparkSession
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = cached.count()
+    wanted = [(fmt, fmt.lower()) for fmt in formats]
     manifest = []
+
+    def path_of(f):
+        return f"{output_dir.rstrip('/')}/{base_name}{extension(f)}"
+
+    source, cached = df, None
+    done = {}
+    if any(f == "parquet" for _, f in wanted):
+        try:
+            write_geoparquet(df, path_of("parquet"), geometry=geometry)
+            source = spark.read.parquet(path_of("parquet"))
+            done["parquet"] = "ok"
+        except Exception as e:  # reported below; other formats still run
+            done["parquet"] = f"failed: {type(e).__name__}"
+    if source is df:
+        cached = source = df.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = source.count()
     try:
-        for fmt in formats:
-            f = fmt.lower()
-            path = f"{output_dir.rstrip('/')}/{base_name}{extension(f)}"
+        for fmt, f in wanted:
             if f not in KNOWN_FORMATS:
                 manifest.append((fmt, None, "unknown", None))
                 continue
             if f not in SUPPORTED_FORMATS:
                 manifest.append((fmt, None, "unsupported", None))
                 continue
+            if f in done:
+                ok = done[f] == "ok"
+                manifest.append((fmt, path_of(f) if ok else None, done[f], rows if ok else None))
+                continue
             try:
                 if f == "csv":
-                    WRITERS[f](cached, path)
+                    write_csv(source, path_of(f))
                 else:
-                    WRITERS[f](cached, path, geometry=geometry)
-                manifest.append((fmt, path, "ok", rows))
+                    WRITERS[f](source, path_of(f), geometry=geometry)
+                manifest.append((fmt, path_of(f), "ok", rows))
             except Exception as e:  # one failed format must not stop the rest
                 manifest.append((fmt, None, f"failed: {type(e).__name__}", None))
     finally:
-        cached.unpersist()
+        if cached is not None:
+            cached.unpersist()
     return spark.createDataFrame(manifest, "format string, path string, status string, rows long")
 
 

@@ -136,3 +136,13 @@ def test_read_source_dispatch(spark, scratch):
     assert c[0]["bbox"].xmin == 3.0 and c[1]["bbox"] is None
     _features(spark).write.parquet(f"{scratch}/f.parquet")
     assert S.read_source(spark, f"{scratch}/f.parquet").count() == 2
+
+
+def test_export_without_parquet_and_geojson_geometry(spark, scratch):
+    df = _features(spark)
+    man = {r["format"]: r for r in export_multiple(df, scratch, "g", ["geojson", "csv"]).collect()}
+    assert man["geojson"]["status"] == "ok" and man["csv"]["rows"] == 2
+    feats = sorted((json.loads(r["value"]) for r in spark.read.text(man["geojson"]["path"]).collect()),
+                   key=lambda g: g["properties"]["id"])
+    assert feats[0]["geometry"]["type"] == "Polygon"
+    assert feats[1]["geometry"] == {"type": "Point", "coordinates": [5.0, 6.0]}
