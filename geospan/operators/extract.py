@@ -139,14 +139,17 @@ def extract_jobs(features: DataFrame, jobs: DataFrame, strategy: str = "auto",
     """
     jobs = _prepare_jobs(jobs, job_bbox)
     fb, jb = F.col(feature_bbox), F.col("job_bbox")
+    median_side = None
     if strategy == "auto":
-        n = jobs.limit(broadcast_boxes + 1).count()
+        # One aggregate gives both the box count (the broadcast bound) and the
+        # median box side (the grid cell size, if the grid is chosen).
+        n, median_side = box_stats(jobs)
         strategy = "broadcast" if n <= broadcast_boxes else "grid_auto"
     if strategy == "broadcast":
         return features.where(_valid_box(fb)).join(
             F.broadcast(jobs.where(_valid_box(jb))), bbox_intersects(fb, jb), "inner")
 
-    spec = grid_spec(cell_size if cell_size else choose_cell_size(jobs), max_cells)
+    spec = grid_spec(cell_size or median_side or choose_cell_size(jobs), max_cells)
     jlev = jobs.where(_valid_box(jb)).withColumn("_j_lvl", own_level(jb, spec))
     # One aggregate gives both the levels at which job boxes live (features
     # must also appear there) and the exact number of box cells, the proven
