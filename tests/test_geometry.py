@@ -97,3 +97,27 @@ def test_points_and_srid(spark):
 def test_wkb_roundtrip_to_geojson():
     g = wkb.geometry_to_geojson("MULTIPOINT ((1 2), (3 4))")
     assert wkb.json.loads(g) == {"type": "MultiPoint", "coordinates": [[1.0, 2.0], [3.0, 4.0]]}
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+coord = st.floats(-1e6, 1e6, allow_nan=False, allow_infinity=False)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.lists(st.tuples(coord, coord), min_size=3, max_size=12), min_size=1, max_size=3))
+def test_envelope_equal_across_encodings_property(spark, polys):
+    rows = []
+    for i, ring in enumerate(polys):
+        pts = ring + [ring[0]]
+        wkt = "POLYGON ((" + ", ".join(f"{x!r} {y!r}" for x, y in pts) + "))"
+        gj = wkb.json.dumps({"type": "Polygon", "coordinates": [[list(p) for p in pts]]})
+        rows += [(i, "wkt", wkt), (i, "geojson", gj), (i, "hex", wkb.wkt_to_wkb(wkt).hex())]
+    df = spark.createDataFrame(rows, "id int, enc string, g string")
+    out = df.select("id", "enc", env_text("g").alias("b")).collect()
+    by_id = {}
+    for r in out:
+        by_id.setdefault(r["id"], set()).add(_box(r["b"]))
+    for i, ring in enumerate(polys):
+        xs, ys = [p[0] for p in ring], [p[1] for p in ring]
+        assert by_id[i] == {(min(xs), min(ys), max(xs), max(ys))}
