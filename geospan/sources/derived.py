@@ -34,11 +34,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df if name in SMALL_TABLES else balanced(df)
 
 
-def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+BALANCE_MIN_BYTES = 1 << 20
+
+
+def balanced(df: DataFrame, min_partitions: int | None = None,
+             min_bytes: int = BALANCE_MIN_BYTES) -> DataFrame:
     """Spread a scan that yields fewer partitions than the cluster has cores
     (e.g. one file with a single row group) with a round-robin repartition.
-    Large inputs already split into many tasks and are returned unchanged."""
+
+    Inputs that already split into many tasks are returned unchanged, and so
+    are inputs smaller than ``min_bytes`` by the optimizer's size estimate
+    (no job is run): spreading a tiny table costs more than it saves."""
     n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # estimate unavailable: fall back to the partition test
+        size = min_bytes
+    if size < min_bytes:
+        return df
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
 
