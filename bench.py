@@ -48,6 +48,28 @@ def timed(fn) -> float:
     return round(statistics.median(times), 3)
 
 
+def row_groups_read(path: str, box) -> dict:
+    """Row groups of the stored features whose bbox statistics meet the box
+    (the ones a pushed-down filter must read) versus all row groups."""
+    import glob
+
+    import pyarrow.parquet as pq
+    x0, y0, x1, y1 = box
+    total = hit = 0
+    for f in glob.glob(f"{path}/*.parquet"):
+        md = pq.ParquetFile(f).metadata
+        names = [md.schema.column(i).path for i in range(md.num_columns)]
+        idx = {n: names.index(f"bbox.{n}") for n in ("xmin", "ymin", "xmax", "ymax")}
+        for r in range(md.num_row_groups):
+            rg = md.row_group(r)
+            st = {n: rg.column(i).statistics for n, i in idx.items()}
+            total += 1
+            if (st["xmin"].min <= x1 and st["xmax"].max >= x0
+                    and st["ymin"].min <= y1 and st["ymax"].max >= y0):
+                hit += 1
+    return {"total": total, "read": hit}
+
+
 def main() -> None:
     scratch = tempfile.mkdtemp(prefix="geospan-bench-")
     spark = build_session(f"local[{CPUS}]", app_name="geospan-bench",
@@ -64,7 +86,7 @@ def main() -> None:
     # the input of the pushdown benchmark.  Written once, outside the timings.
     stored = f"{scratch}/features"
     write_geoparquet(D.polygon_features(t("orders")).withColumnRenamed("wkt", "geometry"),
-                     stored, partitions=CPUS * 2)
+                     stored, partitions=64)
     wkb_path = f"{scratch}/wkb"
     D.wkb_features(t("orders")).write.parquet(wkb_path)
     # Recorded API responses, stored once: the page benchmarks time assembly.
@@ -104,12 +126,14 @@ def main() -> None:
     q["A8_linked_pages"] = timed(lambda: assemble_linked_pages(
         spark.read.parquet(linked_path), spark.read.parquet(starts_path), properties_schema=props))
 
+    q_rg = row_groups_read(stored, FILTER_BOX)
     headline = ["J3_job_summary", "AG1_extent", "F1_filter_stored", "G8_wkb_envelopes",
                 "A7_offset_pages", "A8_linked_pages", "J_cust_grid_broadcast"]
     total = round(sum(q[k] for k in headline), 3)
     sf = os.path.basename(SF_DIR.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_total_sec", "value": total, "unit": "sec",
-                      "queries": q, "sf": sf, "cpus": CPUS, "repeat": REPEAT}))
+                      "queries": q, "sf": sf, "cpus": CPUS, "repeat": REPEAT,
+                      "f1_row_groups": q_rg}))
     spark.stop()
 
 

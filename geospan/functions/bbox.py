@@ -35,7 +35,7 @@ def lit_bbox(box: Sequence[float]) -> Column:
 
 def bbox_from_array(arr) -> Column:
     a = _c(arr)
-    return make_bbox(a[0], a[1], a[2], a[3])
+    return make_bbox(F.get(a, 0), F.get(a, 1), F.get(a, 2), F.get(a, 3))
 
 
 def bbox_intersects(a, b) -> Column:
@@ -126,3 +126,21 @@ def bbox_cols(b, names: Iterable[str] = BBOX_FIELDS) -> list[Column]:
     """Flatten a box into four named columns."""
     b = _c(b)
     return [b[f].alias(n) for f, n in zip(BBOX_FIELDS, names)]
+
+
+def _spread_bits(v: Column) -> Column:
+    """Insert a zero bit between the low 16 bits of ``v`` (Morton helper)."""
+    for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+        v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
+    return v
+
+
+def zorder_key(b) -> Column:
+    """Z-order (Morton) code of a box's lower-left corner on a 2^16 x 2^16
+    grid over lon/lat.  Sorting by it keeps nearby boxes together in both axes,
+    so per-file / per-row-group min-max statistics of ``bbox.*`` stay tight."""
+    b = _c(b)
+    top = (1 << 16) - 1
+    gx = F.least(F.greatest(F.floor((b.xmin + 180.0) / 360.0 * top), F.lit(0)), F.lit(top))
+    gy = F.least(F.greatest(F.floor((b.ymin + 90.0) / 180.0 * top), F.lit(0)), F.lit(top))
+    return _spread_bits(gx.cast("long")).bitwiseOR(F.shiftleft(_spread_bits(gy.cast("long")), 1))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geospan.functions import wkb as _wkb
+from geospan.functions.bbox import zorder_key
 from geospan.functions.envelope import text_to_wkb
 from geospan.operators.extent import extent
 from geospan.operators.filters import drop_geometry
@@ -41,24 +42,22 @@ def _as_wkb(df: DataFrame, geometry: str) -> DataFrame:
 
 
 def write_geoparquet(df: DataFrame, path: str, geometry: str = "geometry",
-                     mode: str = "overwrite", cell: float = 1.0,
-                     partitions: int | None = None) -> None:
-    """K2: WKB geometry plus the ``bbox`` covering struct, clustered by grid
-    cell so that each file's row groups cover a compact area and box filters
-    on ``bbox.*`` skip most of them.  Spark's writer cannot set the file-level
-    ``geo`` key, so its JSON goes to a ``_geo.json`` sidecar (not strictly
-    spec-conformant GeoParquet; readers that need the key can add it)."""
+                     mode: str = "overwrite", partitions: int | None = None) -> None:
+    """K2: WKB geometry plus the ``bbox`` covering struct, clustered along a
+    Z-order curve so that each file (and row group) covers a compact area
+    and box filters on ``bbox.*`` skip most of them.  Spark's writer cannot
+    set the file-level ``geo`` key, so its JSON goes to a ``_geo.json``
+    sidecar (not strictly spec-conformant GeoParquet; readers that need the
+    key can add it)."""
     out = _as_wkb(df, geometry)
-    cx = F.floor((F.col("bbox.xmin") + 180) / cell)
-    cy = F.floor((F.col("bbox.ymin") + 90) / cell)
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    # The hash tiebreaker lets the range partitioner split a cell that holds a
-    # large share of all rows over several tasks instead of one.
+    # The hash tiebreaker lets the range partitioner split a Z-range that
+    # holds a large share of all rows (a hot spot) over several tasks.
     tie = F.xxhash64(F.col("bbox.xmin"), F.col("bbox.ymin"), F.col("bbox.xmax"),
                      F.col("bbox.ymax"), F.monotonically_increasing_id())
-    clustered = (out.withColumn("_cy", cy).withColumn("_cx", cx).withColumn("_tie", tie)
-                 .repartitionByRange(n, "_cy", "_cx", "_tie")
-                 .sortWithinPartitions("_cy", "_cx").drop("_cy", "_cx", "_tie"))
+    clustered = (out.withColumn("_z", zorder_key("bbox")).withColumn("_tie", tie)
+                 .repartitionByRange(n, "_z", "_tie")
+                 .sortWithinPartitions("_z").drop("_z", "_tie"))
     clustered.write.mode(mode).parquet(path)
     ext = extent(df, with_count=False).first()
     geo = {"version": "1.1.0", "primary_column": geometry,
