@@ -7,6 +7,7 @@ row groups whose min/max statistics miss the box are never decoded.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 from typing import Mapping, Sequence
 
@@ -37,8 +38,11 @@ def bbox_filter(df: DataFrame, box: Sequence[float], column: str = "bbox",
     if not exact:
         return out
     inside = bbox_within(b, lit_bbox(box))
-    test = geometry_intersects_box(F.col(geometry), F.lit(x0), F.lit(y0), F.lit(x1), F.lit(y1))
-    return out.where(inside | test)
+    # Rows already inside the box send NULL to the geometry kernel: only the
+    # rows whose envelope crosses the box edge ship their geometry to Python.
+    test = geometry_intersects_box(F.when(~inside, F.col(geometry)),
+                                   F.lit(x0), F.lit(y0), F.lit(x1), F.lit(y1))
+    return out.where(inside | F.coalesce(test, F.lit(False)))
 
 
 def attr_filter(df: DataFrame, conditions: Mapping[str, object] | None) -> DataFrame:
@@ -163,10 +167,10 @@ def _tree_of(value):
     if value is None:
         return None
     if isinstance(value, (bytes, bytearray, memoryview)):
-        raise ValueError("binary geometry: convert with text form first")
+        return _wkb._gj_tree(json.loads(_wkb.wkb_to_geojson(value)))
     s = value.lstrip()
     if s.startswith("{"):
-        return _wkb._gj_tree(__import__("json").loads(s))
+        return _wkb._gj_tree(json.loads(s))
     return _wkb._parse_wkt(_wkb._tokens(s), 0)[0]
 
 
@@ -197,5 +201,6 @@ def _intersects_box_udf(g: pd.Series, x0: pd.Series, y0: pd.Series,
 
 
 def geometry_intersects_box(geometry: Column, x0, y0, x1, y1) -> Column:
-    """Exact intersects test of a text geometry (WKT / GeoJSON) with a box."""
+    """Exact intersects test of a geometry (WKT / GeoJSON text or WKB bytes)
+    with a box; NULL geometry gives NULL."""
     return _intersects_box_udf(geometry, x0, y0, x1, y1)

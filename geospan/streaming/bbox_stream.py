@@ -14,7 +14,6 @@ from __future__ import annotations
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from geospan.operators.filters import bbox_filter
@@ -51,6 +50,3 @@ def start_box_extraction(spark: SparkSession, source_path: str, schema, box: Seq
         processingTime="1 minute")
     return writer.start(sink_path)
 
-
-def with_ingest_time(df: DataFrame) -> DataFrame:
-    return df.withColumn("ingested_at", F.current_timestamp())

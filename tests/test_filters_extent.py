@@ -105,3 +105,13 @@ def test_negative_buffer_inverts_and_is_flagged(spark):
     r = spark.range(1).select(expand_bbox(lit_bbox([0, 0, 1, 1]), -0.75).alias("b")).select(
         "b", bbox_inverted("b").alias("bad")).first()
     assert r["b"].xmin > r["b"].xmax and r["bad"] is True
+
+
+def test_exact_filter_on_wkb(spark):
+    from geospan.functions import wkb as W
+    poly = bytearray(W.wkt_to_wkb("POLYGON ((0 0, 10 0, 0 10, 0 0))"))
+    df = spark.createDataFrame([(1, poly)], "id int, geometry binary") \
+        .withColumn("bbox", lit_bbox([0, 0, 10, 10]))
+    assert bbox_filter(df, [6, 6, 9, 9], exact=True).count() == 0
+    assert bbox_filter(df, [4, 4, 9, 9], exact=True).count() == 1
+    assert bbox_filter(df, [-1, -1, 11, 11], exact=True).count() == 1
