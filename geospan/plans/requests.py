@@ -118,6 +118,27 @@ def plan_arcgis(jobs: DataFrame, n_pages: int | str = 1) -> DataFrame:
                       update_params(p, paging).alias("request_params"))
 
 
+def plan_arcgis_count(jobs: DataFrame) -> DataFrame:
+    """A1, step 0: one ``returnCountOnly=true`` request per job.  Its answer
+    (``{"count": n}``) gives the number of offset pages to plan, so all pages
+    of all jobs can be requested in parallel instead of one after another."""
+    b = F.col("bbox")
+    p = update_params(params_array(ARCGIS_BASE), F.when(b.isNotNull(), params_array(
+        (("geometry", bbox_to_csv(b)),) + ARCGIS_SPATIAL)).otherwise(F.array().cast(PARAM_TYPE)))
+    p = update_with_map(p, _opt("params", jobs) if "params" in jobs.columns else _empty_map())
+    p = update_params(p, params_array([("returnCountOnly", "true")]))
+    qs = query_string(p)
+    return jobs.select("*", F.concat(F.col("url"), F.lit("/query?"), qs).alias("count_url"))
+
+
+def pages_from_count(count_body: Column, limit) -> Column:
+    """Number of offset pages from a count response body ``{"count": n}``.
+    At least one page is planned so an empty answer is still confirmed."""
+    n = F.get_json_object(count_body, "$.count").cast("long")
+    lim = F.lit(int(limit)) if isinstance(limit, int) else limit
+    return F.greatest(F.ceil(n / lim), F.lit(1)).cast("int")
+
+
 def plan_wfs(jobs: DataFrame) -> DataFrame:
     """A2: a single GetFeature request; the box carries the CRS as 5th item."""
     b = F.col("bbox")

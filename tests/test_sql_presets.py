@@ -67,3 +67,16 @@ def test_require_features(spark):
     with pytest.raises(ValueError):
         require_features(None)
     assert require_features(spark.range(2)).count() == 2
+
+
+def test_arcgis_count_then_pages(spark):
+    from geospan.plans.requests import pages_from_count, plan_arcgis, plan_arcgis_count
+    jobs = spark.createDataFrame([("j", "https://h/FeatureServer/0", '{"count": 2500}')],
+                                 "job_name string, url string, count_body string") \
+        .withColumn("bbox", lit_bbox([0, 0, 1, 1])).withColumn("max_records", F.lit(1000))
+    cu = plan_arcgis_count(jobs).first()["count_url"]
+    assert cu.endswith("returnCountOnly=true") and "/query?f=geojson" in cu
+    planned = plan_arcgis(jobs.withColumn("n_pages", pages_from_count(F.col("count_body"), 1000)),
+                          n_pages="n_pages")
+    offs = sorted(r["page"] for r in planned.collect())
+    assert offs == [0, 1, 2]
