@@ -18,7 +18,6 @@ import time
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from geospan.operators.extent import extent  # noqa: E402
 from geospan.operators.extract import extract_jobs, job_summary  # noqa: E402

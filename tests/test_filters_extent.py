@@ -1,7 +1,6 @@
 import math
 
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from geospan.functions.bbox import expand_bbox, lit_bbox, make_bbox
 from geospan.operators.extent import (bbox_intersection_agg, bbox_union_agg, extent,

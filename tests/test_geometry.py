@@ -1,7 +1,6 @@
 import struct
 
 import pytest
-from pyspark.sql import functions as F
 
 from geospan.functions import wkb
 from geospan.functions.envelope import env_geojson, env_text, env_wkb, env_wkt
