@@ -9,6 +9,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -71,8 +72,11 @@ def env_geojson(col) -> Column:
     return _env_from_pairs(cleaned, GEOJSON_PAIR_J)
 
 
-def _bounds_frame(rows) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=list(BBOX_FIELDS) + ["bad"])
+def _arrays_frame(box, bad) -> pd.DataFrame:
+    """Bounds arrays -> UDF result; NaN becomes NULL via nullable floats."""
+    cols = {n: pd.array(box[:, i], dtype="Float64") for i, n in enumerate(BBOX_FIELDS)}
+    cols["bad"] = bad
+    return pd.DataFrame(cols)
 
 
 @F.pandas_udf(ENV_SCHEMA)
@@ -82,13 +86,19 @@ def wkb_envelope(values: pd.Series) -> pd.DataFrame:
     Handles both byte orders, ISO and EWKB Z/M/SRID flags and nested
     collections.  Truncated or unknown input sets ``bad`` instead of failing.
     """
-    return _bounds_frame([_wkb.wkb_bounds(v) for v in values])
+    return _arrays_frame(*_wkb.wkb_bounds_arrays(values))
 
 
 @F.pandas_udf(ENV_SCHEMA)
 def hex_wkb_envelope(values: pd.Series) -> pd.DataFrame:
     """Like :func:`wkb_envelope` for hex-encoded WKB text; non-hex is ``bad``."""
-    return _bounds_frame([_wkb.hex_wkb_bounds(v) for v in values])
+    raw = [None if v is None or not _wkb._HEX.match(v.strip()) else bytes.fromhex(v.strip())
+           for v in values]
+    box, bad = _wkb.wkb_bounds_arrays(raw)
+    # Text that is not hex at all is unreadable, not empty.
+    bad |= np.fromiter((v is not None and r is None for v, r in zip(values, raw)),
+                       dtype=bool, count=len(raw))
+    return _arrays_frame(box, bad)
 
 
 def env_wkb(col) -> Column:

@@ -120,3 +120,30 @@ def test_envelope_equal_across_encodings_property(spark, polys):
     for i, ring in enumerate(polys):
         xs, ys = [p[0] for p in ring], [p[1] for p in ring]
         assert by_id[i] == {(min(xs), min(ys), max(xs), max(ys))}
+
+
+def test_batch_wkb_kernel_matches_per_value():
+    import random
+    rnd = random.Random(3)
+    vals = []
+    for _ in range(300):
+        k = rnd.randrange(7)
+        x, y = rnd.uniform(-180, 180), rnd.uniform(-90, 90)
+        if k == 0:
+            vals.append(wkb.wkt_to_wkb(f"POINT ({x!r} {y!r})"))
+        elif k == 1:
+            n = rnd.randrange(3, 9)
+            ring = [(x + rnd.random(), y + rnd.random()) for _ in range(n)]
+            ring.append(ring[0])
+            vals.append(wkb.wkt_to_wkb("POLYGON ((" + ", ".join(f"{a!r} {b!r}" for a, b in ring) + "))"))
+        elif k == 2:
+            vals.append(wkb.wkt_to_wkb(f"MULTIPOINT (({x!r} {y!r}), (1 2))"))
+        elif k == 3:
+            vals.append(_big_endian_point(x, y))
+        elif k == 4:
+            vals.append(wkb.wkt_to_wkb("POLYGON ((0 0, 1 0, 1 1, 0 0))")[:-4])
+        elif k == 5:
+            vals.append(None)
+        else:
+            vals.append(wkb.wkt_to_wkb("POINT EMPTY"))
+    assert wkb.wkb_bounds_batch(vals) == [wkb.wkb_bounds(v) for v in vals]
