@@ -79,13 +79,17 @@ def chain_steps(edges: DataFrame, starts: DataFrame, job: str = "job", max_round
         if checkpoint:
             nxt_reached = nxt_reached.checkpoint(eager=True)
             nxt_jump = nxt_jump.checkpoint(eager=True)
-        n = nxt_reached.count()
+        # One small job gives both stopping signals: the size of the reached
+        # set (unchanged -> a cycle closed) and whether any page still has a
+        # successor 2*hop links ahead (none -> every chain is covered).
+        stats = (nxt_reached.select(F.lit(1).alias("r"), F.lit(0).alias("j"))
+                 .unionByName(nxt_jump.limit(1).select(F.lit(0).alias("r"), F.lit(1).alias("j")))
+                 .agg(F.count_if(F.col("r") == 1).alias("n"),
+                      F.count_if(F.col("j") == 1).alias("more"))).first()
         reached, jump, hop = nxt_reached, nxt_jump, hop * 2
-        # Done when nothing new was reached (a cycle closed) or when no page
-        # has a successor 2*hop links ahead (every chain is fully covered).
-        if n == n_prev or jump.isEmpty():
+        if stats["n"] == n_prev or stats["more"] == 0:
             break
-        n_prev = n
+        n_prev = stats["n"]
     return reached
 
 
