@@ -99,36 +99,83 @@ def _empty_map():
     return F.create_map().cast("map<string,string>")
 
 
+# --- SQL-text builders --------------------------------------------------------
+# The planners below write their parameter logic as SQL expression text: one
+# ``expr`` call per step instead of hundreds of Py4J calls to assemble nested
+# lambdas, so planning stays fast.  Semantics are those of update_params.
+
+def _sq(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _arr_sql(pairs) -> str:
+    """``pairs``: (key, value-SQL) -> ordered param array SQL."""
+    items = ", ".join(f"named_struct('k', {_sq(k)}, 'v', CAST({v} AS STRING))" for k, v in pairs)
+    return f"CAST(array({items}) AS {PARAM_TYPE})"
+
+
+def _update_sql(p: str, u: str) -> str:
+    return (f"concat(transform({p}, e -> named_struct('k', e.k, 'v', "
+            f"coalesce(get(filter({u}, x -> x.k = e.k), 0).v, e.v))), "
+            f"filter({u}, x -> NOT array_contains(transform({p}, e -> e.k), x.k)))")
+
+
+def _map_sql(m: str) -> str:
+    return (f"CAST(transform(map_entries(coalesce({m}, map())), "
+            f"e -> named_struct('k', e.key, 'v', e.value)) AS {PARAM_TYPE})")
+
+
+_EMPTY = f"CAST(array() AS {PARAM_TYPE})"
+_CSV = ("concat_ws(',', CAST(bbox.xmin AS STRING), CAST(bbox.ymin AS STRING), "
+        "CAST(bbox.xmax AS STRING), CAST(bbox.ymax AS STRING))")
+
+
+def _col_or(jobs: DataFrame, name: str, default_sql: str) -> str:
+    return f"coalesce(`{name}`, {default_sql})" if name in jobs.columns else default_sql
+
+
+def _steps(df: DataFrame, first: str, *updates: str) -> DataFrame:
+    """Build the ordered params in ``_p`` one update per projection, so each
+    step references a column instead of re-inlining the previous one."""
+    out = df.withColumn("_p", F.expr(first))
+    for u in updates:
+        out = out.withColumn("_p", F.expr(_update_sql("_p", u)))
+    return out
+
+
+def _custom_sql(jobs: DataFrame) -> str:
+    return _map_sql("params") if "params" in jobs.columns else _EMPTY
+
+
+_ARCGIS_SPATIAL_SQL = (f"CASE WHEN bbox IS NULL THEN {_EMPTY} ELSE "
+                       + _arr_sql([("geometry", _CSV)] + [(k, _sq(v)) for k, v in ARCGIS_SPATIAL])
+                       + " END")
+
+
 def plan_arcgis(jobs: DataFrame, n_pages: int | str = 1) -> DataFrame:
     """A1: one request per page offset: ``{url}/query`` with the fixed
     GeoJSON query params, the envelope filter, custom params, and finally
     ``resultOffset`` / ``resultRecordCount``."""
-    b = F.col("bbox")
-    limit = _opt("max_records", jobs, DEFAULT_PAGE_LIMIT).cast("long")
-    pages = F.col(n_pages) if isinstance(n_pages, str) else F.lit(int(n_pages))
-    base = params_array(ARCGIS_BASE)
-    spatial = F.when(b.isNotNull(), params_array(
-        (("geometry", bbox_to_csv(b)),) + ARCGIS_SPATIAL)).otherwise(F.array().cast(PARAM_TYPE))
-    p = update_params(base, spatial)
-    p = update_with_map(p, _opt("params", jobs) if "params" in jobs.columns else _empty_map())
-    out = jobs.withColumn("page", F.explode(F.sequence(F.lit(0), pages - 1)))
-    off = (F.col("page") * limit).cast("string")
-    paging = params_array([("resultOffset", off), ("resultRecordCount", limit.cast("string"))])
-    return out.select("*", F.concat(F.col("url"), F.lit("/query")).alias("request_base"),
-                      update_params(p, paging).alias("request_params"))
+    limit = _col_or(jobs, "max_records", str(DEFAULT_PAGE_LIMIT))
+    pages = f"`{n_pages}`" if isinstance(n_pages, str) else str(int(n_pages))
+    out = _steps(jobs, _arr_sql([(k, _sq(v)) for k, v in ARCGIS_BASE]),
+                 _ARCGIS_SPATIAL_SQL, _custom_sql(jobs))
+    out = out.withColumn("page", F.explode(F.expr(f"sequence(0, {pages} - 1)")))
+    paging = _arr_sql([("resultOffset", f"page * CAST({limit} AS BIGINT)"),
+                       ("resultRecordCount", f"CAST({limit} AS BIGINT)")])
+    return (out.withColumn("request_base", F.concat(F.col("url"), F.lit("/query")))
+               .withColumn("request_params", F.expr(_update_sql("_p", paging))).drop("_p"))
 
 
 def plan_arcgis_count(jobs: DataFrame) -> DataFrame:
     """A1, step 0: one ``returnCountOnly=true`` request per job.  Its answer
     (``{"count": n}``) gives the number of offset pages to plan, so all pages
     of all jobs can be requested in parallel instead of one after another."""
-    b = F.col("bbox")
-    p = update_params(params_array(ARCGIS_BASE), F.when(b.isNotNull(), params_array(
-        (("geometry", bbox_to_csv(b)),) + ARCGIS_SPATIAL)).otherwise(F.array().cast(PARAM_TYPE)))
-    p = update_with_map(p, _opt("params", jobs) if "params" in jobs.columns else _empty_map())
-    p = update_params(p, params_array([("returnCountOnly", "true")]))
-    qs = query_string(p)
-    return jobs.select("*", F.concat(F.col("url"), F.lit("/query?"), qs).alias("count_url"))
+    out = _steps(jobs, _arr_sql([(k, _sq(v)) for k, v in ARCGIS_BASE]),
+                 _ARCGIS_SPATIAL_SQL, _custom_sql(jobs),
+                 _arr_sql([("returnCountOnly", "'true'")]))
+    return out.withColumn("count_url", F.concat(F.col("url"), F.lit("/query?"),
+                                                query_string(F.col("_p")))).drop("_p")
 
 
 def pages_from_count(count_body: Column, limit) -> Column:
@@ -141,38 +188,41 @@ def pages_from_count(count_body: Column, limit) -> Column:
 
 def plan_wfs(jobs: DataFrame) -> DataFrame:
     """A2: a single GetFeature request; the box carries the CRS as 5th item."""
-    b = F.col("bbox")
-    p = params_array([("service", "WFS"), ("version", _opt("version", jobs, WFS_DEFAULT_VERSION)),
-                      ("request", "GetFeature"), ("typeName", _opt("layer_name", jobs)),
-                      ("outputFormat", WFS_OUTPUT_FORMAT)])
-    p = update_params(p, F.when(b.isNotNull(), params_array(
-        [("bbox", bbox_to_csv(b, WFS_CRS))])).otherwise(F.array().cast(PARAM_TYPE)))
-    p = update_with_map(p, _opt("params", jobs) if "params" in jobs.columns else _empty_map())
-    return jobs.select("*", F.lit(0).alias("page"), F.col("url").alias("request_base"),
-                       p.alias("request_params"))
+    first = _arr_sql([("service", "'WFS'"),
+                      ("version", _col_or(jobs, "version", _sq(WFS_DEFAULT_VERSION))),
+                      ("request", "'GetFeature'"),
+                      ("typeName", "`layer_name`" if "layer_name" in jobs.columns else "NULL"),
+                      ("outputFormat", _sq(WFS_OUTPUT_FORMAT))])
+    box = (f"CASE WHEN bbox IS NULL THEN {_EMPTY} ELSE "
+           + _arr_sql([("bbox", f"concat({_CSV}, ',', {_sq(WFS_CRS)})")]) + " END")
+    out = _steps(jobs, first, box, _custom_sql(jobs))
+    return (out.withColumn("page", F.lit(0)).withColumn("request_base", F.col("url"))
+               .withColumnRenamed("_p", "request_params"))
 
 
 def plan_ogc(jobs: DataFrame) -> DataFrame:
     """A3: ``{url}/collections/{collection}/items?f=json&limit=..[&bbox=..]``;
     later pages follow ``next`` links (see ``assemble_linked_pages``)."""
-    b = F.col("bbox")
-    p = params_array([("f", "json"), ("limit", _opt("limit", jobs, DEFAULT_PAGE_LIMIT))])
-    p = update_params(p, F.when(b.isNotNull(), params_array([("bbox", bbox_to_csv(b))]))
-                      .otherwise(F.array().cast(PARAM_TYPE)))
-    p = update_with_map(p, _opt("params", jobs) if "params" in jobs.columns else _empty_map())
-    url = F.concat(F.col("url"), F.lit("/collections/"), _opt("collection", jobs), F.lit("/items"))
-    return jobs.select("*", F.lit(0).alias("page"), url.alias("request_base"),
-                       p.alias("request_params"))
+    first = _arr_sql([("f", "'json'"), ("limit", _col_or(jobs, "limit", str(DEFAULT_PAGE_LIMIT)))])
+    box = f"CASE WHEN bbox IS NULL THEN {_EMPTY} ELSE " + _arr_sql([("bbox", _CSV)]) + " END"
+    out = _steps(jobs, first, box, _custom_sql(jobs))
+    coll = "`collection`" if "collection" in jobs.columns else "NULL"
+    return (out.withColumn("page", F.lit(0))
+               .withColumn("request_base", F.expr(f"concat(url, '/collections/', {coll}, '/items')"))
+               .withColumnRenamed("_p", "request_params"))
 
 
 def plan_generic(jobs: DataFrame) -> DataFrame:
     """A4: user params, then the box params (box wins on a clash); headers
     stay in their own MAP column and are never folded into the URL."""
-    p = update_with_map(F.array().cast(PARAM_TYPE),
-                        _opt("params", jobs) if "params" in jobs.columns else _empty_map())
-    p = update_params(p, bbox_params(F.col("bbox"), _opt("api_type", jobs, "")))
-    return jobs.select("*", F.lit(0).alias("page"), F.col("url").alias("request_base"),
-                       p.alias("request_params"))
+    t = "lower(`api_type`)" if "api_type" in jobs.columns else "''"
+    four = _arr_sql([("minx", "bbox.xmin"), ("miny", "bbox.ymin"),
+                     ("maxx", "bbox.xmax"), ("maxy", "bbox.ymax")])
+    box = (f"CASE WHEN bbox IS NULL THEN {_EMPTY} WHEN {t} IN ('wfs', 'ogcapi') THEN "
+           + _arr_sql([("bbox", _CSV)]) + f" ELSE {four} END")
+    out = _steps(jobs, _EMPTY, _custom_sql(jobs), box)
+    return (out.withColumn("page", F.lit(0)).withColumn("request_base", F.col("url"))
+               .withColumnRenamed("_p", "request_params"))
 
 
 def plan_requests(jobs: DataFrame, arcgis_pages: int | str = 1) -> DataFrame:
