@@ -8,8 +8,9 @@ small (jobs) side only:
 ``broadcast``       few boxes (<= ``broadcast_boxes``): the job table is
                     broadcast and every feature is tested against every box
                     (``BroadcastNestedLoopJoin``).  Features are never shuffled.
-``grid_broadcast``  many boxes whose grid cells fit a proven row bound
-                    (<= ``broadcast_cells``): features and boxes are cut into
+``grid_broadcast``  many boxes whose grid cells fit a proven bound
+                    (<= ``broadcast_cells`` rows and about ``broadcast_bytes``
+                    by the schema's row-size estimate): features and boxes are cut into
                     grid cells, the box cells are broadcast and joined by hash
                     on the cell key.  Features are still never shuffled.
 ``grid``            box cells too many to broadcast: both sides are
@@ -132,6 +133,7 @@ def extract_jobs(features: DataFrame, jobs: DataFrame, strategy: str = "auto",
                  feature_bbox: str = "bbox", job_bbox: str = "bbox",
                  cell_size: float | None = None, max_cells: int = 16,
                  broadcast_boxes: int = 64, broadcast_cells: int = 1_000_000,
+                 broadcast_bytes: int = 256 << 20,
                  salts: int = 32, hot_parts: int | None = None) -> DataFrame:
     """Feature rows paired with every job whose box they intersect.
 
@@ -169,7 +171,11 @@ def extract_jobs(features: DataFrame, jobs: DataFrame, strategy: str = "auto",
         bound = (stats["own_cells"] or 0) + len(box_levels) * spec.levels * spec.max_cells
         if bound > broadcast_cells:
             bound = jcells.limit(broadcast_cells + 1).count()
-        strategy = "grid_broadcast" if bound <= broadcast_cells else "grid"
+        # Rows are bounded above; bytes too, from the schema's per-row size
+        # estimate, so wide job rows do not slip through a row-count check.
+        row_bytes = int(jcells._jdf.schema().defaultSize())
+        small = bound <= broadcast_cells and bound * row_bytes <= broadcast_bytes
+        strategy = "grid_broadcast" if small else "grid"
     if strategy == "grid_broadcast":
         joined = fcells.join(F.broadcast(jcells), keys, "inner")
     elif strategy == "grid":
