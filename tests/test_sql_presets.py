@@ -80,3 +80,18 @@ def test_arcgis_count_then_pages(spark):
                           n_pages="n_pages")
     offs = sorted(r["page"] for r in planned.collect())
     assert offs == [0, 1, 2]
+
+
+def test_param_helpers(spark):
+    from geospan.plans.requests import (bbox_params, params_array, query_string,
+                                        update_params, update_with_map)
+    row = spark.range(1).select(
+        query_string(update_with_map(
+            update_params(params_array([("a", "1"), ("b", "x y*")]),
+                          params_array([("b", "2"), ("c", "3")])),
+            F.create_map(F.lit("a"), F.lit("9")))).alias("qs"),
+        query_string(bbox_params(lit_bbox([1, 2, 3, 4]), F.lit("WFS"))).alias("wfs"),
+        query_string(bbox_params(lit_bbox([1, 2, 3, 4]), F.lit("rest"))).alias("gen")).first()
+    assert row["qs"] == "a=9&b=2&c=3"
+    assert row["wfs"] == "bbox=1.0%2C2.0%2C3.0%2C4.0"
+    assert row["gen"] == "minx=1.0&miny=2.0&maxx=3.0&maxy=4.0"
