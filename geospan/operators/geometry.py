@@ -7,7 +7,7 @@ is not kept next to it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,8 +35,9 @@ def decode_geometry(df: DataFrame, column: str | None = None, fmt: str = "auto",
                     mode: str = "permissive", out: str = "geometry") -> DataFrame:
     """Add ``bbox`` from the geometry column, whatever its encoding.
 
-    BINARY columns are WKB; STRING columns are GeoJSON, WKT or hex WKB, told
-    apart per row.  ``fmt`` can force one of ``wkb | wkt | geojson | hex``.
+    Spark GEOMETRY / GEOGRAPHY columns are kept as they are; BINARY columns
+    are WKB; STRING columns are GeoJSON, WKT or hex WKB, told apart per row.
+    ``fmt`` can force one of ``wkb | wkt | geojson``.
     ``mode='permissive'`` keeps undecodable rows with a NULL box and
     ``_bad=true``; ``mode='strict'`` raises if any row is undecodable (this
     runs one counting job, like the all-or-nothing rule of the original).
@@ -44,7 +45,12 @@ def decode_geometry(df: DataFrame, column: str | None = None, fmt: str = "auto",
     column = resolve_geometry_column(df, column)
     dtype = df.schema[column].dataType
     g = F.col(column)
-    if isinstance(dtype, T.BinaryType) or fmt == "wkb":
+    if dtype.typeName() in ("geometry", "geography"):
+        # Spark's own spatial type: kept as is; the box comes from its WKB.
+        env = wkb_envelope(F.expr(f"st_asbinary(`{column}`)"))
+        bbox = F.when(env.xmin.isNotNull(), make_bbox(env.xmin, env.ymin, env.xmax, env.ymax))
+        bad = env.bad
+    elif isinstance(dtype, T.BinaryType) or fmt == "wkb":
         env = wkb_envelope(g)
         bbox = F.when(env.xmin.isNotNull(), make_bbox(env.xmin, env.ymin, env.xmax, env.ymax))
         bad = env.bad
@@ -96,10 +102,3 @@ def require_features(df: DataFrame | None) -> DataFrame:
     if df is None or df.isEmpty():
         raise ValueError("No data extracted")
     return df
-
-
-def bbox_column(df: DataFrame, column: str | None = None) -> Column:
-    """The ``bbox`` column if present, otherwise the decoded envelope."""
-    if "bbox" in df.columns:
-        return F.col("bbox")
-    return decode_geometry(df, column)["bbox"]

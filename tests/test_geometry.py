@@ -147,3 +147,15 @@ def test_batch_wkb_kernel_matches_per_value():
         else:
             vals.append(wkb.wkt_to_wkb("POINT EMPTY"))
     assert wkb.wkb_bounds_batch(vals) == [wkb.wkb_bounds(v) for v in vals]
+
+
+def test_decode_spark_geometry_type(spark):
+    old = spark.conf.get("spark.sql.geospatial.enabled", "false")
+    spark.conf.set("spark.sql.geospatial.enabled", "true")
+    try:
+        poly = wkb.wkt_to_wkb("POLYGON ((1 2, 5 2, 5 7, 1 2))").hex()
+        df = spark.sql(f"SELECT 1 AS id, st_geomfromwkb(X'{poly}') AS geom")
+        out = decode_geometry(df).first()
+        assert _box(out["bbox"]) == (1, 2, 5, 7) and out["_bad"] is False
+    finally:
+        spark.conf.set("spark.sql.geospatial.enabled", old)
