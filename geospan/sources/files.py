@@ -33,14 +33,34 @@ def read_geojson(spark: SparkSession, path: str, properties_schema: str | None =
 
 def read_geojson_lines(spark: SparkSession, path: str, properties_schema: str | None = None
                        ) -> DataFrame:
-    """S1 for newline-delimited GeoJSON (one Feature per line): splittable."""
+    """S1 for line-oriented GeoJSON, read in parallel splits of each file.
+
+    Accepts newline-delimited Features (GeoJSONSeq / NDJSON) and the layout
+    most writers use for FeatureCollections: a header line, one Feature per
+    line followed by a comma, and a closing line.  Lines that are not a
+    Feature (header, footer, blank) are skipped, so a multi-gigabyte
+    collection is parsed by many tasks instead of one."""
     lines = spark.read.text(path)
-    feat = F.from_json("value", "struct<type:string, properties:string, geometry:string>")
-    rows = lines.select(feat.alias("_f")).where(F.col("_f").isNotNull()).select(
-        F.col("_f.properties").alias("properties"), F.col("_f.geometry").alias("geometry"))
+    # Drop an RFC 8142 record separator, surrounding blanks and a trailing comma.
+    text = F.regexp_replace(F.trim(F.regexp_replace(F.col("value"), "^\x1e", "")), r",$", "")
+    feat = F.from_json(text, "struct<type:string, properties:string, geometry:string>")
+    rows = (lines.where(text.startswith("{"))
+            .select(feat.alias("_f"))
+            .where(F.col("_f.type") == "Feature")
+            .select(F.col("_f.properties").alias("properties"),
+                    F.col("_f.geometry").alias("geometry")))
     return flatten_properties(rows, "properties", properties_schema)
 
 
+def is_line_geojson(spark: SparkSession, path: str, sample_lines: int = 5) -> bool:
+    """True when the first lines already hold whole Features (so the file can
+    be split by lines).  Reads only the first few lines."""
+    head = spark.read.text(path).limit(sample_lines).select(
+        F.from_json(F.regexp_replace(F.trim("value"), r",$", ""),
+                    "struct<type:string>").alias("j")).where(F.col("j.type") == "Feature")
+    return head.limit(1).count() > 0
+
+
 def read_json_records(spark: SparkSession, path: str, options: dict | None = None
                       ) -> DataFrame:
     """JSON without ``features``: a list of records -> row per record; an
@@ -164,7 +184,9 @@ def read_source(spark: SparkSession, url: str, geometry: str | None = None,
     if kind == "json":
         text = reader.text(path, wholetext=True).select(F.col("value").alias("body"))
         has_features = text.where(F.col("body").contains('"features"')).limit(1).count() > 0
-        if has_features:
+        if is_line_geojson(spark, path):
+            df = read_geojson_lines(spark, path)
+        elif has_features:
             df = parse_features(text).drop("_pos")
         else:
             df = read_json_records(spark, path, opts)

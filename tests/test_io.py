@@ -146,3 +146,19 @@ def test_export_without_parquet_and_geojson_geometry(spark, scratch):
                    key=lambda g: g["properties"]["id"])
     assert feats[0]["geometry"]["type"] == "Polygon"
     assert feats[1]["geometry"] == {"type": "Point", "coordinates": [5.0, 6.0]}
+
+
+def test_line_oriented_feature_collection(spark, scratch):
+    feats = [f for f in FC["features"] if f["properties"]]
+    with open(f"{scratch}/big.geojson", "w") as f:
+        f.write('{\n"type": "FeatureCollection",\n"features": [\n')
+        f.write(",\n".join(json.dumps(x) for x in feats))
+        f.write("\n]\n}\n")
+    with open(f"{scratch}/seq.geojsons", "w") as f:
+        for x in feats:
+            f.write("\x1e" + json.dumps(x) + "\n")
+    a = S.read_geojson_lines(spark, f"{scratch}/big.geojson").orderBy("name").collect()
+    b = S.read_geojson_lines(spark, f"{scratch}/seq.geojsons").orderBy("name").collect()
+    assert [r["name"] for r in a] == ["A", "B"] and [r["name"] for r in b] == ["A", "B"]
+    src = S.read_source(spark, f"{scratch}/big.geojson", geometry="geometry")
+    assert src.where("bbox IS NOT NULL").count() == 2
