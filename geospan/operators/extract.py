@@ -140,6 +140,9 @@ def extract_jobs(features: DataFrame, jobs: DataFrame, strategy: str = "auto",
     Output: all feature columns, all job columns (the job box as ``job_bbox``).
     """
     jobs = _prepare_jobs(jobs, job_bbox)
+    clash = sorted(set(features.columns) & set(jobs.columns))
+    if clash:
+        raise ValueError(f"features and jobs share column names {clash}; rename one side")
     fb, jb = F.col(feature_bbox), F.col("job_bbox")
     median_side = None
     if strategy == "auto":

@@ -133,3 +133,11 @@ def test_offset_assembly_independent_of_order_and_partitioning(spark):
         shuffled, limit=2, properties_schema="struct<k:int>").collect())
     assert got == want
     assert {c for _, _, c in got} == {True}
+
+
+def test_column_clash_is_reported(spark):
+    import pytest
+    f = _boxes(spark, [(1, 0, 0, 1, 1)], "fid")
+    j = _boxes(spark, [(1, 0, 0, 1, 1)], "fid")
+    with pytest.raises(ValueError):
+        extract_jobs(f, j)
