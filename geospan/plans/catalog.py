@@ -212,7 +212,9 @@ def api_requests(spark, sf_dir):
 def offset_pages(spark, sf_dir):
     """ArcGIS-style offset pages -> features, ignoring the page after the
     short one."""
-    pages = D.offset_pages(_t(spark, sf_dir, "orders"))
+    # Derived responses are read twice by the assembly (page statistics and
+    # bodies): materialise them once in the shared checkpoint folder.
+    pages = D.offset_pages(_t(spark, sf_dir, "orders")).checkpoint(eager=True)
     out = assemble_offset_pages(pages, limit=D.PAGE_SIZE, properties_schema=PAGE_PROPS)
     return out.select("job", "off", "o_orderkey", "layer", "complete")
 
