@@ -162,6 +162,7 @@ def extract_jobs(features: DataFrame, jobs: DataFrame, strategy: str = "auto",
     sizes = F.array(*[F.lit(x) for x in spec.sizes])
     s_own = F.element_at(sizes, F.col("_j_lvl") + 1)
     stats = jlev.agg(F.collect_set("_j_lvl").alias("levels"),
+                     F.count(F.lit(1)).alias("n"),
                      F.sum(_span(jb, s_own)).alias("own_cells")).first()
     box_levels = sorted(stats["levels"] or [])
     jcells = explode_cells(jlev, jb, F.col("_j_lvl"), spec)
@@ -170,8 +171,9 @@ def extract_jobs(features: DataFrame, jobs: DataFrame, strategy: str = "auto",
     keys = ["lvl", "cx", "cy"]
 
     if strategy == "grid_auto":
-        # Coarser levels add at most ``max_cells`` cells per box each.
-        bound = (stats["own_cells"] or 0) + len(box_levels) * spec.levels * spec.max_cells
+        # Exact cells at each box's own level, plus at most ``max_cells``
+        # cells per box at every coarser level (cells only grow upwards).
+        bound = (stats["own_cells"] or 0) + (stats["n"] or 0) * (spec.levels - 1) * spec.max_cells
         if bound > broadcast_cells:
             bound = jcells.limit(broadcast_cells + 1).count()
         # Rows are bounded above; bytes too, from the schema's per-row size

@@ -141,3 +141,16 @@ def test_column_clash_is_reported(spark):
     j = _boxes(spark, [(1, 0, 0, 1, 1)], "fid")
     with pytest.raises(ValueError):
         extract_jobs(f, j)
+
+
+def test_auto_strategy_respects_bounds(spark):
+    rnd = random.Random(5)
+    f = [(i, x, y, x + 1, y + 1) for i, (x, y) in
+         enumerate((rnd.uniform(-100, 100), rnd.uniform(-60, 60)) for _ in range(120))]
+    j = [(i, x, y, x + 3, y + 3) for i, (x, y) in
+         enumerate((rnd.uniform(-100, 100), rnd.uniform(-60, 60)) for _ in range(30))]
+    fdf, jdf = _boxes(spark, f, "fid"), _boxes(spark, j, "jid")
+    want = _brute(f, j)
+    for kw in ({}, {"broadcast_boxes": 5}, {"broadcast_boxes": 5, "broadcast_cells": 10},
+               {"broadcast_boxes": 5, "broadcast_bytes": 100}):
+        assert _pairs(extract_jobs(fdf, jdf, hot_parts=3, salts=3, **kw)) == want, kw
