@@ -191,16 +191,17 @@ def extract_jobs(features: DataFrame, jobs: DataFrame, strategy: str = "auto",
     return out.drop(*keys, "_f_lvl", "_j_lvl")
 
 
-def _hot_cells(spark, cells: DataFrame, keys: list, hot_parts: int, tag: str) -> DataFrame:
-    """Cells holding more than 1/``hot_parts`` of one side's rows.
-
-    One partial-aggregated count per cell plus one total; at most
-    ``hot_parts`` cells can qualify, the bound that makes broadcasting the
-    result safe."""
-    counts = cells.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+def _hot_cells(spark, cells: DataFrame, keys: list, hot_parts: int) -> list:
+    """Keys of the cells holding more than 1/``hot_parts`` of one side's rows.
+
+    The per-cell counts (partial-aggregated, one row per distinct cell) are
+    checkpointed once; the total and the hot cells are read from that small
+    table, so the big side is scanned a single time for this.  At most
+    ``hot_parts`` cells can qualify, so the returned list is bounded."""
+    counts = cells.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
     total = counts.agg(F.sum("_n").alias("t")).first()["t"] or 0
     threshold = max(total // max(hot_parts, 1), 1)
-    return counts.where(F.col("_n") > threshold).select(*keys, F.lit(True).alias(tag))
+    return [tuple(r) for r in counts.where(F.col("_n") > threshold).select(*keys).collect()]
 
 
 def _salted_cell_join(spark, fcells: DataFrame, jcells: DataFrame, keys: list,
@@ -215,12 +216,12 @@ def _salted_cell_join(spark, fcells: DataFrame, jcells: DataFrame, keys: list,
     in its input split, which is stable when a task is retried."""
     if hot_parts is None:
         hot_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hot_f = _hot_cells(spark, fcells, keys, hot_parts, "_hf")
-    hot_b = _hot_cells(spark, jcells, keys, hot_parts, "_hb")
-    hot = hot_f.join(hot_b, keys, "full_outer").select(
-        *keys, F.coalesce("_hf", F.lit(False)).alias("_hf"),
-        F.coalesce("_hb", F.lit(False)).alias("_hb"))
-    hot = F.broadcast(hot)
+    hot_f = set(_hot_cells(spark, fcells, keys, hot_parts))
+    hot_b = set(_hot_cells(spark, jcells, keys, hot_parts))
+    rows = [(lvl, cx, cy, (lvl, cx, cy) in hot_f, (lvl, cx, cy) in hot_b)
+            for lvl, cx, cy in sorted(hot_f | hot_b)]
+    hot = F.broadcast(spark.createDataFrame(
+        rows, "lvl int, cx bigint, cy bigint, _hf boolean, _hb boolean"))
     spread = F.sequence(F.lit(0), F.lit(salts - 1))
 
     def own_salt():
