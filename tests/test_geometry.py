@@ -159,3 +159,18 @@ def test_decode_spark_geometry_type(spark):
         assert _box(out["bbox"]) == (1, 2, 5, 7) and out["_bad"] is False
     finally:
         spark.conf.set("spark.sql.geospatial.enabled", old)
+
+
+def test_decode_forced_formats(spark):
+    df = spark.createDataFrame([(1, "POINT (1 2)"), (2, "POLYGON EMPTY"), (3, "garbage")],
+                               "id int, geom string")
+    out = {r["id"]: r for r in decode_geometry(df, fmt="wkt").collect()}
+    assert _box(out[1]["bbox"]) == (1, 2, 1, 2) and out[1]["_bad"] is False
+    assert out[2]["bbox"] is None and out[2]["_bad"] is False   # EMPTY is not an error
+    assert out[3]["_bad"] is True
+    with pytest.raises(ValueError):
+        decode_geometry(df, fmt="wkt", mode="strict")
+    gj = spark.createDataFrame([(1, '{"type":"Point","coordinates":[3,4]}'), (2, "POINT (1 2)")],
+                               "id int, geometry string")
+    res = {r["id"]: r for r in decode_geometry(gj, fmt="geojson").collect()}
+    assert _box(res[1]["bbox"]) == (3, 4, 3, 4) and res[2]["_bad"] is True
