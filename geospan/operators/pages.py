@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geospan.session import ensure_checkpoint_dir
 from geospan.sources.responses import parse_features
 
 DEFAULT_LIMIT = 1000  # features per page (ArcGIS ``max_records``, OGC ``limit``)
@@ -67,6 +68,7 @@ def chain_steps(edges: DataFrame, starts: DataFrame, job: str = "job", max_round
     jump = edges.where(F.col("dst").isNotNull()).select("src", "dst")
     reached = starts.select(job, F.col("url"), F.lit(0).cast("long").alias("step"))
     if checkpoint:
+        ensure_checkpoint_dir(edges.sparkSession)
         jump = jump.checkpoint(eager=True)
         reached = reached.checkpoint(eager=True)
     hop = 1
