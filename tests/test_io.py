@@ -162,3 +162,17 @@ def test_line_oriented_feature_collection(spark, scratch):
     assert [r["name"] for r in a] == ["A", "B"] and [r["name"] for r in b] == ["A", "B"]
     src = S.read_source(spark, f"{scratch}/big.geojson", geometry="geometry")
     assert src.where("bbox IS NOT NULL").count() == 2
+
+
+def test_many_archives_many_members(spark, scratch):
+    for a in range(3):
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w") as z:
+            for m in range(4):
+                z.writestr(f"d/{m}.csv", f"id,geom\n{a * 10 + m},POINT ({a} {m})\n")
+        with open(f"{scratch}/a{a}.zip", "wb") as f:
+            f.write(buf.getvalue())
+    rows = S.read_archive(spark, scratch, member_glob="d/*.csv", partitions=5).collect()
+    assert len(rows) == 12
+    assert sorted(int(bytes(r["content"]).decode().split("\n")[1].split(",")[0]) for r in rows) == \
+        sorted(a * 10 + m for a in range(3) for m in range(4))
