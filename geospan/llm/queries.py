@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from geospan.llm import langid, simhash
+from geospan.llm import bpe, langid, packing, simhash
 from geospan.llm.common import held_out, table
 
 
@@ -14,10 +14,31 @@ def op3_language(spark, sf_dir):
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public vocabulary file, the same on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_bpe(spark, sf_dir):
+    return bpe.encode_digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def packed(docs):
+    import public_tokenizers
+
+    return packing.pack(packing.tokenised_pieces(docs, vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
+
+
+def op6_packing(spark, sf_dir):
+    return packed(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark, sf_dir):
     groups = simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=3, radius=2)
     return groups.select("doc_id", simhash.hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op3_language, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op3_language, op5_bpe, op6_packing, op10_simhash)}
 ORACLE: dict[str, str] = {}
