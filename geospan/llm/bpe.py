@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from geospan.llm.common import Memo, keyed_text, map_batches, process_state, slices
 
 
-SEPARATORS = frozenset("\x1c\x1d\x1e\x1f")
+SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -180,7 +180,7 @@ class Transducer:
         pieces = self.specials.split(text) if self.specials and any(s in text for s in self.special) else [text]
         if not self.drops_space:
             return pieces
-        if SEPARATORS.isdisjoint(text):  # these alone are white space to str.split and not to the vocabulary
+        if not any(c in text for c in SEPARATORS):  # these alone are white space to str.split and not to the vocabulary
             return [x for p in pieces for x in ([p] if p in self.special else p.split())]
         return [x for p in pieces for x in ([p] if p in self.special else filter(None, self.space.split(p)))]
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from geospan.llm import bpe, langid, packing, simhash
+from geospan.llm import bpe, langid, packing, simhash, toxicity
 from geospan.llm.common import held_out, table
 
 
@@ -35,10 +35,18 @@ def op6_packing(spark, sf_dir):
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_simhash(spark, sf_dir):
     groups = simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=3, radius=2)
     return groups.select("doc_id", simhash.hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op3_language, op5_bpe, op6_packing, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op3_language, op5_bpe, op6_packing, op9_toxicity,
+                                    op10_simhash)}
 ORACLE: dict[str, str] = {}
