@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from geospan.llm import bpe, langid, packing, simhash, toxicity
+from geospan.llm import bpe, html, langid, packing, simhash, topk, toxicity, warc
 from geospan.llm.common import held_out, table
 
 
@@ -14,6 +14,11 @@ def op3_language(spark, sf_dir):
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op4_topk(spark, sf_dir):
+    vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors.where("vec_id % 50 = 0"), vectors, k=5)
+
+
 def vocabulary(name: str) -> str:
     """Path of a public vocabulary file, the same on every executor."""
     import public_tokenizers
@@ -35,6 +40,14 @@ def op6_packing(spark, sf_dir):
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op7_html(spark, sf_dir):
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+def op8_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op9_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -47,6 +60,36 @@ def op10_simhash(spark, sf_dir):
     return groups.select("doc_id", simhash.hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op3_language, op5_bpe, op6_packing, op9_toxicity,
-                                    op10_simhash)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op3_language, op4_topk, op5_bpe, op6_packing, op7_html, op8_warc,
+                                    op9_toxicity, op10_simhash)}
+ORACLE: dict[str, str] = {
+    "op8_warc": """
+        WITH p AS (
+            SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+                   sha1(encode(coalesce(html, ''))) AS payload_digest
+            FROM pages
+        ), kept AS (
+            SELECT payload_digest, max(page_id) AS kept FROM p WHERE payload_bytes >= 1000 GROUP BY 1
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN kept IS NULL OR page_id IS NOT DISTINCT FROM kept THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN kept IS NOT NULL AND page_id IS DISTINCT FROM kept THEN kept END AS refers_to
+        FROM p LEFT JOIN kept USING (payload_digest)
+    """,
+    "op4_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+        ), pairs AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+        ), ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM pairs
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+}
