@@ -31,7 +31,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the lines whose template recurs across documents, except in the first of these, and
     the documents of which no other line with text is left."""
     kept = templates.drop_recurring(docs)
-    return kept.where((F.col("_dropped") == 0) | (F.trim("text") != "")).select(*docs.columns)
+    kept = kept.where((F.col("_dropped") == 0) | (F.trim("text") != ""))
+    return kept.withColumn("n_chars", F.when(F.col("_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
