@@ -1,41 +1,94 @@
-"""Line dedup by a log-template tree, in DataFrame operations."""
+"""Line dedup by a log-template tree."""
 
 from __future__ import annotations
 
+import re
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geospan.llm.common import map_batches, slices
+
 ANY = "<*>"
+DIGIT = re.compile(rb"[0-9]")
+#: Size of the filter of shared leaves: 1 MB, whatever the data.
+FILTER_BITS = 1 << 23
+
+
+def _tokens(line: bytes) -> list[bytes]:
+    """The tokens of a line, between ASCII white space; one that holds a digit is a variable field."""
+    tokens = line.split()
+    return tokens if not DIGIT.search(line) else [b"<*>" if DIGIT.search(t) else t for t in tokens]
+
+
+def _parsed(text: str, depth: int, least_tokens: int):
+    """(line_no, leaf, own, tokens) of the lines of a whole text that are long enough."""
+    from xxhash import xxh64_intdigest
 
+    for k, line in enumerate(text.encode("utf-8", "surrogatepass").split(b"\n")):
+        tokens = _tokens(line)
+        if len(tokens) >= least_tokens:
+            yield k, xxh64_intdigest(b" ".join(tokens[:depth]), len(tokens)), xxh64_intdigest(b" ".join(tokens), 42), tokens
 
-def _tokens(line):
-    """The tokens of a line; one that holds a digit is a variable field."""
-    return F.transform(F.split(F.trim(F.regexp_replace(line, r"[ \t\r\f\u000B]+", " ")), " "),
-                       lambda t: F.when(t.rlike("[0-9]"), ANY).otherwise(t))
+
+def _signed(numbers: list[int]) -> pa.Array:
+    return pa.array(np.array(numbers, np.uint64).view(np.int64))
+
+
+def _filter(leaves: DataFrame) -> np.ndarray:
+    """The bits that the leaves' hashes fall on, FILTER_BITS of them in all."""
+    place = F.pmod(F.col("leaf"), F.lit(FILTER_BITS)) + 1
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in leaves.groupBy(F.bitmap_bucket_number(place).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("b")).collect():
+        part = np.frombuffer(r["b"], np.uint8)
+        bits[(r["k"] - 1) * len(part):r["k"] * len(part)] = part
+    return bits
 
 
 def line_templates(docs: DataFrame, depth: int = 3, least_tokens: int = 5, share: float = 0.7,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, line_no, template): the template of every line of at least ``least_tokens`` tokens.
+    """(doc, line_no, template): the template of every line of at least ``least_tokens`` tokens; doc is
+    the id and the hash of the text.
 
     The tree has a fixed depth: a line falls by its token count and its first ``depth`` tokens to a
     leaf.  In a leaf a position keeps the token that more than half of its different lines have
     there and is a variable field otherwise; a line's template is its tokens with the fields that
     don't agree left open.  A line of which less than ``share`` agrees, or whose leaf has one line,
-    is a template of its own.  The result does not depend on the order of lines.  Counting is by
-    (leaf, place, token) with partial aggregates over different lines, so a line that a third of
-    the documents share is counted once.
+    is a template of its own.  The result does not depend on the order of lines.
+
+    Lines travel as hashes.  The tokens are read again only of lines in leaves that have several,
+    which a bit filter of fixed size (and then a join) tells; counting them is by (leaf, place,
+    token) with partial aggregates over different lines, so a line that a third of the documents
+    share is counted once.
     """
-    lines = (docs.select(F.struct(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h")).alias("doc"),
-                         F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line"))
-             .withColumn("tokens", _tokens(F.col("line"))).where((F.size("tokens") >= least_tokens) & (F.col("tokens")[0] != "")))
-    keyed = lines.select("doc", "line_no", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("leaf"),
-                         F.xxhash64("tokens").alias("own"), "tokens")
-    slim = keyed.drop("tokens").checkpoint()
-    different = slim.groupBy("leaf", "own").agg(F.min(F.struct("doc", "line_no")).alias("at"))
-    leaves = different.groupBy("leaf").agg(F.count("*").alias("n")).where("n > 1")
-    shown = different.join(leaves, "leaf").select("at.doc", "at.line_no", F.col("leaf").alias("of"), "n")
-    chosen = (keyed.join(shown, (F.col("leaf") == F.col("of")) & keyed["doc"].eqNullSafe(shown["doc"]) & (keyed["line_no"] == shown["line_no"]))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).cast("string").alias("text"))
+
+    def hashes(batches):
+        for batch, texts in slices(batches, "text"):
+            ids, hs = batch.column(0), batch.column(1)
+            found = [(i, *x[:3]) for i, t in enumerate(texts) for x in _parsed(t, depth, least_tokens)]
+            at = pa.array([f[0] for f in found], pa.int64())
+            yield {"id": ids.take(at), "h": hs.take(at), "line_no": [f[1] for f in found],
+                   "leaf": _signed([f[2] for f in found]), "own": _signed([f[3] for f in found])}
+    slim = map_batches(rows, hashes, "id long, h long, line_no int, leaf long, own long").checkpoint()
+    leaves = (slim.select("leaf", "own").distinct().groupBy("leaf").agg(F.count("*").alias("n")).where("n > 1")).checkpoint()
+    shared = docs.sparkSession.sparkContext.broadcast(_filter(leaves))
+
+    def words(batches):
+        bits = shared.value
+        for _, texts in slices(batches, "text"):
+            found = {}
+            for t in texts:
+                for _, leaf, own, tokens in _parsed(t, depth, least_tokens):
+                    place = leaf % FILTER_BITS
+                    if bits[place >> 3] >> (place & 7) & 1:
+                        found[own] = (leaf, tokens)
+            yield {"leaf": _signed([v[0] for v in found.values()]), "own": _signed(list(found)),
+                   "tokens": [[t.decode("utf-8", "surrogatepass") for t in v[1]] for v in found.values()]}
+    chosen = (map_batches(rows.select("text"), words, "leaf long, own long, tokens array<string>")
+              .join(leaves.withColumnRenamed("leaf", "_leaf"), F.col("leaf") == F.col("_leaf"))
               .select("leaf", "own", "n", "tokens").dropDuplicates(["leaf", "own"]).checkpoint())
     steady = (chosen.select("leaf", "n", F.posexplode("tokens").alias("place", "token"))
               .groupBy("leaf", "place", "token").agg(F.count("*").alias("c"), F.first("n").alias("n"))
@@ -45,9 +98,11 @@ def line_templates(docs: DataFrame, depth: int = 3, least_tokens: int = 5, share
     general = (chosen.join(fixed, "leaf").withColumn("masked", masked)
                .withColumn("agree", F.size(F.filter("masked", lambda t: t != ANY)))
                .where(F.col("agree") >= F.lit(share) * F.size("tokens"))
-               .select(F.col("leaf").alias("gl"), F.col("own").alias("go"), F.xxhash64("masked").alias("general")))
+               .select(F.col("leaf").alias("gl"), F.col("own").alias("go"),
+                       F.xxhash64(F.array_join("masked", " ")).alias("general")))
+    # hashed as `own` is, so a line that already is the general form has its template
     return (slim.join(general, (F.col("leaf") == F.col("gl")) & (F.col("own") == F.col("go")), "left")
-            .select("doc", "line_no", F.coalesce("general", "own").alias("template")))
+            .select(F.struct("id", "h").alias("doc"), "line_no", F.coalesce("general", "own").alias("template")))
 
 
 def recurring_lines(docs: DataFrame, min_docs: int = 2, id_col: str = "doc_id", text_col: str = "text", **tree) -> DataFrame:

@@ -178,7 +178,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
               .groupBy("qb").agg(F.collect_list(F.struct("query_id", "score")).alias("floor")))  # a block's queries
     blocks, ncb = _blocks(candidates, n, BLOCK, "cb")
     pairs = (qblocks.join(floors, "qb", "left").withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(ncb - 1)).cast("array<long>")))
-             .join(blocks, "cb"))
+             .join(blocks, "cb").repartition(min(nqb * ncb, 20_000), "qb", "cb"))
     # equal rows of a query in several blocks stay apart: candidates that repeat count again
     found = map_batches(pairs, compare(True), schema)
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

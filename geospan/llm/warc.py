@@ -164,8 +164,9 @@ def read(spark: SparkSession, folder: str, split_bytes: int = 16 << 20, with_pay
     """The records of all archives in a folder, as ``RECORD`` rows; digest and size of a response are
     taken from the payload that was read, and a payload that differs from its digest raises."""
     files = spark.read.format("binaryFile").load(folder).select("path", "length").where("length > 0")
-    ranges = (files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long"))).alias("start"))
-              .repartition("path", "start"))
+    ranges = files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long"))).alias("start"))
+    # a number of its own, because rows this small would be coalesced into one task
+    ranges = ranges.repartition(max(1, min(ranges.count(), 20_000)), "path", "start")
 
     def run(batches):
         import hashlib
