@@ -114,7 +114,9 @@ def recurring_lines(docs: DataFrame, min_docs: int = 2, id_col: str = "doc_id",
     if min_docs > 2:
         spread = (found.join(spread.select("template"), "template").select("template", "doc").distinct()
                   .groupBy("template").agg(F.min("doc").alias("first"), F.count("*").alias("n")).where(F.col("n") >= min_docs))
-    spread = spread.select(F.col("template").alias("t"), "first")
+    # written first, so that the join below reads both sides from exchanges and a hot template's
+    # lines can be split among tasks
+    spread = spread.select(F.col("template").alias("t"), "first").checkpoint()
     return (found.join(spread, F.col("template") == F.col("t")).where(F.col("doc") != F.col("first"))
             .groupBy("doc").agg(F.collect_set("line_no").alias("lines")))  # a document's own lines
 
