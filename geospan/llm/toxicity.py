@@ -115,8 +115,11 @@ class Landmarks:
         order = np.argsort(hit_owner, kind="stable")
         hit, row, hit_owner = hit[order], row[order], hit_owner[order]
         first = np.flatnonzero(np.concatenate([[True], np.diff(hit_owner) != 0])) if len(hit) else np.zeros(0, int)
-        if len(first):
-            out[hit_owner[first]] = np.add.reduceat(self.weights[row] * weight[hit][:, None], first, axis=0)
+        step = max(1, 20_000 // len(self.words))  # words at a time: bounds the rows in memory
+        for lo in range(0, len(first), step):
+            starts = first[lo:lo + step]
+            part = slice(starts[0], first[lo + step] if lo + step < len(first) else len(hit))
+            out[hit_owner[starts]] = np.add.reduceat(self.weights[row[part]] * weight[hit[part]][:, None], starts - starts[0], axis=0)
         least = np.bincount(owner, weights=weight ** 2, minlength=len(words))
         near = np.flatnonzero((out / self.norm).max(axis=1) >= floor * np.sqrt(least))
         near = near[out[near].any(axis=1)]
