@@ -246,8 +246,8 @@ def encode_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
             found = [words[w] for w in t.words.findall(t.normalized(part))]
             return found[0] if len(found) == 1 else (sum(f[0] for f in found), " ".join([f[1] for f in found]),
                                                      " ".join([f[2] for f in found]) if plain else sum((f[2] for f in found), ()))
-        words = process_state(f"bpe words {path}", lambda: Memo(lambda w: told(t.encode_word(w)), 300_000))
-        memo = process_state(f"bpe parts {path}", lambda: Memo(made, 400_000))
+        words = process_state(f"bpe words {path}", lambda: Memo(lambda w: told(t.encode_word(w)), 200_000))
+        memo = process_state(f"bpe parts {path}", lambda: Memo(made, 250_000))
         for batch, texts in slices(batches, "text"):
             out: dict = {"doc_id": batch.column(0), "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
             for text in texts:
