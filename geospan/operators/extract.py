@@ -213,8 +213,9 @@ def _salted_cell_join(spark, fcells: DataFrame, jcells: DataFrame, keys: list,
     sub-keys (``_fs``) and its box rows replicated to each; a cell hot in
     boxes gets the mirror treatment (``_bs``).  A cell hot on both sides is
     split into ``salts x salts`` blocks.  Each (feature, box) pair of the cell
-    meets in exactly one block.  Salts come from a hash of the row's position
-    in its input split, which is stable when a task is retried."""
+    meets in exactly one block.  Salts come from a hash of the row's own
+    columns, so a retried task deals its rows alike, in whatever order they come; rows that are
+    equal throughout share a salt."""
     ensure_checkpoint_dir(spark)
     if hot_parts is None:
         hot_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -226,15 +227,17 @@ def _salted_cell_join(spark, fcells: DataFrame, jcells: DataFrame, keys: list,
         rows, "lvl int, cx bigint, cy bigint, _hf boolean, _hb boolean"))
     spread = F.sequence(F.lit(0), F.lit(salts - 1))
 
-    def own_salt():
-        return F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts))
+    def own_salt(df):
+        cols = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()
+                and not f.name.startswith("_h")]
+        return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cols]), F.lit(salts))
 
     f = (fcells.join(hot, keys, "left")
-         .withColumn("_fs", F.when(F.col("_hf"), own_salt()).otherwise(F.lit(0)))
+         .withColumn("_fs", F.when(F.col("_hf"), own_salt(fcells)).otherwise(F.lit(0)))
          .withColumn("_bs", F.explode(F.when(F.col("_hb"), spread).otherwise(F.array(F.lit(0)))))
          .drop("_hf", "_hb"))
     j = (jcells.join(hot, keys, "left")
-         .withColumn("_bs", F.when(F.col("_hb"), own_salt()).otherwise(F.lit(0)))
+         .withColumn("_bs", F.when(F.col("_hb"), own_salt(jcells)).otherwise(F.lit(0)))
          .withColumn("_fs", F.explode(F.when(F.col("_hf"), spread).otherwise(F.array(F.lit(0)))))
          .drop("_hf", "_hb"))
     return f.join(j, keys + ["_fs", "_bs"], "inner").drop("_fs", "_bs")

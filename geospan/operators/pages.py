@@ -16,12 +16,30 @@ from geospan.sources.responses import parse_features
 DEFAULT_LIMIT = 1000  # features per page (ArcGIS ``max_records``, OGC ``limit``)
 
 
-def assemble_offset_pages(responses: DataFrame, limit: int = DEFAULT_LIMIT, job: str = "job",
+def one_response(responses: DataFrame, keys: list[str], body: str, valid) -> DataFrame:
+    """One usable response per key: status 200 where there is a ``status`` column, and a body for
+    which ``valid`` holds.  Recorded twice, the response with the smallest body hash counts."""
+    ok = F.coalesce(valid, F.lit(False))
+    if "status" in responses.columns:
+        ok &= F.coalesce(F.col("status").cast("int") == 200, F.lit(True))
+    hashed = responses.where(ok).withColumn("_hash", F.xxhash64(body))
+    first = hashed.groupBy(*keys).agg(F.min("_hash").alias("_hash"))
+    return hashed.join(first, [*keys, "_hash"], "left_semi").dropDuplicates(keys).drop("_hash")
+
+
+def assemble_offset_pages(responses: DataFrame, limit: int | str = DEFAULT_LIMIT, job: str = "job",
                           off: str = "off", body: str = "body",
-                          properties_schema: str | None = None) -> DataFrame:
+                          properties_schema: str | None = None,
+                          total: str | None = None) -> DataFrame:
     """Concatenate offset pages per job, stopping at the first page that
     is empty or shorter than ``limit``.  Pages after the stop are ignored.
 
+    ``limit`` is a number, or the name of a column with each job's own page
+    size.  A page recorded twice counts once; an error response or a body
+    without ``features`` never ends a job.  ``total`` may name a column with the
+    job's feature count: full pages that reach it are complete without a
+    short page after them.
+
     ``complete`` is false when the job has no terminating page or when an
     offset between 0 and the stop is missing.  The per-job stop is a partial
     aggregate (one row per job), joined back to the pages.
@@ -29,19 +47,24 @@ def assemble_offset_pages(responses: DataFrame, limit: int = DEFAULT_LIMIT, job:
     # Counting only needs the array length: parsing features as raw strings
     # is cheaper than splitting them into properties and geometry.
     count = F.size(F.from_json(F.col(body), "struct<features: array<string>>").features)
-    n = F.greatest(F.coalesce(count, F.lit(0)), F.lit(0))
+    responses = one_response(responses, [job, off], body, count >= 0)
+    size = F.col(limit) if isinstance(limit, str) else F.lit(limit)
     # Page statistics are computed on a slim (job, off, n) projection, so the
     # per-job aggregates never move page bodies.
-    slim = responses.select(job, off, n.alias("_n"))
-    stops = slim.groupBy(job).agg(F.min(F.when(F.col("_n") < limit, F.col(off))).alias("_stop"))
+    slim = responses.select(job, off, count.alias("_n"), size.cast("long").alias("_size"),
+                            (F.col(total) if total else F.lit(None)).cast("long").alias("_total"))
+    stops = slim.groupBy(job).agg(F.min(F.when(F.col("_n") < F.col("_size"), F.col(off))).alias("_stop"))
+    full = ((F.col("_stop").isNull() | (F.col(off) < F.col("_stop"))) & (F.col("_n") >= F.col("_size"))
+            & (F.pmod(F.col(off), F.col("_size")) == 0))
     status = (slim.join(stops, job)
-              .groupBy(job, "_stop")
-              .agg(F.count_distinct(F.when(
-                  (F.col(off) < F.col("_stop")) & (F.col("_n") >= limit)
-                  & (F.pmod(F.col(off), F.lit(limit)) == 0), F.col(off))).alias("_full"))
-              .withColumn("complete", F.col("_stop").isNotNull()
-                          & (F.col("_full") == (F.col("_stop") / limit).cast("long")))
-              .drop("_full"))
+              .groupBy(job, "_stop")  # an offset is one row by now, so counting is a partial sum
+              .agg(F.count_if(full).alias("_full"), F.max("_size").alias("_size"), F.max("_total").alias("_total"),
+                   F.max(F.col(off)).alias("_last"))
+              .withColumn("complete", F.when(F.col("_stop").isNotNull(),
+                                             F.col("_full") == (F.col("_stop") / F.col("_size")).cast("long"))
+                          .otherwise(F.coalesce((F.col("_full") * F.col("_size") >= F.col("_total"))
+                                                & (F.col("_full") == F.col("_last") / F.col("_size") + 1), F.lit(False))))
+              .drop("_full", "_size", "_total", "_last"))
     kept = (responses.join(status, job)
             .where(F.col("_stop").isNull() | (F.col(off) <= F.col("_stop")))
             .drop("_stop"))
@@ -52,7 +75,7 @@ def next_links(pages: DataFrame, url: str = "url", body: str = "body") -> DataFr
     """(url, next) edges: the first ``links[rel=next].href`` of each page."""
     links = F.from_json(F.col(body), "struct<links: array<struct<rel: string, href: string>>>").links
     nxt = F.get(F.filter(links, lambda l: l.rel == "next"), 0).href
-    return pages.select(F.col(url).alias("src"), nxt.alias("dst"))
+    return pages.select(F.col(url).alias("src"), nxt.alias("dst")).distinct()
 
 
 def chain_steps(edges: DataFrame, starts: DataFrame, job: str = "job", max_rounds: int = 64,
@@ -80,7 +103,7 @@ def chain_steps(edges: DataFrame, starts: DataFrame, job: str = "job", max_round
                        .agg(F.min("step").alias("step")))
         a, b = jump.alias("a"), jump.alias("b")
         nxt_jump = a.join(b, F.col("a.dst") == F.col("b.src")).select(
-            F.col("a.src").alias("src"), F.col("b.dst").alias("dst"))
+            F.col("a.src").alias("src"), F.col("b.dst").alias("dst")).distinct()
         if checkpoint:
             nxt_reached = nxt_reached.checkpoint(eager=True)
             nxt_jump = nxt_jump.checkpoint(eager=True)
@@ -93,9 +116,9 @@ def chain_steps(edges: DataFrame, starts: DataFrame, job: str = "job", max_round
                       F.count_if(F.col("j") == 1).alias("more"))).first()
         reached, jump, hop = nxt_reached, nxt_jump, hop * 2
         if stats["n"] == n_prev or stats["more"] == 0:
-            break
+            return reached
         n_prev = stats["n"]
-    return reached
+    raise RuntimeError(f"next links go on after {max_rounds} rounds of doubling")
 
 
 def assemble_linked_pages(pages: DataFrame, starts: DataFrame, job: str = "job",
@@ -107,6 +130,8 @@ def assemble_linked_pages(pages: DataFrame, starts: DataFrame, job: str = "job",
     (order in page), plus ``complete`` = no reached link points at a missing
     page.
     """
+    pages = one_response(pages, [url], body, F.from_json(F.col(body), "struct<features: array<string>>").isNotNull()
+                         & F.get_json_object(body, "$.features").isNotNull())
     edges = next_links(pages, url, body)
     steps = chain_steps(edges, starts.select(job, F.col(url).alias("url")), job)
     have = pages.select(F.col(url).alias("url"), F.col(body).alias("_body"))

@@ -373,7 +373,7 @@ SELECT folder, file_name, action,
   CASE action WHEN 'update' THEN 'batch=r2;rows=' || bn::VARCHAR || ';year=' || cy::VARCHAR
     WHEN 'insert' THEN 'batch=r2;rows=' || bn::VARCHAR
     ELSE 'rows=' || cn::VARCHAR || ';year=' || cy::VARCHAR END AS metadata
-FROM a WHERE (CASE action WHEN 'update' THEN v + 1 WHEN 'insert' THEN 1 ELSE v END) IS NOT NULL"""
+FROM a"""
 
 ORACLE["folder_get_or_create"] = f"""
 WITH {_PER},

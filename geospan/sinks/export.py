@@ -54,7 +54,7 @@ def write_geoparquet(df: DataFrame, path: str, geometry: str = "geometry",
     # The hash tiebreaker lets the range partitioner split a Z-range that
     # holds a large share of all rows (a hot spot) over several tasks.
     tie = F.xxhash64(F.col("bbox.xmin"), F.col("bbox.ymin"), F.col("bbox.xmax"),
-                     F.col("bbox.ymax"), F.monotonically_increasing_id())
+                     F.col("bbox.ymax"), F.col(geometry))  # of content, so that retries agree
     clustered = (out.withColumn("_z", zorder_key("bbox")).withColumn("_tie", tie)
                  .repartitionByRange(n, "_z", "_tie")
                  .sortWithinPartitions("_z").drop("_z", "_tie"))

@@ -28,7 +28,17 @@ def publish_manifest(current: DataFrame, batch: DataFrame, metadata_template: bo
     bytes replaced), ``keep`` (not in batch), ``missing`` (batch file absent;
     current row, if any, kept).  Metadata is merged (batch keys win) only when
     a metadata template is configured, as in the original.
+
+    A batch may name a file more than once: the row with the largest ``sequence`` counts (without
+    that column the one that exists, then the largest ``bytes`` and metadata).  A file that is
+    missing and was never published is reported too, without a version.
     """
+    order = [F.col("sequence")] if "sequence" in batch.columns else []
+    order += [F.coalesce(F.col("exists"), F.lit(True)), F.col("bytes"),
+              F.array_sort(F.map_entries("metadata"))]
+    batch = (batch.groupBy(*keys)
+             .agg(F.max_by(F.struct("bytes", "metadata", "exists"), F.struct(*order)).alias("_row"))
+             .select(*keys, "_row.*"))
     c = current.select(*keys, F.col("version").alias("_cv"), F.col("bytes").alias("_cb"),
                        F.col("metadata").alias("_cm"))
     b = batch.select(*keys, F.col("bytes").alias("_bb"), F.col("metadata").alias("_bm"),
@@ -46,8 +56,7 @@ def publish_manifest(current: DataFrame, batch: DataFrame, metadata_template: bo
                      F.when(action == "update", F.col("_cv") + 1)
                      .when(action == "insert", F.lit(1)).otherwise(F.col("_cv")).alias("version"),
                      F.when(live, F.col("_bb")).otherwise(F.col("_cb")).alias("bytes"),
-                     F.when(live, meta).otherwise(F.col("_cm")).alias("metadata"))
-            .where(F.col("version").isNotNull()))
+                     F.when(live, meta).otherwise(F.col("_cm")).alias("metadata")))
 
 
 def folder_id(parent, name):

@@ -17,11 +17,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geospan.operators.geometry import decode_geometry, resolve_geometry_column
+from geospan.operators.geometry import (decode_geometry, points_from_lonlat,
+                                        resolve_geometry_column)
 from geospan.plans.jobs import file_kind, hadoop_options, hadoop_path
 from geospan.sources.responses import flatten_properties, parse_features
 
 
+#: Column pairs that give points when a table has no geometry column, the first match counts.
+LONLAT = (("lon", "lat"), ("longitude", "latitude"), ("lng", "lat"))
+
+
 def read_geojson(spark: SparkSession, path: str, properties_schema: str | None = None
                  ) -> DataFrame:
     """FeatureCollection files -> one row per feature (geometry as
@@ -40,25 +45,64 @@ def read_geojson_lines(spark: SparkSession, path: str, properties_schema: str |
     line followed by a comma, and a closing line.  Lines that are not a
     Feature (header, footer, blank) are skipped, so a multi-gigabyte
     collection is parsed by many tasks instead of one."""
-    lines = spark.read.text(path)
+    return flatten_properties(_line_features(spark.read.text(path)), "properties", properties_schema)
+
+
+def _line_features(lines: DataFrame) -> DataFrame:
+    """(properties, geometry) of the lines that hold a Feature."""
     # Drop an RFC 8142 record separator, surrounding blanks and a trailing comma.
     text = F.regexp_replace(F.trim(F.regexp_replace(F.col("value"), "^\x1e", "")), r",$", "")
     feat = F.from_json(text, "struct<type:string, properties:string, geometry:string>")
-    rows = (lines.where(text.startswith("{"))
+    return (lines.where(text.startswith("{"))
             .select(feat.alias("_f"))
             .where(F.col("_f.type") == "Feature")
             .select(F.col("_f.properties").alias("properties"),
                     F.col("_f.geometry").alias("geometry")))
-    return flatten_properties(rows, "properties", properties_schema)
 
 
-def is_line_geojson(spark: SparkSession, path: str, sample_lines: int = 5) -> bool:
-    """True when the first lines already hold whole Features (so the file can
-    be split by lines).  Reads only the first few lines."""
-    head = spark.read.text(path).limit(sample_lines).select(
-        F.from_json(F.regexp_replace(F.trim("value"), r",$", ""),
-                    "struct<type:string>").alias("j")).where(F.col("j.type") == "Feature")
-    return head.limit(1).count() > 0
+def geojson_files(spark: SparkSession, path: str, options: dict | None = None) -> DataFrame:
+    """(file, features, other, collection) per file: its lines that hold one whole Feature, its
+    other lines that mention a Feature, and whether it has a ``features`` list.  One pass with
+    partial counts over all lines."""
+    lines = spark.read.options(**(options or {})).text(path)
+    text = F.regexp_replace(F.trim(F.regexp_replace(F.col("value"), "^\x1e", "")), r",$", "")
+    whole = F.coalesce((F.from_json(text, "struct<type:string>").type == "Feature") & text.startswith("{")
+                       & F.try_parse_json(text).isNotNull(), F.lit(False))
+    return lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.count_if(whole).alias("features"),
+        F.count_if(~whole & F.col("value").rlike('"Feature"')).alias("other"),
+        (F.count_if(F.col("value").contains('"features"')) > 0).alias("collection"))
+
+
+def read_geojson_any(spark: SparkSession, path: str, options: dict | None = None,
+                     properties_schema: str | None = None) -> DataFrame | None:
+    """S1 for any layout, file by file; None if no file has features or a ``features`` list.
+
+    A file whose features all stand on lines of their own is read in parallel splits; a
+    collection with a feature laid out otherwise (packed, indented, on the header line) is read
+    whole.  Lines that mention a Feature but are none, outside a collection, raise, and so does a
+    folder that mixes feature files with plain JSON records: no feature is left out silently.
+    """
+    found = geojson_files(spark, path, options).collect()  # a row per file, like Spark's own listing
+    plain = [r["file"] for r in found if not (r["features"] or r["other"] or r["collection"])]
+    bad = [r["file"] for r in found if r["other"] and not r["collection"]]
+    if bad:
+        raise ValueError(f"lines that are no whole GeoJSON Feature in {bad[:5]}")
+    if len(plain) == len(found):
+        return None
+    if plain:
+        raise ValueError(f"no GeoJSON features in {plain[:5]}, but in other files of {path}")
+    whole = [r["file"] for r in found if r["other"]]
+    split = [r["file"] for r in found if not r["other"]]
+    reader = spark.read.options(**(options or {}))
+    parts = []
+    if whole:
+        bodies = reader.text(whole, wholetext=True).select(F.col("value").alias("body"))
+        parts.append(parse_features(bodies, flatten=False).select("properties", "geometry"))
+    if split:
+        parts.append(_line_features(reader.text(split)))
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return flatten_properties(rows, "properties", properties_schema)
 
 
 def read_json_records(spark: SparkSession, path: str, options: dict | None = None
@@ -67,8 +111,14 @@ def read_json_records(spark: SparkSession, path: str, options: dict | None = Non
     object of equal-length column arrays -> one row per position."""
     df = spark.read.options(**(options or {})).option("multiLine", True).json(path)
     fields = df.schema.fields
-    if fields and all(f.dataType.typeName() == "array" for f in fields if not
-                      f.name.startswith("_corrupt")):
+    # Only an object of columns is taken apart: a list of records may have array cells too.  A file
+    # is an object if its first character says so; a folder that mixes both is ambiguous.
+    first = (spark.read.options(**(options or {})).text(path, wholetext=True)
+             .select(F.substring(F.ltrim(F.regexp_replace(F.substring("value", 1, 1000), r"\s+", " ")), 1, 1).alias("c"))
+             .groupBy("c").count().collect())
+    objects = {r["c"] for r in first} == {"{"}
+    if objects and fields and all(f.dataType.typeName() == "array" for f in fields if not
+                                  f.name.startswith("_corrupt")):
         names = [f.name for f in fields]
         z = df.select(F.explode(F.arrays_zip(*names)).alias("_z"))
         return z.select(*[F.col("_z")[n].alias(n) for n in names])
@@ -182,13 +232,8 @@ def read_source(spark: SparkSession, url: str, geometry: str | None = None,
             return df
         return decode_geometry(df, resolve_geometry_column(df, geometry or "geom"))
     if kind == "json":
-        text = reader.text(path, wholetext=True).select(F.col("value").alias("body"))
-        has_features = text.where(F.col("body").contains('"features"')).limit(1).count() > 0
-        if is_line_geojson(spark, path):
-            df = read_geojson_lines(spark, path)
-        elif has_features:
-            df = parse_features(text).drop("_pos")
-        else:
+        df = read_geojson_any(spark, path, opts)
+        if df is None:
             df = read_json_records(spark, path, opts)
     elif kind == "unsupported":
         raise ValueError(f"single-file GIS format is not supported: {url}")
@@ -197,5 +242,9 @@ def read_source(spark: SparkSession, url: str, geometry: str | None = None,
     try:
         col = resolve_geometry_column(df, geometry or "geom")
     except ValueError:
+        names = {c.lower(): c for c in reversed(df.columns)}
+        for lon, lat in LONLAT:
+            if lon in names and lat in names:
+                return points_from_lonlat(df, names[lon], names[lat])
         return df
     return decode_geometry(df, col)

@@ -37,7 +37,9 @@ def infer_properties_schema(df: DataFrame, column: str = "properties") -> str |
 
 def flatten_properties(df: DataFrame, column: str = "properties", schema: str | None = None,
                        drop: bool = True) -> DataFrame:
-    """Turn a JSON-object text column into top-level columns (S2 flattening)."""
+    """Turn a JSON-object text column into top-level columns (S2 flattening).  A property that is
+    called like a column of ``df`` is kept as ``<column>_<name>``, with more underscores before it
+    if that is taken too."""
     schema = schema or infer_properties_schema(df, column)
     if schema is None:
         return df.drop(column) if drop else df
@@ -45,8 +47,16 @@ def flatten_properties(df: DataFrame, column: str = "properties", schema: str |
     out = df.withColumn("_props", parsed)
     fields = out.schema["_props"].dataType.fieldNames()
     keep = [c for c in df.columns if c != column or not drop]
-    clash = set(keep) & set(fields)
-    return out.select(*keep, *[F.col("_props")[f].alias(f) for f in fields if f not in clash])
+    taken = {c.lower() for c in keep}
+    names = {}
+    for f in sorted(fields, key=lambda f: (f.lower() in taken, f)):
+        name = f
+        while name.lower() in taken:
+            name = f"{column}_{name}" if name == f else f"_{name}"
+        names[f] = name
+        taken.add(name.lower())
+    return out.select(*[F.col(f"`{c}`") for c in keep],
+                      *[F.col("_props").getField(f).alias(names[f]) for f in fields])
 
 
 def parse_features(responses: DataFrame, body: str = "body", keep=("*",),

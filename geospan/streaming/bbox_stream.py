@@ -40,8 +40,10 @@ def start_box_extraction(spark: SparkSession, source_path: str, schema, box: Seq
                          ) -> StreamingQuery:
     """Run the box filter over new files in ``source_path`` into ``sink_path``.
 
-    The stream checkpoint is ``{spark.checkpoint.dir}/streams/{name}``."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
+    The stream checkpoint is ``{spark.checkpoint.dir}/streams/{name}``, by the folder as it is
+    configured: the same in every session, so a rerun goes on where the last one stopped."""
+    own = ensure_checkpoint_dir(spark).rstrip("/")  # the configured folder / one of this session
+    base = (spark.conf.get("spark.checkpoint.dir", None) or own.rpartition("/")[0]).rstrip("/")
     out = boxed_stream(stream_features(spark, source_path, schema, fmt), box, prepare)
     writer = (out.writeStream.format(sink_format)
               .option("checkpointLocation", f"{base}/streams/{name}")

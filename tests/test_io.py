@@ -111,7 +111,7 @@ def test_publish_rerun_is_idempotent(spark):
     out = {r["file_name"]: r for r in publish_manifest(cur, batch).collect()}
     assert out["a.csv"]["action"] == "update" and out["a.csv"]["version"] == 2
     assert out["a.csv"]["metadata"] == {"x": "1", "y": "2"}
-    assert out["b.csv"]["action"] == "insert" and "c.csv" not in out
+    assert out["b.csv"]["action"] == "insert" and out["c.csv"]["action"] == "missing" and out["c.csv"]["version"] is None
 
 
 def test_streaming_box_filter_equals_batch(spark, scratch):
