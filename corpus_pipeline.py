@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geospan.llm import langid, simhash, templates, toxicity
-from geospan.llm.common import table
+from geospan.llm.common import fresh, table
 from geospan.llm.queries import packed
 from geospan.llm.warc import shared_folder
 
@@ -30,17 +30,19 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the lines whose template recurs across documents, except in the first of these, and
     the documents of which no other line with text is left."""
-    kept = templates.drop_recurring(docs)
-    kept = kept.where((F.col("_dropped") == 0) | (F.trim("text") != ""))
-    return kept.withColumn("n_chars", F.when(F.col("_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    lines, dropped = fresh(docs, "_lines"), fresh(docs, "_dropped")
+    kept = templates.drop_recurring(docs, lines_as=lines, dropped_as=dropped)
+    kept = kept.where((F.col(dropped) == 0) | (F.trim("text") != ""))
+    return kept.withColumn("n_chars", F.when(F.col(dropped) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each group of near-duplicates the document with the smallest id.  Rows that repeat a
     kept one wholly go; rows without an id can't be told apart and stay."""
     groups = simhash.simhash_groups(docs, shingle=3, radius=2)
-    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct()
-    kept = docs.join(first, docs["doc_id"].cast("long") == F.col("_first"), "left_semi").dropDuplicates(["doc_id", "text"])
+    name = fresh(docs, "_first")
+    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
+    kept = docs.join(first, docs["doc_id"].cast("long") == F.col(name), "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.unionByName(docs.where("doc_id IS NULL"))
 
 

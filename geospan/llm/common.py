@@ -25,6 +25,14 @@ def keyed_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the fifth of the documents that no model may learn from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))

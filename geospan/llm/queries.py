@@ -14,7 +14,7 @@ def op1_spotsigs(spark, sf_dir):
 
 def op2_templates(spark, sf_dir):
     kept = templates.drop_recurring(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return kept.select("doc_id", "text", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"))
+    return kept.select("doc_id", "text", "n_lines", "n_dropped")
 
 
 def op3_language(spark, sf_dir):

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geospan.llm.common import map_batches, slices
+from geospan.llm.common import fresh, map_batches, slices
 
 ANY = "<*>"
 DIGIT = re.compile(rb"[0-9]")
@@ -121,19 +121,21 @@ def recurring_lines(docs: DataFrame, min_docs: int = 2, id_col: str = "doc_id",
             .groupBy("doc").agg(F.collect_set("line_no").alias("lines")))  # a document's own lines
 
 
-def drop_recurring(docs: DataFrame, min_docs: int = 2, id_col: str = "doc_id", text_col: str = "text", **tree) -> DataFrame:
-    """``docs`` with ``_lines`` and ``_dropped``, the numbers of lines there were and that were dropped,
+def drop_recurring(docs: DataFrame, min_docs: int = 2, id_col: str = "doc_id", text_col: str = "text",
+                   lines_as: str = "n_lines", dropped_as: str = "n_dropped", **tree) -> DataFrame:
+    """``docs`` with ``lines_as`` and ``dropped_as`` (names that it doesn't have), the numbers of lines there were and that were dropped,
     and the text without the latter.
 
     Lines are dropped as ``recurring_lines`` says; shorter lines always stay.  All columns and rows
     stay: rows without an id or text are passed on as they are (their count of lines is null for a
     null text), rows that repeat another lose the same lines, and an empty text has one empty line.
     """
+    own, h, drop = (fresh(docs, x) for x in ("_doc", "_hash", "_drop"))
     known = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
     drops = recurring_lines(known, min_docs, id_col, text_col, **tree).select(
-        F.col("doc.id").alias("_id"), F.col("doc.h").alias("_h"), F.col("lines").alias("_drop"))
-    joined = docs.join(drops, (F.col(id_col).cast("long") == F.col("_id")) & (F.xxhash64(text_col) == F.col("_h")), "left")
+        F.col("doc.id").alias(own), F.col("doc.h").alias(h), F.col("lines").alias(drop))
+    joined = docs.join(drops, (F.col(id_col).cast("long") == F.col(own)) & (F.xxhash64(text_col) == F.col(h)), "left")
     parts = F.split(F.col(text_col), "\n")
-    kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("_drop", i)), "\n")
-    return (joined.withColumn("_lines", F.size(parts)).withColumn("_dropped", F.coalesce(F.size("_drop"), F.lit(0)))
-            .withColumn(text_col, F.when(F.col("_drop").isNull(), F.col(text_col)).otherwise(kept)).drop("_id", "_h", "_drop"))
+    kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(drop, i)), "\n")
+    return (joined.withColumn(lines_as, F.size(parts)).withColumn(dropped_as, F.coalesce(F.size(drop), F.lit(0)))
+            .withColumn(text_col, F.when(F.col(drop).isNull(), F.col(text_col)).otherwise(kept)).drop(own, h, drop))

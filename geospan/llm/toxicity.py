@@ -91,6 +91,7 @@ class Landmarks:
         self.weights = np.zeros((len(self.keys), len(self.words)))
         np.add.at(self.weights, (row, owner), weight)
         self.norm = np.sqrt((self.weights ** 2).sum(axis=0))
+        self.most = (self.weights / self.norm).max(axis=1, initial=0)  # of any landmark, by triple
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[self._slot(self.keys)] = True
 
@@ -112,6 +113,11 @@ class Landmarks:
         true = self.keys[row] == key[hit]
         hit, row = hit[true], row[true]
         hit_owner = owner[hit]
+        least = np.bincount(owner, weights=weight ** 2, minlength=len(words))
+        if floor:  # a word can't be nearer to any landmark than if its triples were all of the nearest's
+            bound = np.bincount(hit_owner, weights=weight[hit] * self.most[row], minlength=len(words))
+            can = (bound >= floor * np.sqrt(least))[hit_owner]
+            hit, row, hit_owner = hit[can], row[can], hit_owner[can]
         order = np.argsort(hit_owner, kind="stable")
         hit, row, hit_owner = hit[order], row[order], hit_owner[order]
         first = np.flatnonzero(np.concatenate([[True], np.diff(hit_owner) != 0])) if len(hit) else np.zeros(0, int)
@@ -120,7 +126,6 @@ class Landmarks:
             starts = first[lo:lo + step]
             part = slice(starts[0], first[lo + step] if lo + step < len(first) else len(hit))
             out[hit_owner[starts]] = np.add.reduceat(self.weights[row[part]] * weight[hit[part]][:, None], starts - starts[0], axis=0)
-        least = np.bincount(owner, weights=weight ** 2, minlength=len(words))
         near = np.flatnonzero((out / self.norm).max(axis=1) >= floor * np.sqrt(least))
         near = near[out[near].any(axis=1)]
         own = np.sqrt(self_kernel([words[i] for i in near]))
