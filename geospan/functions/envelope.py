@@ -2,7 +2,7 @@
 
 * WKT and GeoJSON envelopes are native expressions: the coordinate pairs are
   pulled out with ``regexp_extract_all`` and reduced with ``array_min`` /
-  ``array_max``.  No Python, whole-stage codegen applies.
+  ``array_max``.  No Python; the array lambdas are evaluated outside whole-stage codegen.
 * WKB envelopes need byte reinterpretation, which Spark SQL cannot do, so they
   run in an Arrow-batched ``pandas_udf`` (one vectorised call per batch).
 """
@@ -45,15 +45,10 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def _nan_free(arr: Column) -> Column:
-    return F.filter(arr, lambda v: ~F.isnan(v))
-
-
 def _env_from_pairs(text: Column, pattern: str) -> Column:
-    xs = _nan_free(F.transform(F.regexp_extract_all(text, F.lit(pattern), 1),
-                               lambda s: s.cast("double")))
-    ys = _nan_free(F.transform(F.regexp_extract_all(text, F.lit(pattern), 2),
-                               lambda s: s.cast("double")))
+    # The patterns match plain numbers only, so no NaN can come out.
+    xs = F.transform(F.regexp_extract_all(text, F.lit(pattern), 1), lambda s: s.cast("double"))
+    ys = F.transform(F.regexp_extract_all(text, F.lit(pattern), 2), lambda s: s.cast("double"))
     box = make_bbox(F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys))
     return F.when(F.size(xs) > 0, box)
 
@@ -112,9 +107,40 @@ def env_wkb(col) -> Column:
 # ---------------------------------------------------------------------------
 
 HEX_RE = r"^\s*(?:[0-9A-Fa-f]{2})+\s*$"
-WKT_RE = (r"^\s*(?:SRID=[0-9]+;)?\s*(?i:POINT|LINESTRING|POLYGON|MULTIPOINT|"
+WKT_RE = (r"^\s*(?i:SRID=[0-9]+;)?\s*(?i:POINT|LINESTRING|POLYGON|MULTIPOINT|"
           r"MULTILINESTRING|MULTIPOLYGON|GEOMETRYCOLLECTION|TRIANGLE|TIN|"
-          r"POLYHEDRALSURFACE)\b")
+          r"POLYHEDRALSURFACE)(?i:ZM|Z|M)?\b")
+# Fixed words of WKT text, and the types of a GeoJSON geometry.
+WKT_WORDS = ("SRID", "POINT", "LINESTRING", "POLYGON", "MULTIPOINT", "MULTILINESTRING",
+             "MULTIPOLYGON", "GEOMETRYCOLLECTION", "TRIANGLE", "TIN", "POLYHEDRALSURFACE",
+             "EMPTY", "NAN", "E")
+GEOJSON_TYPES = ("Point", "LineString", "Polygon", "MultiPoint", "MultiLineString",
+                 "MultiPolygon", "GeometryCollection")
+
+
+def bad_wkt(col, box: Column) -> Column:
+    """Text that starts like WKT but can't be read: unknown words or characters, brackets that
+    don't match, or no coordinates although it isn't EMPTY."""
+    c = _c(col)
+    words = F.regexp_extract_all(F.upper(c), F.lit(r"[A-Z]+"), F.lit(0))
+    words = F.transform(F.array_distinct(words), lambda w: F.regexp_replace(w, r"^(.{3,}?)(?:ZM|Z|M)$", "$1"))
+    known = F.array(*[F.lit(w) for w in (*WKT_WORDS, "Z", "M", "ZM")])
+    count = lambda ch: F.length(c) - F.length(F.replace(c, F.lit(ch)))
+    empty = F.upper(c).rlike(r"\bEMPTY\b|\bNAN\b")
+    return c.isNotNull() & ((F.size(F.array_except(words, known)) > 0) | c.rlike(r"[^-+0-9.,()\sA-Za-z;=]")
+                            | (count("(") != count(")")) | (box.isNull() & ~empty))
+
+
+def bad_geojson(col, box: Column) -> Column:
+    """Text that starts like GeoJSON but can't be read: no JSON, no geometry type, or no coordinates
+    although the coordinate array isn't empty."""
+    c = _c(col)
+    kind = F.get_json_object(c, "$.type")
+    coords, members = F.get_json_object(c, "$.coordinates"), F.get_json_object(c, "$.geometries")
+    empty = (F.when(kind == "GeometryCollection", F.coalesce(~members.rlike("[0-9]"), F.lit(False)))
+             .otherwise(F.coalesce(coords.rlike(r"^[\[\]\s,]*$"), F.lit(False))))
+    return c.isNotNull() & (F.try_parse_json(c).isNull() | ~F.coalesce(kind.isin(*GEOJSON_TYPES), F.lit(False))
+                            | (box.isNull() & ~empty))
 
 
 def geometry_kind(col) -> Column:
@@ -128,18 +154,25 @@ def geometry_kind(col) -> Column:
 
 def env_text(col, with_hex: bool = True) -> Column:
     """Envelope of mixed text geometry: GeoJSON, WKT, or hex WKB per row."""
+    return text_envelope(col, with_hex)[0]
+
+
+def text_envelope(col, with_hex: bool = True) -> tuple[Column, Column]:
+    """(envelope, bad) of mixed text geometry; text of no known kind is bad."""
     c = _c(col)
     kind = geometry_kind(c)
-    out = (F.when(kind == "geojson", env_geojson(c))
-           .when(kind == "wkt", env_wkt(c)))
+    gj, wk = env_geojson(c), env_wkt(c)
+    box = F.when(kind == "geojson", gj).when(kind == "wkt", wk)
+    bad = F.when(kind == "geojson", bad_geojson(c, gj)).when(kind == "wkt", bad_wkt(c, wk))
     if with_hex:
         hx = hex_wkb_envelope(F.when(kind == "wkb_hex", c))
-        out = out.when(kind == "wkb_hex",
+        box = box.when(kind == "wkb_hex",
                        F.when(hx.xmin.isNotNull(), make_bbox(hx.xmin, hx.ymin, hx.xmax, hx.ymax)))
-    return out
+        bad = bad.when(kind == "wkb_hex", hx.bad)
+    return box, bad.otherwise(c.isNotNull())
 
 
 @F.pandas_udf(T.BinaryType())
 def text_to_wkb(values: pd.Series) -> pd.Series:
-    """GeoJSON / WKT / hex-WKB text -> little-endian ISO WKB bytes."""
-    return pd.Series([_wkb.geometry_text_to_wkb(v) for v in values], dtype=object)
+    """GeoJSON / WKT / hex-WKB text -> little-endian ISO WKB bytes; unreadable text -> NULL."""
+    return pd.Series([_wkb.readable(_wkb.geometry_text_to_wkb, v) for v in values], dtype=object)

@@ -29,6 +29,15 @@ class WKBError(ValueError):
     pass
 
 
+def readable(read, value):
+    """``read(value)``, or None if the value is broken."""
+    try:
+        return read(value)
+    except (ValueError, IndexError, KeyError, TypeError, AttributeError, AssertionError,
+            struct.error, RecursionError):
+        return None
+
+
 def _coords_bounds(buf, pos, n, dims, dt):
     if n == 0:
         return pos, None
@@ -114,15 +123,6 @@ def wkb_bounds(buf) -> tuple:
 _HEX = re.compile(r"^(?:[0-9A-Fa-f]{2})+$")
 
 
-def hex_wkb_bounds(text) -> tuple:
-    if text is None:
-        return (None, None, None, None, False)
-    s = text.strip()
-    if not _HEX.match(s):
-        return (None, None, None, None, True)
-    return wkb_bounds(bytes.fromhex(s))
-
-
 # --------------------------------------------------------------------------
 # Writers: WKT / GeoJSON text -> little-endian ISO WKB (2-D or with Z).
 # --------------------------------------------------------------------------
@@ -152,10 +152,14 @@ def _tokens(text):
 def _parse_wkt(tok, i):
     name = tok[i].upper()
     i += 1
-    if name not in _WKT_TYPES:
-        raise ValueError(f"unknown WKT type {name}")
     dim_tag = ""
-    if i < len(tok) and tok[i].upper() in ("Z", "M", "ZM"):
+    if name not in _WKT_TYPES:  # POINTZ, written without a space
+        whole = name
+        name = whole.rstrip("ZM")
+        dim_tag = whole[len(name):]
+        if name not in _WKT_TYPES or dim_tag not in ("Z", "M", "ZM"):
+            raise ValueError(f"unknown WKT type {whole}")
+    if not dim_tag and i < len(tok) and tok[i].upper() in ("Z", "M", "ZM"):
         dim_tag = tok[i].upper()
         i += 1
     if i < len(tok) and tok[i].upper() == "EMPTY":
@@ -307,7 +311,10 @@ def geometry_text_to_wkb(text):
     if s.startswith("{"):
         return geojson_to_wkb(s)
     if _HEX.match(s.strip()):
-        return bytes.fromhex(s.strip())
+        raw = bytes.fromhex(s.strip())
+        if wkb_bounds(raw)[4]:
+            raise WKBError("unreadable hex WKB")
+        return raw
     return wkt_to_wkb(s)
 
 
@@ -381,6 +388,7 @@ def geometry_to_geojson(value):
         return wkb_to_geojson(value)
     s = value.strip()
     if s.startswith("{"):
+        _gj_tree(json.loads(s))  # raises for what is no geometry
         return s
     return wkb_to_geojson(geometry_text_to_wkb(s))
 

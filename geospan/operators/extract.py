@@ -16,13 +16,18 @@ small (jobs) side only:
 ``grid``            box cells too many to broadcast: both sides are
                     hash-partitioned on the cell key.  A cell that holds more
                     than 1/``hot_parts`` of one side's rows is split into
-                    ``salts`` sub-keys on that side (the other side's rows of
-                    the cell replicated), so a hot spot of features or of
-                    boxes never lands in a single task.
-
-Grid details: cells are squares of side ``c * 8**level``.  Each object sits at
-the finest level where it covers at most ``max_cells`` cells, so a
-continent-sized polygon or box does not explode into millions of rows.  A
+                    sub-keys on that side, one for each such share and at
+                    least ``salts`` (the other side's rows of the cell
+                    replicated), so a hot spot of features or of boxes never
+                    lands in a single task.
+
+Grid details: cells are squares of side ``c * 8**level``, up to the side of the
+extent of all job boxes, in the data's own units.  Feature boxes are clipped to
+that extent first, which also leaves out features that meet no job.  Each object
+sits at the finest level where it covers at most ``max_cells`` cells, so a
+continent-sized polygon or box does not explode into millions of rows.  Boxes
+with min > max are cut into cells by their ordered corners and then tested as
+they are, so they find what the box filter (F1) finds.  A
 pair is emitted only once, in the cell that holds the lower-left corner of the
 overlap of the two boxes, at the coarser of the two objects' levels
 (reference-point duplicate avoidance), so no ``distinct`` is needed.
@@ -31,6 +36,7 @@ overlap of the two boxes, at the coarser of the two objects' levels
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -45,7 +51,7 @@ LEVEL_FACTOR = 8
 
 @dataclass
 class GridSpec:
-    sizes: list          # cell side per level, coarsest >= 360 degrees
+    sizes: list          # cell side per level, coarsest >= side of the jobs' extent
     max_cells: int
 
     @property
@@ -53,10 +59,10 @@ class GridSpec:
         return len(self.sizes)
 
 
-def grid_spec(cell_size: float, max_cells: int = 16) -> GridSpec:
-    cell_size = max(float(cell_size), 1e-7)
-    sizes = [cell_size]
-    while sizes[-1] < 360.0:
+def grid_spec(cell_size: float, max_cells: int = 16, side: float = 360.0) -> GridSpec:
+    """Levels from ``cell_size`` to the first that is at least ``side`` (at most 13 levels)."""
+    sizes = [max(float(cell_size), side / LEVEL_FACTOR ** 12, 1e-7)]
+    while sizes[-1] < side:
         sizes.append(sizes[-1] * LEVEL_FACTOR)
     return GridSpec(sizes, max_cells)
 
@@ -94,8 +100,14 @@ def explode_cells(df: DataFrame, b: Column, own: Column, spec: GridSpec,
 
 
 def _valid_box(b: Column) -> Column:
-    return (b.isNotNull() & ~F.isnan(b.xmin) & ~F.isnan(b.ymin) & ~F.isnan(b.xmax)
-            & ~F.isnan(b.ymax) & (b.xmin <= b.xmax) & (b.ymin <= b.ymax))
+    return reduce(lambda p, v: p & v.isNotNull() & ~F.isnan(v),
+                  (b.xmin, b.ymin, b.xmax, b.ymax), b.isNotNull())
+
+
+def _ordered(b: Column) -> Column:
+    """The box with its corners in order; the same box unless it has min > max."""
+    return F.struct(F.least(b.xmin, b.xmax).alias("xmin"), F.least(b.ymin, b.ymax).alias("ymin"),
+                    F.greatest(b.xmin, b.xmax).alias("xmax"), F.greatest(b.ymin, b.ymax).alias("ymax"))
 
 
 def _keep_once(fb: Column, jb: Column, spec: GridSpec) -> Column:
@@ -107,19 +119,35 @@ def _keep_once(fb: Column, jb: Column, spec: GridSpec) -> Column:
             & (F.floor(rx / s) == F.col("cx")) & (F.floor(ry / s) == F.col("cy")))
 
 
-def box_stats(jobs: DataFrame, job_bbox: str = "job_bbox") -> tuple[int, float]:
-    """(number of valid boxes, median box side): one aggregate over the jobs."""
-    b = F.col(job_bbox)
-    side = F.greatest(b.xmax - b.xmin, b.ymax - b.ymin)
-    row = jobs.where(_valid_box(b)).agg(F.count(F.lit(1)).alias("n"),
-                                        F.percentile_approx(side, 0.5).alias("s")).first()
-    s = row["s"] if row and row["s"] is not None else 1.0
-    return int(row["n"] or 0), float(min(max(s, 1e-4), 360.0))
+@dataclass
+class BoxStats:
+    n: int               # boxes without a NULL or NaN corner
+    median_side: float
+    extent: tuple        # xmin, ymin, xmax, ymax of all of them
+    bytes: int           # of all job rows, as JSON text
+
+    @property
+    def side(self) -> float:
+        return max(self.extent[2] - self.extent[0], self.extent[3] - self.extent[1])
+
+
+def box_stats(jobs: DataFrame, job_bbox: str = "job_bbox") -> BoxStats:
+    """Number, median side, extent and bytes of the job boxes: one aggregate over the jobs."""
+    valid = jobs.where(_valid_box(F.col(job_bbox)))
+    b = _ordered(F.col(job_bbox))
+    r = valid.agg(F.count(F.lit(1)).alias("n"),
+                  F.percentile_approx(F.greatest(b.xmax - b.xmin, b.ymax - b.ymin), 0.5).alias("s"),
+                  F.min(b.xmin).alias("x0"), F.min(b.ymin).alias("y0"),
+                  F.max(b.xmax).alias("x1"), F.max(b.ymax).alias("y1"),
+                  F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes")).first()
+    if not r["n"]:
+        return BoxStats(0, 1.0, (0.0, 0.0, 0.0, 0.0), 0)
+    return BoxStats(r["n"], float(r["s"]), (r["x0"], r["y0"], r["x1"], r["y1"]), r["bytes"])
 
 
 def choose_cell_size(jobs: DataFrame, job_bbox: str = "job_bbox") -> float:
     """Median box side of the job boxes (one small aggregate over the jobs)."""
-    return box_stats(jobs, job_bbox)[1]
+    return box_stats(jobs, job_bbox).median_side
 
 
 def _prepare_jobs(jobs: DataFrame, bbox: str) -> DataFrame:
@@ -135,7 +163,7 @@ def extract_jobs(features: DataFrame, jobs: DataFrame, strategy: str = "auto",
                  cell_size: float | None = None, max_cells: int = 16,
                  broadcast_boxes: int = 64, broadcast_cells: int = 1_000_000,
                  broadcast_bytes: int = 256 << 20,
-                 salts: int = 32, hot_parts: int | None = None) -> DataFrame:
+                 salts: int = 2, hot_parts: int | None = None) -> DataFrame:
     """Feature rows paired with every job whose box they intersect.
 
     Output: all feature columns, all job columns (the job box as ``job_bbox``).
@@ -145,18 +173,24 @@ def extract_jobs(features: DataFrame, jobs: DataFrame, strategy: str = "auto",
     if clash:
         raise ValueError(f"features and jobs share column names {clash}; rename one side")
     fb, jb = F.col(feature_bbox), F.col("job_bbox")
-    median_side = None
+    # One aggregate gives the box count and bytes (the broadcast bounds), the
+    # median box side (the grid cell size) and the extent (the coarsest level).
+    found = box_stats(jobs)
     if strategy == "auto":
-        # One aggregate gives both the box count (the broadcast bound) and the
-        # median box side (the grid cell size, if the grid is chosen).
-        n, median_side = box_stats(jobs)
-        strategy = "broadcast" if n <= broadcast_boxes else "grid_auto"
-    if strategy == "broadcast":
+        strategy = "broadcast" if found.n <= broadcast_boxes else "grid_auto"
+    if strategy == "broadcast" and found.bytes > broadcast_bytes:
+        strategy = "grid"
+    if strategy == "broadcast" or not found.n:
         return features.where(_valid_box(fb)).join(
             F.broadcast(jobs.where(_valid_box(jb))), bbox_intersects(fb, jb), "inner")
 
-    spec = grid_spec(cell_size or median_side or choose_cell_size(jobs), max_cells)
-    jlev = jobs.where(_valid_box(jb)).withColumn("_j_lvl", own_level(jb, spec))
+    spec = grid_spec(cell_size or found.median_side, max_cells, found.side)
+    x0, y0, x1, y1 = (F.lit(v) for v in found.extent)
+    fo, jo = _ordered(fb), _ordered(jb)
+    clipped = F.struct(F.greatest(fo.xmin, x0).alias("xmin"), F.greatest(fo.ymin, y0).alias("ymin"),
+                       F.least(fo.xmax, x1).alias("xmax"), F.least(fo.ymax, y1).alias("ymax"))
+    near = features.where(_valid_box(fb) & (fo.xmin <= x1) & (fo.xmax >= x0) & (fo.ymin <= y1) & (fo.ymax >= y0))
+    jlev = jobs.where(_valid_box(jb)).withColumn("_j_box", jo).withColumn("_j_lvl", own_level(F.col("_j_box"), spec))
     # One aggregate gives both the levels at which job boxes live (features
     # must also appear there) and the exact number of box cells, the proven
     # bound checked before broadcasting them.
@@ -164,23 +198,22 @@ def extract_jobs(features: DataFrame, jobs: DataFrame, strategy: str = "auto",
     s_own = F.element_at(sizes, F.col("_j_lvl") + 1)
     stats = jlev.agg(F.collect_set("_j_lvl").alias("levels"),
                      F.count(F.lit(1)).alias("n"),
-                     F.sum(_span(jb, s_own)).alias("own_cells")).first()
+                     F.sum(_span(F.col("_j_box"), s_own)).alias("own_cells")).first()
     box_levels = sorted(stats["levels"] or [])
-    jcells = explode_cells(jlev, jb, F.col("_j_lvl"), spec)
-    fcells = explode_cells(features.where(_valid_box(fb)).withColumn("_f_lvl", own_level(fb, spec)),
-                           fb, F.col("_f_lvl"), spec, box_levels)
+    jcells = explode_cells(jlev, F.col("_j_box"), F.col("_j_lvl"), spec)
+    fcells = explode_cells(near.withColumn("_f_box", clipped).withColumn("_f_lvl", own_level(F.col("_f_box"), spec)),
+                           F.col("_f_box"), F.col("_f_lvl"), spec, box_levels)
     keys = ["lvl", "cx", "cy"]
 
-    if strategy == "grid_auto":
+    if strategy in ("grid_auto", "grid_broadcast"):
         # Exact cells at each box's own level, plus at most ``max_cells``
         # cells per box at every coarser level (cells only grow upwards).
         bound = (stats["own_cells"] or 0) + (stats["n"] or 0) * (spec.levels - 1) * spec.max_cells
         if bound > broadcast_cells:
             bound = jcells.limit(broadcast_cells + 1).count()
-        # Rows are bounded above; bytes too, from the schema's per-row size
-        # estimate, so wide job rows do not slip through a row-count check.
-        row_bytes = int(jcells._jdf.schema().defaultSize())
-        small = bound <= broadcast_cells and bound * row_bytes <= broadcast_bytes
+        # Rows are bounded above; bytes too, by the mean size of the job rows
+        # (a cell adds about 100 bytes), so wide rows do not slip through.
+        small = bound <= broadcast_cells and bound * (found.bytes / found.n + 100) <= broadcast_bytes
         strategy = "grid_broadcast" if small else "grid"
     if strategy == "grid_broadcast":
         joined = fcells.join(F.broadcast(jcells), keys, "inner")
@@ -188,12 +221,13 @@ def extract_jobs(features: DataFrame, jobs: DataFrame, strategy: str = "auto",
         joined = _salted_cell_join(features.sparkSession, fcells, jcells, keys, salts, hot_parts)
     else:
         raise ValueError(f"unknown strategy {strategy}")
-    out = joined.where(bbox_intersects(fb, jb) & _keep_once(fb, jb, spec))
-    return out.drop(*keys, "_f_lvl", "_j_lvl")
+    out = joined.where(bbox_intersects(fb, jb) & _keep_once(F.col("_f_box"), F.col("_j_box"), spec))
+    return out.drop(*keys, "_f_lvl", "_j_lvl", "_f_box", "_j_box")
 
 
-def _hot_cells(spark, cells: DataFrame, keys: list, hot_parts: int) -> list:
-    """Keys of the cells holding more than 1/``hot_parts`` of one side's rows.
+def _hot_cells(spark, cells: DataFrame, keys: list, hot_parts: int, salts: int) -> dict:
+    """Sub-keys of each cell holding more than 1/``hot_parts`` of one side's rows: one for every
+    such share, at least ``salts``.
 
     The per-cell counts (partial-aggregated, one row per distinct cell) are
     checkpointed once; the total and the hot cells are read from that small
@@ -202,43 +236,44 @@ def _hot_cells(spark, cells: DataFrame, keys: list, hot_parts: int) -> list:
     counts = cells.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
     total = counts.agg(F.sum("_n").alias("t")).first()["t"] or 0
     threshold = max(total // max(hot_parts, 1), 1)
-    return [tuple(r) for r in counts.where(F.col("_n") > threshold).select(*keys).collect()]
+    hot = counts.where(F.col("_n") > threshold).select(*keys, "_n").collect()
+    return {tuple(r)[:-1]: max(salts, -(-r["_n"] // threshold)) for r in hot}
 
 
 def _salted_cell_join(spark, fcells: DataFrame, jcells: DataFrame, keys: list,
                       salts: int, hot_parts: int | None) -> DataFrame:
     """Shuffle join on cell keys with hot cells split on both sides.
 
-    A cell hot in features gets its feature rows spread over ``salts``
-    sub-keys (``_fs``) and its box rows replicated to each; a cell hot in
-    boxes gets the mirror treatment (``_bs``).  A cell hot on both sides is
-    split into ``salts x salts`` blocks.  Each (feature, box) pair of the cell
+    A cell hot in features gets its feature rows spread over sub-keys
+    (``_fs``) and its box rows replicated to each; a cell hot in boxes gets the
+    mirror treatment (``_bs``).  A cell hot on both sides is split into blocks
+    of both.  Each (feature, box) pair of the cell
     meets in exactly one block.  Salts come from a hash of the row's own
     columns, so a retried task deals its rows alike, in whatever order they come; rows that are
     equal throughout share a salt."""
     ensure_checkpoint_dir(spark)
     if hot_parts is None:
         hot_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hot_f = set(_hot_cells(spark, fcells, keys, hot_parts))
-    hot_b = set(_hot_cells(spark, jcells, keys, hot_parts))
-    rows = [(lvl, cx, cy, (lvl, cx, cy) in hot_f, (lvl, cx, cy) in hot_b)
-            for lvl, cx, cy in sorted(hot_f | hot_b)]
-    hot = F.broadcast(spark.createDataFrame(
-        rows, "lvl int, cx bigint, cy bigint, _hf boolean, _hb boolean"))
-    spread = F.sequence(F.lit(0), F.lit(salts - 1))
-
-    def own_salt(df):
+    hot_f = _hot_cells(spark, fcells, keys, hot_parts, salts)
+    hot_b = _hot_cells(spark, jcells, keys, hot_parts, salts)
+    rows = [(*k, hot_f.get(k, 1), hot_b.get(k, 1)) for k in sorted({*hot_f, *hot_b})]
+    hot = F.broadcast(spark.createDataFrame(rows, "lvl int, cx bigint, cy bigint, _hf bigint, _hb bigint"))
+
+    def spread(n):
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col(n), F.lit(1)) - 1))
+
+    def own_salt(df, n):
         cols = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()
                 and not f.name.startswith("_h")]
-        return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cols]), F.lit(salts))
+        return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cols]), F.coalesce(F.col(n), F.lit(1)))
 
     f = (fcells.join(hot, keys, "left")
-         .withColumn("_fs", F.when(F.col("_hf"), own_salt(fcells)).otherwise(F.lit(0)))
-         .withColumn("_bs", F.explode(F.when(F.col("_hb"), spread).otherwise(F.array(F.lit(0)))))
+         .withColumn("_fs", own_salt(fcells, "_hf"))
+         .withColumn("_bs", spread("_hb"))
          .drop("_hf", "_hb"))
     j = (jcells.join(hot, keys, "left")
-         .withColumn("_bs", F.when(F.col("_hb"), own_salt(jcells)).otherwise(F.lit(0)))
-         .withColumn("_fs", F.explode(F.when(F.col("_hf"), spread).otherwise(F.array(F.lit(0)))))
+         .withColumn("_bs", own_salt(jcells, "_hb"))
+         .withColumn("_fs", spread("_hf"))
          .drop("_hf", "_hb"))
     return f.join(j, keys + ["_fs", "_bs"], "inner").drop("_fs", "_bs")
 

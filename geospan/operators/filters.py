@@ -167,10 +167,12 @@ def _tree_of(value):
     if value is None:
         return None
     if isinstance(value, (bytes, bytearray, memoryview)):
-        return _wkb._gj_tree(json.loads(_wkb.wkb_to_geojson(value)))
-    s = value.lstrip()
+        return _wkb._gj_tree(_wkb._read_geojson(bytes(value), 0)[1])
+    s = value.strip()
     if s.startswith("{"):
         return _wkb._gj_tree(json.loads(s))
+    if _wkb._HEX.match(s):
+        return _tree_of(bytes.fromhex(s))
     return _wkb._parse_wkt(_wkb._tokens(s), 0)[0]
 
 
@@ -196,11 +198,11 @@ def intersects_rect(value, x0, y0, x1, y1) -> bool | None:
 @F.pandas_udf(T.BooleanType())
 def _intersects_box_udf(g: pd.Series, x0: pd.Series, y0: pd.Series,
                         x1: pd.Series, y1: pd.Series) -> pd.Series:
-    return pd.Series([intersects_rect(v, a, b, c, d)
+    return pd.Series([_wkb.readable(lambda v: intersects_rect(v, a, b, c, d), v)
                       for v, a, b, c, d in zip(g, x0, y0, x1, y1)], dtype=object)
 
 
 def geometry_intersects_box(geometry: Column, x0, y0, x1, y1) -> Column:
     """Exact intersects test of a geometry (WKT / GeoJSON text or WKB bytes)
-    with a box; NULL geometry gives NULL."""
+    with a box; a NULL or unreadable geometry gives NULL."""
     return _intersects_box_udf(geometry, x0, y0, x1, y1)

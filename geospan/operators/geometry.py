@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geospan.functions.bbox import make_bbox, num_text
-from geospan.functions.envelope import (env_geojson, env_text, env_wkt, geometry_kind,
-                                        wkb_envelope)
+from geospan.functions.envelope import (bad_geojson, bad_wkt, env_geojson, env_wkt,
+                                        text_envelope, wkb_envelope)
 
 # Fixed list of column names recognised as geometry when the configured one
 # is absent (compared case-insensitively, first match in frame order wins).
@@ -39,8 +39,10 @@ def decode_geometry(df: DataFrame, column: str | None = None, fmt: str = "auto",
     are WKB; STRING columns are GeoJSON, WKT or hex WKB, told apart per row.
     ``fmt`` can force one of ``wkb | wkt | geojson``.
     ``mode='permissive'`` keeps undecodable rows with a NULL box and
-    ``_bad=true``; ``mode='strict'`` raises if any row is undecodable (this
-    runs one counting job, like the all-or-nothing rule of the original).
+    ``_bad=true``: text of no known kind, broken JSON, WKT with unknown words or
+    unmatched brackets, truncated WKB, or no coordinates in a value that isn't
+    empty.  ``mode='strict'`` raises if any row is undecodable (this runs one
+    counting job, like the all-or-nothing rule of the original).
     """
     column = resolve_geometry_column(df, column)
     dtype = df.schema[column].dataType
@@ -56,16 +58,14 @@ def decode_geometry(df: DataFrame, column: str | None = None, fmt: str = "auto",
         bad = env.bad
     elif fmt == "wkt":
         bbox = env_wkt(g)
-        bad = g.isNotNull() & bbox.isNull() & ~F.upper(g).contains("EMPTY")
+        bad = bad_wkt(g, bbox)
     elif fmt == "geojson":
         bbox = env_geojson(g)
-        bad = g.isNotNull() & ~F.ltrim(g).startswith("{")
+        bad = bad_geojson(g, bbox)
     else:
-        bbox = env_text(g)
-        kind = geometry_kind(g)
-        bad = (g.isNotNull() & kind.isNull()) | (
-            (kind == "wkb_hex") & bbox.isNull() & (F.length(g) < 18))
-    res = df.withColumn("bbox", bbox).withColumn("_bad", F.coalesce(bad, F.lit(False)))
+        bbox, bad = text_envelope(g)
+    bad = F.coalesce(bad, F.lit(False))
+    res = df.withColumns({"bbox": F.when(~bad, bbox), "_bad": bad})
     if column != out:
         res = res.withColumnRenamed(column, out) if out not in df.columns else \
             res.drop(out).withColumnRenamed(column, out)

@@ -1,33 +1,39 @@
 """File sinks (K1-K5) and multi-format export with a manifest.
 
 Every writer is a distributed ``DataFrame.write``; nothing is collected.  The
-exported frame is persisted once so that several formats do not recompute the
-extraction, and each format is attempted independently: a failing format is
-reported in the manifest while the others still run.
+exported frame is written once to the shared checkpoint folder and every format
+is made from that table, so the extraction runs once and a lost executor costs
+no more than the stage that runs.  Each format is attempted independently: a
+failing format is reported in the manifest while the others still run.
 """
 
 from __future__ import annotations
 
 import json
+import math
+import uuid
 
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geospan.functions import wkb as _wkb
 from geospan.functions.bbox import zorder_key
-from geospan.functions.envelope import text_to_wkb
+from geospan.functions.envelope import text_to_wkb, wkb_envelope
 from geospan.operators.extent import extent
 from geospan.operators.filters import drop_geometry
 from geospan.plans.jobs import FORMAT_EXTENSIONS, KNOWN_FORMATS, SUPPORTED_FORMATS
+from geospan.session import ensure_checkpoint_dir
+
+#: Bytes of staged Parquet that go into one GeoParquet file.
+FILE_BYTES = 256 << 20
 
 
 @F.pandas_udf(T.StringType())
 def to_geojson_geometry(values: pd.Series) -> pd.Series:
-    """Geometry (GeoJSON / WKT / hex text, or WKB bytes) -> GeoJSON text."""
-    return pd.Series([_wkb.geometry_to_geojson(v) for v in values], dtype=object)
+    """Geometry (GeoJSON / WKT / hex text, or WKB bytes) -> GeoJSON text; unreadable -> NULL."""
+    return pd.Series([_wkb.readable(_wkb.geometry_to_geojson, v) for v in values], dtype=object)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -41,6 +47,27 @@ def _as_wkb(df: DataFrame, geometry: str) -> DataFrame:
     return df.withColumn(geometry, text_to_wkb(F.col(geometry)))
 
 
+def count_bad(df: DataFrame, geometry: str = "geometry") -> int:
+    """Rows whose geometry is there but can't be read; the sinks write NULL for these (GeoParquet
+    keeps unreadable WKB as it is)."""
+    g = F.col(geometry)
+    if isinstance(df.schema[geometry].dataType, T.BinaryType):
+        bad = wkb_envelope(g).bad
+    else:
+        bad = g.isNotNull() & text_to_wkb(g).isNull()
+    return df.where(bad).count()
+
+
+def stage(df: DataFrame) -> tuple[DataFrame, int]:
+    """(``df`` written to the shared checkpoint folder and read again, its bytes there).  The folder
+    stays until the owner of the checkpoint folder clears it."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/export-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    files = out.select("_metadata.file_path", "_metadata.file_size").groupBy("file_path").agg(F.max("file_size").alias("n"))
+    return out, files.agg(F.sum("n")).first()[0] or 0
+
+
 def write_geoparquet(df: DataFrame, path: str, geometry: str = "geometry",
                      mode: str = "overwrite", partitions: int | None = None) -> None:
     """K2: WKB geometry plus the ``bbox`` covering struct, clustered along a
@@ -48,18 +75,22 @@ def write_geoparquet(df: DataFrame, path: str, geometry: str = "geometry",
     and box filters on ``bbox.*`` skip most of them.  Spark's writer cannot
     set the file-level ``geo`` key, so its JSON goes to a ``_geo.json``
     sidecar (not strictly spec-conformant GeoParquet; readers that need the
-    key can add it)."""
+    key can add it).  The number of files follows the bytes of the staged rows
+    (``FILE_BYTES`` each) unless ``partitions`` is given, which says that ``df``
+    is staged or cheap to read twice."""
+    if partitions is None:
+        df, size = stage(df)
+        partitions = max(1, math.ceil(size / FILE_BYTES))
     out = _as_wkb(df, geometry)
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
     # The hash tiebreaker lets the range partitioner split a Z-range that
     # holds a large share of all rows (a hot spot) over several tasks.
     tie = F.xxhash64(F.col("bbox.xmin"), F.col("bbox.ymin"), F.col("bbox.xmax"),
                      F.col("bbox.ymax"), F.col(geometry))  # of content, so that retries agree
     clustered = (out.withColumn("_z", zorder_key("bbox")).withColumn("_tie", tie)
-                 .repartitionByRange(n, "_z", "_tie")
+                 .repartitionByRange(partitions, "_z", "_tie")
                  .sortWithinPartitions("_z").drop("_z", "_tie"))
     clustered.write.mode(mode).parquet(path)
-    ext = extent(df, with_count=False).first()
+    ext = extent(df.sparkSession.read.parquet(path), with_count=False).first()
     geo = {"version": "1.1.0", "primary_column": geometry,
            "columns": {geometry: {"encoding": "WKB", "geometry_types": [],
                                   "bbox": [ext["xmin"], ext["ymin"], ext["xmax"], ext["ymax"]],
@@ -94,14 +125,14 @@ def export_multiple(df: DataFrame, output_dir: str, base_name: str, formats,
                     geometry: str = "geometry") -> DataFrame:
     """K4: write ``df`` once per format under ``{dir}/{base}{ext}``.
 
-    The extraction is computed once.  When GeoParquet is requested it is
-    written first and the other formats are produced from that written table
-    (a cheap columnar re-read, and it survives executor loss); otherwise the
-    frame is persisted with spill to disk for the duration of the export.
+    The extraction is computed once, into a staged table from which all formats
+    are written.
 
-    Returns a manifest (format, path, status, rows): ``ok``, ``failed`` (the
-    writer raised; other formats continue), ``unsupported`` (single-file GIS
-    formats such as shapefile / gpkg / filegdb), or ``unknown``."""
+    Returns a manifest (format, path, status, rows, bad_rows): ``ok``, ``failed``
+    with the message (the writer raised; other formats continue), ``unsupported``
+    (single-file GIS formats such as shapefile / gpkg / filegdb), or ``unknown``.
+    ``bad_rows`` counts the rows whose geometry can't be read; they are written
+    with a NULL geometry (CSV has none and reports none)."""
     spark = df.sparkSession
     wanted = [(fmt, fmt.lower()) for fmt in formats]
     manifest = []
@@ -109,42 +140,30 @@ def export_multiple(df: DataFrame, output_dir: str, base_name: str, formats,
     def path_of(f):
         return f"{output_dir.rstrip('/')}/{base_name}{extension(f)}"
 
-    source, cached = df, None
-    done = {}
-    if any(f == "parquet" for _, f in wanted):
-        try:
-            write_geoparquet(df, path_of("parquet"), geometry=geometry)
-            source = spark.read.parquet(path_of("parquet"))
-            done["parquet"] = "ok"
-        except Exception as e:  # reported below; other formats still run
-            done["parquet"] = f"failed: {type(e).__name__}"
-    if source is df:
-        cached = source = df.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = source.count()
-    try:
-        for fmt, f in wanted:
-            if f not in KNOWN_FORMATS:
-                manifest.append((fmt, None, "unknown", None))
-                continue
-            if f not in SUPPORTED_FORMATS:
-                manifest.append((fmt, None, "unsupported", None))
-                continue
-            if f in done:
-                ok = done[f] == "ok"
-                manifest.append((fmt, path_of(f) if ok else None, done[f], rows if ok else None))
-                continue
+    if not any(f in SUPPORTED_FORMATS for _, f in wanted):
+        source, size, rows = df, 0, None
+    else:
+        source, size = stage(df)
+        rows = source.count()
+    bad = count_bad(source, geometry) if any(f in ("parquet", "geojson") for _, f in wanted) else None
+    for fmt, f in wanted:
+        if f not in KNOWN_FORMATS:
+            manifest.append((fmt, None, "unknown", None, None))
+        elif f not in SUPPORTED_FORMATS:
+            manifest.append((fmt, None, "unsupported", None, None))
+        else:
             try:
                 if f == "csv":
                     write_csv(source, path_of(f))
+                elif f == "parquet":
+                    write_geoparquet(source, path_of(f), geometry=geometry,
+                                     partitions=max(1, math.ceil(size / FILE_BYTES)))
                 else:
                     WRITERS[f](source, path_of(f), geometry=geometry)
-                manifest.append((fmt, path_of(f), "ok", rows))
+                manifest.append((fmt, path_of(f), "ok", rows, None if f == "csv" else bad))
             except Exception as e:  # one failed format must not stop the rest
-                manifest.append((fmt, None, f"failed: {type(e).__name__}", None))
-    finally:
-        if cached is not None:
-            cached.unpersist()
-    return spark.createDataFrame(manifest, "format string, path string, status string, rows long")
+                manifest.append((fmt, None, f"failed: {type(e).__name__}: {e}", None, None))
+    return spark.createDataFrame(manifest, "format string, path string, status string, rows long, bad_rows long")
 
 
 def save_box_record(ext: DataFrame, path: str, source_file: str | None = None,
