@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import math
 import zlib
+from bisect import bisect_left
+from operator import neg
 
 import numpy as np
 import pyarrow as pa
@@ -93,28 +95,36 @@ def completion(room: int, have: list[int], effort: int = 20_000) -> list[int]:
 
     best = greedy(room, room)
     waste, left = room - sum(best), effort
-    total = sum(n * c for n, c in enumerate(have[:room + 1]))
-
-    def search(room, top, chosen):
+    if not waste:
+        return best
+    lengths = [n for n in range(room, 0, -1) if have[n]]  # in falling order
+    spare = [have[n] for n in lengths]
+    place = {n: k for k, n in enumerate(lengths)}
+
+    def search(room, first, chosen, rest):
+        """Fillings of ``room`` by lengths from place ``first`` on; ``rest``: sum of what is spare."""
         nonlocal best, waste, left
         if room < waste:
             best, waste = chosen.copy(), room
-        if room <= top and room and have[room] > chosen.count(room):
+        exact = place.get(room, -1)
+        if exact >= first and spare[exact]:
             best, waste = [*chosen, room], 0
-        top = min(top, room)
-        while waste and left > 0 and top > 0:
-            # all that is still to come is at most `top` long and can't fill more than there is
-            if room - (total - sum(chosen)) >= waste:
+        # what is still to come can't fill more than there is
+        if room - rest >= waste:
+            return
+        for k in range(max(first, bisect_left(lengths, -room, key=neg)), len(lengths)):
+            if not waste or left <= 0:
                 return
-            if have[top] > chosen.count(top):
+            if spare[k]:
                 left -= 1
-                chosen.append(top)
-                search(room - top, top, chosen)
+                n = lengths[k]
+                spare[k] -= 1
+                chosen.append(n)
+                search(room - n, k, chosen, rest - n)
                 chosen.pop()
-            top -= 1
+                spare[k] += 1
 
-    if waste:
-        search(room, room, [])
+    search(room, 0, [], sum(n * c for n, c in zip(lengths, spare)))
     return best
 
 
