@@ -5,26 +5,33 @@ matching DuckDB SQL."""
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geospan.functions.bbox import (bbox_cols, bbox_to_csv, bbox_to_json, bbox_to_list,
+from geospan.functions.bbox import (BBOX_FIELDS, bbox_cols, bbox_to_csv, bbox_to_json, bbox_to_list,
                                     bbox_to_text, bbox_to_wkt, expand_bbox)
-from geospan.functions.envelope import env_geojson, env_wkt, geometry_kind
+from geospan.functions.envelope import env_geojson, env_wkb, env_wkt, geometry_kind
 from geospan.operators.extent import bbox_intersection_agg, bbox_union_agg, extent
 from geospan.operators.extract import extract_jobs, job_summary
 from geospan.operators.filters import attr_filter, where_filter
 from geospan.operators.filters import bbox_filter as box_filter
-from geospan.operators.geometry import decode_geometry, points_from_lonlat, with_srid
+from geospan.operators.extent import require_extent
+from geospan.operators.geometry import (decode_geometry, points_from_lonlat, require_features,
+                                        resolve_geometry_column, with_srid)
 from geospan.plans.oracle import FILTER_BOX, _EXACT_BOX
 from geospan.operators.pages import (assemble_linked_pages, assemble_offset_pages,
                                      assemble_single_page)
 from geospan.plans import jobs as J
-from geospan.plans.requests import plan_requests
+from geospan.plans.requests import arcgis_jobs, plan_requests, s3_jobs, wfs_jobs
+from geospan.plans.run import run_jobs
+from geospan.session import ensure_checkpoint_dir
+from geospan.sinks import export as X
 from geospan.sinks.publish import folder_id, get_or_create_folders, publish_manifest
 from geospan.sources import derived as D
+from geospan.sources import files as S
 from geospan.sources.responses import parse_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -368,3 +375,112 @@ def csv_projection(spark, sf_dir):
     from geospan.operators.filters import drop_geometry
     fc = decode_geometry(D.geojson_features(_t(spark, sf_dir, "orders")), "geometry")
     return drop_geometry(fc)
+
+
+# --- files and sinks (S1, S4-S6, S12, K1-K5), presets and strict checks (A10, G1, G9, F5) ------
+
+def _scratch(spark, name):
+    """A new folder in the shared checkpoint folder; the result is read from it."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@register
+def read_geojson(spark, sf_dir):
+    """S1 + K3: features written as GeoJSON lines and read back with their boxes."""
+    path = _scratch(spark, "geojson")
+    X.write_geojson(D.geojson_features(_t(spark, sf_dir, "orders")).select("o_orderkey", "layer", "geometry"), path)
+    back = S.read_geojson_any(spark, path, properties_schema=PAGE_PROPS)
+    return decode_geometry(back, "geometry").select("o_orderkey", "layer", *bbox_cols("bbox"))
+
+
+@register
+def read_json_records(spark, sf_dir):
+    """Lists of records, one list per file (a file per 20,000 event ids)."""
+    path = _scratch(spark, "records")
+    ev = _t(spark, sf_dir, "events")
+    block = F.floor(F.col("event_id") / 20000)
+    (ev.groupBy(block.alias("block")).agg(F.to_json(F.collect_list(F.struct("event_id", "event_type"))).alias("value"))
+     .write.partitionBy("block").text(path))
+    return S.read_json_records(spark, path).select(F.col("event_id").cast("long").alias("event_id"), "event_type")
+
+
+@register
+def read_features_parquet(spark, sf_dir):
+    """S5 + K2: GeoParquet written and read back; the stored box equals that of the WKB."""
+    path = _scratch(spark, "geoparquet")
+    X.write_geoparquet(_fa(spark, sf_dir).select("o_orderkey", "layer", F.col("wkt").alias("geometry"), "bbox"), path)
+    back = S.read_features_parquet(spark, path)
+    return back.select("o_orderkey", "layer", *bbox_cols("bbox"), (env_wkb("geometry") == F.col("bbox")).alias("same"))
+
+
+@register
+def read_features_csv(spark, sf_dir):
+    """S6 + K1 + G4: a CSV with lon and lat columns, written and read back as points."""
+    path = _scratch(spark, "points") + ".csv"
+    pts = points_from_lonlat(D.point_features(_t(spark, sf_dir, "events")))
+    X.write_csv(pts.select("event_id", "lon", "lat", "event_type", "geometry", "bbox"), path)
+    return S.read_source(spark, path).select(F.col("event_id").cast("long").alias("event_id"), "event_type", *bbox_cols("bbox"))
+
+
+@register
+def parse_job_files(spark, sf_dir):
+    """Job texts with the box as a list or an object, with and without formats."""
+    boxes = D.many_boxes(_t(spark, sf_dir, "customer"), "c_custkey", "cust_")
+    b = F.col("bbox")
+    odd = F.pmod(F.regexp_extract("job_name", "[0-9]+", 0).cast("long"), F.lit(2)) == 1
+    as_list = F.to_json(F.array(b.xmin, b.ymin, b.xmax, b.ymax))
+    as_obj = F.to_json(F.struct(b.xmin.alias("min_lon"), b.ymin.alias("min_lat"), b.xmax.alias("max_lon"), b.ymax.alias("max_lat")))
+    text = F.concat(F.lit('{"job_name":"'), "job_name", F.lit('","data_source":"src","bounding_box":'),
+                    F.when(odd, F.concat(as_obj, F.lit(',"output_formats":["csv"]'))).otherwise(as_list), F.lit("}"))
+    got = J.parse_job_text(boxes.select(text.alias("text")))
+    return got.select("job_name", "source_key", *bbox_cols("bbox"), F.array_join("output_formats", ",").alias("formats"), "output_prefix")
+
+
+@register
+def preset_jobs(spark, sf_dir):
+    """A10: one ArcGIS, WFS and S3 job per customer."""
+    c = _t(spark, sf_dir, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment"))
+    url = F.concat(F.lit("https://gis.example.org/"), F.lower("segment"))
+    parts = [arcgis_jobs(c.withColumns({"service_url": url, "layer_id": F.col("c_custkey")})).withColumn("version", F.lit("")),
+             wfs_jobs(c.withColumns({"wfs_url": url, "layer_name": F.col("segment")})),
+             s3_jobs(c.withColumns({"bucket": F.lower("segment"), "key": F.concat(F.col("c_custkey").cast("string"), F.lit(".parquet"))}))
+             .withColumns({"api_type": F.lit("file"), "version": F.lit("")})]
+    cols = ["c_custkey", "api_type", "url", "version"]
+    return parts[0].select(*cols).unionByName(parts[1].select(*cols)).unionByName(parts[2].select(*cols))
+
+
+@register
+def extent_strict(spark, sf_dir):
+    """G1 + G9 + F5: the geometry column found by its name, every row decoded or an error, and an
+    error for an empty data set or an extent without bounds."""
+    raw = _fa(spark, sf_dir).select("layer", F.col("wkt").alias("SHAPE"))
+    feats = require_features(decode_geometry(raw, resolve_geometry_column(raw), mode="strict"))
+    return require_extent(extent(feats, by="layer"))
+
+
+@register
+def export_formats(spark, sf_dir):
+    """K4: every status of the manifest."""
+    feats = _fa(spark, sf_dir).select("o_orderkey", "layer", F.col("wkt").alias("geometry"), "bbox")
+    got = X.export_multiple(feats, _scratch(spark, "export"), "orders", ["parquet", "geojson", "csv", "filegdb", "foo"])
+    return got.select("format", "status", "rows", "bad_rows")
+
+
+@register
+def box_record(spark, sf_dir):
+    """K5: the extent with its provenance, written and read back."""
+    path = _scratch(spark, "box")
+    X.save_box_record(extent(_fa(spark, sf_dir)), path, source_file="orders", layer="all")
+    schema = "bbox struct<min_lon: double, min_lat: double, max_lon: double, max_lat: double>, source_file string, layer string"
+    return spark.read.schema(schema).json(path).select("bbox.*", "source_file", "layer")
+
+
+@register
+def job_run(spark, sf_dir):
+    """J1-K4 in one plan: all jobs extracted and written, and their manifest."""
+    jobs = _fe(spark, sf_dir).select("job_name", "bbox", F.array(F.lit("csv"), F.lit("geojson"), F.lit("filegdb")).alias("output_formats"),
+                                     F.lit("run").alias("output_prefix"))
+    feats = _fa(spark, sf_dir).select("o_orderkey", F.col("wkt").alias("geometry"), "bbox")
+    ts = F.to_timestamp(F.lit("2024-01-02 03:04:05"))
+    got = run_jobs(feats, jobs, _scratch(spark, "run"), ts)
+    return got.select("job_name", "format", "status", "feature_count", *BBOX_FIELDS, F.col("path").isNotNull().alias("written"))

@@ -416,3 +416,41 @@ SELECT layer,
 FROM fa GROUP BY layer"""
 
 ORACLE["csv_projection"] = "SELECT o_orderkey, o_orderpriority AS layer FROM orders"
+
+
+# --- files, sinks, presets, strict checks, job run ---------------------------------------------
+
+_FA_ROWS = f"WITH {FA} SELECT o_orderkey, layer, xmin, ymin, xmax, ymax"
+ORACLE["read_geojson"] = f"{_FA_ROWS} FROM fa"
+ORACLE["read_features_parquet"] = f"{_FA_ROWS}, true AS same FROM fa"
+ORACLE["read_json_records"] = "SELECT event_id, event_type FROM events"
+ORACLE["read_features_csv"] = f"""WITH {FB}
+SELECT event_id, event_type, lon AS xmin, lat AS ymin, lon AS xmax, lat AS ymax FROM fb"""
+ORACLE["parse_job_files"] = f"""WITH {FG_CUSTOMER}
+SELECT job_name, 'src' AS source_key, bx0 AS xmin, by0 AS ymin, bx1 AS xmax, by1 AS ymax,
+       CASE WHEN replace(job_name, 'cust_', '')::BIGINT % 2 = 1 THEN 'csv' ELSE 'geojson,parquet' END AS formats,
+       'extracted_data' AS output_prefix
+FROM fg"""
+ORACLE["preset_jobs"] = """
+SELECT c_custkey, 'arcgis' AS api_type,
+       'https://gis.example.org/' || lower(c_mktsegment) || '/' || c_custkey::VARCHAR AS url, '' AS version FROM customer
+UNION ALL
+SELECT c_custkey, 'wfs', 'https://gis.example.org/' || lower(c_mktsegment), '2.0.0' FROM customer
+UNION ALL
+SELECT c_custkey, 'file', 's3://' || lower(c_mktsegment) || '/' || c_custkey::VARCHAR || '.parquet', '' FROM customer"""
+ORACLE["extent_strict"] = ORACLE["extent_by_layer"]
+ORACLE["export_formats"] = """
+SELECT v.format, v.status, CASE WHEN v.status = 'ok' THEN o.n END AS rows,
+       CASE WHEN v.format IN ('parquet', 'geojson') THEN 0::BIGINT END AS bad_rows
+FROM (VALUES ('parquet', 'ok'), ('geojson', 'ok'), ('csv', 'ok'), ('filegdb', 'unsupported'), ('foo', 'unknown')) v(format, status),
+     (SELECT count(*) AS n FROM orders) o"""
+ORACLE["box_record"] = f"""WITH {FA}
+SELECT min(xmin) AS min_lon, min(ymin) AS min_lat, max(xmax) AS max_lon, max(ymax) AS max_lat,
+       'orders' AS source_file, 'all' AS layer FROM fa"""
+ORACLE["job_run"] = f"""WITH {FA}, {FE}
+SELECT j.job_name, v.format, v.status, count(f.o_orderkey) AS feature_count,
+       min(f.xmin) AS xmin, min(f.ymin) AS ymin, max(f.xmax) AS xmax, max(f.ymax) AS ymax,
+       v.status <> 'unsupported' AND count(f.o_orderkey) > 0 AS written
+FROM fe j CROSS JOIN (VALUES ('csv', 'ok'), ('geojson', 'ok'), ('filegdb', 'unsupported')) v(format, status)
+LEFT JOIN fa f ON {INTERSECTS}
+GROUP BY j.job_name, v.format, v.status"""

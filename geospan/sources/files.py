@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from geospan.functions.bbox import BBOX_FIELDS
 from geospan.operators.geometry import (decode_geometry, points_from_lonlat,
                                         resolve_geometry_column)
 from geospan.plans.jobs import file_kind, hadoop_options, hadoop_path
@@ -128,10 +129,17 @@ def read_json_records(spark: SparkSession, path: str, options: dict | None = Non
 def read_features_parquet(spark: SparkSession, path: str, geometry: str | None = None
                           ) -> DataFrame:
     """Parquet / GeoParquet.  A stored ``bbox`` struct is used as is (its
-    fields carry row-group statistics for pushdown); otherwise it is derived."""
-    df = spark.read.parquet(path)
+    fields carry row-group statistics for pushdown); otherwise it is derived, and a
+    column ``bbox`` of another type is kept as ``properties_bbox``."""
+    return _with_box(spark.read.parquet(path), geometry)
+
+
+def _with_box(df: DataFrame, geometry: str | None) -> DataFrame:
     if "bbox" in df.columns:
-        return df
+        kind = df.schema["bbox"].dataType
+        if kind.typeName() == "struct" and {f.name: f.dataType.typeName() for f in kind.fields} == dict.fromkeys(BBOX_FIELDS, "double"):
+            return df
+        df = df.withColumnRenamed("bbox", "properties_bbox")
     return decode_geometry(df, resolve_geometry_column(df, geometry or "geom"))
 
 
@@ -199,7 +207,7 @@ def read_archive(spark: SparkSession, path: str, member_glob: str | None = None,
     then spread over ``partitions`` tasks, each of which seeks to and inflates
     its own members.  A single huge archive is therefore unpacked by many
     tasks, and no archive is ever held whole in one row."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.[zZ][iI][pP]").load(path)
              .select("path"))
     members = files.mapInPandas(_list_members, "archive string, member string, size long")
     if member_glob:
@@ -221,16 +229,18 @@ def read_source(spark: SparkSession, url: str, geometry: str | None = None,
                 storage_options: dict | None = None) -> DataFrame:
     """S10/S11 for one file source: pick the reader by suffix, then decode
     the geometry column.  Remote URLs are mapped to Hadoop paths and their
-    storage options become per-read Hadoop options (S8)."""
+    storage options become per-read Hadoop options (S8).  ``zip://archive!member``
+    reads the GeoJSON members that match (a glob; default all)."""
+    if url.startswith("zip://"):
+        archive, member = parse_zip_url(url)
+        bodies = read_archive(spark, hadoop_path(archive), member).select(F.decode("content", "UTF-8").alias("body"))
+        return decode_geometry(parse_features(bodies).drop("_pos"), "geometry")
     path = hadoop_path(url)
     opts = hadoop_options(url, storage_options)
     reader = spark.read.options(**opts)
     kind = spark.range(1).select(file_kind(F.lit(url)).alias("k")).first()["k"]
     if kind == "parquet":
-        df = reader.parquet(path)
-        if "bbox" in df.columns:
-            return df
-        return decode_geometry(df, resolve_geometry_column(df, geometry or "geom"))
+        return _with_box(reader.parquet(path), geometry)
     if kind == "json":
         df = read_geojson_any(spark, path, opts)
         if df is None:
