@@ -47,8 +47,77 @@ def _filter(leaves: DataFrame) -> np.ndarray:
     return bits
 
 
+def _several(lines: list[tuple[int, list[bytes]]], depth: int, share: float) -> dict[int, bytes]:
+    """own -> general form, of the different lines (own, tokens) of one leaf that share a template.
+
+    The first line left, by hash, gathers the lines of which ``share`` agrees with it; a place
+    keeps the token that more than half of them have.  All lines left of which ``share`` agrees
+    with that form take it, and the others go on without them, so neither a second template nor
+    unrelated lines change the form.
+    """
+    size = len(lines[0][1])
+    codes: dict[bytes, int] = {}
+    lines = sorted(lines)
+    grid = np.array([[codes.setdefault(t, len(codes) + 1) if t != b"<*>" else 0 for t in tokens] for _, tokens in lines], np.int32)
+    words = [b"<*>", *codes]
+    near = np.full(len(lines), len(lines) <= 32)
+    if len(lines) > 32:  # lines that agree in all but `apart` places have one of `apart` + 1 blocks of places in common
+        apart = size - int(np.ceil(share * size))
+        for block in np.array_split(np.arange(depth, size), apart + 1):
+            _, at, n = np.unique(grid[:, block], axis=0, return_inverse=True, return_counts=True)
+            near |= n[at.reshape(-1)] > 1
+    free, out = np.ones(len(lines), bool), {}
+
+    def agree(rows, form):
+        return ((grid[rows] == form) & (form > 0)).sum(axis=1)
+    for first in np.flatnonzero(near):
+        while free[first]:
+            rest = np.flatnonzero(free)
+            alike = agree(rest, grid[first])
+            group = rest[alike >= share * size]
+            if (group != first).sum() == 0:
+                break
+            middle = np.sort(grid[group], axis=0)[len(group) // 2]  # where what more than half have is
+            form = np.where((grid[group] == middle).sum(axis=0) * 2 > len(group), middle, 0)
+            taken = rest[agree(rest, form) >= share * size]
+            if len(taken) < 2:  # then with the nearest line alone
+                alike[rest == first] = -1
+                form = np.where(grid[rest[alike.argmax()]] == grid[first], grid[first], 0)
+                taken = rest[agree(rest, form) >= share * size]
+            masked = b" ".join(words[c] for c in form)
+            out.update((lines[i][0], masked) for i in taken)
+            free[taken] = False
+    return out
+
+
+def _general(chosen: DataFrame, depth: int, share: float) -> DataFrame:
+    """(gl, go, general): the leaf, own hash and form's hash of the lines that ``_several`` gives a form."""
+    from xxhash import xxh64_intdigest
+
+    def forms(held):
+        for own, general in _several(held, depth, share).items():
+            yield own, xxh64_intdigest(general, 42)
+
+    def run(batches):
+        leaf, held = None, []
+        for batch in batches:
+            out = []
+            for at, own, line in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                if at != leaf:
+                    out += [(leaf, *x) for x in forms(held)] if len(held) > 1 else []
+                    leaf, held = at, []
+                held.append((own, line.encode("utf-8", "surrogatepass").split(b" ")))
+            yield {"gl": [x[0] for x in out], "go": [x[1] for x in out], "general": _signed([x[2] for x in out])}
+        if len(held) > 1:
+            out = list(forms(held))
+            yield {"gl": [leaf] * len(out), "go": [x[0] for x in out], "general": _signed([x[1] for x in out])}
+    rows = (chosen.select("leaf", "own", F.array_join("tokens", " ").alias("line"))
+            .repartition("leaf").sortWithinPartitions("leaf"))
+    return map_batches(rows, run, "gl long, go long, general long")
+
+
 def line_templates(docs: DataFrame, depth: int = 3, least_tokens: int = 5, share: float = 0.7,
-                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                   id_col: str = "doc_id", text_col: str = "text", several: bool = False) -> DataFrame:
     """(doc, line_no, template): the template of every line of at least ``least_tokens`` tokens; doc is
     the id and the hash of the text.
 
@@ -56,7 +125,8 @@ def line_templates(docs: DataFrame, depth: int = 3, least_tokens: int = 5, share
     leaf.  In a leaf a position keeps the token that more than half of its different lines have
     there and is a variable field otherwise; a line's template is its tokens with the fields that
     don't agree left open.  A line of which less than ``share`` agrees, or whose leaf has one line,
-    is a template of its own.  The result does not depend on the order of lines.
+    is a template of its own.  The result does not depend on the order of lines.  With ``several``
+    a leaf holds as many templates as its lines form (``_several``), not the one of its majority.
 
     Lines travel as hashes.  The tokens are read again only of lines in leaves that have several,
     which a bit filter of fixed size (and then a join) tells; counting them is by (leaf, place,
@@ -90,16 +160,19 @@ def line_templates(docs: DataFrame, depth: int = 3, least_tokens: int = 5, share
     chosen = (map_batches(rows.select("text"), words, "leaf long, own long, tokens array<string>")
               .join(leaves.withColumnRenamed("leaf", "_leaf"), F.col("leaf") == F.col("_leaf"))
               .select("leaf", "own", "n", "tokens").dropDuplicates(["leaf", "own"]).checkpoint())
-    steady = (chosen.select("leaf", "n", F.posexplode("tokens").alias("place", "token"))
-              .groupBy("leaf", "place", "token").agg(F.count("*").alias("c"), F.first("n").alias("n"))
-              .where((F.col("c") * 2 > F.col("n")) & (F.col("token") != ANY)))  # one token of a place at most
-    fixed = steady.groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("place", "token"))).alias("fixed"))
-    masked = F.transform("tokens", lambda t, i: F.when(t == F.col("fixed")[i], t).otherwise(ANY))
-    general = (chosen.join(fixed, "leaf").withColumn("masked", masked)
-               .withColumn("agree", F.size(F.filter("masked", lambda t: t != ANY)))
-               .where(F.col("agree") >= F.lit(share) * F.size("tokens"))
-               .select(F.col("leaf").alias("gl"), F.col("own").alias("go"),
-                       F.xxhash64(F.array_join("masked", " ")).alias("general")))
+    if several:
+        general = _general(chosen, depth, share)
+    else:
+        steady = (chosen.select("leaf", "n", F.posexplode("tokens").alias("place", "token"))
+                  .groupBy("leaf", "place", "token").agg(F.count("*").alias("c"), F.first("n").alias("n"))
+                  .where((F.col("c") * 2 > F.col("n")) & (F.col("token") != ANY)))  # one token of a place at most
+        fixed = steady.groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("place", "token"))).alias("fixed"))
+        masked = F.transform("tokens", lambda t, i: F.when(t == F.col("fixed")[i], t).otherwise(ANY))
+        general = (chosen.join(fixed, "leaf").withColumn("masked", masked)
+                   .withColumn("agree", F.size(F.filter("masked", lambda t: t != ANY)))
+                   .where(F.col("agree") >= F.lit(share) * F.size("tokens"))
+                   .select(F.col("leaf").alias("gl"), F.col("own").alias("go"),
+                           F.xxhash64(F.array_join("masked", " ")).alias("general")))
     # hashed as `own` is, so a line that already is the general form has its template
     return (slim.join(general, (F.col("leaf") == F.col("gl")) & (F.col("own") == F.col("go")), "left")
             .select(F.struct("id", "h").alias("doc"), "line_no", F.coalesce("general", "own").alias("template")))

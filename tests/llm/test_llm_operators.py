@@ -287,6 +287,17 @@ def test_templates(spark):
     assert templates.drop_recurring(docs_of(spark, [])).count() == 0
 
 
+def test_two_templates_in_one_leaf(spark):
+    names = ["alba", "bero", "cima", "dorn", "egil", "fina"]
+    lines = [f"you can read the daily letter of {n} here" for n in names] + [f"you can read old stories by {n} below now" for n in names]
+    lines += [f"you can read {w} {w}a {w}b {w}c {w}d {w}e" for w in ("kor", "lum", "nev", "ost", "pil")]
+    texts = [(k, f"{line}\nown {n}") for k, (line, n) in enumerate(zip(lines, "abcdefghijklmnopqrstuvw"))]
+    got = {r["doc_id"]: r["n_dropped"] for r in templates.drop_recurring(docs_of(spark, texts), several=True).select("doc_id", "n_dropped").collect()}
+    assert {k for k, n in got.items() if n} == {*range(1, 6), *range(7, 12)}
+    staged = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs_of(spark, texts), SF).collect()}
+    assert {k for k, t in staged.items() if t.startswith("you can read")} == {0, 6, *range(12, 17)}
+
+
 def test_toxicity(spark):
     rng = random.Random(8)
     words = [f"{a}{b}{c}" for a in ("ka", "lo", "mi", "ter") for b in ("ran", "sol", "vin", "dem") for c in ("e", "a", "ing", "ot")]
