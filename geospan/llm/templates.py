@@ -15,20 +15,29 @@ ANY = "<*>"
 DIGIT = re.compile(rb"[0-9]")
 #: Size of the filter of shared leaves: 1 MB, whatever the data.
 FILTER_BITS = 1 << 23
+#: Lines of fewer tokens have no variable fields but numbers, and must recur in more documents.
+SHORT = 5
+#: Characters of scripts that are written without spaces.
+UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3000-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff00-\uffef\U00020000-\U0003ffff])")
 
 
-def _tokens(line: bytes) -> list[bytes]:
-    """The tokens of a line, between ASCII white space; one that holds a digit is a variable field."""
+def _tokens(line: bytes, characters: bool = False) -> list[bytes]:
+    """The tokens of a line, between ASCII white space (with ``characters``, each character of a
+    script without spaces is one too); one that holds a digit is a variable field."""
+    if characters and not line.isascii():
+        line = UNSPACED.sub(r" \1 ", line.decode("utf-8", "surrogatepass").replace("\u3000", " ")).encode("utf-8", "surrogatepass")
     tokens = line.split()
     return tokens if not DIGIT.search(line) else [b"<*>" if DIGIT.search(t) else t for t in tokens]
 
 
-def _parsed(text: str, depth: int, least_tokens: int):
+def _parsed(text: str, depth: int, least_tokens: int, characters: bool = False):
     """(line_no, leaf, own, tokens) of the lines of a whole text that are long enough."""
     from xxhash import xxh64_intdigest
 
     for k, line in enumerate(text.encode("utf-8", "surrogatepass").split(b"\n")):
-        tokens = _tokens(line)
+        tokens = _tokens(line, characters)
+        if len(tokens) < SHORT and all(t == b"<*>" for t in tokens):  # different numbers don't recur
+            tokens = line.split()
         if len(tokens) >= least_tokens:
             yield k, xxh64_intdigest(b" ".join(tokens[:depth]), len(tokens)), xxh64_intdigest(b" ".join(tokens), 42), tokens
 
@@ -117,16 +126,19 @@ def _general(chosen: DataFrame, depth: int, share: float) -> DataFrame:
 
 
 def line_templates(docs: DataFrame, depth: int = 3, least_tokens: int = 5, share: float = 0.7,
-                   id_col: str = "doc_id", text_col: str = "text", several: bool = False) -> DataFrame:
-    """(doc, line_no, template): the template of every line of at least ``least_tokens`` tokens; doc is
-    the id and the hash of the text.
+                   id_col: str = "doc_id", text_col: str = "text", several: bool = False,
+                   characters: bool = False) -> DataFrame:
+    """(doc, line_no, template, size): the template of every line of at least ``least_tokens`` tokens; doc is
+    the id and the hash of the text, size the number of tokens, at most ``SHORT``.
 
     The tree has a fixed depth: a line falls by its token count and its first ``depth`` tokens to a
     leaf.  In a leaf a position keeps the token that more than half of its different lines have
     there and is a variable field otherwise; a line's template is its tokens with the fields that
     don't agree left open.  A line of which less than ``share`` agrees, or whose leaf has one line,
     is a template of its own.  The result does not depend on the order of lines.  With ``several``
-    a leaf holds as many templates as its lines form (``_several``), not the one of its majority.
+    a leaf holds as many templates as its lines form (``_several``), not the one of its majority.  With ``characters``
+    text in scripts without spaces is taken character by character.  Lines of fewer than ``SHORT``
+    tokens are templates of their own.
 
     Lines travel as hashes.  The tokens are read again only of lines in leaves that have several,
     which a bit filter of fixed size (and then a join) tells; counting them is by (leaf, place,
@@ -138,11 +150,13 @@ def line_templates(docs: DataFrame, depth: int = 3, least_tokens: int = 5, share
     def hashes(batches):
         for batch, texts in slices(batches, "text"):
             ids, hs = batch.column(0), batch.column(1)
-            found = [(i, *x[:3]) for i, t in enumerate(texts) for x in _parsed(t, depth, least_tokens)]
+            found = [(i, *x[:3], min(SHORT, len(x[3]))) for i, t in enumerate(texts) for x in _parsed(t, depth, least_tokens, characters)]
             at = pa.array([f[0] for f in found], pa.int64())
             yield {"id": ids.take(at), "h": hs.take(at), "line_no": [f[1] for f in found],
-                   "leaf": _signed([f[2] for f in found]), "own": _signed([f[3] for f in found])}
-    slim = map_batches(rows, hashes, "id long, h long, line_no int, leaf long, own long").checkpoint()
+                   "leaf": _signed([f[2] for f in found]), "own": _signed([f[3] for f in found]),
+                   "size": [f[4] for f in found]}
+    slim = map_batches(rows, hashes, "id long, h long, line_no int, leaf long, own long, size int")
+    slim = (slim if least_tokens < SHORT else slim.drop("size")).checkpoint()
     leaves = (slim.select("leaf", "own").distinct().groupBy("leaf").agg(F.count("*").alias("n")).where("n > 1")).checkpoint()
     shared = docs.sparkSession.sparkContext.broadcast(_filter(leaves))
 
@@ -151,7 +165,7 @@ def line_templates(docs: DataFrame, depth: int = 3, least_tokens: int = 5, share
         for _, texts in slices(batches, "text"):
             found = {}
             for t in texts:
-                for _, leaf, own, tokens in _parsed(t, depth, least_tokens):
+                for _, leaf, own, tokens in _parsed(t, depth, max(SHORT, least_tokens), characters):
                     place = leaf % FILTER_BITS
                     if bits[place >> 3] >> (place & 7) & 1:
                         found[own] = (leaf, tokens)
@@ -175,18 +189,24 @@ def line_templates(docs: DataFrame, depth: int = 3, least_tokens: int = 5, share
                            F.xxhash64(F.array_join("masked", " ")).alias("general")))
     # hashed as `own` is, so a line that already is the general form has its template
     return (slim.join(general, (F.col("leaf") == F.col("gl")) & (F.col("own") == F.col("go")), "left")
-            .select(F.struct("id", "h").alias("doc"), "line_no", F.coalesce("general", "own").alias("template")))
+            .select(F.struct("id", "h").alias("doc"), "line_no", F.coalesce("general", "own").alias("template"),
+                    F.col("size") if least_tokens < SHORT else F.lit(SHORT).alias("size")))
 
 
 def recurring_lines(docs: DataFrame, min_docs: int = 2, id_col: str = "doc_id", text_col: str = "text", **tree) -> DataFrame:
     """(doc, lines): of every document the lines to drop, which are those whose template is found in
-    ``min_docs`` documents or more, except in the first (smallest id) of these."""
+    ``min_docs`` documents or more, except in the first (smallest id) of these.  A line of fewer
+    than ``SHORT`` tokens needs ``min_docs`` more for every token that is missing."""
     found = line_templates(docs, id_col=id_col, text_col=text_col, **tree).checkpoint()
-    spread = (found.groupBy("template").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count("*").alias("n"))
-              .where((F.col("first") != F.col("last")) & (F.col("n") >= min_docs)))
-    if min_docs > 2:
-        spread = (found.join(spread.select("template"), "template").select("template", "doc").distinct()
-                  .groupBy("template").agg(F.min("doc").alias("first"), F.count("*").alias("n")).where(F.col("n") >= min_docs))
+    spread = (found.groupBy("template").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count("*").alias("n"),
+                                            (min_docs * (SHORT + 1 - F.min("size"))).alias("need"))
+              .where((F.col("first") != F.col("last")) & (F.col("n") >= F.col("need"))).select("template", "first", "need"))
+    if min_docs > 2 or tree.get("least_tokens", SHORT) < SHORT:
+        spread = spread.checkpoint()
+        wide = (found.select("template", "doc").join(spread.where("need > 2").select("template"), "template").distinct()
+                .groupBy("template").agg(F.count("*").alias("n")).withColumnRenamed("template", "wt"))
+        spread = (spread.join(wide, F.col("template") == F.col("wt"), "left")
+                  .where((F.col("need") <= 2) | (F.col("n") >= F.col("need"))))
     # written first, so that the join below reads both sides from exchanges and a hot template's
     # lines can be split among tasks
     spread = spread.select(F.col("template").alias("t"), "first").checkpoint()
@@ -199,7 +219,7 @@ def drop_recurring(docs: DataFrame, min_docs: int = 2, id_col: str = "doc_id", t
     """``docs`` with ``lines_as`` and ``dropped_as`` (names that it doesn't have), the numbers of lines there were and that were dropped,
     and the text without the latter.
 
-    Lines are dropped as ``recurring_lines`` says; shorter lines always stay.  All columns and rows
+    Lines are dropped as ``recurring_lines`` says; lines of fewer than ``least_tokens`` tokens always stay.  All columns and rows
     stay: rows without an id or text are passed on as they are (their count of lines is null for a
     null text), rows that repeat another lose the same lines, and an empty text has one empty line.
     """

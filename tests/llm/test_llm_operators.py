@@ -298,6 +298,19 @@ def test_two_templates_in_one_leaf(spark):
     assert {k for k, t in staged.items() if t.startswith("you can read")} == {0, 6, *range(12, 17)}
 
 
+def test_lines_of_every_length(spark):
+    body = "日本語の文章には空白がないので一つの語になる"
+    texts = [(k, f"All rights reserved.\nMenu\nno\n{'<*>' if k else 'x'}{chr(97 + k) * 3}") for k in range(8)]
+    texts += [(20, body + "甲"), (21, body + "乙"), (22, "短い"), (23, "短い"), (24, "Yes."), (25, "Yes.")]
+    got = {r["doc_id"]: r["text"].split("\n") for r in corpus_pipeline.line_dedup(spark, docs_of(spark, texts), SF).collect()}
+    assert got[0][0] == "All rights reserved." and all("All rights reserved." not in got[k] for k in range(1, 8))
+    assert all("Menu" in got[k] for k in range(8))  # one token: asked of ten documents
+    assert 20 in got and 21 not in got and {22, 23, 24, 25} <= set(got)
+    menus = [(k, f"Menu\n{chr(97 + k) * 3}") for k in range(10)] + [(20 + k, f"{k}") for k in range(12)]
+    assert sum("Menu" in r["text"] or r["text"].isdigit() for r in corpus_pipeline.line_dedup(spark, docs_of(spark, menus), SF).collect()) == 13
+    assert sum("Menu" in r["text"] for r in corpus_pipeline.line_dedup(spark, docs_of(spark, menus), SF).collect()) == 1
+
+
 def test_toxicity(spark):
     rng = random.Random(8)
     words = [f"{a}{b}{c}" for a in ("ka", "lo", "mi", "ter") for b in ("ran", "sol", "vin", "dem") for c in ("e", "a", "ing", "ot")]
