@@ -18,9 +18,10 @@ ATTRIBUTE = re.compile(r"(?:^|[\s/\"'])(class|id|role|hidden|style|aria-hidden|i
 SPACE = re.compile(r"\s+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr keygen".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object noembed noframes xmp plaintext".split())
-#: Elements that never belong to an article's text.
-OUTSIDE = frozenset("head nav aside footer form button select option dialog menu figure canvas audio video map label fieldset input".split()) | RAW
+RAW = frozenset("script style noscript template textarea title iframe svg object noembed noframes xmp plaintext".split())
+#: Elements that are never text, and those that stand around an article unless they hold most of the page.
+NEVER = frozenset("head button select option canvas audio video map input annotation annotation-xml".split()) | RAW
+OUTSIDE = frozenset("nav aside footer form dialog menu".split())
 BLOCK = frozenset("address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 "
                   "h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split())
 #: A start tag of the key ends an open element of the values, up to the named boundaries.
@@ -32,6 +33,10 @@ AROUND = re.compile(r"(?:^|[-_\s])(?:ads?|advert\w*|adsense|banner|sponsor\w*|pr
                     r"comments?|commentlist|respond|reply|replies|disqus|discussion|related|recommend\w*|more|tags?|pager|pagination|"
                     r"newsletter|subscri\w*|signup|login|search\w*|form|widget\w*|copyright|legal|disclaimer|skip|hidden|contentinfo|"
                     r"complementary|navigation|byline|meta|author|rating)(?=$|[-_\s\d])", re.I)
+#: Class words that only speak of such things: 'with-sidebar', 'has-ads'.
+ABOUT = re.compile(r"(?:with|without|no|has|not|hide|show)[-_]", re.I)
+#: A class word that names the article itself, whatever other words stand beside it.
+NAMES = re.compile(r"(?:^|[-_])(?:article|content|main|body|entry|post|story)(?=$|[-_\d])", re.I)
 HOLDS = re.compile(r"article|content|main|body|entry|post|story|text|page", re.I)
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
@@ -42,6 +47,7 @@ class Node:
     parent: "Node | None"
     name: str = ""
     out: bool = False
+    around: bool = False  # by its tag or name it stands around the article
     kids: list = field(default_factory=list)  # nodes, and str for text
     score: float = 0.0
     length: int = 0
@@ -93,12 +99,13 @@ def parse(page: str) -> Node:
             new.name = " ".join(found.get(k, "") for k in ("class", "id", "role")).strip()
             new.out = ("hidden" in found or found.get("aria-hidden", "").lower() == "true"
                        or "display:none" in found.get("style", "").replace(" ", "").lower())
-        new.out |= tag in OUTSIDE or bool(new.name and tag not in ("html", "body", "article", "main") and AROUND.search(new.name))
-        if tag == "header" and not new.out:  # of the page, unless it heads an article
+        new.out |= tag in NEVER
+        new.around = tag in OUTSIDE or bool(new.name and tag not in ("html", "body", "article", "main") and _stands_around(new.name))
+        if tag == "header" and not new.around:  # of the page, unless it heads an article
             seen = node
             while seen is not None and seen.tag not in ("article", "main"):
                 seen = seen.parent
-            new.out = seen is None
+            new.around = seen is None
         node.kids.append(new)
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\s*(?:>|/)", re.I).search(page, at)
@@ -108,6 +115,33 @@ def parse(page: str) -> Node:
     return top
 
 
+def _stands_around(name: str) -> bool:
+    """Whether a word of a class, id or role says so, and none names the article itself."""
+    if not AROUND.search(name):
+        return False
+    words = [w for w in name.split() if not ABOUT.match(w)]
+    return any(AROUND.search(w) for w in words) and not any(NAMES.search(w) and not AROUND.search(w) for w in words)
+
+
+def _leave_out(top: Node) -> None:
+    """Marks as out what stands around the article, but never what holds more than half of the
+    page's points for commas and length of text that isn't linked."""
+    order, stack = [], [(top, False)]
+    points: dict[int, float] = {}
+    while stack:
+        node, linked = stack.pop()
+        linked |= node.tag == "a"
+        order.append(node)
+        points[id(node)] = 0.0 if linked else sum(k.count(",") + len(k.strip()) / 100 for k in node.kids if isinstance(k, str))
+        stack.extend((k, linked) for k in node.kids if isinstance(k, Node) and not k.out)
+    for node in reversed(order):
+        if node.parent is not None and id(node.parent) in points:
+            points[id(node.parent)] += points[id(node)]
+    half = points[id(top)] / 2
+    for node in order:
+        node.out |= node.around and points[id(node)] <= half
+
+
 def _end_paragraph(node: Node) -> Node:
     seen = node
     while seen is not None and (seen.tag == "p" or seen.tag not in BLOCK):
@@ -166,10 +200,12 @@ def main_text(page: str) -> str:
     Every block of text passes points to its element's ancestors: one, one for each comma and one for
     every hundred characters, in full to the first, half to the second, less further up; points
     shrink with the share of text that is linked.  The container with the most points is kept, with
-    those of its siblings that are text of their own (few links, and either many points or a
-    paragraph or heading); of what stands inside, menus, forms, notices and the like are left out.
+    those of its siblings that are text of their own (few links, and either a fifth of its points
+    or a paragraph or heading); of what stands inside, all blocks are kept, linked ones and figures
+    too, but menus, forms, notices and the like are left out, unless they hold most of the page.
     """
     top = parse(page)
+    _leave_out(top)
     found = blocks(top)
     if not found:
         return ""
@@ -189,16 +225,16 @@ def main_text(page: str) -> str:
 
     def rank(n: Node) -> float:
         bonus = 25.0 if n.tag in ("article", "main") else 5.0 if n.name and HOLDS.search(n.name) else 0.0
-        return (n.score + bonus) * (1 - n.linked / max(1, n.length))
+        return (n.score + bonus) * (1 - n.linked / max(1, n.length)) * (0.5 if n.around else 1.0)
     best = max((n for n in marks.values() if n.tag not in ("html",) or len(marks) == 1), key=rank, default=top)
     keep = [best]
     if best.parent is not None and best.tag not in ("article", "main", "body"):
-        least = max(10.0, 0.2 * rank(best))
+        least = 0.2 * rank(best)
         keep = []
         for n in best.parent.kids:
             if n is best:
                 keep.append(n)
-            elif isinstance(n, Node) and not n.out and n.tag not in OUTSIDE:
+            elif isinstance(n, Node) and not n.out and not n.around:
                 own = blocks(n)
                 size = sum(len(t) for _, t, _ in own)
                 linked = sum(len(t) * k for _, t, k in own) / max(1, size)
@@ -207,7 +243,7 @@ def main_text(page: str) -> str:
     elif best.tag == "article" and best.parent is not None:
         # a page may cut its article into several of one kind
         keep = [n for n in best.parent.kids if n is best or isinstance(n, Node) and n.tag == "article" and not n.out and rank(n) >= 0.2 * rank(best)]
-    return "\n".join(t for n in keep for _, t, linked in blocks(n) if linked < 0.9)
+    return "\n".join(t for n in keep for _, t, _ in blocks(n))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

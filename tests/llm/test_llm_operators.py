@@ -206,6 +206,19 @@ def test_html(page, want):
     assert html.main_text(page) == want
 
 
+LONG = "A long, long sentence of the main text, with commas, and more, and yet more."
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<article><p>{LONG}</p><figure><pre>code()</pre><figcaption>A caption</figcaption></figure><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math></p>"
+     f"<label>One</label><ul><li><a href=x>A source</a></li></ul></article>", f"{LONG}\ncode()\nA caption\nso x=1\nOne\nA source"),
+    *((f"<div class='sidebar'><p>side, bar</p></div><div class='{name}'><p>{LONG}</p><p><a href=x>{LONG}</a></p></div><p class=footer>foot</p>", f"{LONG}\n{LONG}")
+      for name in ("content with-sidebar", "col no-sidebar", "article-body has-ads", "entry-content more", "main-column left-side", "post author-12", "more")),
+    (f"<form><div><p>{LONG}</p><nav>menu</nav></div></form>", LONG)])
+def test_html_keeps_the_article(page, want):
+    assert html.main_text(page) == want
+
+
 def test_html_rows(spark):
     df = spark.createDataFrame([(1, "u", None, 5), (None, None, "<p>x</p>", 6), (1, "u", "<p>é</p>", 7)], "page_id long, url string, html string, text int")
     assert sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in html.extract(df).collect()) == [(0, "x", 1), (1, "", 0), (1, "é", 1)]
