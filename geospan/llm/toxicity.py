@@ -29,18 +29,16 @@ WINDOW = 24
 OFFSETS = [(j, k) for k in range(2, SPAN) for j in range(1, k)]
 
 SPELLED = re.compile(r"(?<!\S)\w(?:[ \t.*_-]+\w){2,}(?!\w)")
-SENTENCE = re.compile(r"(?<=[.!?])\s|\n")
 INSIDE = re.compile(r"[\W_]+")
 EDGES = ".,;:!?\"'()[]{}<>«»„“”‘’…–—-*_"
 
 
 def units(text: str) -> set[str]:
-    """The distinct units of all sentences of a whole text."""
+    """The distinct units of a whole text; letters are spelled out within a line."""
     low = text.lower()
     words = set(low.split())
     if sum(len(w) <= 2 for w in words) >= 2:
-        for sentence in SENTENCE.split(low):
-            words.update(INSIDE.sub("", m.group()) for m in SPELLED.finditer(sentence))
+        words.update(INSIDE.sub("", m.group()) for m in SPELLED.finditer(low))  # over sentence ends: 'i. d. i. o. t.'
     return words
 
 

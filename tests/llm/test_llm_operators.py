@@ -347,6 +347,11 @@ def test_toxicity(spark):
     assert max(r["score"] for r in toxicity.scored(docs_of(spark, EDGE), none).collect()) < 0.01
 
 
+@pytest.mark.parametrize("text", ["i. d. i. o. t.", "You i. d. i. o. t. there", "an i d i o t", "i.d. i.o. t. or i. d. i. o. t."])
+def test_spelled_words(text):
+    assert "idiot" in {f for u in toxicity.units(text) for f in toxicity.forms(u)}
+
+
 def test_near_dedup_stage(spark):
     copies = [(k, "one two three four five six seven") for k in (5, 3, 9)] + [(3, "one two three four five six seven"), (7, "quite another text is here now"), (-1, "x"), (8, None)]
     kept = corpus_pipeline.near_dedup(spark, docs_of(spark, copies), SF)
