@@ -2,10 +2,9 @@
 
 Each reader returns a DataFrame with the attributes, one text/binary geometry
 column and, after :func:`geospan.operators.geometry.decode_geometry`, a
-``bbox`` struct.  Large inputs should be newline-delimited GeoJSON or
-(Geo)Parquet: those split across tasks.  A FeatureCollection file is one
-row per file (parallelism = number of files); zip archives are listed per
-file and their members are then read by many tasks.
+``bbox`` struct.  GeoJSON splits across tasks in any layout: by lines where every
+feature has its own, else by byte ranges.  Zip archives are listed per file and
+their members are then read by many tasks.
 """
 
 from __future__ import annotations
@@ -21,6 +20,7 @@ from geospan.functions.bbox import BBOX_FIELDS
 from geospan.operators.geometry import (decode_geometry, points_from_lonlat,
                                         resolve_geometry_column)
 from geospan.plans.jobs import file_kind, hadoop_options, hadoop_path
+from geospan.sources.ranges import fragments, scan_features
 from geospan.sources.responses import flatten_properties, parse_features
 
 
@@ -28,13 +28,25 @@ from geospan.sources.responses import flatten_properties, parse_features
 LONLAT = (("lon", "lat"), ("longitude", "latitude"), ("lng", "lat"))
 
 
-def read_geojson(spark: SparkSession, path: str, properties_schema: str | None = None
-                 ) -> DataFrame:
-    """FeatureCollection files -> one row per feature (geometry as
-    GeoJSON text, properties as columns)."""
-    files = spark.read.text(path, wholetext=True).select(
-        F.input_file_name().alias("_file"), F.col("value").alias("body"))
-    return parse_features(files, properties_schema=properties_schema).drop("_pos")
+def read_geojson(spark: SparkSession, path, properties_schema: str | None = None,
+                 options: dict | None = None) -> DataFrame:
+    """S1 for any layout, in byte ranges of each file (see :mod:`geospan.sources.ranges`): one row
+    per feature, geometry as GeoJSON text, properties as columns.
+
+    Takes the members of ``features`` lists and top-level Features; a member whose text is no JSON raises."""
+    return flatten_properties(_scanned_features(spark, path, options), "properties", properties_schema)
+
+
+def _scanned_features(spark: SparkSession, path, options: dict | None = None) -> DataFrame:
+    """(properties, geometry) of every feature."""
+    feat = F.from_json("text", "struct<type:string, properties:string, geometry:string>")
+    found = scan_features(spark, path, options).select("file", "kind", "text", feat.alias("_f"))
+    typed = F.col("_f.type").isNotNull()
+    # a member without a type may still be a feature with properties; one that can't be read is an error
+    readable = typed | F.try_parse_json("text").isNotNull() | F.raise_error(
+        F.concat(F.lit("a member of features that is no JSON in "), "file")).cast("boolean").isNull()
+    return (found.where(((F.col("kind") == "element") & readable) | (F.col("_f.type") == "Feature"))
+            .select(F.col("_f.properties").alias("properties"), F.col("_f.geometry").alias("geometry")))
 
 
 def read_geojson_lines(spark: SparkSession, path: str, properties_schema: str | None = None
@@ -75,33 +87,49 @@ def geojson_files(spark: SparkSession, path: str, options: dict | None = None) -
         (F.count_if(F.col("value").contains('"features"')) > 0).alias("collection"))
 
 
+def geojson_layouts(spark: SparkSession, path: str, options: dict | None = None) -> DataFrame:
+    """(file, collection, mentions, packed) per file, from the fragments between two ``}``, which are short
+    whatever the layout: has it a list of features, does it mention a Feature, and does another object
+    follow one on the same line.  One pass with partial counts."""
+    value = F.col("value")
+    return fragments(spark, path, options).groupBy("file").agg(
+        (F.count_if(value.rlike(r'"features"\s*:\s*(\[|$)')) > 0).alias("collection"),
+        (F.count_if(value.contains('"Feature"')) > 0).alias("mentions"),
+        (F.count_if(value.rlike(r"^[ \t]*,[ \t]*\{")) > 0).alias("packed"))
+
+
 def read_geojson_any(spark: SparkSession, path: str, options: dict | None = None,
                      properties_schema: str | None = None) -> DataFrame | None:
     """S1 for any layout, file by file; None if no file has features or a ``features`` list.
 
-    A file whose features all stand on lines of their own is read in parallel splits; a
-    collection with a feature laid out otherwise (packed, indented, on the header line) is read
-    whole.  Lines that mention a Feature but are none, outside a collection, raise, and so does a
-    folder that mixes feature files with plain JSON records: no feature is left out silently.
+    A file whose features all stand on lines of their own is read line by line, in parallel splits; a
+    collection with a feature laid out otherwise (packed, indented, on the header line) goes through
+    the scanner of byte ranges.  Lines that mention a Feature but are none, outside a collection,
+    raise, and so does a folder that mixes feature files with plain JSON records: no feature is
+    left out silently.
     """
-    found = geojson_files(spark, path, options).collect()  # a row per file, like Spark's own listing
-    plain = [r["file"] for r in found if not (r["features"] or r["other"] or r["collection"])]
-    bad = [r["file"] for r in found if r["other"] and not r["collection"]]
-    if bad:
-        raise ValueError(f"lines that are no whole GeoJSON Feature in {bad[:5]}")
+    found = geojson_layouts(spark, path, options).collect()  # a row per file, like Spark's own listing
+    plain = [r["file"] for r in found if not (r["mentions"] or r["collection"])]
+    scan = [r["file"] for r in found if r["collection"] and r["packed"]]
+    by_line = [r["file"] for r in found if (r["mentions"] or r["collection"]) and not (r["collection"] and r["packed"])]
+    split = []
+    if by_line:
+        lines = geojson_files(spark, by_line, options).collect()
+        bad = [r["file"] for r in lines if r["other"] and not r["collection"]]
+        if bad:
+            raise ValueError(f"lines that are no whole GeoJSON Feature in {bad[:5]}")
+        scan += [r["file"] for r in lines if r["other"]]
+        split = [r["file"] for r in lines if not r["other"] and (r["features"] or r["collection"])]
+        plain += [r["file"] for r in lines if not (r["other"] or r["features"] or r["collection"])]
     if len(plain) == len(found):
         return None
     if plain:
         raise ValueError(f"no GeoJSON features in {plain[:5]}, but in other files of {path}")
-    whole = [r["file"] for r in found if r["other"]]
-    split = [r["file"] for r in found if not r["other"]]
-    reader = spark.read.options(**(options or {}))
     parts = []
-    if whole:
-        bodies = reader.text(whole, wholetext=True).select(F.col("value").alias("body"))
-        parts.append(parse_features(bodies, flatten=False).select("properties", "geometry"))
+    if scan:
+        parts.append(_scanned_features(spark, scan, options))
     if split:
-        parts.append(_line_features(reader.text(split)))
+        parts.append(_line_features(spark.read.options(**(options or {})).text(split)))
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return flatten_properties(rows, "properties", properties_schema)
 
