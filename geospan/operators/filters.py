@@ -7,18 +7,16 @@ row groups whose min/max statistics miss the box are never decoded.
 
 from __future__ import annotations
 
-import json
 from functools import reduce
 from typing import Mapping, Sequence
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geospan.functions import wkb as _wkb
 from geospan.functions.bbox import bbox_within, lit_bbox
+from geospan.functions.columnar import intersects_boxes
 
 GEOMETRY_COLUMNS = ("geometry", "bbox", "srid", "assumed_srid", "_bad")
 
@@ -93,116 +91,17 @@ def count_features(df: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# F2 kernel: exact "geometry intersects rectangle" on WKT / GeoJSON / WKB.
+# exact "geometry intersects rectangle" on WKT / GeoJSON / WKB.
 # ---------------------------------------------------------------------------
 
-def _segments_hit_rect(xs, ys, x0, y0, x1, y1) -> bool:
-    """Any segment of the chain (xs, ys) meets the closed rectangle
-    (Liang-Barsky clipping, vectorised over segments)."""
-    if len(xs) == 0:
-        return False
-    inside = (xs >= x0) & (xs <= x1) & (ys >= y0) & (ys <= y1)
-    if inside.any():
-        return True
-    if len(xs) < 2:
-        return False
-    ax, ay, bx, by = xs[:-1], ys[:-1], xs[1:], ys[1:]
-    dx, dy = bx - ax, by - ay
-    t0 = np.zeros_like(ax)
-    t1 = np.ones_like(ax)
-    ok = np.ones(len(ax), dtype=bool)
-    for p, q in ((-dx, ax - x0), (dx, x1 - ax), (-dy, ay - y0), (dy, y1 - ay)):
-        par = p == 0
-        ok &= ~(par & (q < 0))
-        with np.errstate(divide="ignore", invalid="ignore"):
-            r = np.where(par, 0.0, q / np.where(par, 1.0, p))
-        t0 = np.where(~par & (p < 0), np.maximum(t0, r), t0)
-        t1 = np.where(~par & (p > 0), np.minimum(t1, r), t1)
-    return bool((ok & (t0 <= t1)).any())
-
-
-def _point_in_rings(px, py, rings) -> bool:
-    """Even-odd rule over all rings of one polygon."""
-    inside = False
-    for xs, ys in rings:
-        if len(xs) < 3:
-            continue
-        ax, ay, bx, by = xs[:-1], ys[:-1], xs[1:], ys[1:]
-        cross = ((ay > py) != (by > py))
-        with np.errstate(divide="ignore", invalid="ignore"):
-            xint = ax + (py - ay) * (bx - ax) / (by - ay)
-        inside ^= bool((cross & (px < xint)).sum() % 2)
-    return inside
-
-
-def _parts(tree):
-    """Yield ('chain', xs, ys) and ('polygon', rings) parts of a parsed tree."""
-    name, _, body = tree
-    if body is None:
-        return
-    if name == "GEOMETRYCOLLECTION":
-        for g in body:
-            yield from _parts(g)
-        return
-
-    def arr(pts):
-        a = np.array([p[:2] for p in pts], dtype=float)
-        return a[:, 0], a[:, 1]
-    if name in ("POINT", "LINESTRING"):
-        yield ("chain",) + arr(body if name == "LINESTRING" else body[:1])
-    elif name == "MULTIPOINT":
-        for p in body:
-            yield ("chain",) + arr([p])
-    elif name == "MULTILINESTRING":
-        for ls in body:
-            yield ("chain",) + arr(ls)
-    elif name == "POLYGON":
-        yield ("polygon", [arr(r) for r in body if r])
-    elif name == "MULTIPOLYGON":
-        for pg in body:
-            yield ("polygon", [arr(r) for r in pg if r])
-
-
-def _tree_of(value):
-    if value is None:
-        return None
-    if isinstance(value, (bytes, bytearray, memoryview)):
-        return _wkb._gj_tree(_wkb._read_geojson(bytes(value), 0)[1])
-    s = value.strip()
-    if s.startswith("{"):
-        return _wkb._gj_tree(json.loads(s))
-    if _wkb._HEX.match(s):
-        return _tree_of(bytes.fromhex(s))
-    return _wkb._parse_wkt(_wkb._tokens(s), 0)[0]
-
-
-def intersects_rect(value, x0, y0, x1, y1) -> bool | None:
-    tree = _tree_of(value)
-    if tree is None:
-        return None
-    for part in _parts(tree):
-        if part[0] == "chain":
-            if _segments_hit_rect(part[1], part[2], x0, y0, x1, y1):
-                return True
-        else:
-            rings = part[1]
-            for xs, ys in rings:
-                if _segments_hit_rect(xs, ys, x0, y0, x1, y1):
-                    return True
-            # rectangle entirely inside the polygon
-            if rings and _point_in_rings(x0, y0, rings):
-                return True
-    return False
-
-
-@F.pandas_udf(T.BooleanType())
-def _intersects_box_udf(g: pd.Series, x0: pd.Series, y0: pd.Series,
-                        x1: pd.Series, y1: pd.Series) -> pd.Series:
-    return pd.Series([_wkb.readable(lambda v: intersects_rect(v, a, b, c, d), v)
-                      for v, a, b, c, d in zip(g, x0, y0, x1, y1)], dtype=object)
+@F.arrow_udf(T.BooleanType())
+def _intersects_box_udf(g: pa.Array, x0: pa.Array, y0: pa.Array, x1: pa.Array, y1: pa.Array) -> pa.Array:
+    box = (b.to_numpy(zero_copy_only=False) for b in (x0, y0, x1, y1))
+    return intersects_boxes(g, *box)
 
 
 def geometry_intersects_box(geometry: Column, x0, y0, x1, y1) -> Column:
-    """Exact intersects test of a geometry (WKT / GeoJSON text or WKB bytes)
-    with a box; a NULL or unreadable geometry gives NULL."""
+    """Exact intersects test of a geometry (WKT / GeoJSON / hex WKB text or WKB bytes)
+    with a box, an Arrow batch at a time (:mod:`geospan.functions.columnar`); a NULL or
+    unreadable geometry gives NULL."""
     return _intersects_box_udf(geometry, x0, y0, x1, y1)
