@@ -258,69 +258,64 @@ def _wkb_chains(flat: Flat, raw: np.ndarray, edge: np.ndarray, rows: np.ndarray)
 
 
 class _Text:
-    """Tokens of the texts of a batch: kind, place, value number, depth, and the numbers among them."""
+    """Tokens of the texts of a batch: kind, place, value number, depth of brackets, and the numbers among them.
 
-    NUMBER, OPEN, CLOSE, COMMA, WORD, OTHER = 1, 2, 3, 4, 5, 6
+    Words have been replaced by single control characters (``codes``), so that a byte's class is its token's
+    kind, and only a number has more than one byte.
+    """
+
+    NUMBER, OPEN, CLOSE, COMMA, OTHER = 1, 2, 3, 4, 15
 
-    def __init__(self, text: pa.Array, opens: bytes, closes: bytes, blank_strings: bool):
+    def __init__(self, text: pa.Array, kinds: dict[bytes, int]):
         size = pc.binary_length(text).to_numpy(zero_copy_only=False).astype(np.int64)
-        self.data = np.frombuffer(_joined(text, b"\n") + b"\n", np.uint8)
-        self.start = np.concatenate([[0], np.cumsum(size + 1)[:-1]])
-        kind = np.full(256, self.OTHER, np.uint8)
-        kind[[32, 9, 10, 13]] = 0
-        kind[list(b"0123456789.+-")] = self.NUMBER
-        kind[list(opens)], kind[list(closes)], kind[ord(",")] = self.OPEN, self.CLOSE, self.COMMA
-        kind[[*range(65, 91), *range(97, 123)]] = self.WORD
-        k = kind[self.data]
-        self.strings = None
-        if blank_strings:
-            quotes = np.flatnonzero(self.data == ord('"'))
-            # a value with an odd number of quotes, or an escape, isn't taken (the caller sees it by OTHER)
-            odd = np.bincount(np.searchsorted(self.start, quotes, side="right") - 1, minlength=len(text)) % 2 == 1
-            if not odd.any():
-                inside = np.cumsum(np.bincount(quotes, minlength=len(k))) % 2 == 1
-                k = np.where(inside, 0, k)
-                k[quotes[1::2]] = 0
-                k[quotes[::2]] = self.WORD  # a string is one token, at its first quote
-                self.strings = quotes
-        else:
-            e = np.flatnonzero((self.data | 32) == ord("e"))
-            digit = (self.data >= 48) & (self.data <= 57)
-            after, before = self.data[np.minimum(e + 1, len(k) - 1)], e - 1
-            power = (before >= 0) & (digit[before] | (self.data[before] == 46)) & (digit[np.minimum(e + 1, len(k) - 1)] | (after == 43) | (after == 45))
-            k[e[power]] = self.NUMBER
-        if blank_strings:
-            e = np.flatnonzero(((self.data | 32) == ord("e")) & (k == self.WORD) & (self.data != ord('"')))
-            before = np.maximum(e - 1, 0)
-            k[e[(k[before] == self.NUMBER)]] = self.NUMBER
-        same = np.concatenate([[False], (k[1:] == k[:-1]) & ((k[1:] == self.NUMBER) | ((k[1:] == self.WORD) & (self.data[1:] != ord('"'))))])
-        self.at = np.flatnonzero((k > 0) & ~same)
-        self.kind = k[self.at]
-        self.value = np.searchsorted(self.start, self.at, side="right") - 1
+        data = np.frombuffer(_joined(text, b"\n") + b"\n", np.uint8)
+        start = np.concatenate([[0], np.cumsum(size + 1)[:-1]])
+        table = np.full(256, self.OTHER, np.uint8)
+        table[[32, 9, 10, 13]] = 0
+        table[list(b"0123456789.+-eE")] = self.NUMBER
+        for chars, kind in kinds.items():
+            table[list(chars)] = kind
+        k = table[data]
+        token = k != 0
+        token[1:] &= (k[1:] != self.NUMBER) | (k[:-1] != self.NUMBER)
+        self.at = np.flatnonzero(token)
+        self.kind = k[self.at].astype(np.int64)
+        self.byte = data[self.at]
+        edge = np.searchsorted(self.at, start)
+        self.value = np.repeat(np.arange(len(text)), np.diff(np.append(edge, len(self.at))))
         number = self.kind == self.NUMBER
-        self.numbers = np.fromstring(np.where(k == self.NUMBER, self.data, 32).tobytes().decode("ascii"), dtype=float, sep=" ")
-        if len(self.numbers) != number.sum():
-            raise ValueError("a number that isn't one")
+        # the numbers' bytes end to end are a column of strings; one that isn't a number raises
+        digit = k == self.NUMBER
+        if (data[digit] == 43).any():  # Arrow reads a plus in front of an exponent only
+            plus = np.flatnonzero(digit & (data == 43))
+            digit[plus[k[plus - 1] != self.NUMBER]] = False
+        begins = np.searchsorted(np.flatnonzero(digit), self.at[number])
+        ends = np.append(begins, digit.sum()).astype(np.int32)
+        self.numbers = pc.cast(pa.StringArray.from_buffers(len(begins), pa.py_buffer(ends), pa.py_buffer(data[digit])), pa.float64()).to_numpy()
         self.before = np.cumsum(number) - number  # numbers before a token
-        step = np.where(self.kind == self.OPEN, 1, np.where(self.kind == self.CLOSE, -1, 0))
-        depth = np.cumsum(step)
-        first = np.searchsorted(self.value, np.arange(len(text)))
-        base = np.concatenate([[0], depth])[first]
+        step = np.zeros(16, np.int64)
+        step[[self.OPEN, 5]], step[[self.CLOSE, 6]] = 1, -1
+        depth = np.cumsum(step[self.kind])
+        base = np.concatenate([[0], depth])[edge]
         self.depth = depth - base[self.value]
+        there = edge < np.append(edge[1:], len(self.at))
         self.first = np.zeros(len(self.at), bool)
-        self.first[first[first < len(self.at)]] = True
+        self.first[edge[there]] = True
         self.last = np.append(self.first[1:], True) if len(self.at) else self.first
-        self.bad = np.zeros(len(text), bool)
-        self.bad[np.setdiff1d(np.arange(len(text)), self.value)] = True
+        self.bad = ~there
         self.bad[self.value[self.last & (self.depth != 0)]] = True
-        self.bad[self.value[(self.depth <= 0) & ~self.last & (self.kind != self.WORD)]] = True
-
-    def words(self, which: np.ndarray, width: int, end) -> np.ndarray:
-        """The bytes of some tokens, ``end`` their ends, cut off after ``width``, as a column of byte strings."""
-        at = self.at[which]
-        place = at[:, None] + np.arange(width)
-        b = np.where(place < end[:, None], self.data[np.minimum(place, len(self.data) - 1)], 0).astype(np.uint8)
-        return np.ascontiguousarray(b).view(f"S{width}").reshape(-1)
+        self.bad[self.value[(self.depth < 0) | ((self.depth == 0) & (step[self.kind] < 0) & ~self.last)]] = True
+
+    def follows(self, pairs, kind: np.ndarray) -> None:
+        """Values with a token that may not follow the one before it (0: the begin) are bad."""
+        allowed = np.zeros((16, 16), bool)
+        for a, b in pairs:
+            allowed[a, b] = True
+        prev = np.where(self.first, 0, np.concatenate([[0], kind[:-1]]))
+        self.bad[self.value[~allowed[prev, kind]]] = True
+        # numbers and brackets side by side in one list
+        mixed = (kind[1:-1] == 4) & (((kind[:-2] == 3) & (kind[2:] == 1)) | ((kind[:-2] == 1) & (kind[2:] == 2)))
+        self.bad[self.value[1:-1][mixed]] = True
 
     def parent(self, child: np.ndarray, up: int) -> np.ndarray:
         """For tokens (opening brackets), the token of the bracket ``up`` levels above."""
@@ -334,50 +329,48 @@ class _Text:
         return out
 
 
-#: Depth of a chain's bracket below its word, by type.
-_WKT_DEPTH = {b"POINT": 1, b"LINESTRING": 1, b"POLYGON": 2, b"MULTIPOINT": 1, b"MULTILINESTRING": 2, b"MULTIPOLYGON": 3}
-_WKT_NAMES = [*_WKT_DEPTH, b"GEOMETRYCOLLECTION"]
+def _coded(text: pa.Array, words: dict[str, str]) -> tuple[pa.Array, np.ndarray]:
+    """The texts with words replaced by their codes, and which of them had no control characters before."""
+    plain = pc.invert(pc.match_substring_regex(text, "[\x01-\x08\x0e-\x1f]")).to_numpy(zero_copy_only=False)
+    for word, code in words.items():
+        text = pc.replace_substring(text, word, code)
+    return text, plain
+
+
+#: Depth of a chain's bracket below its word, by type (1 is POINT).
+_WKT_DEPTH = np.array([0, 1, 1, 2, 1, 2, 3, -9])
+#: Longer words first, where one ends with another.
+_WKT_WORDS = {"GEOMETRYCOLLECTION": "\x07", "MULTIPOLYGON": "\x06", "MULTILINESTRING": "\x05", "MULTIPOINT": "\x04",
+              "POLYGON": "\x03", "LINESTRING": "\x02", "POINT": "\x01"}
+POINT_, LINE_, POLYGON_, MPOINT_, MLINE_, MPOLYGON_, GROUP_ = range(1, 8)
 
 
 def _read_wkt(flat: Flat, text: pa.Array, rows: np.ndarray) -> list[int]:
     """Gives back the rows that the batch pass doesn't take."""
-    text = pc.replace_substring_regex(pc.utf8_upper(text), r"^SRID=[0-9]+;", "")
+    text, plain = _coded(pc.replace_substring_regex(pc.utf8_upper(text), r"^SRID=[0-9]+;", ""), _WKT_WORDS)
     try:
-        t = _Text(text, b"(", b")", False)
+        t = _Text(text, {b"(": 2, b")": 3, b",": 4, bytes(range(1, 8)): 8, b"ZM": 7})
     except ValueError:
         return rows.tolist()
-    word = np.flatnonzero(t.kind == t.WORD)
-    letters = np.append(np.flatnonzero(~((t.data >= 65) & (t.data <= 90))), len(t.data))
-    names, code = np.unique(t.words(word, 24, letters[np.searchsorted(letters, t.at[word])]), return_inverse=True)
-    known = np.array([_WKT_NAMES.index(x) if x in _WKT_NAMES else 7 if x in (b"Z", b"M", b"ZM") else 8 for x in names.tolist()] or [8])
-    kind = t.kind.astype(np.int64).copy()
-    kind[word] = np.where(known[code] == 7, 7, np.where(known[code] == 8, 6, 5)) if len(word) else 5
-    # which token may follow which: begin 0, number 1, ( 2, ) 3, comma 4, type 5, anything else 6, Z/M/ZM 7
-    allowed = np.zeros((8, 8), bool)
-    for a, b in ((0, 5), (5, 2), (5, 7), (7, 2), (2, 2), (2, 1), (2, 5), (1, 1), (1, 4), (1, 3), (4, 1), (4, 2), (4, 5), (3, 3), (3, 4)):
-        allowed[a, b] = True
-    prev = np.where(t.first, 0, np.concatenate([[0], kind[:-1]]))
-    t.bad[t.value[~allowed[prev, kind]]] = True
-    mixed = (kind[1:-1] == 4) & (((kind[:-2] == 3) & (kind[2:] == 1)) | ((kind[:-2] == 1) & (kind[2:] == 2)))
-    t.bad[t.value[1:-1][mixed]] = True
+    t.bad |= ~plain
+    kind = t.kind
+    # begin 0, number 1, ( 2, ) 3, comma 4, Z and M 7, type 8
+    t.follows(((0, 8), (8, 2), (8, 7), (7, 7), (7, 2), (2, 2), (2, 1), (2, 8), (1, 1), (1, 4), (1, 3), (4, 1), (4, 2), (4, 8), (3, 3), (3, 4)), kind)
     t.bad[t.value[t.last & (kind != 3)]] = True
-    is_type = np.flatnonzero(kind == 5)
-    type_of = np.full(len(kind), -1)
-    type_of[word] = known[code] if len(word) else -1
+    is_type = np.flatnonzero(kind == 8)
     open_ = np.flatnonzero((kind == 2) & (np.append(kind[1:], 0) == 1))
     open_ = open_[~t.bad[t.value[open_]]]
     if not len(open_):
         return rows.tolist()
     # the type that a chain belongs to is the last one before it
     owner = is_type[np.maximum(np.searchsorted(is_type, open_) - 1, 0)]
-    what = type_of[owner]
+    what = t.byte[owner]
     depth = t.depth[open_] - t.depth[owner]
-    expected = np.array([*_WKT_DEPTH.values(), -9])[np.clip(what, 0, 6)]
-    fits = (depth == expected) | ((what == 3) & (depth == 2))
+    fits = (depth == _WKT_DEPTH[what]) | ((what == MPOINT_) & (depth == 2))
     t.bad[t.value[open_[~fits | (t.value[owner] != t.value[open_])]]] = True
     nested = is_type[~t.first[is_type]]
     outer = is_type[np.searchsorted(t.value[is_type], t.value[nested])]
-    t.bad[t.value[nested[type_of[outer] != 6]]] = True
+    t.bad[t.value[nested[t.byte[outer] != GROUP_]]] = True
     closes = np.flatnonzero(kind == 3)
     close = closes[np.searchsorted(closes, open_)]
     commas = np.concatenate([[0], np.cumsum(kind == 4)])
@@ -391,9 +384,9 @@ def _read_wkt(flat: Flat, text: pa.Array, rows: np.ndarray) -> list[int]:
     nth = commas[inner] - commas[open_[chain]] + 1
     uneven = t.before[inner] - t.before[open_[chain]] != nth * dims[chain]
     t.bad[t.value[inner[uneven]]] = True
-    single = (what == 0) | ((what == 3) & (depth == 2))
+    single = (what == POINT_) | ((what == MPOINT_) & (depth == 2))
     t.bad[t.value[open_[(count != points * dims) | (dims < 2) | (dims > 4) | (single & (points > 1))]]] = True
-    polygon = np.where((what == 2) | (what == 5), t.parent(open_, 1), np.where((what == 0) | (what == 3), POINTS, LINE))
+    polygon = np.where((what == POLYGON_) | (what == MPOLYGON_), t.parent(open_, 1), np.where((what == POINT_) | (what == MPOINT_), POINTS, LINE))
     keep = ~t.bad[t.value[open_]]
     _add_chains(flat, t, t.before[open_][keep], points[keep], dims[keep], rows[t.value[open_[keep]]], polygon[keep])
     flat.readable[rows[~t.bad]] = True
@@ -406,62 +399,42 @@ def _add_chains(flat, t, first, points, dims, geometry, polygon) -> None:
     flat.add(t.numbers[at], t.numbers[at + 1], points, geometry, polygon)
 
 
-#: Depth of a point's bracket, that of the coordinates being 1, by type; then 1 if a point is a geometry by itself.
-_JSON_DEPTH = {b'"Point"': 1, b'"LineString"': 2, b'"Polygon"': 3, b'"MultiPoint"': 2, b'"MultiLineString"': 3, b'"MultiPolygon"': 4}
-_JSON_NAMES = [*_JSON_DEPTH, b'"GeometryCollection"', b'"type"', b'"coordinates"', b'"geometries"']
+#: Depth of a point's bracket, that of the coordinates being 1, by type (1 is Point).
+_JSON_DEPTH = np.array([0, 1, 2, 3, 2, 3, 4])
+_JSON_WORDS = {'"Point"': "\x01", '"LineString"': "\x02", '"Polygon"': "\x03", '"MultiPoint"': "\x04", '"MultiLineString"': "\x05",
+               '"MultiPolygon"': "\x06", '"GeometryCollection"': "\x07", '"type"': "\x0e", '"coordinates"': "\x0f", '"geometries"': "\x10"}
 
 
 def _read_geojson(flat: Flat, text: pa.Array, rows: np.ndarray) -> list[int]:
     """Gives back the rows that the batch pass doesn't take."""
-    plain = pc.invert(pc.match_substring(text, "\\")).to_numpy(zero_copy_only=False)
-    left, text, rows = rows[~plain].tolist(), text.filter(pa.array(plain)), rows[plain]
-    if not len(rows):
-        return left
-    # colons only follow keys: the words tell keys and types apart
+    text, plain = _coded(text, _JSON_WORDS)
     try:
-        t = _Text(pc.replace_substring(text, ":", " "), b"[{", b"]}", True)
+        t = _Text(text, {b"[": 2, b"]": 3, b",": 4, b"{": 5, b"}": 6, b"\x0e": 7, b"\x0f": 8, b"\x10": 9, bytes(range(1, 8)): 10, b":": 11})
     except ValueError:
-        return left + rows.tolist()
-    if t.strings is None:
-        return left + rows.tolist()
-    string = np.flatnonzero((t.kind == t.WORD) & (t.data[t.at] == ord('"')))
-    ends = t.strings[np.searchsorted(t.strings, t.at[string]) + 1] + 1
-    names, code = np.unique(t.words(string, 24, ends), return_inverse=True)
-    known = np.array([_JSON_NAMES.index(x) if x in _JSON_NAMES else 10 for x in names.tolist()] or [10])
-    what = np.full(len(t.kind), -1)
-    what[string] = known[code] if len(string) else -1
-    char = t.data[t.at]
-    # begin 0, number 1, [ 2, ] 3, comma 4, { 5, } 6, "type" 7, "coordinates" 8, "geometries" 9, a type's name 10, anything else 11
-    kind = np.full(len(t.kind), 11)
-    kind[t.kind == t.NUMBER] = 1
-    for k, c in ((2, "["), (3, "]"), (4, ","), (5, "{"), (6, "}")):
-        kind[(char == ord(c)) & (t.kind != t.WORD)] = k
-    for k, w in ((7, 7), (8, 8), (9, 9)):
-        kind[what == w] = k
-    kind[(what >= 0) & (what <= 6)] = 10
-    allowed = np.zeros((12, 12), bool)
-    for a, b in ((0, 5), (5, 7), (5, 8), (5, 9), (7, 10), (8, 2), (9, 2), (10, 4), (10, 6), (4, 7), (4, 8), (4, 9), (4, 5), (4, 2), (4, 1), (2, 2),
-                 (2, 1), (2, 5), (1, 4), (1, 3), (3, 3), (3, 4), (3, 6), (6, 4), (6, 3)):
-        allowed[a, b] = True
-    prev = np.where(t.first, 0, np.concatenate([[0], kind[:-1]]))
-    t.bad[t.value[~allowed[prev, kind]]] = True
-    mixed = (kind[1:-1] == 4) & (((kind[:-2] == 3) & (kind[2:] == 1)) | ((kind[:-2] == 1) & (kind[2:] == 2)))
-    t.bad[t.value[1:-1][mixed]] = True
+        return rows.tolist()
+    t.bad |= ~plain
+    kind = t.kind
+    colon = np.flatnonzero(kind == 11)
+    kind[colon] = np.where(kind[np.maximum(colon - 1, 0)] == 7, 12, 11)
+    # begin 0, number 1, [ 2, ] 3, comma 4, { 5, } 6, "type" 7, "coordinates" 8, "geometries" 9, a type's name 10, colon 11, that of a type 12
+    t.follows(((0, 5), (5, 7), (5, 8), (5, 9), (7, 12), (12, 10), (8, 11), (9, 11), (11, 2), (10, 4), (10, 6), (4, 7), (4, 8), (4, 9), (4, 5), (4, 2),
+               (4, 1), (2, 2), (2, 1), (2, 5), (1, 4), (1, 3), (3, 3), (3, 4), (3, 6), (6, 4), (6, 3)), kind)
     t.bad[t.value[t.last & (kind != 6)]] = True
-    key, named = np.flatnonzero(kind == 8), np.flatnonzero((kind == 10) & (what < 6))
+    what = t.byte
+    key, named = np.flatnonzero(kind == 8), np.flatnonzero((kind == 10) & (what < GROUP_))
     n = len(rows)
     t.bad[np.bincount(t.value[key], minlength=n) != np.bincount(t.value[named], minlength=n)] = True
-    group, groups = np.flatnonzero(kind == 9), np.flatnonzero(what == 6)
+    group, groups = np.flatnonzero(kind == 9), np.flatnonzero((kind == 10) & (what == GROUP_))
     t.bad[np.bincount(t.value[group], minlength=n) != np.bincount(t.value[groups], minlength=n)] = True
     open_ = np.flatnonzero((kind == 2) & (np.append(kind[1:], 0) == 1))
     open_ = open_[~t.bad[t.value[open_]]]
     key, named = key[~t.bad[t.value[key]]], named[~t.bad[t.value[named]]]  # the k-th coordinates go with the k-th type
     if not len(key):
-        return left + rows.tolist()
+        return rows.tolist()
     mine = np.maximum(np.searchsorted(key, open_) - 1, 0)
     kind_of = what[named[mine]]
     depth = t.depth[open_] - t.depth[key[mine]]
-    t.bad[t.value[open_[depth != np.array(list(_JSON_DEPTH.values()))[kind_of]]]] = True
+    t.bad[t.value[open_[depth != _JSON_DEPTH[kind_of]]]] = True
     # members of a collection each have their own object: as many objects as types
     t.bad[np.bincount(t.value[kind == 5], minlength=n) != np.bincount(t.value[kind == 10], minlength=n)] = True
     closes = np.flatnonzero(kind == 3)
@@ -471,15 +444,16 @@ def _read_geojson(flat: Flat, text: pa.Array, rows: np.ndarray) -> list[int]:
     keep = ~t.bad[t.value[open_]]
     open_, kind_of = open_[keep], kind_of[keep]
     if len(open_):
-        chain = np.where(np.isin(kind_of, (0, 3)), open_, t.parent(open_, 1))
+        dots = (kind_of == POINT_) | (kind_of == MPOINT_)
+        chain = np.where(dots, open_, t.parent(open_, 1))
         new = np.concatenate([[True], chain[1:] != chain[:-1]])
         head = np.flatnonzero(new)
         size = np.diff(np.append(head, len(open_)))
-        polygon = np.where(np.isin(kind_of, (2, 5)), t.parent(open_, 2), np.where(np.isin(kind_of, (0, 3)), POINTS, LINE))[head]
+        polygon = np.where((kind_of == POLYGON_) | (kind_of == MPOLYGON_), t.parent(open_, 2), np.where(dots, POINTS, LINE))[head]
         first = t.before[open_]
         flat.add(t.numbers[first], t.numbers[first + 1], size, rows[t.value[open_[head]]], polygon)
     flat.readable[rows[~t.bad]] = True
-    return left + rows[t.bad].tolist()
+    return rows[t.bad].tolist()
 
 
 # --- the test ---------------------------------------------------------------
