@@ -33,6 +33,12 @@ AROUND = re.compile(r"(?:^|[-_\s])(?:ads?|advert\w*|adsense|banner|sponsor\w*|pr
                     r"comments?|commentlist|respond|reply|replies|disqus|discussion|related|recommend\w*|more|tags?|pager|pagination|"
                     r"newsletter|subscri\w*|signup|login|search\w*|form|widget\w*|copyright|legal|disclaimer|skip|hidden|contentinfo|"
                     r"complementary|navigation|byline|meta|author|rating)(?=$|[-_\s\d])", re.I)
+#: Of these, words that also name parts of articles: such an element is left out only if it has no text of its own.
+WEAK = re.compile(r"(?:^|[-_\s])(?:related|recommend\w*|more|tags?|legal|disclaimer|copyright|side|header|footer|foot|meta|author|byline|"
+                  r"rating|search\w*|form)(?=$|[-_\s\d])", re.I)
+#: Sentences of notices, which are no text of an article's own.
+NOTICE = re.compile(r"©|copyright|all rights reserved|cookie|privacy policy|subscribe|sign up|newsletter|advertis", re.I)
+SENTENCE = re.compile(r"[.!?…。！？][\"'”’»)\]]*\Z")
 #: Class words that only speak of such things: 'with-sidebar', 'has-ads'.
 ABOUT = re.compile(r"(?:with|without|no|has|not|hide|show)[-_]", re.I)
 #: A class word that names the article itself, whatever other words stand beside it.
@@ -48,6 +54,7 @@ class Node:
     name: str = ""
     out: bool = False
     around: bool = False  # by its tag or name it stands around the article
+    weak: bool = False  # by its name only, and by a word that an article's own parts have, too
     kids: list = field(default_factory=list)  # nodes, and str for text
     score: float = 0.0
     length: int = 0
@@ -101,6 +108,7 @@ def parse(page: str) -> Node:
                        or "display:none" in found.get("style", "").replace(" ", "").lower())
         new.out |= tag in NEVER
         new.around = tag in OUTSIDE or bool(new.name and tag not in ("html", "body", "article", "main") and _stands_around(new.name))
+        new.weak = new.around and tag not in OUTSIDE and not _stands_around(WEAK.sub(" ", new.name))
         if tag == "header" and not new.around:  # of the page, unless it heads an article
             seen = node
             while seen is not None and seen.tag not in ("article", "main"):
@@ -125,21 +133,34 @@ def _stands_around(name: str) -> bool:
 
 def _leave_out(top: Node) -> None:
     """Marks as out what stands around the article, but never what holds more than half of the
-    page's points for commas and length of text that isn't linked."""
+    page's points for commas and length of text that isn't linked, nor, where the name alone says so and
+    by a weak word, what has sentences or a heading and few links.  A button in the midst of a paragraph's text is
+    text."""
     order, stack = [], [(top, False)]
-    points: dict[int, float] = {}
+    points: dict[int, list[float]] = {}  # points, characters, linked characters, sentences or headings
     while stack:
         node, linked = stack.pop()
         linked |= node.tag == "a"
         order.append(node)
-        points[id(node)] = 0.0 if linked else sum(k.count(",") + len(k.strip()) / 100 for k in node.kids if isinstance(k, str))
+        texts = [k for k in node.kids if isinstance(k, str)]
+        size = sum(len(k.strip()) for k in texts)
+        told = sum(1 for k in texts if SENTENCE.search(k.strip()) and not NOTICE.search(k)) + (node.tag in HEADINGS)
+        points[id(node)] = [0.0 if linked else sum(k.count(",") for k in texts) + size / 100, size, size if linked else 0, told]
+        if node.tag == "p" and any(k.strip() for k in texts):
+            for k in node.kids:
+                if isinstance(k, Node) and k.tag == "button":
+                    k.out = False
         stack.extend((k, linked) for k in node.kids if isinstance(k, Node) and not k.out)
     for node in reversed(order):
         if node.parent is not None and id(node.parent) in points:
-            points[id(node.parent)] += points[id(node)]
-    half = points[id(top)] / 2
+            above, mine = points[id(node.parent)], points[id(node)]
+            for k in range(4):
+                above[k] += mine[k]
+    half = points[id(top)][0] / 2
     for node in order:
-        node.out |= node.around and points[id(node)] <= half
+        mine, size, linked, told = points[id(node)]
+        own = node.weak and told and size >= 40 and linked < 0.3 * size
+        node.out |= node.around and mine <= half and not own
 
 
 def _end_paragraph(node: Node) -> Node:
@@ -201,8 +222,10 @@ def main_text(page: str) -> str:
     every hundred characters, in full to the first, half to the second, less further up; points
     shrink with the share of text that is linked.  The container with the most points is kept, with
     those of its siblings that are text of their own (few links, and either a fifth of its points
-    or a paragraph or heading); of what stands inside, all blocks are kept, linked ones and figures
-    too, but menus, forms, notices and the like are left out, unless they hold most of the page.
+    or a paragraph or heading) and bare text beside it that reads like text; of what stands inside, all
+    blocks are kept, linked ones and figures too, but menus, forms, notices and the like are left out,
+    unless they hold most of the page.  Of containers with equal points the first to be met from below
+    counts; a page is held as a tree, so a task's memory follows its longest page.
     """
     top = parse(page)
     _leave_out(top)
@@ -234,18 +257,33 @@ def main_text(page: str) -> str:
         for n in best.parent.kids:
             if n is best:
                 keep.append(n)
-            elif isinstance(n, Node) and not n.out and not n.around:
+            elif isinstance(n, str) or n.tag not in BLOCK:
+                if keep and keep[-1] is not best and keep[-1].tag == "#run":
+                    keep[-1].kids.append(n)
+                else:
+                    keep.append(Node("#run", best.parent, kids=[n]))
+            elif not n.out and not n.around:
                 own = blocks(n)
                 size = sum(len(t) for _, t, _ in own)
                 linked = sum(len(t) * k for _, t, k in own) / max(1, size)
                 if rank(n) >= least and linked < 0.3 or n.tag in HEADINGS | {"p", "pre", "blockquote"} and linked < 0.25 and size:
                     keep.append(n)
+        keep = [n for n in keep if n.tag != "#run" or _is_text(n)]
     elif best.tag == "article" and best.parent is not None:
         # a page may cut its article into several of one kind
         keep = [n for n in best.parent.kids if n is best or isinstance(n, Node) and n.tag == "article" and not n.out and rank(n) >= 0.2 * rank(best)]
     return "\n".join(t for n in keep for _, t, _ in blocks(n))
 
 
+def _is_text(run: Node) -> bool:
+    """Whether bare text beside the container reads like text: a sentence of three words or more, or 80
+    characters; few links; no notice."""
+    own = blocks(run)
+    text = " ".join(t for _, t, _ in own)
+    linked = sum(len(t) * k for _, t, k in own) / max(1, len(text))
+    return linked < 0.3 and not NOTICE.search(text) and (len(text) >= 80 or len(text.split()) >= 3 and bool(SENTENCE.search(text)))
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) of every page, whole; a null page has empty text."""
     def run(batches):
