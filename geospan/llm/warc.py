@@ -101,44 +101,61 @@ class ByteRange:
         self.file, self.size, self.step = store.open_input_file(path), size, step
         self.start, self.data = 0, b""
 
-    def at(self, place: int) -> bytes:
-        """The stretch from ``place`` on (empty at the end of the file)."""
+    def at(self, place: int) -> memoryview:
+        """The stretch from ``place`` on (empty at the end of the file), not copied."""
         if not self.start <= place < self.start + len(self.data):
             self.start, self.data = place, self.file.read_at(min(self.step, max(0, self.size - place)), place)
-        return self.data[place - self.start:]
+        return memoryview(self.data)[place - self.start:]
 
     def find(self, place: int, end: int) -> int:
         """Where the next magic starts, from ``place`` to before ``end``; -1: nowhere."""
         while place < end:
-            part = self.at(place)
-            k = part.find(MAGIC)
+            self.at(place)
+            k = self.data.find(MAGIC, place - self.start)
             if k >= 0:
-                return place + k if place + k < end else -1
-            if place + len(part) >= self.size:
+                return self.start + k if self.start + k < end else -1
+            after = self.start + len(self.data)
+            if after >= self.size:
                 return -1
-            place += max(1, len(part) - len(MAGIC) + 1)
-            self.data = b""
+            place = max(place + 1, after - len(MAGIC) + 1)
+            self.start, self.data = place, b""
         return -1
 
 
-def member(source: ByteRange, place: int) -> tuple[bytes | None, int]:
-    """(content, end) of the member at ``place``; content None where no whole WARC record or empty
-    member starts.  A candidate is given up as soon as what it decodes to can't be a header."""
+class Damaged(ValueError):
+    """A record that begins but can't be read to its end."""
+
+
+def member(source: ByteRange, place: int, sure: bool = False) -> tuple[bytes | None, int]:
+    """(content, end) of the member at ``place``; content None where no WARC record or empty member starts.
+
+    A candidate is given up as soon as what it decodes to can't be a header.  Once a header has been decoded, and
+    from the start where a member must begin (``sure``: right after another one), whatever stops the decoding is damage."""
     unpack, out, at = zlib.decompressobj(31), bytearray(), place
     try:
         while not unpack.eof:
-            part = source.at(at)
+            part = source.at(at)[:1 << 16]
             if not part:
+                if sure or _is_record(out):
+                    raise Damaged(f"record at byte {place} ends in the midst")
                 return None, place
             out += unpack.decompress(part)
             at += len(part)
             if out and not bytes(out[:5]) == b"WARC/"[:len(out)]:
+                if sure:
+                    raise Damaged(f"member at byte {place} is no record")
                 return None, place
-    except zlib.error:
+    except zlib.error as e:
+        if sure or _is_record(out):
+            raise Damaged(f"record at byte {place}: {e}") from None
         return None, place
     return bytes(out), at - len(unpack.unused_data)
 
 
+def _is_record(out: bytearray) -> bool:
+    return out[:5] == b"WARC/" and b"\r\n\r\n" in out
+
+
 def parse_record(content: bytes) -> dict:
     """Header fields and payload of a decoded record."""
     head, _, block = content.partition(b"\r\n\r\n")
@@ -150,19 +167,52 @@ def parse_record(content: bytes) -> dict:
     return {"fields": fields, "payload": payload, "length": length}
 
 
-def records(source: ByteRange, start: int, end: int) -> Iterator[dict]:
-    """The records that start in [start, end), whole, in order."""
-    place = source.find(start, end)
-    while place >= 0:
-        content, after = member(source, place)
-        if content:
-            yield parse_record(content)
-        place = source.find(after if content is not None else place + 1, end)
+def records(source: ByteRange, start: int, end: int, flag: bool = False) -> Iterator[dict]:
+    """The records that start in [start, end), whole, in order.
+
+    A member must be followed by another one or the end of the file, also where that is beyond ``end``; so each
+    beginning but a file's first is checked by the reader of the record before it.  Damage raises, or with ``flag`` gives a
+    record with the key ``damaged``, after which the search goes on."""
+    place, sure = source.find(start, end), False
+    while 0 <= place < end:
+        try:
+            content, after = member(source, place, sure)
+            if content:
+                yield parse_record(content)
+            if content is not None and after < source.size:
+                if bytes(source.at(after)[:1]) != MAGIC[:1]:
+                    raise Damaged(f"no member follows the one before byte {after}")
+                if after >= end:
+                    _check_begin(source, after)
+        except Damaged as e:
+            if not flag:
+                raise
+            yield {"damaged": str(e)}
+            content, after = None, place
+        sure = content is not None
+        place = after if sure else source.find(place + 1, end)
+
+
+def _check_begin(source: ByteRange, place: int) -> None:
+    """The first bytes of the member at ``place``, which another reader owns, decode to a record's."""
+    unpack, head = zlib.decompressobj(31), source.file.read_at(min(1 << 12, source.size - place), place)
+    try:
+        out = unpack.decompress(head, 64)
+    except zlib.error as e:
+        raise Damaged(f"record at byte {place}: {e}") from None
+    if not out and not unpack.eof:
+        raise Damaged(f"record at byte {place} ends in the midst")
+    if out and out[:5] != b"WARC/"[:len(out)]:
+        raise Damaged(f"member at byte {place} is no record")
 
 
-def read(spark: SparkSession, folder: str, split_bytes: int = 16 << 20, with_payload: bool = True) -> DataFrame:
+def read(spark: SparkSession, folder: str, split_bytes: int = 16 << 20, with_payload: bool = True, damaged: str = "raise") -> DataFrame:
     """The records of all archives in a folder, as ``RECORD`` rows; digest and size of a response are
-    taken from the payload that was read, and a payload that differs from its digest raises."""
+    taken from the payload that was read, and a payload that differs from its digest raises.  So does a record that is
+    damaged or cut off; with ``damaged="flag"`` it gives a row of record_type ``damaged`` with the reason as its url
+    (found by the reader of the record before it, it may give two), and the others are read."""
+    if damaged not in ("raise", "flag"):
+        raise ValueError("damaged: raise or flag")
     files = spark.read.format("binaryFile").load(folder).select("path", "length").where("length > 0")
     ranges = files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long"))).alias("start"))
     # a number of its own, because rows this small would be coalesced into one task
@@ -176,7 +226,11 @@ def read(spark: SparkSession, folder: str, split_bytes: int = 16 << 20, with_pay
                 source = ByteRange(row["path"], row["length"])
                 held: list[dict] = []
                 size = 0
-                for r in records(source, row["start"], min(row["start"] + split_bytes, row["length"])):
+                for r in records(source, row["start"], min(row["start"] + split_bytes, row["length"]), damaged == "flag"):
+                    if "damaged" in r:
+                        held.append(dict.fromkeys(("page_id", "refers_to", "payload_bytes", "payload_digest", "payload")) | {
+                            "url": f"{row['path']}: {r['damaged']}", "record_type": "damaged"})
+                        continue
                     f, whole = r["fields"], r["fields"]["warc-type"] == "response"
                     digest = f["warc-payload-digest"].partition(":")[2]
                     if whole and hashlib.sha1(r["payload"]).hexdigest() != digest:
