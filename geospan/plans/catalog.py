@@ -393,6 +393,45 @@ def read_geojson(spark, sf_dir):
     return decode_geometry(back, "geometry").select("o_orderkey", "layer", *bbox_cols("bbox"))
 
 
+@register
+def read_geojson_packed(spark, sf_dir):
+    """S1 in byte ranges: collections on one line each, cut into features by the range scanner."""
+    path = _scratch(spark, "packed")
+    feats = D.geojson_features(_t(spark, sf_dir, "orders")).select("o_orderkey", "layer", "geometry")
+    X.write_geojson(feats, path, layout="collection")
+    back = S.read_geojson(spark, path, PAGE_PROPS)
+    return decode_geometry(back, "geometry").select("o_orderkey", "layer", *bbox_cols("bbox"))
+
+
+@register
+def read_archive_members(spark, sf_dir):
+    """Zip archives (one per layer and block of keys, with a GeoJSON, a GeoJSON of another name and a CSV member)
+    and the features of the members that a glob names, read in pieces."""
+    path = _scratch(spark, "archives")
+    D.write_archives(_t(spark, sf_dir, "orders"), path)
+    feats = S.read_archive_features(spark, path, "data/*_a.geojson", PAGE_PROPS, chunk_bytes=1 << 16)
+    return decode_geometry(feats, "geometry").select("o_orderkey", "layer", *bbox_cols("bbox"))
+
+
+@register
+def read_archive_tables(spark, sf_dir):
+    """S7 + S6: the CSV members of the same archives."""
+    path = _scratch(spark, "archives")
+    D.write_archives(_t(spark, sf_dir, "orders"), path)
+    return S.read_archive_csv(spark, path, "*.csv", "o_orderkey bigint, layer string", chunk_bytes=1 << 16)
+
+
+@register
+def remote_paths(spark, sf_dir):
+    """URLs of every scheme as Hadoop paths, and the names of their options."""
+    c = _t(spark, sf_dir, "customer")
+    schemes = F.array(*[F.lit(s) for s in ("s3", "gcs", "azure", "hdfs", "ftp", "file", "S3")])
+    url = F.concat(F.get(schemes, F.pmod("c_custkey", F.lit(7)).cast("int")), F.lit("://store-"), F.lower("c_mktsegment"),
+                   F.lit("/key="), F.col("c_custkey").cast("string"), F.lit(".parquet"))
+    c = c.select("c_custkey", url.alias("url"))
+    return c.select("c_custkey", J.remote_path("url").alias("path"), J.option_prefix("url").alias("prefix"))
+
+
 @register
 def read_json_records(spark, sf_dir):
     """Lists of records, one list per file (a file per 20,000 event ids)."""

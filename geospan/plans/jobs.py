@@ -193,6 +193,25 @@ def hadoop_path(url: str) -> str:
     return f"{HADOOP_SCHEMES.get(scheme.lower(), scheme.lower())}://{rest}"
 
 
+def remote_path(url) -> Column:
+    """S8 over a column of URLs: the Hadoop path of each, bucket and key kept."""
+    u = F.col(url) if isinstance(url, str) else url
+    scheme = F.lower(F.regexp_extract(u, SCHEME_RE, 1))
+    mapped = scheme
+    for k, v in HADOOP_SCHEMES.items():
+        mapped = F.when(scheme == k, F.lit(v)).otherwise(mapped)
+    return F.when(scheme == "", u).otherwise(F.concat(mapped, F.lit("://"), F.regexp_replace(u, SCHEME_RE, "")))
+
+
+def option_prefix(url) -> Column:
+    """What the Hadoop options of a URL's store begin with; those of S3 are its bucket's own."""
+    u = F.col(url) if isinstance(url, str) else url
+    path = remote_path(u)
+    store = F.regexp_extract(path, SCHEME_RE, 1)
+    bucket = F.when((store == "s3a") & (F.regexp_extract(path, HOST_RE, 1) != ""), F.concat(F.lit("bucket."), F.regexp_extract(path, HOST_RE, 1), F.lit(".")))
+    return F.when(store != "", F.concat(F.lit("fs."), store, F.lit("."), F.coalesce(bucket, F.lit(""))))
+
+
 def hadoop_options(url: str, storage_options: Mapping[str, str] | None) -> dict:
     """Storage options -> Hadoop filesystem options for one read.
 

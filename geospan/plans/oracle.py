@@ -454,3 +454,14 @@ SELECT j.job_name, v.format, v.status, count(f.o_orderkey) AS feature_count,
 FROM fe j CROSS JOIN (VALUES ('csv', 'ok'), ('geojson', 'ok'), ('filegdb', 'unsupported')) v(format, status)
 LEFT JOIN fa f ON {INTERSECTS}
 GROUP BY j.job_name, v.format, v.status"""
+
+ORACLE["read_geojson_packed"] = f"WITH {FA} SELECT o_orderkey, layer, xmin, ymin, xmax, ymax FROM fa"
+ORACLE["read_archive_members"] = ORACLE["read_geojson_packed"]
+ORACLE["read_archive_tables"] = "SELECT o_orderkey, o_orderpriority AS layer FROM orders"
+ORACLE["remote_paths"] = """
+WITH u AS (
+  SELECT c_custkey, ['s3', 'gcs', 'azure', 'hdfs', 'ftp', 'file', 'S3'][c_custkey % 7 + 1] AS scheme,
+         'store-' || lower(c_mktsegment) AS host, '/key=' || c_custkey::VARCHAR || '.parquet' AS rest FROM customer),
+m AS (SELECT *, CASE lower(scheme) WHEN 's3' THEN 's3a' WHEN 'gcs' THEN 'gs' WHEN 'azure' THEN 'abfss' ELSE lower(scheme) END AS fs FROM u)
+SELECT c_custkey, fs || '://' || host || rest AS path,
+       'fs.' || fs || '.' || CASE WHEN fs = 's3a' THEN 'bucket.' || host || '.' ELSE '' END AS prefix FROM m"""

@@ -109,9 +109,43 @@ def feature_json(df: DataFrame, geometry: str = "geometry") -> F.Column:
 
 
 def write_geojson(df: DataFrame, path: str, geometry: str = "geometry",
-                  mode: str = "overwrite") -> None:
-    """K3: newline-delimited GeoJSON Features, one shard per task."""
-    df.select(feature_json(df, geometry).alias("value")).write.mode(mode).text(path)
+                  mode: str = "overwrite", layout: str = "lines") -> None:
+    """K3: newline-delimited GeoJSON Features, one shard per task; or (``layout="collection"``) a
+    FeatureCollection per shard, on one line."""
+    rows = df.select(feature_json(df, geometry).alias("value"))
+    if layout == "lines":
+        rows.write.mode(mode).text(path)
+    elif layout == "collection":
+        rows.mapInPandas(_as_collection, "value string").write.mode(mode).option("lineSep", " ").text(path)
+    else:
+        raise ValueError("layout: lines or collection")
+
+
+def _as_collection(batches):
+    """The features of a task between the head and the end of a collection."""
+    begun = False
+    for pdf in batches:
+        v = pdf["value"]
+        if len(v):
+            yield pd.DataFrame({"value": ("," + v) if begun else pd.concat([pd.Series(['{"type":"FeatureCollection","features":[' + v.iloc[0]]), "," + v.iloc[1:]])})
+            begun = True
+    yield pd.DataFrame({"value": ["]}" if begun else '{"type":"FeatureCollection","features":[]}']})
+
+
+@F.pandas_udf(T.BinaryType())
+def zipped(names: pd.Series, contents: pd.Series) -> pd.Series:
+    """Arrays of member names and texts -> the bytes of a zip archive."""
+    import io
+    import zipfile
+
+    out = []
+    for ns, cs in zip(names, contents):
+        box = io.BytesIO()
+        with zipfile.ZipFile(box, "w", zipfile.ZIP_DEFLATED) as z:
+            for n, c in zip(ns, cs):
+                z.writestr(n, c)
+        out.append(box.getvalue())
+    return pd.Series(out, dtype=object)
 
 
 WRITERS = {"csv": write_csv, "parquet": write_geoparquet, "geojson": write_geojson}

@@ -327,6 +327,44 @@ def extraction_jobs(nation: DataFrame) -> DataFrame:
             .withColumn("bbox", F.when(~F.col("_no_box"), F.col("bbox"))).drop("_no_box"))
 
 
+def write_archives(orders: DataFrame, folder: str) -> None:
+    """A zip archive per (layer, block of keys), each with a packed GeoJSON member of its features
+    (``data/<block>_a.geojson``), the same under another name (``data/<block>xa.geojson``) and a CSV member."""
+    import pandas as pd
+
+    from geospan.sinks.export import zipped
+
+    rows = _page_rows(orders)
+    block = F.regexp_extract("job", "([0-9]+)$", 1)
+    # a job has KEY_BLOCK features at most
+    packed = (rows.groupBy("job").agg(_collection(F.collect_list("feature")).alias("body"), F.array_join(F.collect_list(
+        F.concat_ws(",", "o_orderkey", "o_orderpriority")), "\n").alias("lines")))
+    names = F.array(F.concat(F.lit("data/"), block, F.lit("_a.geojson")), F.concat(F.lit("data/"), block, F.lit("xa.geojson")),
+                    F.concat(block, F.lit(".csv")))
+    contents = F.array("body", "body", F.concat(F.lit("o_orderkey,layer\n"), "lines", F.lit("\n")))
+    archives = packed.select(F.concat(F.lit(folder + "/"), F.regexp_replace("job", "[^A-Za-z0-9]", "_"), F.lit(".zip")).alias("path"),
+                             zipped(names, contents).alias("content"))
+
+    def put(batches):
+        for pdf in batches:
+            for path, content in zip(pdf["path"], pdf["content"]):
+                write_file(path, content)
+            yield pd.DataFrame({"n": [len(pdf)]})
+    archives.mapInPandas(put, "n int").agg(F.sum("n")).collect()
+
+
+def write_file(uri: str, content: bytes) -> None:
+    """A file in a store that pyarrow reaches; written whole, so a task that runs again writes the same."""
+    import pyarrow.fs as pafs
+
+    if uri.startswith("file:") and not uri.startswith("file://"):
+        uri = "file://" + uri[len("file:"):]
+    store, path = pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+    store.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    with store.open_output_stream(path) as f:
+        f.write(content)
+
+
 def publish_state(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
     """F-K: the published manifest (files of order years up to 1998) and a new
     batch (years from 1997): one file per (priority, year).  Batch files of the

@@ -9,6 +9,8 @@ their members are then read by many tasks.
 
 from __future__ import annotations
 
+import csv
+import fnmatch
 import zipfile
 from typing import Iterator
 
@@ -20,7 +22,7 @@ from geospan.functions.bbox import BBOX_FIELDS
 from geospan.operators.geometry import (decode_geometry, points_from_lonlat,
                                         resolve_geometry_column)
 from geospan.plans.jobs import file_kind, hadoop_options, hadoop_path
-from geospan.sources.ranges import fragments, scan_features
+from geospan.sources.ranges import fragments, scan_features, scan_fragments
 from geospan.sources.responses import flatten_properties, parse_features
 
 
@@ -39,8 +41,12 @@ def read_geojson(spark: SparkSession, path, properties_schema: str | None = None
 
 def _scanned_features(spark: SparkSession, path, options: dict | None = None) -> DataFrame:
     """(properties, geometry) of every feature."""
+    return _features_of(scan_features(spark, path, options))
+
+
+def _features_of(scanned: DataFrame) -> DataFrame:
     feat = F.from_json("text", "struct<type:string, properties:string, geometry:string>")
-    found = scan_features(spark, path, options).select("file", "kind", "text", feat.alias("_f"))
+    found = scanned.select("file", "kind", "text", feat.alias("_f"))
     typed = F.col("_f.type").isNotNull()
     # a member without a type may still be a feature with properties; one that can't be read is an error
     readable = typed | F.try_parse_json("text").isNotNull() | F.raise_error(
@@ -142,9 +148,10 @@ def read_json_records(spark: SparkSession, path: str, options: dict | None = Non
     fields = df.schema.fields
     # Only an object of columns is taken apart: a list of records may have array cells too.  A file
     # is an object if its first character says so; a folder that mixes both is ambiguous.
-    first = (spark.read.options(**(options or {})).text(path, wholetext=True)
-             .select(F.substring(F.ltrim(F.regexp_replace(F.substring("value", 1, 1000), r"\s+", " ")), 1, 1).alias("c"))
-             .groupBy("c").count().collect())
+    head = fragments(spark, path, options).where(F.col("range") == 0).withColumn("place", F.monotonically_increasing_id())
+    char = F.regexp_extract("value", r"^\s*(\S)", 1)
+    first = (head.select("file", "place", char.alias("c")).where("c <> ''").groupBy("file")
+             .agg(F.min_by("c", "place").alias("c")).select("c").distinct().collect())
     objects = {r["c"] for r in first} == {"{"}
     if objects and fields and all(f.dataType.typeName() == "array" for f in fields if not
                                   f.name.startswith("_corrupt")):
@@ -204,46 +211,141 @@ def _open(path: str):
     return fs.open_input_file(inner)
 
 
+_MEMBERS = "archive string, member string, size long"
+_CHUNKS = "archive string, member string, size long, chunk int, offset long, content binary"
+
+
 def _list_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Read only each archive's central directory (random access)."""
+    """Read only each archive's central directory (random access); a file that is no archive gives
+    a row without a member."""
     for pdf in batches:
-        rows = []
         for path in pdf["path"]:
-            with _open(path) as f, zipfile.ZipFile(f) as z:
-                rows.extend((path, i.filename, i.file_size) for i in z.infolist()
-                            if not i.is_dir())
-        yield pd.DataFrame(rows, columns=["archive", "member", "size"])
+            with _open(path) as f:
+                try:
+                    fine = zipfile.is_zipfile(f)
+                except ValueError:  # pyarrow's, for a file that is shorter than an archive's end
+                    fine = False
+                if not fine:
+                    yield pd.DataFrame([(path, None, None)], columns=["archive", "member", "size"])
+                    continue
+                with zipfile.ZipFile(f) as z:
+                    rows = [(path, i.filename, i.file_size) for i in z.infolist() if not i.is_dir()]
+            for k in range(0, len(rows), 10_000):
+                yield pd.DataFrame(rows[k:k + 10_000], columns=["archive", "member", "size"])
+
+
+def member_chunks(stream, chunk_bytes: int, cut: bytes | None, whole: bool = False) -> Iterator[tuple[int, bytes]]:
+    """(offset, bytes) of a stream in pieces of at most ``chunk_bytes``, each cut after the last ``cut``
+    inside it if there is one; holds one piece.  ``whole``: a piece without a ``cut`` grows until one comes."""
+    offset, held = 0, bytearray()
+    while True:
+        more = stream.read(max(1, chunk_bytes - len(held)) if len(held) < chunk_bytes else chunk_bytes)
+        held += more
+        if not held:
+            return
+        end = len(held)
+        if more and cut:
+            at = held.rfind(cut)
+            if at >= 0:
+                end = at + len(cut)
+            elif whole:
+                continue
+        yield offset, bytes(held[:end])
+        offset += end
+        del held[:end]
+
+
+def _read_chunks(chunk_bytes: int, cut: bytes | None, whole: bool = False):
+    import pyarrow as pa
+
+    names = ["archive", "member", "size", "chunk", "offset", "content"]
+    kinds = [pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                with _open(row["archive"]) as f, zipfile.ZipFile(f) as z, z.open(row["member"]) as stream:
+                    k = -1
+                    for k, (offset, content) in enumerate(member_chunks(stream, chunk_bytes, cut, whole)):
+                        values = (row["archive"], row["member"], row["size"], k, offset, content)
+                        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds)], names=names)
+                    if k < 0:  # an empty member is still a member
+                        values = (row["archive"], row["member"], row["size"], 0, 0, b"")
+                        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds)], names=names)
+    return run
+
+
+def archive_members(spark: SparkSession, path: str, member_glob: str | None = None) -> DataFrame:
+    """(archive, member, size): what the archives under ``path`` hold, from their central directories.
+
+    ``path`` is a file of any name, a folder or a glob; files that aren't archives are left out, and it is an error if
+    there is no archive at all.  ``member_glob`` is matched as ``fnmatch`` does it, with its case."""
+    files = spark.read.format("binaryFile").load(path).select("path")
+    members = files.mapInPandas(_list_members, _MEMBERS)
+    if members.where("member IS NOT NULL").isEmpty():
+        raise ValueError(f"no archive with members in {path}")
+    members = members.where("member IS NOT NULL")
+    if member_glob:
+        pattern = fnmatch.translate(member_glob).replace(r"\Z", r"\z")
+        members = members.where(F.col("member").rlike("^" + pattern))
+    return members
 
 
-def _read_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Read the listed members; each task opens only the archives it needs."""
-    for pdf in batches:
-        out = []
-        for archive, group in pdf.groupby("archive", sort=False):
-            with _open(archive) as f, zipfile.ZipFile(f) as z:
-                for member, size in zip(group["member"], group["size"]):
-                    out.append((archive, member, int(size), z.read(member)))
-        yield pd.DataFrame(out, columns=["archive", "member", "size", "content"])
+def read_archive_chunks(spark: SparkSession, path: str, member_glob: str | None = None, chunk_bytes: int = 4 << 20,
+                        cut: bytes | None = b"\n", whole: bool = False, partitions: int | None = None) -> DataFrame:
+    """S7 for members of any size: (archive, member, size, chunk, offset, content), a row for each piece of
+    at most ``chunk_bytes`` of a member, cut after the last ``cut`` in it (None: anywhere); with ``whole`` a
+    piece without a ``cut`` grows until one comes.
+
+    A task seeks to a member and inflates it piece by piece, so it holds a piece, not a member.  The member
+    list is spread over ``partitions`` tasks; the pieces of a member come from one, in order."""
+    members = archive_members(spark, path, member_glob)
+    n = partitions or spark.sparkContext.defaultParallelism
+    return members.repartition(n, "archive", "member").mapInArrow(_read_chunks(chunk_bytes, cut, whole), _CHUNKS)
 
 
 def read_archive(spark: SparkSession, path: str, member_glob: str | None = None,
-                 partitions: int | None = None) -> DataFrame:
-    """``zip://archive!member`` -> table (archive, member, size, content).
-
-    Archives are listed with ``binaryFile`` without reading their content;
-    one task per archive reads only the central directory; the member list is
-    then spread over ``partitions`` tasks, each of which seeks to and inflates
-    its own members.  A single huge archive is therefore unpacked by many
-    tasks, and no archive is ever held whole in one row."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.[zZ][iI][pP]").load(path)
-             .select("path"))
-    members = files.mapInPandas(_list_members, "archive string, member string, size long")
-    if member_glob:
-        like = member_glob.replace("*", "%").replace("?", "_")
-        members = members.where(F.col("member").like(like))
+                 partitions: int | None = None, most_bytes: int = 256 << 20) -> DataFrame:
+    """``zip://archive!member`` -> table (archive, member, size, content), one whole member a row.
+
+    Archives are listed without reading their content; a member of more than ``most_bytes`` raises (use
+    ``read_archive_chunks``), and a task holds one member at a time."""
+    members = archive_members(spark, path, member_glob)
+    small = members.where((F.col("size") <= most_bytes) | F.raise_error(F.concat(
+        F.lit("too large for one row, use read_archive_chunks: "), "archive", F.lit("!"), "member")).cast("boolean"))
     n = partitions or spark.sparkContext.defaultParallelism
-    return members.repartition(n, "archive", "member").mapInPandas(
-        _read_members, "archive string, member string, size long, content binary")
+    chunks = small.repartition(n, "archive", "member").mapInArrow(_read_chunks(most_bytes + 1, None), _CHUNKS)
+    return chunks.select("archive", "member", "size", "content")
+
+
+def read_archive_features(spark: SparkSession, path: str, member_glob: str | None = None,
+                          properties_schema: str | None = None, chunk_bytes: int = 4 << 20) -> DataFrame:
+    """S7 + S1: the features of GeoJSON members of any layout and size (properties, geometry as text).
+
+    Members are cut after a ``}``, so their pieces are the ranges of the scanner of byte ranges."""
+    chunks = read_archive_chunks(spark, path, member_glob, chunk_bytes, b"}", whole=True)
+    text = F.decode("content", "UTF-8")
+    # a piece that ends with the bracket has nothing behind it
+    parts = F.split(F.when(F.endswith(text, F.lit("}")), F.substr(text, F.lit(1), F.length(text) - 1)).otherwise(text), r"\}")
+    cut = chunks.select(F.concat("archive", F.lit("!"), "member").alias("file"), F.col("offset").alias("range"), F.explode(parts).alias("value"))
+    return flatten_properties(_features_of(scan_fragments(cut)), "properties", properties_schema)
+
+
+def read_archive_csv(spark: SparkSession, path: str, member_glob: str | None = None, schema: str | None = None,
+                     chunk_bytes: int = 4 << 20) -> DataFrame:
+    """S7 + S6: the rows of CSV members (a header each, the same in all; no line breaks inside a cell, which raise).
+
+    Columns are strings unless ``schema`` names their types."""
+    chunks = read_archive_chunks(spark, path, member_glob, chunk_bytes, b"\n", whole=True)
+    lines = chunks.select("chunk", F.posexplode(F.split(F.decode("content", "UTF-8"), r"\r?\n")).alias("place", "line")).where("line <> ''")
+    is_header = (F.col("chunk") == 0) & (F.col("place") == 0)
+    headers = [r["line"] for r in lines.where(is_header).select("line").distinct().limit(2).collect()]
+    if len(headers) != 1:
+        raise ValueError(f"members of {path} have no header, or several: {headers}")
+    ddl = schema or ", ".join(f"`{n}` string" for n in next(csv.reader(headers)))
+    odd = F.pmod(F.length("line") - F.length(F.replace("line", F.lit('"'))), F.lit(2)) == 1
+    line = F.when(odd, F.raise_error(F.lit("a line break inside a cell of an archive's CSV"))).otherwise(F.col("line"))
+    return lines.where(~is_header).select(F.from_csv(line, ddl).alias("r")).select("r.*")
 
 
 def parse_zip_url(url: str) -> tuple[str, str | None]:
@@ -258,11 +360,12 @@ def read_source(spark: SparkSession, url: str, geometry: str | None = None,
     """S10/S11 for one file source: pick the reader by suffix, then decode
     the geometry column.  Remote URLs are mapped to Hadoop paths and their
     storage options become per-read Hadoop options (S8).  ``zip://archive!member``
-    reads the GeoJSON members that match (a glob; default all)."""
+    reads the GeoJSON members that match (a glob; default all), or the CSV ones (``*.csv``)."""
     if url.startswith("zip://"):
         archive, member = parse_zip_url(url)
-        bodies = read_archive(spark, hadoop_path(archive), member).select(F.decode("content", "UTF-8").alias("body"))
-        return decode_geometry(parse_features(bodies).drop("_pos"), "geometry")
+        if (member or "").lower().endswith(".csv"):
+            return _located(read_archive_csv(spark, hadoop_path(archive), member), geometry)
+        return decode_geometry(read_archive_features(spark, hadoop_path(archive), member), "geometry")
     path = hadoop_path(url)
     opts = hadoop_options(url, storage_options)
     reader = spark.read.options(**opts)
@@ -277,6 +380,11 @@ def read_source(spark: SparkSession, url: str, geometry: str | None = None,
         raise ValueError(f"single-file GIS format is not supported: {url}")
     else:
         df = reader.option("header", True).option("inferSchema", True).csv(path)
+    return _located(df, geometry)
+
+
+def _located(df: DataFrame, geometry: str | None) -> DataFrame:
+    """Decoded by its geometry column, or as points of a pair of lon/lat columns."""
     try:
         col = resolve_geometry_column(df, geometry or "geom")
     except ValueError:

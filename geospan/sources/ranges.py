@@ -231,16 +231,24 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def scan_features(spark: SparkSession, path, options: dict | None = None) -> DataFrame:
+    """(file, kind, text) of the features of some files, in any number of ranges; see ``scan_fragments``.
+
+    A change of Spark's splits between the two reads raises (their number may follow the number of cores; set
+    spark.sql.files.minPartitionNum where cores come and go)."""
+    return scan_fragments(fragments(spark, path, options))
+
+
+def scan_fragments(cut: DataFrame) -> DataFrame:
     """(file, kind, text): the objects of every list ``features`` of a top-level object (kind element), and the top-level
-    objects without one (root; newline-delimited files and text sequences), each as its JSON text; in any number of ranges.
+    objects without one (root; newline-delimited files and text sequences), each as its JSON text.
 
-    The files are read twice; the result is written once to the shared checkpoint folder, where it stays until the
+    ``cut``: (file, range, value) as ``fragments`` gives it, the rows of a range next to each other and in their
+    order.  It is evaluated twice; the result is written once to the shared checkpoint folder, where it stays until the
     owner of that folder clears it.  Rows come in no order.  Brackets and quotes inside strings, escapes, other members of the
     collection in any place, several objects in one file and any white space are taken as JSON takes them.  A
-    file whose brackets or quotes don't close raises; so does a change of Spark's splits between the two reads
-    (their number may follow the number of cores; set spark.sql.files.minPartitionNum where cores come and go).
+    file whose brackets or quotes don't close raises.
     """
-    cut = fragments(spark, path, options)
+    spark = cut.sparkSession
     states = range_states(cut).checkpoint()
     broken = [r["file"] for r in states.where("broken").select("file").distinct().limit(5).collect()]
     if broken:

@@ -1,5 +1,6 @@
 import io
 import json
+import uuid
 import zipfile
 
 from pyspark.sql import functions as F
@@ -119,7 +120,7 @@ def test_streaming_box_filter_equals_batch(spark, scratch):
     df = spark.range(100).select(F.col("id"), make_bbox(F.col("id") - 50, F.lit(0.0),
                                                         F.col("id") - 49, F.lit(1.0)).alias("bbox"))
     df.repartition(4).write.parquet(src)
-    q = start_box_extraction(spark, src, df.schema, [0, 0, 10, 10], f"{scratch}/sink", "t1")
+    q = start_box_extraction(spark, src, df.schema, [0, 0, 10, 10], f"{scratch}/sink", f"t1-{uuid.uuid4().hex}")
     q.awaitTermination(120)
     got = sorted(r["id"] for r in spark.read.parquet(f"{scratch}/sink").collect())
     assert got == list(range(49, 61))
