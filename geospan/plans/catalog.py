@@ -26,7 +26,7 @@ from geospan.operators.pages import (assemble_linked_pages, assemble_offset_page
                                      assemble_single_page)
 from geospan.plans import jobs as J
 from geospan.plans.requests import arcgis_jobs, plan_requests, s3_jobs, wfs_jobs
-from geospan.plans.run import run_jobs
+from geospan.plans.run import publish_batch, run_job_table, run_jobs
 from geospan.session import ensure_checkpoint_dir
 from geospan.sinks import export as X
 from geospan.sinks.publish import folder_id, get_or_create_folders, publish_manifest
@@ -523,3 +523,28 @@ def job_run(spark, sf_dir):
     ts = F.to_timestamp(F.lit("2024-01-02 03:04:05"))
     got = run_jobs(feats, jobs, _scratch(spark, "run"), ts)
     return got.select("job_name", "format", "status", "feature_count", *BBOX_FIELDS, F.col("path").isNotNull().alias("written"))
+
+
+@register
+def job_table_run(spark, sf_dir):
+    """S10 + S13 + J1-K4: jobs over four sources (collections, GeoParquet, a CSV of points, members of archives) and two kinds
+    that can't run, one scan per source; what the manifest says beside what is in the files."""
+    base = _scratch(spark, "sources")
+    orders, feats = _t(spark, sf_dir, "orders"), D.geojson_features(_t(spark, sf_dir, "orders"))
+    X.write_geojson(feats, f"{base}/a.geojson", layout="collection")
+    X.write_geoparquet(_fa(spark, sf_dir).select("o_orderkey", "layer", F.col("wkt").alias("geom"), "bbox"), f"{base}/b.parquet", geometry="geom", partitions=4)
+    X.write_csv(points_from_lonlat(D.point_features(_t(spark, sf_dir, "events"))).select("event_id", "lon", "lat"), f"{base}/c.csv")
+    D.write_archives(orders, f"{base}/zips")
+    urls = F.array(*[F.lit(u) for u in (f"{base}/a.geojson", f"{base}/b.parquet", f"{base}/c.csv", f"zip://{base}/zips!data/*_a.geojson", "https://gis.example.org/api/x")])
+    k = F.pmod("n_nationkey", F.lit(6)).cast("int")
+    n = _t(spark, sf_dir, "nation").withColumn("job_name", F.concat(F.lit("job_"), F.lower("n_name"))).select("job_name", "n_nationkey")
+    jobs = (_fe(spark, sf_dir).select("job_name", "bbox").join(n, "job_name")
+            .select("job_name", "bbox", F.when(k < 5, F.get(urls, k)).alias("url"), F.lit(None).cast("string").alias("layer_name"),
+                    F.lit("geom").alias("geometry_column"), F.when(k < 5, "ok").otherwise("unknown_source").alias("status"),
+                    F.array(F.lit("csv"), F.lit("GeoJSON"), F.lit("parquet"), F.lit("filegdb")).alias("output_formats"), F.lit("run").alias("output_prefix")))
+    out = _scratch(spark, "table_run")
+    got = run_job_table(jobs, out, F.to_timestamp(F.lit("2024-01-02 03:04:05")), strategy="broadcast")
+    files = spark.read.option("recursiveFileLookup", True).text(f"{out}/*/geojson")
+    lines = files.groupBy(F.regexp_extract("_metadata.file_path", "job_folder=([^/]+)", 1).alias("folder")).agg(F.count("*").alias("lines"))
+    got = got.withColumn("folder", F.when(F.col("format") == "GeoJSON", F.regexp_extract("path", "job_folder=(.*)$", 1)))
+    return got.join(lines, "folder", "left").select("job_name", "format", "status", "feature_count", *BBOX_FIELDS, F.col("path").isNotNull().alias("written"), "lines")

@@ -465,3 +465,16 @@ WITH u AS (
 m AS (SELECT *, CASE lower(scheme) WHEN 's3' THEN 's3a' WHEN 'gcs' THEN 'gs' WHEN 'azure' THEN 'abfss' ELSE lower(scheme) END AS fs FROM u)
 SELECT c_custkey, fs || '://' || host || rest AS path,
        'fs.' || fs || '.' || CASE WHEN fs = 's3a' THEN 'bucket.' || host || '.' ELSE '' END AS prefix FROM m"""
+
+ORACLE["job_table_run"] = f"""
+WITH {FA}, {FB}, {FE},
+src AS (SELECT xmin, ymin, xmax, ymax, unnest([0, 1, 3]) AS s FROM fa
+        UNION ALL SELECT lon, lat, lon, lat, 2 FROM fb),
+k AS (SELECT 'job_' || lower(n_name) AS job_name, n_nationkey % 6 AS k FROM nation),
+v AS (SELECT * FROM (VALUES ('csv', 'ok'), ('GeoJSON', 'ok'), ('parquet', 'ok'), ('filegdb', 'unsupported')) v(format, can)),
+c AS (SELECT j.job_name, k.k, count(f.s) AS n, min(f.xmin) AS xmin, min(f.ymin) AS ymin, max(f.xmax) AS xmax, max(f.ymax) AS ymax
+      FROM fe j JOIN k USING (job_name) LEFT JOIN src f ON f.s = k.k AND {INTERSECTS} GROUP BY j.job_name, k.k)
+SELECT job_name, format, CASE WHEN k = 4 THEN 'needs_responses' WHEN k = 5 THEN 'unknown_source' ELSE can END AS status,
+       n AS feature_count, xmin, ymin, xmax, ymax, k < 4 AND can = 'ok' AND n > 0 AS written,
+       CASE WHEN k < 4 AND format = 'GeoJSON' AND n > 0 THEN n END AS lines
+FROM c CROSS JOIN v"""

@@ -1,54 +1,193 @@
-"""A table of jobs from extraction to manifest in one plan, however many jobs there are."""
+"""Tables of jobs from extraction to manifest: one scan per source, however many jobs there are."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geospan.functions.bbox import BBOX_FIELDS
+from geospan.functions.bbox import BBOX_FIELDS, zorder_key
 from geospan.operators.extent import extent
 from geospan.operators.extract import extract_jobs
 from geospan.operators.filters import drop_geometry
-from geospan.plans.jobs import SUPPORTED_FORMATS, format_status, output_filename
-from geospan.sinks.export import _as_wkb, feature_json, stage
+from geospan.operators.geometry import resolve_geometry_column
+from geospan.plans.jobs import SUPPORTED_FORMATS, format_status, output_filename, route
+from geospan.sinks.export import FILE_BYTES, _as_wkb, feature_json, stage
+from geospan.sources.files import read_source, select_layer
+
+MANIFEST = ("job_name string, format string, file_name string, path string, status string, feature_count long, "
+            "xmin double, ymin double, xmax double, ymax double")
+#: Columns by which rows are dealt to files; the first is the name of the folders.
+DEALT = ("job_folder", "_job_files", "_job_part")
+#: Boxes of a source's jobs that are pushed down one by one; of more, their common extent is.
+PUSHED_BOXES = 64
+
+
+def job_folder(job_name: Column) -> Column:
+    """A folder name of letters, digits, dots, dashes and underscores that no other job has."""
+    return F.concat(F.regexp_replace(job_name, r"[^A-Za-z0-9._-]", "_"), F.lit("-"), F.substring(F.sha2(job_name, 256), 1, 12))
+
+
+def _writers(geometry: str) -> dict:
+    """format -> rows to what is written of them (job_name may go: the folder names the job), and how."""
+    def csv(rows):
+        return drop_geometry(rows), "csv", {"header": True}
+
+    def geojson(rows):
+        keep = [c for c in rows.columns if c in DEALT]
+        return rows.select(*keep, feature_json(rows.drop("job_name", *keep), geometry).alias("value")), "text", {}
+
+    def parquet(rows):
+        return _as_wkb(rows, geometry), "parquet", {}
+    return {"csv": csv, "geojson": geojson, "parquet": parquet}
+
+
+def _write_format(rows: DataFrame, sizes: DataFrame, path: str, write, order: list[Column]) -> None:
+    """One distributed write of the rows of all jobs, to ``{path}/job_folder=...``: a job's rows are dealt to as many files as its
+    measured bytes ask for (``sizes``: job_name, _job_files), so there are no more files than jobs plus bytes
+    over the target size, and no job, however large, goes through one task."""
+    out, kind, options = write(rows.join(sizes, "job_name"))
+    deal = F.pmod(F.xxhash64(*[c for c in out.columns if c not in DEALT]), F.col("_job_files"))
+    out = out.withColumn("_job_part", deal).repartition("job_folder", "_job_part").sortWithinPartitions("job_folder", "_job_part", *order)
+    (out.drop("job_name", "_job_files", "_job_part").write.mode("overwrite").partitionBy("job_folder")
+     .options(**options).format(kind).save(path))
 
 
-def run_jobs(features: DataFrame, jobs: DataFrame, output_dir: str, timestamp,
-             geometry: str = "geometry", **join) -> DataFrame:
-    """Extracts every job's features, writes them and returns the manifest.
+def run_jobs(features: DataFrame, jobs: DataFrame, output_dir: str, timestamp, geometry: str = "geometry",
+             file_bytes: int = FILE_BYTES, **join) -> DataFrame:
+    """Extracts every job's features from one source, writes them and returns the manifest.
 
     ``jobs``: job_name, bbox, output_formats, output_prefix (see ``read_jobs`` and
-    ``resolve_jobs``); job names must be unique.  The pairs of job and feature are
+    ``resolve_jobs``); a job name that occurs twice raises.  The pairs of job and feature are
     computed once and staged in the shared checkpoint folder.  Each format is one
     distributed write of the rows of all jobs that ask for it, to
-    ``{output_dir}/{format}/job_name=...``; so the number of Spark jobs doesn't
-    depend on the number of jobs.
+    ``{output_dir}/{format}/job_folder=...``, in files of about ``file_bytes``; a format that fails has
+    the status ``failed: ...`` and the others are written.
 
-    Manifest: a row per job and format (job_name, format, file_name, path, status,
-    feature_count, xmin, ymin, xmax, ymax); a job that catches nothing has a count
+    Manifest: a row per job and format (``MANIFEST``); a job that catches nothing has a count
     of 0 and no path.
     """
-    spark = features.sparkSession
     base = output_dir.rstrip("/")
-    pairs, _ = stage(extract_jobs(features, jobs.select("job_name", "bbox"), **join).drop("job_bbox"))
+    twice = jobs.groupBy("job_name").count().where("count > 1").limit(3).collect()
+    if twice:
+        raise ValueError(f"job names that occur twice: {[r['job_name'] for r in twice]}")
+    pairs, size = stage(extract_jobs(features, jobs.select("job_name", "bbox"), **join).drop("job_bbox"))
+    # bytes of a job: its share of the staged bytes, by the length of its rows' texts
+    length = F.length(F.to_json(F.struct(*drop_geometry(pairs).columns)))
+    if geometry in pairs.columns:
+        length = length + F.coalesce(F.length(geometry), F.lit(0))
+    sizes = pairs.groupBy("job_name").agg(F.sum(length).alias("_bytes"))
+    total = sizes.agg(F.sum("_bytes")).first()[0] or 1
+    files = F.ceil(F.col("_bytes") * (size / total) / F.lit(file_bytes))
+    sizes = sizes.select("job_name", F.greatest(files, F.lit(1)).cast("int").alias("_job_files"), job_folder(F.col("job_name")).alias("job_folder"))
     wanted = jobs.select("job_name", "output_prefix", F.explode("output_formats").alias("format"))
+    asked = {r["f"] for r in wanted.select(F.lower("format").alias("f")).distinct().where(F.col("f").isin(*SUPPORTED_FORMATS)).collect()}
+    failed = {}
     for fmt in SUPPORTED_FORMATS:
-        asked = wanted.where(F.lower("format") == fmt).select("job_name").distinct()
-        rows = pairs.join(asked, "job_name", "left_semi")
-        if fmt == "csv":
-            out = drop_geometry(rows).write.option("header", True).format("csv")
-        elif fmt == "geojson":
-            out = rows.select("job_name", feature_json(rows.drop("job_name"), geometry).alias("value")).write.format("text")
-        else:
-            out = _as_wkb(rows, geometry).write.format("parquet")
-        out.mode("overwrite").partitionBy("job_name").save(f"{base}/{fmt}")
+        if fmt not in asked:
+            continue
+        of = wanted.where(F.lower("format") == fmt).select("job_name").distinct()
+        order = [zorder_key("bbox")] if fmt == "parquet" and "bbox" in pairs.columns else []
+        try:
+            _write_format(pairs.join(of, "job_name", "left_semi"), sizes, f"{base}/{fmt}", _writers(geometry)[fmt], order)
+        except Exception as e:  # one failed format must not stop the rest
+            failed[fmt] = f"failed: {type(e).__name__}: {str(e).splitlines()[0][:300]}"
     found = extent(pairs, by="job_name")
     count = F.coalesce("feature_count", F.lit(0))
-    status = format_status(F.col("format"))
-    status = F.when(status == "supported", F.lit("ok")).otherwise(status)
-    path = F.concat(F.lit(base + "/"), F.lower("format"), F.lit("/job_name="), "job_name")
+    f = F.lower("format")
+    status = F.when(format_status(f) == "supported", F.lit("ok")).otherwise(format_status(f))
+    for fmt, why in failed.items():
+        status = F.when(f == fmt, F.lit(why)).otherwise(status)
+    path = F.concat(F.lit(base + "/"), f, F.lit("/job_folder="), job_folder(F.col("job_name")))
     return (wanted.join(found, "job_name", "left")
             .select("job_name", "format",
                     output_filename(F.col("output_prefix"), F.col("job_name"), F.col("format"), timestamp).alias("file_name"),
-                    F.when((count > 0) & F.lower("format").isin(*SUPPORTED_FORMATS), path).alias("path"),
+                    F.when((count > 0) & (status == "ok"), path).alias("path"),
                     status.alias("status"), count.alias("feature_count"), *BBOX_FIELDS))
+
+
+def _pushed(features: DataFrame, jobs: DataFrame) -> DataFrame:
+    """The features that some job's box, or beyond PUSHED_BOXES boxes their extent, meets: comparisons with
+    literals, which a source that stores boxes skips row groups by."""
+    b = F.col("bbox")
+    boxes = [r["bbox"] for r in jobs.select("bbox").where("bbox IS NOT NULL").distinct().limit(PUSHED_BOXES + 1).collect()]
+    if len(boxes) > PUSHED_BOXES:
+        r = jobs.agg(F.min("bbox.xmin"), F.min("bbox.ymin"), F.max("bbox.xmax"), F.max("bbox.ymax")).first()
+        boxes = [dict(zip(BBOX_FIELDS, r))]
+    some = F.lit(False)
+    for box in boxes:
+        some |= (b.xmin <= box["xmax"]) & (b.xmax >= box["xmin"]) & (b.ymin <= box["ymax"]) & (b.ymax >= box["ymin"])
+    return features.where(some)
+
+
+def run_job_table(jobs: DataFrame, output_dir: str, timestamp, tables: Mapping[str, DataFrame] | None = None,
+                  storage_options: Mapping[str, Mapping] | None = None, most_sources: int = 1000, **options) -> DataFrame:
+    """Runs a table of jobs over any number of sources and returns one manifest.
+
+    ``jobs``: as ``resolve_jobs`` gives them: job_name, url, layer_name, geometry_column, bbox, status,
+    output_formats, output_prefix.  Jobs with the same url, layer and geometry column share one scan; the boxes of
+    a source's jobs are pushed into it, and each job and feature meet in one join per source, so scans follow
+    the sources, not the jobs (more than ``most_sources`` raise: each is a plan of its own).  Files are read by
+    ``read_source``; ``tables`` may name the features of a url that isn't a file (assembled API pages);
+    ``storage_options`` has the options of a url.
+
+    Jobs that can't be run have a row per format with their status (``unknown_source``, ``no_bbox``,
+    ``needs_responses`` for an API without a table, ``failed: ...`` for a source that can't be read), a count of 0 and no
+    path; the others run.  Output of source k goes to ``{output_dir}/source_{k}/{format}/...``, in the order of the urls.
+    """
+    spark = jobs.sparkSession
+    tables, storage_options = tables or {}, storage_options or {}
+    jobs = jobs.checkpoint()
+    twice = jobs.groupBy("job_name").count().where("count > 1").limit(3).collect()
+    if twice:
+        raise ValueError(f"job names that occur twice: {[r['job_name'] for r in twice]}")
+    key = ["url", "layer_name", "geometry_column"]
+    ready = jobs.where("status = 'ok'")
+    sources = ready.select(*key, route("url").alias("route")).distinct().orderBy(*key).limit(most_sources + 1).collect()
+    if len(sources) > most_sources:
+        raise ValueError(f"over {most_sources} sources in one job table")
+
+    def unrun(some: DataFrame, status: Column) -> DataFrame:
+        return some.select("job_name", F.explode("output_formats").alias("format"), F.lit(None).cast("string").alias("file_name"),
+                           F.lit(None).cast("string").alias("path"), status.alias("status"), F.lit(0).cast("long").alias("feature_count"),
+                           *[F.lit(None).cast("double").alias(c) for c in BBOX_FIELDS])
+    parts = [unrun(jobs.where("status <> 'ok' OR status IS NULL"), F.coalesce("status", F.lit("no status")))]
+    for k, s in enumerate(sources):
+        mine = ready.where(F.lit(True))
+        for c in key:
+            mine = mine.where(F.col(c).eqNullSafe(F.lit(s[c])))
+        if s["url"] not in tables and s["route"] == "api":
+            parts.append(unrun(mine, F.lit("needs_responses")))
+            continue
+        try:
+            features = tables[s["url"]] if s["url"] in tables else read_source(spark, s["url"], s["geometry_column"], storage_options.get(s["url"]))
+            if s["layer_name"] is not None and "layer" in features.columns:
+                features = select_layer(features, s["layer_name"])
+            geometry = resolve_geometry_column(features, s["geometry_column"])
+            parts.append(run_jobs(_pushed(features, mine), mine, f"{output_dir.rstrip('/')}/source_{k}", timestamp, geometry, **options))
+        except Exception as e:  # one broken source must not stop the others
+            parts.append(unrun(mine, F.lit(f"failed: {type(e).__name__}: {str(e).splitlines()[0][:300]}")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def publish_batch(manifest: DataFrame, folder: str, metadata: DataFrame | None = None) -> DataFrame:
+    """The files of a manifest as a batch for ``publish`` (K6): a row for each file that a job asked for, missing
+    where it wasn't written; bytes as Spark lists them.  ``metadata``: (job_name, metadata map)."""
+    spark = manifest.sparkSession
+    paths = [r["path"] for r in manifest.where("path IS NOT NULL").select(F.regexp_extract("path", "^(.*)/job_folder=", 1).alias("path")).distinct().collect()]
+    listed = None
+    if paths:  # one listing per source and format
+        listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+                  .select(F.regexp_extract("path", "/([a-z]+/job_folder=[^/]+)/[^/]+$", 1).alias("_key"), "length")
+                  .groupBy("_key").agg(F.sum("length").alias("bytes")))
+    out = manifest.where("file_name IS NOT NULL").withColumn("_key", F.regexp_extract("path", "([a-z]+/job_folder=[^/]+)$", 1))
+    out = out.join(listed, "_key", "left") if listed is not None else out.withColumn("bytes", F.lit(None).cast("long"))
+    if metadata is not None:
+        out = out.join(metadata.select("job_name", "metadata"), "job_name", "left")
+    else:
+        out = out.withColumn("metadata", F.create_map().cast("map<string,string>"))
+    return out.select(F.lit(folder).alias("folder"), "file_name", "bytes", "metadata", F.col("path").isNotNull().alias("exists"))
