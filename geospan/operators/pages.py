@@ -16,15 +16,36 @@ from geospan.sources.responses import parse_features
 DEFAULT_LIMIT = 1000  # features per page (ArcGIS ``max_records``, OGC ``limit``)
 
 
-def one_response(responses: DataFrame, keys: list[str], body: str, valid) -> DataFrame:
-    """One usable response per key: status 200 where there is a ``status`` column, and a body for
-    which ``valid`` holds.  Recorded twice, the response with the smallest body hash counts."""
+def usable(responses: DataFrame, valid) -> F.Column:
+    """Status 200, where there is a ``status`` column, and a body for which ``valid`` holds."""
     ok = F.coalesce(valid, F.lit(False))
     if "status" in responses.columns:
         ok &= F.coalesce(F.col("status").cast("int") == 200, F.lit(True))
-    hashed = responses.where(ok).withColumn("_hash", F.xxhash64(body))
-    first = hashed.groupBy(*keys).agg(F.min("_hash").alias("_hash"))
-    return hashed.join(first, [*keys, "_hash"], "left_semi").dropDuplicates(keys).drop("_hash")
+    return ok
+
+
+def chosen(responses: DataFrame, keys: list[str], body: str, valid, facts: dict) -> DataFrame:
+    """One usable response per key: (keys, ``facts``, _hash, _copies), without its body.  Recorded more than once, the
+    one with the smallest body hash counts; _copies is how many usable ones there are.
+
+    Bodies are read and summed up where they lie; only these slim rows are shuffled.  The table is
+    checkpointed, as several steps use it."""
+    slim = responses.where(usable(responses, valid)).select(*keys, F.xxhash64(body).alias("_hash"), *[c.alias(n) for n, c in facts.items()])
+    best = F.min(F.struct("_hash", *facts))
+    return slim.groupBy(*keys).agg(best.alias("_best"), F.count("*").alias("_copies")).select(*keys, "_best.*", "_copies").checkpoint()
+
+
+def with_bodies(responses: DataFrame, kept: DataFrame, keys: list[str], body: str, valid) -> DataFrame:
+    """The bodies of the ``chosen`` responses in ``kept``: one join on the keys, the only exchange of bodies
+    (none where ``kept`` is small enough that Spark broadcasts it)."""
+    rows = responses.where(usable(responses, valid)).select(*keys, *[c for c in responses.columns if c not in kept.columns and c not in keys])
+    repeated = kept.agg(F.max("_copies")).first()[0] or 0
+    if repeated <= 1:
+        return rows.join(kept.drop("_hash", "_copies"), keys)
+    same = rows.withColumn("_own", F.xxhash64(body)).join(kept.drop("_copies"), keys).where(F.col("_own") == F.col("_hash"))
+    # equal bodies of a row of ``kept``
+    each = [c for c in kept.columns if c not in ("_hash", "_copies")]
+    return same.dropDuplicates(each).drop("_own", "_hash")
 
 
 def assemble_offset_pages(responses: DataFrame, limit: int | str = DEFAULT_LIMIT, job: str = "job",
@@ -47,12 +68,9 @@ def assemble_offset_pages(responses: DataFrame, limit: int | str = DEFAULT_LIMIT
     # Counting only needs the array length: parsing features as raw strings
     # is cheaper than splitting them into properties and geometry.
     count = F.size(F.from_json(F.col(body), "struct<features: array<string>>").features)
-    responses = one_response(responses, [job, off], body, count >= 0)
     size = F.col(limit) if isinstance(limit, str) else F.lit(limit)
-    # Page statistics are computed on a slim (job, off, n) projection, so the
-    # per-job aggregates never move page bodies.
-    slim = responses.select(job, off, count.alias("_n"), size.cast("long").alias("_size"),
-                            (F.col(total) if total else F.lit(None)).cast("long").alias("_total"))
+    slim = chosen(responses, [job, off], body, count >= 0, {
+        "_n": count, "_size": size.cast("long"), "_total": (F.col(total) if total else F.lit(None)).cast("long")})
     stops = slim.groupBy(job).agg(F.min(F.when(F.col("_n") < F.col("_size"), F.col(off))).alias("_stop"))
     full = ((F.col("_stop").isNull() | (F.col(off) < F.col("_stop"))) & (F.col("_n") >= F.col("_size"))
             & (F.pmod(F.col(off), F.col("_size")) == 0))
@@ -65,17 +83,20 @@ def assemble_offset_pages(responses: DataFrame, limit: int | str = DEFAULT_LIMIT
                           .otherwise(F.coalesce((F.col("_full") * F.col("_size") >= F.col("_total"))
                                                 & (F.col("_full") == F.col("_last") / F.col("_size") + 1), F.lit(False))))
               .drop("_full", "_size", "_total", "_last"))
-    kept = (responses.join(status, job)
-            .where(F.col("_stop").isNull() | (F.col(off) <= F.col("_stop")))
-            .drop("_stop"))
-    return parse_features(kept, body=body, properties_schema=properties_schema)
+    kept = (slim.select(job, off, "_hash", "_copies").join(status, job)
+            .where(F.col("_stop").isNull() | (F.col(off) <= F.col("_stop"))).drop("_stop"))
+    return parse_features(with_bodies(responses, kept, [job, off], body, count >= 0), body=body, properties_schema=properties_schema)
+
+
+def next_link(body: F.Column) -> F.Column:
+    """The first ``links[rel=next].href`` of a page."""
+    links = F.from_json(body, "struct<links: array<struct<rel: string, href: string>>>").links
+    return F.get(F.filter(links, lambda l: l.rel == "next"), 0).href
 
 
 def next_links(pages: DataFrame, url: str = "url", body: str = "body") -> DataFrame:
-    """(url, next) edges: the first ``links[rel=next].href`` of each page."""
-    links = F.from_json(F.col(body), "struct<links: array<struct<rel: string, href: string>>>").links
-    nxt = F.get(F.filter(links, lambda l: l.rel == "next"), 0).href
-    return pages.select(F.col(url).alias("src"), nxt.alias("dst")).distinct()
+    """(url, next) edges of the pages."""
+    return pages.select(F.col(url).alias("src"), next_link(F.col(body)).alias("dst")).distinct()
 
 
 def chain_steps(edges: DataFrame, starts: DataFrame, job: str = "job", max_rounds: int = 64,
@@ -130,16 +151,16 @@ def assemble_linked_pages(pages: DataFrame, starts: DataFrame, job: str = "job",
     (order in page), plus ``complete`` = no reached link points at a missing
     page.
     """
-    pages = one_response(pages, [url], body, F.from_json(F.col(body), "struct<features: array<string>>").isNotNull()
-                         & F.get_json_object(body, "$.features").isNotNull())
-    edges = next_links(pages, url, body)
-    steps = chain_steps(edges, starts.select(job, F.col(url).alias("url")), job)
-    have = pages.select(F.col(url).alias("url"), F.col(body).alias("_body"))
-    reached = steps.join(have, "url", "left")
-    status = reached.groupBy(job).agg(
-        (F.count_if(F.col("_body").isNull()) == 0).alias("complete"))
-    found = reached.where(F.col("_body").isNotNull()).join(status, job)
-    return parse_features(found, body="_body", properties_schema=properties_schema)
+    valid = (F.from_json(F.col(body), "struct<features: array<string>>").isNotNull()
+             & F.get_json_object(body, "$.features").isNotNull())
+    slim = chosen(pages, [url], body, valid, {"_next": next_link(F.col(body))})
+    edges = slim.select(F.col(url).alias("src"), F.col("_next").alias("dst"))
+    steps = chain_steps(edges, starts.select(job, F.col(url).alias("url")), job).withColumnRenamed("url", url)
+    reached = steps.join(slim.select(url, "_hash", "_copies"), url, "left")
+    status = reached.groupBy(job).agg((F.count_if(F.col("_copies").isNull()) == 0).alias("complete"))
+    kept = reached.where("_copies IS NOT NULL").join(status, job)
+    found = with_bodies(pages.select(url, body, *[c for c in pages.columns if c == "status"]), kept, [url], body, valid)
+    return parse_features(found.drop("status"), body=body, properties_schema=properties_schema)
 
 
 def assemble_single_page(responses: DataFrame, body: str = "body",

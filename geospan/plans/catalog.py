@@ -25,8 +25,8 @@ from geospan.plans.oracle import FILTER_BOX, _EXACT_BOX
 from geospan.operators.pages import (assemble_linked_pages, assemble_offset_pages,
                                      assemble_single_page)
 from geospan.plans import jobs as J
-from geospan.plans.requests import arcgis_jobs, plan_requests, s3_jobs, wfs_jobs
-from geospan.plans.run import publish_batch, run_job_table, run_jobs
+from geospan.plans.requests import arcgis_jobs, next_requests, plan_requests, s3_jobs, wfs_jobs
+from geospan.plans.run import run_job_table, run_jobs
 from geospan.session import ensure_checkpoint_dir
 from geospan.sinks import export as X
 from geospan.sinks.publish import folder_id, get_or_create_folders, publish_manifest
@@ -548,3 +548,17 @@ def job_table_run(spark, sf_dir):
     lines = files.groupBy(F.regexp_extract("_metadata.file_path", "job_folder=([^/]+)", 1).alias("folder")).agg(F.count("*").alias("lines"))
     got = got.withColumn("folder", F.when(F.col("format") == "GeoJSON", F.regexp_extract("path", "job_folder=(.*)$", 1)))
     return got.join(lines, "folder", "left").select("job_name", "format", "status", "feature_count", *BBOX_FIELDS, F.col("path").isNotNull().alias("written"), "lines")
+
+
+@register
+def request_waves(spark, sf_dir):
+    """A1 + A7: the requests that a recording with gaps and errors leaves to be made: of every job's pages a third is
+    not there, and of the others some are errors."""
+    pages = D.offset_pages(_t(spark, sf_dir, "orders")).withColumn("page", (F.col("off") / D.PAGE_SIZE).cast("int"))
+    jobs = pages.select(F.col("job").alias("job_name")).distinct().select(
+        "job_name", F.lit("ArcGIS").alias("api_type"), F.concat(F.lit("https://gis.example.org/"), F.regexp_replace("job_name", "[^A-Za-z0-9]", "_")).alias("url"),
+        F.lit(None).cast("struct<xmin: double, ymin: double, xmax: double, ymax: double>").alias("bbox"), F.lit(D.PAGE_SIZE).alias("max_records"))
+    bad = F.pmod("page", F.lit(5)) == 4
+    responses = pages.where(F.pmod("page", F.lit(3)) != 1).select(
+        F.col("job").alias("job_name"), "page", F.lit("").alias("request_url"), F.when(bad, 500).otherwise(200).alias("status"), F.when(~bad, F.col("body")).alias("body"))
+    return next_requests(jobs, responses.checkpoint(), ahead=2).select("job_name", "page", "attempt", "request_url")

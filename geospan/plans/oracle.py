@@ -478,3 +478,18 @@ SELECT job_name, format, CASE WHEN k = 4 THEN 'needs_responses' WHEN k = 5 THEN
        n AS feature_count, xmin, ymin, xmax, ymax, k < 4 AND can = 'ok' AND n > 0 AS written,
        CASE WHEN k < 4 AND format = 'GeoJSON' AND n > 0 THEN n END AS lines
 FROM c CROSS JOIN v"""
+
+ORACLE["request_waves"] = f"""
+WITH {_PAGED},
+jobs AS (SELECT job, count(*) AS n, (count(*) + 99) // 100 AS pages FROM paged GROUP BY job),
+recorded AS (
+  SELECT job, n, pages, p, p % 3 <> 1 AS there, p % 3 <> 1 AND p % 5 <> 4 AS ok,
+         p = pages OR (p = pages - 1 AND n % 100 <> 0) AS short
+  FROM (SELECT *, unnest(range(pages + 1)) AS p FROM jobs)),
+per AS (SELECT job, min(p) FILTER (WHERE ok AND short) AS stop, coalesce(max(p) FILTER (WHERE ok), -1) AS top FROM recorded GROUP BY job),
+wanted AS (SELECT job, unnest(range(coalesce(stop, top + 2) + 1)) AS p FROM per)
+SELECT w.job AS job_name, CAST(w.p AS INTEGER) AS page, CASE WHEN r.there THEN 2 ELSE 1 END AS attempt,
+       'https://gis.example.org/' || regexp_replace(w.job, '[^A-Za-z0-9]', '_', 'g')
+         || '/query?f=geojson&outFields=%2A&where=1%3D1&returnGeometry=true&resultOffset=' || (w.p * 100)::VARCHAR || '&resultRecordCount=100' AS request_url
+FROM wanted w LEFT JOIN recorded r ON w.job = r.job AND w.p = r.p
+WHERE NOT coalesce(r.ok, false)"""

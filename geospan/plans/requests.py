@@ -16,8 +16,10 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geospan.functions.bbox import bbox_to_csv
+from geospan.operators.pages import next_link, usable
 
 PARAM_TYPE = "array<struct<k:string,v:string>>"
 
@@ -155,12 +157,17 @@ _ARCGIS_SPATIAL_SQL = (f"CASE WHEN bbox IS NULL THEN {_EMPTY} ELSE "
 def plan_arcgis(jobs: DataFrame, n_pages: int | str = 1) -> DataFrame:
     """A1: one request per page offset: ``{url}/query`` with the fixed
     GeoJSON query params, the envelope filter, custom params, and finally
-    ``resultOffset`` / ``resultRecordCount``."""
+    ``resultOffset`` / ``resultRecordCount``.  ``n_pages``: a number, or the name of a column with each
+    job's number of pages, or with an array of the pages to ask for.  Where the number isn't known,
+    ``next_requests`` goes on from the answers until a page is short, without a limit."""
     limit = _col_or(jobs, "max_records", str(DEFAULT_PAGE_LIMIT))
-    pages = f"`{n_pages}`" if isinstance(n_pages, str) else str(int(n_pages))
+    if isinstance(n_pages, str) and isinstance(jobs.schema[n_pages].dataType, T.ArrayType):
+        listed = f"`{n_pages}`"  # the pages themselves
+    else:
+        listed = f"sequence(0, {f'`{n_pages}`' if isinstance(n_pages, str) else int(n_pages)} - 1)"
     out = _steps(jobs, _arr_sql([(k, _sq(v)) for k, v in ARCGIS_BASE]),
                  _ARCGIS_SPATIAL_SQL, _custom_sql(jobs))
-    out = out.withColumn("page", F.explode(F.expr(f"sequence(0, {pages} - 1)")))
+    out = out.withColumn("page", F.explode(F.expr(f"CAST({listed} AS ARRAY<INT>)")))
     paging = _arr_sql([("resultOffset", f"page * CAST({limit} AS BIGINT)"),
                        ("resultRecordCount", f"CAST({limit} AS BIGINT)")])
     return (out.withColumn("request_base", F.concat(F.col("url"), F.lit("/query")))
@@ -243,6 +250,76 @@ def plan_requests(jobs: DataFrame, arcgis_pages: int | str = 1) -> DataFrame:
         F.concat(F.col("request_base"), F.lit("?"), qs)))
 
 
+def answers(responses: DataFrame) -> DataFrame:
+    """(job_name, page, ok, tried, failed, n, next, url) per request of a recording: has it a usable answer, how often was it
+    tried and how often without success, its number of features, its next link and its own URL.
+
+    ``responses``: job_name, page, request_url, body, and maybe status (200 or none is fine).  Bodies stay where they lie."""
+    body = F.col("body")
+    n = F.size(F.from_json(body, "struct<features: array<string>>").features)
+    row = responses.select("job_name", "page", F.col("request_url").alias("url"), usable(responses, body.isNotNull()).alias("got"),
+                           F.when(n >= 0, n).alias("n"), next_link(body).alias("next"))
+    first = F.min(F.when(F.col("got"), F.struct(F.col("n").isNull().alias("odd"), "n", "next", "url")))
+    return (row.groupBy("job_name", "page").agg(F.max("got").alias("ok"), F.count("*").alias("tried"), F.count_if(~F.col("got")).alias("failed"), first.alias("a"))
+            .select("job_name", "page", "ok", "tried", "failed", "a.n", "a.next", "a.url"))
+
+
+def next_requests(jobs: DataFrame, responses: DataFrame, ahead: int = 1, attempts: int = 3) -> DataFrame:
+    """The requests that are still to be made, given the recorded answers: job_name, page, api_type, request_url, attempt.
+
+    Without answers these are the first pages of all jobs; asked again and again, with what came in
+    between, they end when every job is complete or has failed ``attempts`` times on some page.
+
+    * ArcGIS: until a page has fewer features than the job's page size (``max_records``, default 1000), all
+      pages up to the last answered one and ``ahead`` more, those without a usable answer; with a column
+      ``feature_count``, all that it asks for at once.  Pages after the first short one aren't asked for.
+    * OGC API: the next link of every answered page, unless the job has it already (a cycle ends).
+    * WFS and generic: the one page.
+
+    A usable answer has status 200 and a body, with ``features`` for ArcGIS, WFS and OGC.  An error never ends a
+    job.  ``responses``: see ``answers``.  One aggregate over slim rows, then joins by job.
+    """
+    kind = F.lower(_opt("api_type", jobs, ""))
+    seen = answers(responses)
+    known = jobs.select("job_name", kind.alias("_kind"), F.expr(_col_or(jobs, "max_records", str(DEFAULT_PAGE_LIMIT))).cast("long").alias("_size"),
+                        _opt("feature_count", jobs).cast("long").alias("_total"))
+    strict = F.col("_kind").isin("arcgis", "wfs", "ogcapi")
+    seen = seen.join(known.select("job_name", "_kind", "_size"), "job_name").withColumn("ok", F.col("ok") & (~strict | F.col("n").isNotNull())).checkpoint()
+    done = seen.where("ok")
+
+    # offset pages
+    per = done.where("_kind = 'arcgis'").groupBy("job_name").agg(
+        F.min(F.when(F.col("n") < F.col("_size"), F.col("page"))).alias("_stop"), F.max("page").alias("_top"))
+    wanted = known.where("_kind = 'arcgis'").join(per, "job_name", "left")
+    last = F.coalesce(F.col("_stop"), F.when(F.col("_total").isNotNull(), F.greatest(F.ceil(F.col("_total") / F.col("_size")) - 1, F.lit(0))),
+                      F.coalesce("_top", F.lit(-1)) + ahead).cast("int")
+    offsets = wanted.select("job_name", F.explode(F.sequence(F.lit(0), last)).alias("page"))
+    # links; the first page of everything else
+    links = done.where("_kind = 'ogcapi' AND next IS NOT NULL").select("job_name", (F.col("page") + 1).cast("int").alias("page"), F.col("next").alias("_url"))
+    links = links.join(done.select("job_name", F.col("url").alias("_url")), ["job_name", "_url"], "left_anti")
+    firsts = known.where("_kind <> 'arcgis'").select("job_name", F.lit(0).alias("page"), F.lit(None).cast("string").alias("_url"))
+    asked = (offsets.withColumn("_url", F.lit(None).cast("string")).unionByName(links).unionByName(firsts)
+             .join(seen.select("job_name", F.col("page").cast("int").alias("page"), "ok", "tried"), ["job_name", "page"], "left")
+             .where(~F.coalesce("ok", F.lit(False)) & (F.coalesce("tried", F.lit(0)) < attempts))
+             .select("job_name", "page", "_url", (F.coalesce("tried", F.lit(0)) + 1).cast("int").alias("attempt")))
+    pages = asked.groupBy("job_name").agg(F.array_sort(F.collect_set("page")).alias("_pages"))  # of one job
+    planned = plan_requests(jobs.join(pages, "job_name"), arcgis_pages="_pages").select("job_name", "page", "api_type", "request_url")
+    linked = (asked.where("_url IS NOT NULL").join(jobs.select("job_name", "api_type"), "job_name")
+              .select("job_name", "page", "api_type", F.col("_url").alias("request_url"), "attempt"))
+    return planned.join(asked.where("_url IS NULL").drop("_url"), ["job_name", "page"]).unionByName(linked)
+
+
+def job_progress(jobs: DataFrame, responses: DataFrame, attempts: int = 3) -> DataFrame:
+    """(job_name, requests, failed, state) per job: ``complete`` when nothing is left to ask for and nothing was given
+    up, ``failed`` when nothing is left but a page was given up, else ``open``."""
+    left = next_requests(jobs, responses, attempts=attempts).groupBy("job_name").agg(F.count("*").alias("_left"))
+    ever = next_requests(jobs, responses, attempts=2**31 - 1).groupBy("job_name").agg(F.count("*").alias("_ever"))
+    tried = answers(responses).groupBy("job_name").agg(F.sum("tried").alias("requests"), F.sum("failed").alias("failed"))
+    return (jobs.select("job_name").join(left, "job_name", "left").join(ever, "job_name", "left").join(tried, "job_name", "left")
+            .select("job_name", F.coalesce("requests", F.lit(0)).alias("requests"), F.coalesce("failed", F.lit(0)).alias("failed"),
+                    F.when(F.col("_left") > 0, "open").when(F.col("_ever") > 0, "failed").otherwise("complete").alias("state")))
+
+
 # --- A10: presets that produce job rows ---------------------------------------
 
 def arcgis_layer_url(service_url: Column, layer_id: Column) -> Column:

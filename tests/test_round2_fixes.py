@@ -2,6 +2,7 @@
 
 import json
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -94,7 +95,7 @@ def test_publish_reduces_repeated_files(spark):
 def test_stream_checkpoint_is_the_configured_folder(spark, scratch):
     from geospan.streaming.bbox_stream import start_box_extraction
 
-    base, name = spark.conf.get("spark.checkpoint.dir"), os.path.basename(scratch)
+    base, name = spark.conf.get("spark.checkpoint.dir"), f"{os.path.basename(scratch)}-{uuid.uuid4().hex}"
     src, sink = f"{scratch}/src", f"{scratch}/sink"
     for lo in (0, 10):
         df = spark.range(lo, lo + 10).select("id", make_bbox(F.lit(0.0), F.lit(0.0), F.lit(1.0), F.lit(1.0)).alias("bbox"))
