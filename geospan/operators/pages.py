@@ -35,17 +35,16 @@ def chosen(responses: DataFrame, keys: list[str], body: str, valid, facts: dict)
     return slim.groupBy(*keys).agg(best.alias("_best"), F.count("*").alias("_copies")).select(*keys, "_best.*", "_copies").checkpoint()
 
 
-def with_bodies(responses: DataFrame, kept: DataFrame, keys: list[str], body: str, valid) -> DataFrame:
-    """The bodies of the ``chosen`` responses in ``kept``: one join on the keys, the only exchange of bodies
-    (none where ``kept`` is small enough that Spark broadcasts it)."""
-    rows = responses.where(usable(responses, valid)).select(*keys, *[c for c in responses.columns if c not in kept.columns and c not in keys])
-    repeated = kept.agg(F.max("_copies")).first()[0] or 0
-    if repeated <= 1:
-        return rows.join(kept.drop("_hash", "_copies"), keys)
-    same = rows.withColumn("_own", F.xxhash64(body)).join(kept.drop("_copies"), keys).where(F.col("_own") == F.col("_hash"))
-    # equal bodies of a row of ``kept``
-    each = [c for c in kept.columns if c not in ("_hash", "_copies")]
-    return same.dropDuplicates(each).drop("_own", "_hash")
+def with_bodies(responses: DataFrame, slim: DataFrame, kept: DataFrame, keys: list[str], body: str) -> DataFrame:
+    """The bodies of the responses in ``kept``, a part of ``slim``, the ``chosen`` ones: one join on the keys, the only
+    exchange of bodies (none where ``kept`` is small enough that Spark broadcasts it).  The body's hash tells the chosen
+    response from others of its key, so no body is parsed for that."""
+    rows = responses.where(usable(responses, F.col(body).isNotNull())).select(*keys, *[c for c in responses.columns if c not in kept.columns and c not in keys])
+    same = rows.join(kept.drop("_copies"), keys).where(F.xxhash64(body) == F.col("_hash"))
+    if (slim.agg(F.max("_copies")).first()[0] or 0) > 1:
+        # equal bodies of a row of ``kept``
+        same = same.dropDuplicates([c for c in kept.columns if c not in ("_hash", "_copies")])
+    return same.drop("_hash")
 
 
 def assemble_offset_pages(responses: DataFrame, limit: int | str = DEFAULT_LIMIT, job: str = "job",
@@ -85,7 +84,7 @@ def assemble_offset_pages(responses: DataFrame, limit: int | str = DEFAULT_LIMIT
               .drop("_full", "_size", "_total", "_last"))
     kept = (slim.select(job, off, "_hash", "_copies").join(status, job)
             .where(F.col("_stop").isNull() | (F.col(off) <= F.col("_stop"))).drop("_stop"))
-    return parse_features(with_bodies(responses, kept, [job, off], body, count >= 0), body=body, properties_schema=properties_schema)
+    return parse_features(with_bodies(responses, slim, kept, [job, off], body), body=body, properties_schema=properties_schema)
 
 
 def next_link(body: F.Column) -> F.Column:
@@ -159,7 +158,7 @@ def assemble_linked_pages(pages: DataFrame, starts: DataFrame, job: str = "job",
     reached = steps.join(slim.select(url, "_hash", "_copies"), url, "left")
     status = reached.groupBy(job).agg((F.count_if(F.col("_copies").isNull()) == 0).alias("complete"))
     kept = reached.where("_copies IS NOT NULL").join(status, job)
-    found = with_bodies(pages.select(url, body, *[c for c in pages.columns if c == "status"]), kept, [url], body, valid)
+    found = with_bodies(pages.select(url, body, *[c for c in pages.columns if c == "status"]), slim, kept, [url], body)
     return parse_features(found.drop("status"), body=body, properties_schema=properties_schema)
 
 
