@@ -13,7 +13,7 @@ def op1_spotsigs(spark, sf_dir):
 
 
 def op2_templates(spark, sf_dir):
-    kept = templates.drop_recurring(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = templates.drop_recurring(table(spark, sf_dir, "documents").select("doc_id", "text"), several=True, least_tokens=1, characters=True)
     return kept.select("doc_id", "text", "n_lines", "n_dropped")
 
 
@@ -96,50 +96,6 @@ def _text(pattern: str) -> str:
 QUERIES = {f.__name__: f for f in (op1_spotsigs, op2_templates, op3_language, op4_topk, op5_bpe, op6_packing, op7_html, op8_warc,
                                     op9_toxicity, op10_simhash, op11_whitening, op12_quality, op13_negatives)}
 ORACLE: dict[str, str] = {
-    "op2_templates": """
-        WITH parts AS (
-            SELECT doc_id, string_split(text, chr(10)) AS p FROM documents
-        ), lines AS (
-            SELECT doc_id, unnest(range(len(p))) AS line_no, unnest(p) AS line FROM parts
-        ), keyed AS (
-            SELECT doc_id, line_no, list_transform(
-                       string_split(trim(regexp_replace(line, '[ \\t\\r\\f\\v]+', ' ', 'g')), ' '),
-                       lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS tokens
-            FROM lines
-        ), long AS (
-            SELECT *, tokens[1:3] AS lead, len(tokens) AS size FROM keyed WHERE len(tokens) >= 5 AND tokens[1] <> ''
-        ), different AS (
-            SELECT DISTINCT size, lead, tokens FROM long
-        ), leaves AS (
-            SELECT size, lead, count(*) AS n FROM different GROUP BY ALL HAVING count(*) > 1
-        ), shown AS (
-            SELECT size, lead, tokens, n, unnest(range(size)) AS place, unnest(tokens) AS token
-            FROM different JOIN leaves USING (size, lead)
-        ), steady AS (
-            SELECT size, lead, place, token FROM shown WHERE token <> '<*>'
-            GROUP BY size, lead, place, token, n HAVING count(*) * 2 > n
-        ), masked AS (
-            SELECT s.size, s.lead, s.tokens,
-                   list(CASE WHEN f.token IS NULL THEN '<*>' ELSE f.token END ORDER BY s.place) AS general,
-                   count(f.token) AS agree
-            FROM shown s LEFT JOIN steady f
-              ON s.size = f.size AND s.lead = f.lead AND s.place = f.place AND s.token = f.token
-            GROUP BY s.size, s.lead, s.tokens
-        ), found AS (
-            SELECT l.doc_id, l.line_no, coalesce(m.general, l.tokens) AS template
-            FROM long l LEFT JOIN masked m
-              ON l.size = m.size AND l.lead = m.lead AND l.tokens = m.tokens AND m.agree >= CAST(0.7 AS DOUBLE) * m.size
-        ), spread AS (
-            SELECT template, min(doc_id) AS first FROM found GROUP BY template HAVING min(doc_id) <> max(doc_id)
-        ), dropped AS (
-            SELECT doc_id, line_no FROM found JOIN spread USING (template) WHERE doc_id <> first
-        ), kept AS (
-            SELECT doc_id, string_agg(line, chr(10) ORDER BY line_no) FILTER (WHERE d.line_no IS NULL) AS text,
-                   CAST(count(*) AS INTEGER) AS n_lines, CAST(count(d.line_no) AS INTEGER) AS n_dropped
-            FROM lines LEFT JOIN dropped d USING (doc_id, line_no) GROUP BY doc_id
-        )
-        SELECT doc_id, coalesce(text, '') AS text, n_lines, n_dropped FROM kept
-    """,
     "op8_warc": """
         WITH p AS (
             SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,

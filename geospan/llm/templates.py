@@ -69,33 +69,46 @@ def _several(lines: list[tuple[int, list[bytes]]], depth: int, share: float) ->
     lines = sorted(lines)
     grid = np.array([[codes.setdefault(t, len(codes) + 1) if t != b"<*>" else 0 for t in tokens] for _, tokens in lines], np.int32)
     words = [b"<*>", *codes]
-    near = np.full(len(lines), len(lines) <= 32)
-    if len(lines) > 32:  # lines that agree in all but `apart` places have one of `apart` + 1 blocks of places in common
-        apart = size - int(np.ceil(share * size))
-        for block in np.array_split(np.arange(depth, size), apart + 1):
-            _, at, n = np.unique(grid[:, block], axis=0, return_inverse=True, return_counts=True)
-            near |= n[at.reshape(-1)] > 1
+    least = share * size
+    # lines that agree in all but `apart` places have one of `apart` + 1 blocks of places in common, so a
+    # line is only compared with those that share a block with it
+    apart = size - int(np.ceil(least))
+    blocks = []
+    for places in np.array_split(np.arange(depth, size), apart + 1):
+        parts, at = np.unique(grid[:, places], axis=0, return_inverse=True)
+        at = at.reshape(-1)
+        order = np.argsort(at, kind="stable")
+        blocks.append((places, {p.tobytes(): k for k, p in enumerate(parts)}, order, np.searchsorted(at[order], np.arange(len(parts) + 1))))
     free, out = np.ones(len(lines), bool), {}
 
-    def agree(rows, form):
-        return ((grid[rows] == form) & (form > 0)).sum(axis=1)
-    for first in np.flatnonzero(near):
+    def like(form):
+        """The lines left of which the share agrees with a form, and how many places do."""
+        found = []
+        for places, names, order, edge in blocks:
+            k = names.get(form[places].tobytes())
+            if k is not None and (len(places) == 0 or form[places].all()):
+                found.append(order[edge[k]:edge[k + 1]])
+        rows = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+        rows = rows[free[rows]]
+        same = ((grid[rows] == form) & (form > 0)).sum(axis=1)
+        return rows[same >= least], same[same >= least]
+    for first in range(len(lines)):
         while free[first]:
-            rest = np.flatnonzero(free)
-            alike = agree(rest, grid[first])
-            group = rest[alike >= share * size]
+            group, same = like(grid[first])
             if (group != first).sum() == 0:
                 break
             middle = np.sort(grid[group], axis=0)[len(group) // 2]  # where what more than half have is
             form = np.where((grid[group] == middle).sum(axis=0) * 2 > len(group), middle, 0)
-            taken = rest[agree(rest, form) >= share * size]
+            taken, _ = like(form)
             if len(taken) < 2:  # then with the nearest line alone
-                alike[rest == first] = -1
-                form = np.where(grid[rest[alike.argmax()]] == grid[first], grid[first], 0)
-                taken = rest[agree(rest, form) >= share * size]
+                near = group[group != first][same[group != first].argmax()]
+                form = np.where(grid[near] == grid[first], grid[first], 0)
+                taken, _ = like(form)
             masked = b" ".join(words[c] for c in form)
             out.update((lines[i][0], masked) for i in taken)
             free[taken] = False
+            if not len(taken):
+                break
     return out
 
 
@@ -203,7 +216,9 @@ def recurring_lines(docs: DataFrame, min_docs: int = 2, id_col: str = "doc_id",
               .where((F.col("first") != F.col("last")) & (F.col("n") >= F.col("need"))).select("template", "first", "need"))
     if min_docs > 2 or tree.get("least_tokens", SHORT) < SHORT:
         spread = spread.checkpoint()
-        wide = (found.select("template", "doc").join(spread.where("need > 2").select("template"), "template").distinct()
+        # documents are only counted of lines that need more than two, dealt by (template, document)
+        asked = found if min_docs > 2 else found.where(F.col("size") < SHORT)
+        wide = (asked.select("template", "doc").distinct()
                 .groupBy("template").agg(F.count("*").alias("n")).withColumnRenamed("template", "wt"))
         spread = (spread.join(wide, F.col("template") == F.col("wt"), "left")
                   .where((F.col("need") <= 2) | (F.col("n") >= F.col("need"))))
