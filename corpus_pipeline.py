@@ -17,9 +17,9 @@ from geospan.llm.warc import shared_folder
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents of a known language; null texts, texts without letters and texts whose
-    language has a probability under one half go."""
-    return langid.keep_known(docs, langid.fit(docs))
+    """Keeps the documents of a learned language; null texts, texts without letters, texts whose language has a
+    probability under one half and texts that are far from what is usual for every learned language go."""
+    return langid.keep_known(docs, langid.fit(docs, with_usual=True))
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,13 +38,16 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of near-duplicates the document with the smallest id.  Rows that repeat a
-    kept one wholly go; rows without an id can't be told apart and stay."""
-    groups = simhash.simhash_groups(docs, shingle=3, radius=2)
-    name = fresh(docs, "_first")
-    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
-    kept = docs.join(first, docs["doc_id"].cast("long") == F.col(name), "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    """Keeps of each group of near-duplicates the document with the smallest id.  A row without an id goes by its
+    text's hash, after all ids.  Of rows with the same id and text one stays, the smallest by its other columns."""
+    key, first, one = (fresh(docs, x) for x in ("_key", "_first", "_one"))
+    unnamed = F.lit(1 << 62) + F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1 << 62))
+    named = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), unnamed))
+    groups = simhash.simhash_groups(named.select(F.col(key).alias("doc_id"), "text"), shingle=3, radius=2)
+    kept = named.join(groups.where("doc_id = component_id").select(F.col("doc_id").alias(first)).distinct(), F.col(key) == F.col(first), "left_semi")
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    return (kept.groupBy("doc_id", "text").agg(F.min(F.struct(F.lit(0).alias(first), *rest)).alias(one))
+            .select(*[F.col(c) if c in ("doc_id", "text") else F.col(one)[c].alias(c) for c in docs.columns]))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
