@@ -105,6 +105,7 @@ def bbox_to_text(b) -> Column:
     """SC5: human-readable block, one line per bound plus the array form."""
     b = _c(b)
     xs = [b[f].cast("string") for f in BBOX_FIELDS]
+    # Fixed text of the block.
     return F.concat(
         F.lit("Bounding Box:\n  Min Longitude: "), xs[0],
         F.lit("\n  Min Latitude:  "), xs[1],

@@ -16,12 +16,14 @@ def _lit(pattern: str) -> str:
 
 
 def _env_body(text: str, pattern: str) -> str:
-    def arr(g):
-        return (f"filter(transform(regexp_extract_all({text}, {_lit(pattern)}, {g}), "
-                f"s -> CAST(s AS DOUBLE)), v -> NOT isnan(v))")
-    return (f"CASE WHEN size({arr(1)}) > 0 THEN named_struct("
-            f"'xmin', array_min({arr(1)}), 'ymin', array_min({arr(2)}), "
-            f"'xmax', array_max({arr(1)}), 'ymax', array_max({arr(2)})) END")
+    """Each pair is found once, as text, and taken apart by its numbers."""
+    number = r"[-+]?+(?:[0-9]++(?:\.[0-9]*+)?+|\.[0-9]++)(?:[eE][-+]?+[0-9]++)?+"
+    pairs = (f"transform(regexp_extract_all({text}, {_lit(pattern)}, 0), "
+             f"p -> transform(slice(regexp_extract_all(p, {_lit(number)}, 0), 1, 2), s -> CAST(s AS DOUBLE)))")
+    start = ("CAST(NULL AS STRUCT<xmin: DOUBLE, ymin: DOUBLE, xmax: DOUBLE, ymax: DOUBLE>)")
+    grow = ("named_struct('xmin', least(b.xmin, p[0]), 'ymin', least(b.ymin, p[1]), "
+            "'xmax', greatest(b.xmax, p[0]), 'ymax', greatest(b.ymax, p[1]))")
+    return f"aggregate({pairs}, {start}, (b, p) -> {grow})"
 
 
 FUNCTIONS = {

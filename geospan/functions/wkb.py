@@ -463,11 +463,3 @@ def wkb_bounds_arrays(values):
         if r[0] is not None:
             box[i] = r[:4]
     return box, bad
-
-
-def wkb_bounds_batch(values) -> list:
-    """``wkb_bounds`` for a whole batch, as a list of tuples."""
-    box, bad = wkb_bounds_arrays(values)
-    return [(None, None, None, None, bool(f)) if np.isnan(b[0]) else
-            (float(b[0]), float(b[1]), float(b[2]), float(b[3]), bool(f))
-            for b, f in zip(box, bad)]

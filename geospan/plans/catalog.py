@@ -29,7 +29,8 @@ from geospan.plans.requests import arcgis_jobs, next_requests, plan_requests, s3
 from geospan.plans.run import run_job_table, run_jobs
 from geospan.session import ensure_checkpoint_dir
 from geospan.sinks import export as X
-from geospan.sinks.publish import folder_id, get_or_create_folders, publish_manifest
+from geospan.sinks.publish import (commit_manifest, folder_id, get_or_create_folders, publish,
+                                   publish_manifest, read_manifest)
 from geospan.sources import derived as D
 from geospan.sources import files as S
 from geospan.sources.responses import parse_records
@@ -294,8 +295,7 @@ def metadata_merge(spark, sf_dir):
     text = F.when(F.col("event_type") == "error", F.lit("not json {")).otherwise(F.col("props"))
     user = J.merge_maps(J.parse_metadata(text),
                         F.create_map(F.lit("source"), F.lit("user value")))
-    pts = D.point_features(ev).select("event_id", "lon", "lat")
-    d = ev.join(pts, "event_id").withColumn(
+    d = D.point_features(ev, keep=("ts", "props")).withColumn(
         "bbox", F.struct(F.col("lon").alias("xmin"), F.col("lat").alias("ymin"),
                          F.col("lon").alias("xmax"), F.col("lat").alias("ymax")))
     defaults = J.default_metadata(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"),
@@ -562,3 +562,15 @@ def request_waves(spark, sf_dir):
     responses = pages.where(F.pmod("page", F.lit(3)) != 1).select(
         F.col("job").alias("job_name"), "page", F.lit("").alias("request_url"), F.when(bad, 500).otherwise(200).alias("status"), F.when(~bad, F.col("body")).alias("body"))
     return next_requests(jobs, responses.checkpoint(), ahead=2).select("job_name", "page", "attempt", "request_url")
+
+
+@register
+def publish_commits(spark, sf_dir):
+    """K6 + K7 stored: a first state, the same batch published twice, and the last version read back from the store."""
+    path = _scratch(spark, "manifest")
+    current, batch = D.publish_state(_t(spark, sf_dir, "orders"))
+    commit_manifest(spark, path, current, 0)
+    for _ in range(2):
+        _, version = publish(spark, path, batch)
+    state, last = read_manifest(spark, path)
+    return state.select("folder", "file_name", "version", "bytes", J.map_text("metadata").alias("metadata"), F.lit(last == version).alias("is_last"))

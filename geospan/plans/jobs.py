@@ -101,9 +101,10 @@ def parse_job_text(df: DataFrame, text: str = "text") -> DataFrame:
 
 # --- S13: catalogue lookup ------------------------------------------------------
 
-def _small(df: DataFrame, limit: int = 100_000) -> DataFrame:
-    """Broadcast hint only when the row count is proven small."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def _small(df: DataFrame, most_bytes: int = 64 << 20) -> DataFrame:
+    """Broadcast hint only where the measured text of all rows is small (a row counts 100 bytes at least)."""
+    size = df.select(F.sum(F.length(F.to_json(F.struct(*df.columns))) + 100)).first()[0] or 0
+    return F.broadcast(df) if size <= most_bytes else df
 
 
 def resolve_jobs(jobs: DataFrame, sources: DataFrame, locations: DataFrame,

@@ -7,7 +7,11 @@ rules, so a mistake in a Spark builder shows up as a mismatch.
 
 from __future__ import annotations
 
-from geospan.functions.envelope import GEOJSON_BBOX_MEMBER, GEOJSON_PAIR, WKT_PAIR
+# Coordinates in text, written for this file alone: a number, then pairs of them.
+_N = r"[+-]?(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:[Ee][+-]?[0-9]+)?"
+WKT_PAIR = rf"({_N})[ \t\n]+({_N})(?:[ \t\n]+{_N})?(?:[ \t\n]+{_N})?"
+GEOJSON_PAIR = rf"\[[ \t\n]*({_N})[ \t\n]*,[ \t\n]*({_N})(?:[ \t\n]*,[ \t\n]*{_N})*[ \t\n]*\]"
+GEOJSON_BBOX_MEMBER = r'"bbox"[ \t\n]*:[ \t\n]*\[[^\]]*\]'
 
 
 def _deg_text(u: str) -> str:
@@ -295,6 +299,7 @@ WITH {FE}, j AS (
   SELECT fe.*, n.n_nationkey % 3 AS kind, n.n_nationkey % 5 = 0 AS named_loc,
          n.n_nationkey % 4 = 3 AS no_box, n.n_regionkey AS rk, n.n_nationkey AS nk, n.n_name
   FROM fe JOIN nation n ON fe.job_name = 'job_' || lower(n.n_name)),
+-- fixed values of the built-in source and location: name, address, corners
 r AS (
   SELECT job_name,
     CASE kind WHEN 0 THEN 'FWS Florida Wetlands' WHEN 1 THEN 'Nation ' || n_name END AS source_name,
@@ -493,3 +498,14 @@ SELECT w.job AS job_name, CAST(w.p AS INTEGER) AS page, CASE WHEN r.there THEN 2
          || '/query?f=geojson&outFields=%2A&where=1%3D1&returnGeometry=true&resultOffset=' || (w.p * 100)::VARCHAR || '&resultRecordCount=100' AS request_url
 FROM wanted w LEFT JOIN recorded r ON w.job = r.job AND w.p = r.p
 WHERE NOT coalesce(r.ok, false)"""
+
+ORACLE["publish_commits"] = f"""
+WITH {_PER},
+c AS (SELECT folder, 'orders_' || year::VARCHAR || '.geojson' AS file_name, year % 3 + 1 AS v, n * 100 AS b, n, year FROM per WHERE year <= 1998),
+bt AS (SELECT folder, 'orders_' || year::VARCHAR || '.geojson' AS file_name, n * 120 AS b, n FROM per WHERE year >= 1997 AND folder <> '5-LOW')
+SELECT coalesce(c.folder, bt.folder) AS folder, coalesce(c.file_name, bt.file_name) AS file_name,
+       CAST(coalesce(c.v, 0) + CASE WHEN bt.b IS NULL THEN 0 ELSE 2 END AS INTEGER) AS version, coalesce(bt.b, c.b) AS bytes,
+       CASE WHEN c.v IS NULL THEN 'batch=r2;rows=' || bt.n::VARCHAR
+            WHEN bt.b IS NULL THEN 'rows=' || c.n::VARCHAR || ';year=' || c.year::VARCHAR
+            ELSE 'batch=r2;rows=' || bt.n::VARCHAR || ';year=' || c.year::VARCHAR END AS metadata, true AS is_last
+FROM c FULL OUTER JOIN bt ON c.folder = bt.folder AND c.file_name = bt.file_name"""

@@ -12,13 +12,10 @@ appended, exactly like updating an insertion-ordered dict.
 
 from __future__ import annotations
 
-from typing import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geospan.functions.bbox import bbox_to_csv
 from geospan.operators.pages import next_link, usable
 
 PARAM_TYPE = "array<struct<k:string,v:string>>"
@@ -33,34 +30,6 @@ WFS_CRS = "EPSG:4326"
 DEFAULT_PAGE_LIMIT = 1000
 
 
-def _kv(k, v) -> Column:
-    kc = F.lit(k) if isinstance(k, str) else k
-    vc = F.lit(v) if isinstance(v, str) else v
-    return F.struct(kc.cast("string").alias("k"), vc.cast("string").alias("v"))
-
-
-def params_array(pairs: Sequence[tuple]) -> Column:
-    return F.array(*[_kv(k, v) for k, v in pairs]).cast(PARAM_TYPE)
-
-
-def update_params(params: Column, updates: Column) -> Column:
-    """dict.update on ordered param arrays: keys already present keep their
-    position and take the new value; new keys are appended in order."""
-    upd = F.coalesce(updates, F.array().cast(PARAM_TYPE))
-    replaced = F.transform(params, lambda e: F.struct(
-        e.k.alias("k"),
-        F.coalesce(F.get(F.filter(upd, lambda u: u.k == e.k), 0).v, e.v).alias("v")))
-    base_keys = F.transform(params, lambda e: e.k)
-    extra = F.filter(upd, lambda u: ~F.array_contains(base_keys, u.k))
-    return F.concat(replaced, extra)
-
-
-def update_with_map(params: Column, m: Column) -> Column:
-    entries = F.transform(F.map_entries(F.coalesce(m, F.create_map().cast("map<string,string>"))),
-                          lambda e: F.struct(e.key.alias("k"), e.value.alias("v")))
-    return update_params(params, entries.cast(PARAM_TYPE))
-
-
 def drop_null_params(params: Column) -> Column:
     return F.filter(params, lambda e: e.v.isNotNull())
 
@@ -79,17 +48,6 @@ def query_string(params: Column) -> Column:
         rfc3986(e.k), F.lit("="), rfc3986(e.v))), "&")
 
 
-def bbox_params(bbox: Column, api_type: Column) -> Column:
-    """A5: box -> params; ``bbox=minx,miny,maxx,maxy`` for WFS / OGC API,
-    otherwise ``minx``, ``miny``, ``maxx``, ``maxy``."""
-    t = F.lower(api_type)
-    single = params_array([("bbox", bbox_to_csv(bbox))])
-    four = params_array([("minx", bbox.xmin.cast("string")), ("miny", bbox.ymin.cast("string")),
-                         ("maxx", bbox.xmax.cast("string")), ("maxy", bbox.ymax.cast("string"))])
-    return F.when(bbox.isNull(), F.array().cast(PARAM_TYPE)).when(
-        t.isin("wfs", "ogcapi"), single).otherwise(four)
-
-
 def _opt(col_name: str, jobs: DataFrame, default=None) -> Column:
     if col_name in jobs.columns:
         c = F.col(col_name)
@@ -97,14 +55,11 @@ def _opt(col_name: str, jobs: DataFrame, default=None) -> Column:
     return F.lit(default)
 
 
-def _empty_map():
-    return F.create_map().cast("map<string,string>")
-
-
 # --- SQL-text builders --------------------------------------------------------
 # The planners below write their parameter logic as SQL expression text: one
 # ``expr`` call per step instead of hundreds of Py4J calls to assemble nested
-# lambdas, so planning stays fast.  Semantics are those of update_params.
+# lambdas, so planning stays fast.  A key that is there keeps its
+# place and takes the new value; new keys come after, in their order.
 
 def _sq(v: str) -> str:
     return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -219,14 +174,18 @@ def plan_ogc(jobs: DataFrame) -> DataFrame:
                .withColumnRenamed("_p", "request_params"))
 
 
+def bbox_params_sql(box: str = "bbox", api_type: str = "''") -> str:
+    """A5: box -> params; ``bbox=minx,miny,maxx,maxy`` for WFS / OGC API, otherwise ``minx``, ``miny``,
+    ``maxx``, ``maxy``; none without a box."""
+    four = _arr_sql([("minx", f"{box}.xmin"), ("miny", f"{box}.ymin"), ("maxx", f"{box}.xmax"), ("maxy", f"{box}.ymax")])
+    return (f"CASE WHEN {box} IS NULL THEN {_EMPTY} WHEN lower({api_type}) IN ('wfs', 'ogcapi') THEN "
+            + _arr_sql([("bbox", _CSV.replace("bbox.", f"{box}."))]) + f" ELSE {four} END")
+
+
 def plan_generic(jobs: DataFrame) -> DataFrame:
     """A4: user params, then the box params (box wins on a clash); headers
     stay in their own MAP column and are never folded into the URL."""
-    t = "lower(`api_type`)" if "api_type" in jobs.columns else "''"
-    four = _arr_sql([("minx", "bbox.xmin"), ("miny", "bbox.ymin"),
-                     ("maxx", "bbox.xmax"), ("maxy", "bbox.ymax")])
-    box = (f"CASE WHEN bbox IS NULL THEN {_EMPTY} WHEN {t} IN ('wfs', 'ogcapi') THEN "
-           + _arr_sql([("bbox", _CSV)]) + f" ELSE {four} END")
+    box = bbox_params_sql("bbox", "`api_type`" if "api_type" in jobs.columns else "''")
     out = _steps(jobs, _EMPTY, _custom_sql(jobs), box)
     return (out.withColumn("page", F.lit(0)).withColumn("request_base", F.col("url"))
                .withColumnRenamed("_p", "request_params"))

@@ -4,11 +4,18 @@ manifest of published files, keyed by (folder, file name).
 The original calls a file-store client once per file; the data semantics of
 those calls are a full outer join of the current state with the batch:
 update if present, create if not, leave the rest, report missing inputs.
+
+A manifest is stored as versions: the state of each is a folder of Parquet, and an entry in the log names it.
+Writing an entry is one rename that fails where the version is already there, so a publish either
+takes effect whole or not at all, and never over one that it hasn't read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geospan.plans.jobs import merge_maps
@@ -73,3 +80,122 @@ def get_or_create_folders(existing: DataFrame, requested: DataFrame) -> DataFram
                    F.lit(True).alias("created")))
     old = existing.select("parent", "name", "folder_id", F.lit(False).alias("created"))
     return old.unionByName(new)
+
+
+# --- the stored manifest --------------------------------------------------------
+
+STATE = "folder string, file_name string, version int, bytes long, metadata map<string,string>"
+
+
+class ManifestMoved(RuntimeError):
+    """Another publish has committed since the base version was read."""
+
+
+class _Store:
+    """The log of a manifest, through Hadoop's file systems."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.jvm, self.sc = spark._jvm, spark.sparkContext
+        self.conf = spark._jsc.hadoopConfiguration()
+        root = self.jvm.org.apache.hadoop.fs.Path(path)
+        self.fs = root.getFileSystem(self.conf)
+        self.root = self.fs.makeQualified(root).toString().rstrip("/")
+
+    def path(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+
+    def versions(self) -> list[int]:
+        folder = self.path("log")
+        if not self.fs.exists(folder):
+            return []
+        names = [f.getPath().getName() for f in self.fs.listStatus(folder)]
+        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and n[0].isdigit())
+
+    def read(self, version: int) -> dict:
+        stream = self.fs.open(self.path(f"log/{version:012d}.json"))
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+
+    def commit(self, version: int, entry: dict) -> None:
+        """The entry, written beside the log and renamed into it; a version that is there already stays."""
+        held = self.path(f"log/.{uuid.uuid4().hex}.tmp")
+        out = self.fs.create(held, False)
+        try:
+            out.write(bytearray(json.dumps(entry).encode()))
+        finally:
+            out.close()
+        keep = self.sc._gateway.new_array(self.jvm.org.apache.hadoop.fs.Options.Rename, 0)  # no overwriting
+        files = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.getUri(), self.conf)
+        try:
+            files.rename(held, self.path(f"log/{version:012d}.json"), keep)
+        except Exception as e:
+            self.fs.delete(held, False)
+            if "FileAlreadyExists" in str(e):
+                raise ManifestMoved(f"version {version} of {self.root} is there already") from None
+            raise
+
+
+def read_manifest(spark: SparkSession, path: str, version: int | None = None) -> tuple[DataFrame, int]:
+    """(state, version) of a stored manifest, the last one by default; an empty state and 0 before the first publish.
+
+    A publish that broke off before its log entry was written was never there."""
+    store = _Store(spark, path)
+    versions = store.versions()
+    if version is None:
+        version = versions[-1] if versions else 0
+    if version == 0:
+        return spark.createDataFrame([], STATE), 0
+    if version not in versions:
+        raise ValueError(f"no version {version} of {path}")
+    return spark.read.schema(STATE).parquet(f"{store.root}/{store.read(version)['data']}"), version
+
+
+def commit_manifest(spark: SparkSession, path: str, state: DataFrame, base: int) -> int:
+    """Stores ``state`` (columns of ``STATE``) as the version after ``base`` and gives its number; raises
+    ``ManifestMoved`` if ``base`` isn't the last version any more.  The state is written before the log entry."""
+    store = _Store(spark, path)
+    versions = store.versions()
+    if (versions[-1] if versions else 0) != base:
+        raise ManifestMoved(f"{path} is at version {versions[-1] if versions else 0}, not {base}")
+    data = f"data/{uuid.uuid4().hex}"
+    state.select(*[f.split(" ", 1)[0] for f in STATE.split(", ")]).write.parquet(f"{store.root}/{data}")
+    store.commit(base + 1, {"data": data, "base": base})
+    return base + 1
+
+
+def publish(spark: SparkSession, path: str, batch: DataFrame, metadata_template: bool = True, attempts: int = 5) -> tuple[DataFrame, int]:
+    """K6 + K7 on a stored manifest: (actions, version).  The batch is merged with the last version and committed; if
+    another publish came first, it is merged again with that one's state, ``attempts`` times.
+
+    actions: as ``publish_manifest`` gives them, for the files of the batch.  Files that are missing and were never
+    published are reported, not stored."""
+    for k in range(attempts):
+        state, base = read_manifest(spark, path)
+        merged = publish_manifest(state, batch, metadata_template).checkpoint()  # one result for the store and the caller
+        try:
+            version = commit_manifest(spark, path, merged.where("version IS NOT NULL").withColumn("version", F.col("version").cast("int")), base)
+        except ManifestMoved:
+            if k == attempts - 1:
+                raise
+            continue
+        return merged.where("action <> 'keep'"), version
+
+
+def remove_old_versions(spark: SparkSession, path: str, keep: int = 2) -> int:
+    """Removes the states and log entries of all but the last ``keep`` versions, and states that no entry names (a
+    publish that runs meanwhile must not be disturbed: call it when none does); gives how many folders went."""
+    if keep < 1:
+        raise ValueError("keep: one version at least")
+    store = _Store(spark, path)
+    versions = store.versions()
+    named = {store.read(v)["data"].rpartition("/")[2] for v in versions[-keep:]}
+    gone = 0
+    for v in versions[:-keep]:
+        store.fs.delete(store.path(f"log/{v:012d}.json"), False)
+    data = store.path("data")
+    for f in store.fs.listStatus(data) if store.fs.exists(data) else []:
+        if f.getPath().getName() not in named:
+            gone += bool(store.fs.delete(f.getPath(), True))
+    return gone

@@ -106,12 +106,12 @@ def _bbox_sql(r) -> str:
 _ORDER_RECT = _rect_sql("o_orderkey", "o_custkey")
 
 
-def rect_wkt(x0=None, y0=None, x1=None, y1=None) -> Column:
+def rect_wkt() -> Column:
     """WKT of the order rectangle (F-A)."""
     return F.expr(_ring_wkt_sql(_rect_pts(_ORDER_RECT)))
 
 
-def rect_geojson(x0=None, y0=None, x1=None, y1=None) -> Column:
+def rect_geojson() -> Column:
     """GeoJSON geometry text of the order rectangle (F-C)."""
     return F.expr(_ring_geojson_sql(_rect_pts(_ORDER_RECT)))
 
@@ -155,13 +155,13 @@ def mixed_geometry(orders: DataFrame) -> DataFrame:
                          geom.alias("geometry"))
 
 
-def point_features(events: DataFrame) -> DataFrame:
+def point_features(events: DataFrame, keep=()) -> DataFrame:
     """F-B: one point per event."""
     k = F.col("event_id")
     x = F.pmod(k * X_MULT, F.lit(X_SPAN)) - X_SPAN // 2
     y = F.pmod(k * Y_MULT, F.lit(Y_SPAN)) - Y_SPAN // 2
     return events.select("event_id", _deg(x).alias("lon"), _deg(y).alias("lat"),
-                         "event_type", "value")
+                         "event_type", "value", *keep)
 
 
 def job_boxes(nation: DataFrame) -> DataFrame:

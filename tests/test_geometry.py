@@ -1,3 +1,4 @@
+import numpy as np
 import struct
 
 import pytest
@@ -146,7 +147,8 @@ def test_batch_wkb_kernel_matches_per_value():
             vals.append(None)
         else:
             vals.append(wkb.wkt_to_wkb("POINT EMPTY"))
-    assert wkb.wkb_bounds_batch(vals) == [wkb.wkb_bounds(v) for v in vals]
+    box, bad = wkb.wkb_bounds_arrays(vals)
+    assert [(None,) * 4 + (bool(f),) if np.isnan(b[0]) else (*map(float, b), bool(f)) for b, f in zip(box, bad)] == [wkb.wkb_bounds(v) for v in vals]
 
 
 def test_decode_spark_geometry_type(spark):

@@ -1,74 +1,66 @@
-"""The original's configuration tests, restated on job tables."""
+"""Job tables: boxes, defaults, names of files, job files, lookups, routes."""
 
 import json
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from geospan.functions.bbox import bbox_to_list, bbox_to_wkt, lit_bbox
 from geospan.functions.envelope import env_wkt
 from geospan.plans import jobs as J
 
-
-def test_box_creation_and_list(spark):
-    row = spark.range(1).select(bbox_to_list(lit_bbox([-180, -90, 180, 90])).alias("l")).first()
-    assert row["l"] == [-180.0, -90.0, 180.0, 90.0]
+HARBOUR = {"job_name": "harbour", "data_source": {"name": "Quays", "url": "hdfs://n/quays.parquet", "layer_name": "north", "geometry_column": "shape"},
+           "bounding_box": {"min_lon": 9.9, "min_lat": 53.5, "max_lon": 10.1, "max_lat": 53.6}, "output_formats": ["csv", "parquet"],
+           "output_prefix": "port", "metadata": {"owner": "dock office", "depth": 12}}
 
 
-def test_box_polygon_bounds(spark):
-    r = spark.range(1).select(bbox_to_wkt(lit_bbox([-180, -90, 180, 90])).alias("w")).first()
-    assert r["w"] == "POLYGON ((180 -90, 180 90, -180 90, -180 -90, 180 -90))"
+@pytest.mark.parametrize("box", [[3.5, -2, 8, 4.25], [0, 0, 0, 0], [5, 1, -5, -1]])
+def test_a_box_as_list_and_as_polygon(spark, box):
+    r = spark.range(1).select(bbox_to_list(lit_bbox(box)).alias("l"), bbox_to_wkt(lit_bbox(box)).alias("w")).first()
+    assert r["l"] == [float(v) for v in box]
     b = spark.range(1).select(env_wkt(F.lit(r["w"])).alias("b")).first()["b"]
-    assert (b.xmin, b.ymin, b.xmax, b.ymax) == (-180, -90, 180, 90)
-
-
-def test_source_and_job_defaults(spark):
-    df = spark.createDataFrame([('{"data_source": {"name": "Test", "url": "test.zip"}, '
-                                 '"bounding_box": [-180, -90, 180, 90]}',)], "text string")
-    j = J.parse_job_text(df).first()
-    assert j["job_name"] == "extraction"
-    assert j["output_prefix"] == "extracted_data"
-    assert j["output_formats"] == ["geojson", "parquet"]
-    assert j["metadata"] == {}
-    res = J.resolve_jobs(J.parse_job_text(df), J.builtin_sources(spark),
-                         J.builtin_locations(spark)).first()
-    assert res["layer_name"] is None
-    assert res["geometry_column"] == "geom"
-    assert res["status"] == "ok"
-
-
-def test_output_filename(spark):
-    ts = F.to_timestamp(F.lit("2024-01-02 03:04:05"))
-    r = spark.range(1).select(
-        J.output_filename(F.lit("test"), F.lit("test_job"), F.lit("geojson"), ts).alias("a"),
-        J.output_filename(F.lit("test"), F.lit("test_job"), F.lit("filegdb"), ts).alias("b"),
-        J.output_filename(F.lit("test"), F.lit("test_job"), F.lit("csv"), ts).alias("c")).first()
-    assert r["a"] == "test_test_job_20240102_030405.geojson"
-    assert r["b"].endswith(".gdb")
-    assert r["c"].endswith(".csv")
-
-
-def test_load_job_files(spark, scratch):
-    a = {"job_name": "test_extraction",
-         "data_source": {"name": "Test Source", "url": "https://example.com/data.zip",
-                         "geometry_column": "geom"},
-         "bounding_box": [-180, -90, 180, 90], "output_formats": ["geojson"],
-         "metadata": {"test": "value"}}
-    b = {"job_name": "named", "data_source": "fws_wetlands_fl",
-         "bounding_box": {"min_lon": -81.6, "min_lat": 28.3, "max_lon": -81.5, "max_lat": 28.4},
-         "output_prefix": "animal"}
-    c = {"job_name": "bad", "data_source": "nope"}
-    for i, d in enumerate((a, b, c)):
-        with open(f"{scratch}/job{i}.json", "w") as f:
-            json.dump(d, f)
+    x, y = sorted((box[0], box[2])), sorted((box[1], box[3]))
+    assert tuple(b) == (x[0], y[0], x[1], y[1]) and r["w"].startswith(f"POLYGON (({box[2]:g} {box[1]:g}, ")
+
+
+@pytest.mark.parametrize("box, want", [
+    ("[1, 2, 3, 4]", (1.0, 2.0, 3.0, 4.0)), (" [1.5,2,3,4]", (1.5, 2.0, 3.0, 4.0)), ("[1, 2, 3]", None), ("[1, 2, 3, 4, 5]", None),
+    ('{"min_lon": 1, "min_lat": 2, "max_lon": 3, "max_lat": 4}', (1.0, 2.0, 3.0, 4.0)), ('{"min_lon": 1, "min_lat": 2, "max_lon": 3}', (1.0, 2.0, 3.0, None)),
+    ('"north"', None), ("null", None)])
+def test_boxes_of_job_texts(spark, box, want):
+    df = spark.createDataFrame([(f'{{"data_source": "s", "bounding_box": {box}}}',)], "text string")
+    got = J.parse_job_text(df).first()["bbox"]
+    assert (None if got is None else tuple(got)) == want
+
+
+def test_defaults_of_a_bare_job(spark):
+    j = J.parse_job_text(spark.createDataFrame([('{"data_source": {"url": "x.csv"}}',)], "text string"))
+    r = J.resolve_jobs(j, J.builtin_sources(spark), J.builtin_locations(spark)).first()
+    assert (r["job_name"], r["output_prefix"], r["output_formats"], r["metadata"]) == (J.DEFAULT_JOB_NAME, J.DEFAULT_PREFIX, J.DEFAULT_FORMATS, {})
+    assert (r["layer_name"], r["geometry_column"], r["status"], r["url"]) == (None, J.DEFAULT_GEOMETRY_COLUMN, "no_bbox", "x.csv")
+
+
+@pytest.mark.parametrize("fmt, end", [("GeoJSON", ".geojson"), ("filegdb", ".gdb"), ("shapefile", ".shp"), ("parquet", ".parquet"), ("odd", ".odd")])
+def test_names_of_output_files(spark, fmt, end):
+    ts = F.to_timestamp(F.lit("2031-12-30 23:59:07"))
+    name = spark.range(1).select(J.output_filename(F.lit("port"), F.lit("harbour 7"), F.lit(fmt), ts)).first()[0]
+    assert name == f"port_harbour 7_20311230_235907{end}"
+
+
+def test_job_files_of_every_shape(spark, scratch):
+    files = {"a": HARBOUR, "b": {"job_name": "park", "data_source": "fws_wetlands_fl", "location": "disney_animal_kingdom", "bounding_box": [0, 0, 1, 1]},
+             "c": {"job_name": "nowhere", "data_source": "fws_wetlands_fl"}, "d": {"job_name": "lost", "data_source": "no such source", "bounding_box": [0, 0, 1, 1]}}
+    for name, job in files.items():
+        with open(f"{scratch}/{name}.json", "w") as f:
+            json.dump(job, f, indent=2)
     jobs = J.read_jobs(spark, f"{scratch}/*.json")
-    res = {r["job_name"]: r for r in J.resolve_jobs(
-        jobs, J.builtin_sources(spark), J.builtin_locations(spark)).collect()}
-    assert res["test_extraction"]["source_name"] == "Test Source"
-    assert list(res["test_extraction"]["bbox"]) == [-180, -90, 180, 90]
-    assert res["test_extraction"]["metadata"]["test"] == "value"
-    assert res["named"]["url"].startswith("zip://")
-    assert res["named"]["output_prefix"] == "animal"
-    assert res["bad"]["status"] == "unknown_source"
+    res = {r["job_name"]: r for r in J.resolve_jobs(jobs, J.builtin_sources(spark), J.builtin_locations(spark)).collect()}
+    h = res["harbour"]
+    assert (h["source_name"], h["url"], h["layer_name"], h["geometry_column"]) == ("Quays", "hdfs://n/quays.parquet", "north", "shape")
+    assert tuple(h["bbox"]) == (9.9, 53.5, 10.1, 53.6) and h["metadata"] == {"owner": "dock office", "depth": "12"}
+    assert {n: r["status"] for n, r in res.items()} == {"harbour": "ok", "park": "ok", "nowhere": "no_bbox", "lost": "unknown_source"}
+    assert res["park"]["bbox"].xmin < -81 and res["park"]["url"].startswith("zip://")  # the named place wins over the box
 
 
 def test_cli_style_unknown_source_is_url(spark):
@@ -80,14 +72,6 @@ def test_cli_style_unknown_source_is_url(spark):
     assert r["url"] == "https://x.org/a.csv" and r["source_name"] == "custom"
 
 
-def test_named_location_wins(spark):
-    jobs = spark.createDataFrame([("j", "fws_wetlands_fl", "disney_animal_kingdom")],
-                                 "job_name string, source_key string, location string") \
-        .withColumn("bbox", lit_bbox([0, 0, 1, 1]))
-    r = J.resolve_jobs(jobs, J.builtin_sources(spark), J.builtin_locations(spark)).first()
-    assert r["bbox"].xmin == -81.61303476507055
-
-
 def test_metadata_merge_later_wins(spark):
     r = spark.range(1).select(J.merge_maps(
         J.parse_metadata(F.lit('{"a": "1", "b": {"c": 2}}')),

@@ -82,16 +82,12 @@ def test_arcgis_count_then_pages(spark):
     assert offs == [0, 1, 2]
 
 
-def test_param_helpers(spark):
-    from geospan.plans.requests import (bbox_params, params_array, query_string,
-                                        update_params, update_with_map)
-    row = spark.range(1).select(
-        query_string(update_with_map(
-            update_params(params_array([("a", "1"), ("b", "x y*")]),
-                          params_array([("b", "2"), ("c", "3")])),
-            F.create_map(F.lit("a"), F.lit("9")))).alias("qs"),
-        query_string(bbox_params(lit_bbox([1, 2, 3, 4]), F.lit("WFS"))).alias("wfs"),
-        query_string(bbox_params(lit_bbox([1, 2, 3, 4]), F.lit("rest"))).alias("gen")).first()
-    assert row["qs"] == "a=9&b=2&c=3"
-    assert row["wfs"] == "bbox=1.0%2C2.0%2C3.0%2C4.0"
-    assert row["gen"] == "minx=1.0&miny=2.0&maxx=3.0&maxy=4.0"
+def test_params_override_in_place_and_box_params(spark):
+    from geospan.plans.requests import bbox_params_sql, plan_generic, query_string
+    jobs = spark.createDataFrame([("j", "rest", "u"), ("k", "WFS", "u")], "job_name string, api_type string, url string").withColumns(
+        {"bbox": lit_bbox([1, 2, 3, 4]), "params": F.expr("CASE WHEN job_name = 'j' THEN map('a', 'x y*', 'minx', '7', 'c', '3') END")})
+    got = {r["job_name"]: r["q"] for r in plan_generic(jobs).select("job_name", query_string(F.col("request_params")).alias("q")).collect()}
+    assert got == {"j": "a=x%20y%2A&minx=1.0&c=3&miny=2.0&maxx=3.0&maxy=4.0", "k": "bbox=1.0%2C2.0%2C3.0%2C4.0"}
+    row = jobs.where("job_name = 'j'").withColumn("other", F.lit(None).cast("struct<xmin: double, ymin: double, xmax: double, ymax: double>")).select(
+        query_string(F.expr(bbox_params_sql("bbox", "'OGCAPI'"))).alias("one"), F.size(F.expr(bbox_params_sql("other"))).alias("none")).first()
+    assert (row["one"], row["none"]) == ("bbox=1.0%2C2.0%2C3.0%2C4.0", 0)
