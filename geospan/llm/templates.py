@@ -17,6 +17,8 @@ DIGIT = re.compile(rb"[0-9]")
 FILTER_BITS = 1 << 23
 #: Lines of fewer tokens have no variable fields but numbers, and must recur in more documents.
 SHORT = 5
+#: Lines of a leaf that are compared all with all; of more, those with a block of places in common.
+FEW = 64
 #: Characters of scripts that are written without spaces.
 UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3000-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff00-\uffef\U00020000-\U0003ffff])")
 
@@ -74,7 +76,8 @@ def _several(lines: list[tuple[int, list[bytes]]], depth: int, share: float) ->
     # line is only compared with those that share a block with it
     apart = size - int(np.ceil(least))
     blocks = []
-    for places in np.array_split(np.arange(depth, size), apart + 1):
+    few = len(lines) <= FEW
+    for places in np.array_split(np.arange(depth, size), apart + 1) if not few else ():
         parts, at = np.unique(grid[:, places], axis=0, return_inverse=True)
         at = at.reshape(-1)
         order = np.argsort(at, kind="stable")
@@ -88,8 +91,11 @@ def _several(lines: list[tuple[int, list[bytes]]], depth: int, share: float) ->
             k = names.get(form[places].tobytes())
             if k is not None and (len(places) == 0 or form[places].all()):
                 found.append(order[edge[k]:edge[k + 1]])
-        rows = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-        rows = rows[free[rows]]
+        if few:
+            rows = np.flatnonzero(free)
+        else:
+            rows = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+            rows = rows[free[rows]]
         same = ((grid[rows] == form) & (form > 0)).sum(axis=1)
         return rows[same >= least], same[same >= least]
     for first in range(len(lines)):

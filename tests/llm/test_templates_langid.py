@@ -205,3 +205,21 @@ def test_stages_on_empty_tables_and_clashing_columns(spark, tmp_path):
     docs = spark.createDataFrame([], DOC + ", _key int, _first int, _one int, kept int, template int")
     for name, stage in corpus_pipeline.STAGES[2:4]:
         assert stage(spark, docs, SF).count() == 0 and stage(spark, docs, SF).columns == docs.columns, name
+
+
+def test_comparing_by_blocks_changes_nothing(monkeypatch):
+    rng = random.Random(6)
+    for _ in range(150):
+        size, base = rng.randrange(5, 14), [[b"w%d" % rng.randrange(4) for _ in range(14)] for _ in range(4)]
+        lines = {}
+        for _ in range(rng.randrange(2, 90)):
+            t = [b"a", b"b", b"c", *rng.choice(base)[3:size]]
+            for _ in range(rng.randrange(3)):
+                t[rng.randrange(3, size)] = rng.choice([b"<*>", b"v%d" % rng.randrange(9)])
+            lines[tuple(t)] = rng.getrandbits(62)
+        rows = [(h, list(t)) for t, h in lines.items()]
+        found = []
+        for few in (0, 64, 10**9):
+            monkeypatch.setattr(templates, "FEW", few)
+            found.append(templates._several(rows, 3, 0.7) if len(rows) > 1 else {})
+        assert found[0] == found[1] == found[2]
