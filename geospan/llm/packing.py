@@ -73,13 +73,13 @@ def tokenised_pieces(docs: DataFrame, ranks_path: str, pattern: str, end_of_text
     return map_batches(keyed_text(docs, id_col, text_col), run, schema)
 
 
-def completion(room: int, have: list[int], effort: int = 20_000) -> list[int]:
+def completion(room: int, have: list[int], effort: int | None = 20_000) -> list[int]:
     """Lengths, largest first, that fill ``room`` with the least waste out of ``have`` (counts by length).
 
     The best-fit filling is the first incumbent.  The search enumerates fillings by descending
     length; it leaves out dominated ones (a filling to which another length could be added, and one
     whose next length repeats a choice already tried at that place) and branches that can't beat
-    the incumbent's waste; a filling without waste ends it.  ``effort`` bounds the nodes visited,
+    the incumbent's waste; a filling without waste ends it.  ``effort`` bounds the nodes visited (None: no bound),
     after which the incumbent stands: a fuller bin may be missed, never a piece.
     """
     def greedy(room, top):
@@ -94,7 +94,7 @@ def completion(room: int, have: list[int], effort: int = 20_000) -> list[int]:
         return out
 
     best = greedy(room, room)
-    waste, left = room - sum(best), effort
+    waste, left = room - sum(best), math.inf if effort is None else effort
     if not waste:
         return best
     lengths = [n for n in range(room, 0, -1) if have[n]]  # in falling order
@@ -128,11 +128,99 @@ def completion(room: int, have: list[int], effort: int = 20_000) -> list[int]:
     return best
 
 
-def plan(counts: dict[int, int], capacity: int = 1024) -> list[tuple[list[int], int]]:
+def least_sequences(counts: dict[int, int], capacity: int) -> int:
+    """A lower bound: for every size k, pieces over capacity - k have sequences of their own, those over half fill
+    one each, and what of the pieces from k to a half doesn't fit beside the latter needs more."""
+    have = np.zeros(capacity + 1, dtype=object)
+    for n, c in counts.items():
+        have[n] = c
+    number, total = np.cumsum(have), np.cumsum(have * np.arange(capacity + 1))
+    half, best = capacity // 2, 0
+    for k in range(half + 1):
+        alone = number[capacity] - number[capacity - k]
+        wide = number[capacity - k] - number[half]
+        room = wide * capacity - (total[capacity - k] - total[half])
+        small = total[half] - (total[k - 1] if k else 0)
+        best = max(best, alone + wide + max(0, -(-(small - room) // capacity)))
+    return best
+
+
+def branch(counts: dict[int, int], capacity: int, most: int, effort: int | None = 100_000) -> list[list[int]] | None:
+    """Fillings that pack all pieces into ``most`` sequences, by branch-and-bound over sequences; None if there are none,
+    or if ``effort`` nodes (None: no bound) don't tell.
+
+    The largest piece left is in some sequence: each branch is one of the fillings around it, the fuller ones
+    first.  Branches whose waste, with that before them, is over what ``most`` sequences may waste in all are cut, and
+    so are dominated fillings (a larger spare piece could take the place of a smaller one, or be added) and states that have
+    failed before."""
+    lengths = sorted((n for n, c in counts.items() if c), reverse=True)
+    spare = [counts[n] for n in lengths]
+    left = math.inf if effort is None else effort
+    failed: dict[tuple, int] = {}
+
+    def fillings(room, top, waste):
+        found = []
+
+        def fill(room, first, chosen):
+            nonlocal left
+            left -= 1
+            if left < 0:
+                return
+            bigger = len(lengths)  # the largest spare piece that fits: it may be added
+            for k in range(first, len(lengths)):
+                if spare[k] and lengths[k] <= room:
+                    bigger = k
+                    break
+            if bigger == len(lengths) or room <= waste:
+                fits = next((k for k in range(top, len(lengths)) if spare[k] and lengths[k] <= room), None)
+                if room <= waste and fits is None and not any(
+                        spare[k] and k not in chosen and any(lengths[k] > lengths[c] >= lengths[k] - room for c in chosen) for k in range(top, len(lengths))):
+                    found.append((room, tuple(chosen)))
+            for k in range(bigger, len(lengths)):
+                if spare[k] and lengths[k] <= room:
+                    spare[k] -= 1
+                    chosen.append(k)
+                    fill(room - lengths[k], k, chosen)
+                    chosen.pop()
+                    spare[k] += 1
+        fill(room, top, [])
+        return sorted(set(found))
+
+    def solve(bins, waste):
+        top = next((k for k, c in enumerate(spare) if c), None)
+        if top is None:
+            return []
+        state = tuple(spare)
+        if waste < 0 or not bins or left < 0 or failed.get(state, -1) >= bins:
+            return None
+        spare[top] -= 1
+        for room, chosen in fillings(capacity - lengths[top], top, waste):
+            for k in chosen:
+                spare[k] -= 1
+            rest = solve(bins - 1, waste - room)
+            for k in chosen:
+                spare[k] += 1
+            if rest is not None:
+                spare[top] += 1
+                return [[lengths[top], *(lengths[k] for k in chosen)], *rest]
+        spare[top] += 1
+        failed[state] = max(failed.get(state, -1), bins)
+        return None
+    return solve(most, most * capacity - sum(n * c for n, c in counts.items()))
+
+
+#: Pieces of a part of the plan that is searched anew as a whole; recursion goes as deep as it has sequences.
+TAIL = 300
+
+
+def plan(counts: dict[int, int], capacity: int = 1024, effort: int | None = 20_000) -> list[tuple[list[int], int]]:
     """[(lengths of one sequence, number of such sequences)], in which every piece has a place.
 
-    Takes the largest length left, completes it, and repeats that filling as often as the counts
-    allow; each step uses up a length or a remainder of one, so there are few steps.
+    The incumbent takes the largest length left, completes it, and repeats that filling as often as the counts
+    allow; each step uses up a length or a remainder of one, so there are few steps.  Where it has more
+    sequences than ``least_sequences``, a branch-and-bound over sequences tries to save one, and another: over all of them if
+    there are at most TAIL pieces, else over the last ones, which hold what was left over.  ``effort`` bounds the nodes of each
+    search; with None plans of up to TAIL pieces are optimal, and slow in the worst case.
     """
     have = [0] * (capacity + 1)
     for n, c in counts.items():
@@ -141,22 +229,42 @@ def plan(counts: dict[int, int], capacity: int = 1024) -> list[tuple[list[int],
     for top in range(capacity, 0, -1):
         while have[top]:
             have[top] -= 1
-            filling = [top, *completion(capacity - top, have)]
+            filling = [top, *completion(capacity - top, have, effort)]
             have[top] += 1
             times = min(have[n] // filling.count(n) for n in set(filling))
             for n in filling:
                 have[n] -= times
             out.append((filling, times))
+    spare = sum(t for _, t in out) - least_sequences(counts, capacity)
+    while spare > 0:
+        tail, pieces = [], 0
+        while out and pieces + len(out[-1][0]) <= TAIL:
+            filling, times = out.pop()
+            some = min(times, (TAIL - pieces) // len(filling))
+            tail += [filling] * some
+            pieces += some * len(filling)
+            if some < times:
+                out.append((filling, times - some))
+                break
+        held: dict[int, int] = {}
+        for filling in tail:
+            for n in filling:
+                held[n] = held.get(n, 0) + 1
+        found = branch(held, capacity, len(tail) - 1, effort) if len(tail) > least_sequences(held, capacity) else None
+        out += [(filling, 1) for filling in found or tail[::-1]]
+        if found is None:
+            break
+        spare -= 1
     return out
 
 
-def pack(pieces: DataFrame, capacity: int = 1024) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 1024, effort: int | None = 20_000) -> DataFrame:
     """``pieces`` (doc_id, piece, start, length, ids_crc32, ...) with sequence_id and offset.
 
     Sequences are filled from 0 without gaps and hold at most ``capacity`` ids.  The rank of a piece
     among those of its length is counted in buckets; a length that many pieces share gets as many
     buckets as its share asks for, so none holds more than about 1/(4 x shuffle partitions) of all
-    rows.  Rows that repeat another are pieces of their own.  No rows: no sequences.
+    rows.  Rows that repeat another are pieces of their own.  No rows: no sequences.  ``effort``: see ``plan``.
     """
     spark = pieces.sparkSession
     pieces = pieces.checkpoint()  # tokenised once, read three times
@@ -178,7 +286,7 @@ def pack(pieces: DataFrame, capacity: int = 1024) -> DataFrame:
     slots: dict[int, list[tuple[int, int, int]]] = {}
     used: dict[int, int] = {}
     sequence = 0
-    for filling, times in plan(counts, capacity):
+    for filling, times in plan(counts, capacity, effort):
         at = 0
         for n in filling:
             slots.setdefault(n, []).append((used.get(n, 0), sequence, at))
