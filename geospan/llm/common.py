@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,3 +102,52 @@ def map_batches(df: DataFrame, make, schema: str) -> DataFrame:
                  for x, f in ((columns[f.name], f) for f in kind)], schema=kind)
 
     return df.mapInArrow(run, schema)
+
+
+#: Rows that one step of a tree combines.
+FAN = 8
+
+
+def list_matrix(column, dim: int, fill: int = 0) -> np.ndarray:
+    """A column of lists as rows of int64; shorter lists end in ``fill``."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    at = column.offsets.to_numpy()
+    size = np.diff(at)
+    out = np.full((len(column), dim), fill, np.int64)
+    row = np.repeat(np.arange(len(column)), size)
+    out[row, np.arange(len(row)) - np.repeat(at[:-1] - at[0], size)] = column.values.to_numpy(zero_copy_only=False)[at[0]:at[-1]]
+    return out
+
+
+def tree(parts: DataFrame, combine, schema: str) -> DataFrame:
+    """Rows (slot, ...) combined by FAN at a time until one is left; ``combine`` takes a pandas frame in the order of slots."""
+    slots = parts.agg(F.max("slot")).first()[0] or 0
+    while slots > 0:
+        def step(key, pdf):
+            out = combine(pdf.sort_values("slot"))
+            out["slot"] = [key[0]]
+            return out
+        parts = parts.withColumn("slot", F.floor(F.col("slot") / FAN).cast("int")).groupBy("slot").applyInPandas(step, schema)
+        slots //= FAN
+    return parts
+
+
+def sum_over_rows(lists: DataFrame, dim: int, of, fill: int = 0) -> np.ndarray:
+    """Sum over the rows of a column of lists of what ``of`` gives for a matrix of some of them; a row of one array per
+    task, added up in a tree."""
+    import pandas as pd
+
+    def part(batches):
+        total = None
+        for b in batches:
+            x = list_matrix(b.column(0), dim, fill)
+            for a in range(0, len(x), 4096):
+                one = of(x[a:a + 4096])
+                total = one if total is None else total + one
+        if total is not None:
+            yield {"slot": [TaskContext.get().partitionId()], "m": [total.ravel().tolist()]}
+
+    def combine(pdf):
+        return pd.DataFrame({"slot": [0], "m": [np.sum(np.stack(pdf["m"].to_numpy()), axis=0)]})
+    parts = map_batches(lists, part, "slot int, m array<double>").checkpoint()
+    return np.array(tree(parts, combine, "slot int, m array<double>").first()["m"])

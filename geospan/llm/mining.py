@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from geospan.llm.common import map_batches
+from geospan.llm.common import list_matrix, map_batches
 
 #: Rows of a block at most; their packed form is what is shuffled.
 ANCHORS, CANDIDATES = 4096, 8192
@@ -33,17 +33,6 @@ def labelled_integers(df: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
             .where("vec_id IS NOT NULL AND label IS NOT NULL AND _v IS NOT NULL").where(fine).select("vec_id", "label", v.alias("v")))
 
 
-def _matrix(column, dim: int) -> np.ndarray:
-    """Rows as int64; shorter vectors end in zeros."""
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    at = column.offsets.to_numpy()
-    size = np.diff(at)
-    out = np.zeros((len(column), dim), np.int64)
-    row = np.repeat(np.arange(len(column)), size)
-    out[row, np.arange(len(row)) - np.repeat(at[:-1] - at[0], size)] = column.values.to_numpy(zero_copy_only=False)[at[0]:at[-1]]
-    return out
-
-
 def bit_planes(v: np.ndarray, bits: int) -> np.ndarray:
     """(groups, bits, rows) bytes: bit b of components 8g..8g+7, two's complement; the last group ends in zeros."""
     rows, dim = v.shape
@@ -124,11 +113,11 @@ def hard_negatives(anchors: Column, rows: DataFrame, positives: int = 5, negativ
 
     def pack_candidates(t):
         return {"ids": [t["vec_id"].to_numpy().tobytes()], "labels": [t["label"].to_numpy().tobytes()], "rows": [t["row"].to_numpy().tobytes()],
-                "planes": [bit_planes(_matrix(t["v"], dim), bits).tobytes()]}
+                "planes": [bit_planes(list_matrix(t["v"], dim), bits).tobytes()]}
 
     def pack_anchors(t):
         return {"aids": [t["vec_id"].to_numpy().tobytes()], "alabels": [t["label"].to_numpy().tobytes()],
-                "arows": [t["row"].to_numpy().tobytes()], "av": [_matrix(t["v"], dim).tobytes()]}
+                "arows": [t["row"].to_numpy().tobytes()], "av": [list_matrix(t["v"], dim).tobytes()]}
     cblocks = _blocks(rows, ncb, "cb", pack_candidates, "ids binary, labels binary, rows binary, planes binary").checkpoint()
     ablocks = _blocks(rows.where("anchor"), nab, "ab", pack_anchors, "aids binary, alabels binary, arows binary, av binary").checkpoint()
 

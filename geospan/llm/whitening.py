@@ -18,11 +18,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geospan.llm.common import map_batches
+from geospan.llm.common import list_matrix, map_batches, sum_over_rows, tree
 
 EPS = np.finfo(float).eps
-#: Spectra or matrices that one step of a tree combines.
-FAN = 8
 LANES = 32
 
 
@@ -216,17 +214,6 @@ def integer_entries(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
             .where(F.col("_v").isNotNull()).select("vec_id", F.col("_v").alias(vec_col)).where(fine).select("vec_id", x.alias("x")))
 
 
-def _matrix(column, dim: int, fill: int) -> np.ndarray:
-    """Rows as int64; shorter vectors end in ``fill``."""
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    at = column.offsets.to_numpy()
-    size = np.diff(at)
-    out = np.full((len(column), dim), fill, np.int64)
-    row = np.repeat(np.arange(len(column)), size)
-    out[row, np.arange(len(row)) - np.repeat(at[:-1] - at[0], size)] = column.values.to_numpy(zero_copy_only=False)[at[0]:at[-1]]
-    return out
-
-
 def _numerators(x: np.ndarray, n: int, sums: np.ndarray) -> np.ndarray:
     """n*x - S, exact: int64 where it fits, else Python's integers.  Sums of d squares have to fit, too, for int64."""
     if n * max(int(np.abs(x).max(initial=0)), 1) + max(map(abs, sums.tolist()), default=0) < 1 << 62:
@@ -240,19 +227,6 @@ def _square_sums(t: np.ndarray) -> list[int]:
     return [sum(e * e for e in row) for row in t.tolist()]
 
 
-def _tree(parts: DataFrame, combine, schema: str) -> DataFrame:
-    """Rows (slot, ...) combined by FAN at a time until one is left; ``combine`` takes a pandas frame in the order of slots."""
-    slots = parts.agg(F.max("slot")).first()[0] or 0
-    while slots > 0:
-        def step(key, pdf):
-            out = combine(pdf.sort_values("slot"))
-            out["slot"] = [key[0]]
-            return out
-        parts = parts.withColumn("slot", F.floor(F.col("slot") / FAN).cast("int")).groupBy("slot").applyInPandas(step, schema)
-        slots //= FAN
-    return parts
-
-
 def _spectra(rows: DataFrame, dim: int, fill: int, centre: np.ndarray) -> np.ndarray:
     """Eigenvectors (columns, by falling eigenvalue) of the scatter matrix of all rows, as incremental updates give them."""
     import pandas as pd
@@ -262,7 +236,7 @@ def _spectra(rows: DataFrame, dim: int, fill: int, centre: np.ndarray) -> np.nda
     def update(batches):
         state = None
         for b in batches:
-            x = (_matrix(b.column(0), dim, fill) - centre).astype(float)
+            x = (list_matrix(b.column(0), dim, fill) - centre).astype(float)
             if not len(x):
                 continue
             if state is None:
@@ -290,31 +264,11 @@ def _spectra(rows: DataFrame, dim: int, fill: int, centre: np.ndarray) -> np.nda
         return pd.DataFrame({"slot": [0], "n": one.n, "mean": list(one.mean), "lambdas": list(one.values), "vectors": [one.vectors[0].ravel()]})
     schema = "slot int, n long, mean array<double>, lambdas array<double>, vectors array<double>"
     parts = map_batches(rows.select("x"), update, schema).checkpoint()
-    row = _tree(parts, combine, schema).first()
+    row = tree(parts, combine, schema).first()
     vectors = np.array(row["vectors"]).reshape(dim, dim)
     return vectors[:, np.argsort(-np.array(row["lambdas"]), kind="stable")]
 
 
-def _sum_over_rows(rows: DataFrame, dim: int, fill: int, of) -> np.ndarray:
-    """Sum over all rows of what ``of`` gives for a matrix of them; a row of one array per task, added up in a tree."""
-    import pandas as pd
-
-    def part(batches):
-        total = None
-        for b in batches:
-            x = _matrix(b.column(0), dim, fill)
-            for a in range(0, len(x), 4096):
-                one = of(x[a:a + 4096])
-                total = one if total is None else total + one
-        if total is not None:
-            yield {"slot": [TaskContext.get().partitionId()], "m": [total.ravel().tolist()]}
-
-    def combine(pdf):
-        return pd.DataFrame({"slot": [0], "m": [np.sum(np.stack(pdf["m"].to_numpy()), axis=0)]})
-    parts = map_batches(rows.select("x"), part, "slot int, m array<double>").checkpoint()
-    return np.array(_tree(parts, combine, "slot int, m array<double>").first()["m"])
-
-
 def whiten(entries: DataFrame, components: int = 8, fill: int = 100_000, refine: int = 2) -> DataFrame:
     """(vec_id, component, n, deviation, whitened, explained, identity_error), a row for each row of
     ``entries`` (from ``integer_entries``) and each of its first ``components`` components.
@@ -352,7 +306,7 @@ def whiten(entries: DataFrame, components: int = 8, fill: int = 100_000, refine:
         def ritz(x, basis=basis):
             y = centred(x) @ basis
             return y.T @ y
-        small = _sum_over_rows(rows, dim, fill, ritz).reshape(dim, dim) / n
+        small = sum_over_rows(rows.select("x"), dim, ritz, fill).reshape(dim, dim) / n
         values, turn = np.linalg.eigh((small + small.T) / 2)
         basis = np.linalg.qr(basis @ turn[:, ::-1])[0]
         values = values[::-1]
@@ -365,7 +319,7 @@ def whiten(entries: DataFrame, components: int = 8, fill: int = 100_000, refine:
         w = centred(x) @ weight
         w = np.concatenate([w, np.ones((len(w), 1))], axis=1)
         return w.T @ w
-    m = _sum_over_rows(rows, dim, fill, moments).reshape(k + 1, k + 1) / n
+    m = sum_over_rows(rows.select("x"), dim, moments, fill).reshape(k + 1, k + 1) / n
     off = (m[:k, :k] - np.outer(m[:k, k], m[:k, k]) - np.eye(k))[np.ix_(live, live)]
     error = float(np.abs(off).max()) if live.any() else None
     explained = [float(e) / trace if trace > 0 else 0.0 for e in np.where(live, values[:k], 0)]
@@ -374,7 +328,7 @@ def whiten(entries: DataFrame, components: int = 8, fill: int = 100_000, refine:
         for b in batches:
             for a in range(0, b.num_rows, 4096):
                 some = b.slice(a, 4096)
-                t = _numerators(_matrix(some.column(1), dim, fill), n, sums)
+                t = _numerators(list_matrix(some.column(1), dim, fill), n, sums)
                 w = (t.astype(float) / n) @ weight
                 many = len(w) * k
                 yield {"vec_id": some.column(0).take(pa.array(np.repeat(np.arange(len(w)), k))),
