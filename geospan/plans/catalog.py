@@ -33,6 +33,7 @@ from geospan.sinks.publish import (commit_manifest, folder_id, get_or_create_fol
                                    publish_manifest, read_manifest)
 from geospan.sources import derived as D
 from geospan.sources import files as S
+from geospan.sources.footers import geo_keys, stored_extent
 from geospan.sources.responses import parse_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -574,3 +575,24 @@ def publish_commits(spark, sf_dir):
         _, version = publish(spark, path, batch)
     state, last = read_manifest(spark, path)
     return state.select("folder", "file_name", "version", "bytes", J.map_text("metadata").alias("metadata"), F.lit(last == version).alias("is_last"))
+
+
+@register
+def extent_from_footers(spark, sf_dir):
+    """AG1 + AG5: the extent of each layer of stored features, from the footers of their files."""
+    path = _scratch(spark, "stored")
+    _fa(spark, sf_dir).select("o_orderkey", "layer", "bbox").write.partitionBy("layer").parquet(path)
+    return stored_extent(spark, path, by="layer")
+
+
+@register
+def geoparquet_footers(spark, sf_dir):
+    """K2: the rows and the box that the ``geo`` keys in the footers of all files give together."""
+    path = _scratch(spark, "geo")
+    feats = _fa(spark, sf_dir).select("o_orderkey", "layer", F.col("wkt").alias("geometry"), "bbox")
+    X.write_geoparquet(feats, path, partitions=4, geo_key="footer")
+    geo = F.from_json("geo", "struct<primary_column: string, columns: struct<geometry: struct<encoding: string, geometry_types: array<string>, bbox: array<double>>>>")
+    g = F.col("g.columns.geometry")
+    return (geo_keys(spark, path).select("rows", geo.alias("g"))
+            .groupBy("g.primary_column", g.encoding.alias("encoding"), F.array_join(g.geometry_types, ",").alias("types"))
+            .agg(F.sum("rows").alias("feature_count"), *[(F.min if k < 2 else F.max)(F.get(g.bbox, k)).alias(b) for k, b in enumerate(BBOX_FIELDS)]))

@@ -509,3 +509,6 @@ SELECT coalesce(c.folder, bt.folder) AS folder, coalesce(c.file_name, bt.file_na
             WHEN bt.b IS NULL THEN 'rows=' || c.n::VARCHAR || ';year=' || c.year::VARCHAR
             ELSE 'batch=r2;rows=' || bt.n::VARCHAR || ';year=' || c.year::VARCHAR END AS metadata, true AS is_last
 FROM c FULL OUTER JOIN bt ON c.folder = bt.folder AND c.file_name = bt.file_name"""
+
+ORACLE["extent_from_footers"] = f"WITH {FA} SELECT layer, {_EXTENT} FROM fa GROUP BY layer"
+ORACLE["geoparquet_footers"] = f"WITH {FA} SELECT 'geometry' AS primary_column, 'WKB' AS encoding, 'Polygon' AS types, {_EXTENT} FROM fa"

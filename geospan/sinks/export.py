@@ -25,6 +25,7 @@ from geospan.operators.extent import extent
 from geospan.operators.filters import drop_geometry
 from geospan.plans.jobs import FORMAT_EXTENSIONS, KNOWN_FORMATS, SUPPORTED_FORMATS
 from geospan.session import ensure_checkpoint_dir
+from geospan.sinks.geoparquet import FORMAT, GeoParquetSource
 
 #: Bytes of staged Parquet that go into one GeoParquet file.
 FILE_BYTES = 256 << 20
@@ -69,13 +70,13 @@ def stage(df: DataFrame) -> tuple[DataFrame, int]:
 
 
 def write_geoparquet(df: DataFrame, path: str, geometry: str = "geometry",
-                     mode: str = "overwrite", partitions: int | None = None) -> None:
+                     mode: str = "overwrite", partitions: int | None = None, geo_key: str = "sidecar") -> None:
     """K2: WKB geometry plus the ``bbox`` covering struct, clustered along a
     Z-order curve so that each file (and row group) covers a compact area
     and box filters on ``bbox.*`` skip most of them.  Spark's writer cannot
     set the file-level ``geo`` key, so its JSON goes to a ``_geo.json``
-    sidecar (not strictly spec-conformant GeoParquet; readers that need the
-    key can add it).  The number of files follows the bytes of the staged rows
+    sidecar; with ``geo_key="footer"`` the files are written by
+    :mod:`geospan.sinks.geoparquet` and have the key in their footers (stores that pyarrow reaches).  The number of files follows the bytes of the staged rows
     (``FILE_BYTES`` each) unless ``partitions`` is given, which says that ``df``
     is staged or cheap to read twice."""
     if partitions is None:
@@ -89,6 +90,12 @@ def write_geoparquet(df: DataFrame, path: str, geometry: str = "geometry",
     clustered = (out.withColumn("_z", zorder_key("bbox")).withColumn("_tie", tie)
                  .repartitionByRange(partitions, "_z", "_tie")
                  .sortWithinPartitions("_z").drop("_z", "_tie"))
+    if geo_key == "footer":
+        df.sparkSession.dataSource.register(GeoParquetSource)
+        clustered.write.format(FORMAT).option("geometry", geometry).mode(mode).save(path)
+        return
+    if geo_key != "sidecar":
+        raise ValueError("geo_key: sidecar or footer")
     clustered.write.mode(mode).parquet(path)
     ext = extent(df.sparkSession.read.parquet(path), with_count=False).first()
     geo = {"version": "1.1.0", "primary_column": geometry,

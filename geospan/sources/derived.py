@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from geospan.functions.bbox import make_bbox
 from geospan.functions.envelope import text_to_wkb
+from geospan.stores import file_system
 
 UNIT = 10000  # integer units per degree
 
@@ -355,11 +356,7 @@ def write_archives(orders: DataFrame, folder: str) -> None:
 
 def write_file(uri: str, content: bytes) -> None:
     """A file in a store that pyarrow reaches; written whole, so a task that runs again writes the same."""
-    import pyarrow.fs as pafs
-
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
-    store, path = pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+    store, path = file_system(uri)
     store.create_dir(path.rsplit("/", 1)[0], recursive=True)
     with store.open_output_stream(path) as f:
         f.write(content)

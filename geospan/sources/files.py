@@ -23,7 +23,8 @@ from geospan.operators.geometry import (decode_geometry, points_from_lonlat,
                                         resolve_geometry_column)
 from geospan.plans.jobs import file_kind, hadoop_options, hadoop_path
 from geospan.sources.ranges import fragments, scan_features, scan_fragments
-from geospan.sources.responses import flatten_properties, parse_features
+from geospan.sources.responses import flatten_properties
+from geospan.stores import file_system
 
 
 #: Column pairs that give points when a table has no geometry column, the first match counts.
@@ -196,19 +197,9 @@ def select_layer(df: DataFrame, layer: str | None = None, column: str = "layer")
 
 # --- S7: zip archive members ----------------------------------------------------
 
-def _arrow_uri(path: str) -> str:
-    """Hadoop-style path from a Spark file listing -> a pyarrow filesystem URI."""
-    if path.startswith("file:") and not path.startswith("file://"):
-        return "file://" + path[len("file:"):]
-    if path.startswith("s3a://") or path.startswith("s3n://"):
-        return "s3://" + path.split("://", 1)[1]
-    return path
-
-
 def _open(path: str):
-    import pyarrow.fs as pafs
-    fs, inner = pafs.FileSystem.from_uri(_arrow_uri(path))
-    return fs.open_input_file(inner)
+    store, inner = file_system(path)
+    return store.open_input_file(inner)
 
 
 _MEMBERS = "archive string, member string, size long"
