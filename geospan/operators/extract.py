@@ -21,6 +21,11 @@ small (jobs) side only:
                     replicated), so a hot spot of features or of boxes never
                     lands in a single task.
 
+In both grid plans the boxes of the coarsest levels, as many as are few (<= ``broadcast_boxes``, and
+within ``broadcast_bytes``), don't go to cells: they are broadcast and tested against every feature, as in
+``broadcast``, so that a hundred continental boxes beside many small ones don't copy every feature to the
+coarse cells.
+
 Grid details: cells are squares of side ``c * 8**level``, up to the side of the
 extent of all job boxes, in the data's own units.  Feature boxes are clipped to
 that extent first, which also leaves out features that meet no job.  Each object
@@ -35,6 +40,7 @@ overlap of the two boxes, at the coarser of the two objects' levels
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 from typing import Sequence
@@ -163,10 +169,11 @@ def extract_jobs(features: DataFrame, jobs: DataFrame, strategy: str = "auto",
                  cell_size: float | None = None, max_cells: int = 16,
                  broadcast_boxes: int = 64, broadcast_cells: int = 1_000_000,
                  broadcast_bytes: int = 256 << 20,
-                 salts: int = 2, hot_parts: int | None = None) -> DataFrame:
+                 salts: int = 2, hot_parts: int | None = None, coarse: bool = True) -> DataFrame:
     """Feature rows paired with every job whose box they intersect.
 
-    Output: all feature columns, all job columns (the job box as ``job_bbox``).
+    Output: all feature columns, all job columns (the job box as ``job_bbox``).  ``coarse=False`` sends
+    boxes of every level to cells.
     """
     jobs = _prepare_jobs(jobs, job_bbox)
     clash = sorted(set(features.columns) & set(jobs.columns))
@@ -191,15 +198,24 @@ def extract_jobs(features: DataFrame, jobs: DataFrame, strategy: str = "auto",
                        F.least(fo.xmax, x1).alias("xmax"), F.least(fo.ymax, y1).alias("ymax"))
     near = features.where(_valid_box(fb) & (fo.xmin <= x1) & (fo.xmax >= x0) & (fo.ymin <= y1) & (fo.ymax >= y0))
     jlev = jobs.where(_valid_box(jb)).withColumn("_j_box", jo).withColumn("_j_lvl", own_level(F.col("_j_box"), spec))
-    # One aggregate gives both the levels at which job boxes live (features
-    # must also appear there) and the exact number of box cells, the proven
-    # bound checked before broadcasting them.
+    # One aggregate gives the levels at which job boxes live (features must also appear there), what they
+    # weigh, and the exact number of box cells, the proven bound checked before broadcasting them.
     sizes = F.array(*[F.lit(x) for x in spec.sizes])
     s_own = F.element_at(sizes, F.col("_j_lvl") + 1)
-    stats = jlev.agg(F.collect_set("_j_lvl").alias("levels"),
-                     F.count(F.lit(1)).alias("n"),
-                     F.sum(_span(F.col("_j_box"), s_own)).alias("own_cells")).first()
-    box_levels = sorted(stats["levels"] or [])
+    levels = {r["_j_lvl"]: r for r in jlev.groupBy("_j_lvl").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(_span(F.col("_j_box"), s_own)).alias("own_cells"),
+        F.sum(F.octet_length(F.to_json(F.struct(*jobs.columns)))).alias("bytes")).collect()}  # 13 levels at most
+    few, n, size = [], 0, 0
+    for lvl in sorted(levels, reverse=True) if coarse else ():
+        n, size = n + levels[lvl]["n"], size + levels[lvl]["bytes"]
+        if n > broadcast_boxes or size > broadcast_bytes or len(few) == len(levels) - 1:
+            break  # at least the finest level goes to cells
+        few.append(lvl)
+    if few:
+        large = jlev.where(F.col("_j_lvl").isin(few)).drop("_j_box", "_j_lvl")
+        jlev = jlev.where(~F.col("_j_lvl").isin(few))
+    box_levels = sorted(set(levels) - set(few))
+    own_cells, boxes = (sum(levels[v][c] for v in box_levels) for c in ("own_cells", "n"))
     jcells = explode_cells(jlev, F.col("_j_box"), F.col("_j_lvl"), spec)
     fcells = explode_cells(near.withColumn("_f_box", clipped).withColumn("_f_lvl", own_level(F.col("_f_box"), spec)),
                            F.col("_f_box"), F.col("_f_lvl"), spec, box_levels)
@@ -208,7 +224,7 @@ def extract_jobs(features: DataFrame, jobs: DataFrame, strategy: str = "auto",
     if strategy in ("grid_auto", "grid_broadcast"):
         # Exact cells at each box's own level, plus at most ``max_cells``
         # cells per box at every coarser level (cells only grow upwards).
-        bound = (stats["own_cells"] or 0) + (stats["n"] or 0) * (spec.levels - 1) * spec.max_cells
+        bound = own_cells + boxes * (spec.levels - 1) * spec.max_cells
         if bound > broadcast_cells:
             bound = jcells.limit(broadcast_cells + 1).count()
         # Rows are bounded above; bytes too, by the mean size of the job rows
@@ -222,7 +238,10 @@ def extract_jobs(features: DataFrame, jobs: DataFrame, strategy: str = "auto",
     else:
         raise ValueError(f"unknown strategy {strategy}")
     out = joined.where(bbox_intersects(fb, jb) & _keep_once(F.col("_f_box"), F.col("_j_box"), spec))
-    return out.drop(*keys, "_f_lvl", "_j_lvl", "_f_box", "_j_box")
+    out = out.drop(*keys, "_f_lvl", "_j_lvl", "_f_box", "_j_box")
+    if few:
+        out = out.unionByName(features.where(_valid_box(fb)).join(F.broadcast(large), bbox_intersects(fb, jb), "inner"))
+    return out
 
 
 def _hot_cells(spark, cells: DataFrame, keys: list, hot_parts: int, salts: int) -> dict:
@@ -240,6 +259,14 @@ def _hot_cells(spark, cells: DataFrame, keys: list, hot_parts: int, salts: int)
     return {tuple(r)[:-1]: max(salts, -(-r["_n"] // threshold)) for r in hot}
 
 
+def _written(spark, cells: DataFrame) -> DataFrame:
+    """``cells`` as Parquet in the shared checkpoint folder, read again; counts then read the key columns alone.  The folder
+    stays until the owner of the checkpoint folder clears it."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cells-{uuid.uuid4().hex}"
+    cells.write.parquet(path)
+    return spark.read.schema(cells.schema).parquet(path)
+
+
 def _salted_cell_join(spark, fcells: DataFrame, jcells: DataFrame, keys: list,
                       salts: int, hot_parts: int | None) -> DataFrame:
     """Shuffle join on cell keys with hot cells split on both sides.
@@ -254,6 +281,8 @@ def _salted_cell_join(spark, fcells: DataFrame, jcells: DataFrame, keys: list,
     ensure_checkpoint_dir(spark)
     if hot_parts is None:
         hot_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # built once: the counts and the join read the same written cells, so neither the features nor the cutting is done again
+    fcells, jcells = (_written(spark, c) for c in (fcells, jcells))
     hot_f = _hot_cells(spark, fcells, keys, hot_parts, salts)
     hot_b = _hot_cells(spark, jcells, keys, hot_parts, salts)
     rows = [(*k, hot_f.get(k, 1), hot_b.get(k, 1)) for k in sorted({*hot_f, *hot_b})]
