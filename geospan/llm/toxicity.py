@@ -1,7 +1,8 @@
 """Toxicity: a support vector machine on a subsequence string kernel with Nyström landmarks.
 
 A sentence is a bag of units: its words, also without the characters set into them, letters
-spelled out one by one joined to a word, and overlapping windows of very long words.  The kernel
+spelled out one by one joined to a word, adjacent words joined where a landmark's letters run on over the gap, and
+overlapping windows of very long words.  The kernel
 of two units counts their common subsequences of three characters (word ends are characters too),
 each weighted by ``DECAY`` for every character it spans, up to ``SPAN``; so an insult with gaps or
 inserted characters still meets its landmark.  A sentence is as toxic as its most toxic unit, and
@@ -28,6 +29,10 @@ FLOOR = 0.35
 WINDOW = 24
 OFFSETS = [(j, k) for k in range(2, SPAN) for j in range(1, k)]
 
+#: Letters of a landmark that must follow each other over a gap (of one as short as the first size, all), and the
+#: characters that they and the gaps may take.
+PIECES, GAPS = (4, 5), 14
+
 SPELLED = re.compile(r"(?<!\S)\w(?:[ \t.*_-]+\w){2,}(?!\w)")
 INSIDE = re.compile(r"[\W_]+")
 EDGES = ".,;:!?\"'()[]{}<>«»„“”‘’…–—-*_"
@@ -42,6 +47,20 @@ def units(text: str) -> set[str]:
     return words
 
 
+def _word_characters() -> np.ndarray:
+    """Which code points are letters or digits."""
+    return np.array([chr(c).isalnum() for c in range(0x110000)])
+
+
+def _piece_slots(c: np.ndarray, size: int) -> np.ndarray:
+    """Slots of all runs of ``size`` code points."""
+    key = np.zeros(len(c) - size + 1, np.uint64)
+    for k in range(size):
+        key = (key ^ c[k:len(c) - size + 1 + k].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(29)
+    return (key >> np.uint64(44)).astype(np.intp)
+
+
 def forms(word: str) -> list[str]:
     """What a raw word is compared as: without its edges, and without what is set into it."""
     bare = word.strip(EDGES)
@@ -157,6 +176,38 @@ class Scorer:
         self.first = Landmarks(model.toxic)
         self.plain: set[str] = set()
         self.known: dict[str, float] = {}
+        self.pieces: dict[int, np.ndarray] = {}  # size -> where the pieces of that size of toxic landmarks fall
+        for w in model.toxic:
+            c, _ = code_points([w])
+            if len(c) >= min(PIECES):
+                size = min(max(PIECES), len(c))
+                self.pieces.setdefault(size, np.zeros(1 << 20, bool))[_piece_slots(c, size)] = True
+
+    def joined(self, texts: list[str]) -> list[set[str]]:
+        """Of each text the windows of adjacent words, taken without what stands between their letters, that hold
+        a piece of a toxic landmark (five letters, of shorter ones all) in a row over a gap ('st upid', 'i-d i-o-t'); whole
+        texts are gone through."""
+        low = [t.lower() for t in texts]
+        cps, at = code_points(low)
+        place = np.flatnonzero(process_state("word characters", _word_characters)[cps])
+        out: list[set[str]] = [set() for _ in texts]
+        owner = np.searchsorted(at, place, side="right") - 1
+        for size, grams in self.pieces.items():
+            if len(place) < size:
+                continue
+            wide = place[size - 1:] - place[:len(place) - size + 1]
+            hit = grams[_piece_slots(cps[place], size)] & (wide >= size) & (wide <= GAPS) & (owner[size - 1:] == owner[:len(place) - size + 1])
+            for k in np.flatnonzero(hit).tolist():
+                text, base = low[owner[k]], at[owner[k]]
+                a, b = int(place[k] - base), int(place[k + size - 1] - base) + 1
+                left = a
+                while left and a - left < WINDOW and not text[left - 1].isspace():
+                    left -= 1
+                right = b
+                while right < len(text) and right - b < WINDOW and not text[right].isspace():
+                    right += 1
+                out[owner[k]].add(INSIDE.sub("", text[left:right]))
+        return out
 
     def learn(self, new: set[str]) -> None:
         if len(self.plain) + len(new) > self.most:
@@ -180,7 +231,7 @@ class Scorer:
         the machine's offset."""
         top = np.full(len(texts), self.model.offset)
         if self.model.toxic:
-            rest = [units(t) - self.plain for t in texts]
+            rest = [(units(t) | more) - self.plain for t, more in zip(texts, self.joined(texts))]
             if new := set().union(*rest) - self.known.keys():
                 if len(self.known) + len(new) > self.most:
                     self.known.clear()
