@@ -46,7 +46,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(named.select(F.col(key).alias("doc_id"), "text"), shingle=3, radius=2)
     kept = named.join(groups.where("doc_id = component_id").select(F.col("doc_id").alias(first)).distinct(), F.col(key) == F.col(first), "left_semi")
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    return (kept.groupBy("doc_id", "text").agg(F.min(F.struct(F.lit(0).alias(first), *rest)).alias(one))
+    # by the key first, as the join has dealt the rows: no other exchange of texts
+    return (kept.groupBy(key, "doc_id", "text").agg(F.min(F.struct(F.lit(0).alias(first), *rest)).alias(one))
             .select(*[F.col(c) if c in ("doc_id", "text") else F.col(one)[c].alias(c) for c in docs.columns]))
 
 
