@@ -596,3 +596,28 @@ def geoparquet_footers(spark, sf_dir):
     return (geo_keys(spark, path).select("rows", geo.alias("g"))
             .groupBy("g.primary_column", g.encoding.alias("encoding"), F.array_join(g.geometry_types, ",").alias("types"))
             .agg(F.sum("rows").alias("feature_count"), *[(F.min if k < 2 else F.max)(F.get(g.bbox, k)).alias(b) for k, b in enumerate(BBOX_FIELDS)]))
+
+
+def _fg(spark, sf_dir):
+    """A box per customer, with the customer's segment."""
+    c = _t(spark, sf_dir, "customer")
+    names = c.select(F.concat(F.lit("cust_"), F.col("c_custkey").cast("string")).alias("job_name"), F.col("c_mktsegment").alias("segment"),
+                     F.pmod("c_custkey", F.lit(50)).alias("part"))
+    return D.many_boxes(c, "c_custkey", "cust_").join(names, "job_name")
+
+
+@register
+def bbox_algebra_by_segment(spark, sf_dir):
+    """AG3 + AG4 + SC3 over a box per customer: the union of each part of a segment, and the intersection of its
+    boxes grown by 60 degrees (some are empty)."""
+    boxes = _fg(spark, sf_dir)
+    union = bbox_union_agg(boxes, by=["segment", "part"])
+    grown = bbox_intersection_agg(boxes.withColumn("bbox", expand_bbox("bbox", 60)), by=["segment", "part"])
+    return union.join(grown.select("segment", "part", *[F.col(b).alias(f"i{b}") for b in BBOX_FIELDS]), ["segment", "part"])
+
+
+@register
+def bbox_scalars_many(spark, sf_dir):
+    """SC1 + SC3 over a box per customer."""
+    exp = expand_bbox("bbox", 0.25)
+    return _fg(spark, sf_dir).select("job_name", *[F.get(bbox_to_list("bbox"), k).alias(f"b{k}") for k in range(4)], *bbox_cols(exp))

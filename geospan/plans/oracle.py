@@ -512,3 +512,16 @@ FROM c FULL OUTER JOIN bt ON c.folder = bt.folder AND c.file_name = bt.file_name
 
 ORACLE["extent_from_footers"] = f"WITH {FA} SELECT layer, {_EXTENT} FROM fa GROUP BY layer"
 ORACLE["geoparquet_footers"] = f"WITH {FA} SELECT 'geometry' AS primary_column, 'WKB' AS encoding, 'Polygon' AS types, {_EXTENT} FROM fa"
+
+_FG_PARTS = FG_CUSTOMER + """,
+g AS (SELECT fg.*, c.c_mktsegment AS segment, c.c_custkey % 50 AS part FROM fg JOIN customer c ON fg.job_name = 'cust_' || c.c_custkey::VARCHAR)"""
+ORACLE["bbox_algebra_by_segment"] = f"""
+WITH {_FG_PARTS},
+a AS (SELECT segment, part, min(bx0) AS xmin, min(by0) AS ymin, max(bx1) AS xmax, max(by1) AS ymax,
+             max(bx0 - 60) AS x0, max(by0 - 60) AS y0, min(bx1 + 60) AS x1, min(by1 + 60) AS y1 FROM g GROUP BY segment, part)
+SELECT segment, part, xmin, ymin, xmax, ymax,
+       CASE WHEN x0 < x1 AND y0 < y1 THEN x0 END AS ixmin, CASE WHEN x0 < x1 AND y0 < y1 THEN y0 END AS iymin,
+       CASE WHEN x0 < x1 AND y0 < y1 THEN x1 END AS ixmax, CASE WHEN x0 < x1 AND y0 < y1 THEN y1 END AS iymax FROM a"""
+ORACLE["bbox_scalars_many"] = f"""
+WITH {FG_CUSTOMER}
+SELECT job_name, bx0 AS b0, by0 AS b1, bx1 AS b2, by1 AS b3, bx0 - 0.25 AS xmin, by0 - 0.25 AS ymin, bx1 + 0.25 AS xmax, by1 + 0.25 AS ymax FROM fg"""
