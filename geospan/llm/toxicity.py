@@ -47,18 +47,9 @@ def units(text: str) -> set[str]:
     return words
 
 
-def _word_characters() -> np.ndarray:
-    """Which code points are letters or digits."""
-    return np.array([chr(c).isalnum() for c in range(0x110000)])
-
-
-def _piece_slots(c: np.ndarray, size: int) -> np.ndarray:
-    """Slots of all runs of ``size`` code points."""
-    key = np.zeros(len(c) - size + 1, np.uint64)
-    for k in range(size):
-        key = (key ^ c[k:len(c) - size + 1 + k].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-        key ^= key >> np.uint64(29)
-    return (key >> np.uint64(44)).astype(np.intp)
+def _letter_classes() -> np.ndarray:
+    """code point -> 0 if it is no letter or digit, else 16 and one of sixteen classes."""
+    return np.array([16 + c * 7 % 16 if chr(c).isalnum() else 0 for c in range(0x110000)], np.uint8)
 
 
 def forms(word: str) -> list[str]:
@@ -176,37 +167,52 @@ class Scorer:
         self.first = Landmarks(model.toxic)
         self.plain: set[str] = set()
         self.known: dict[str, float] = {}
-        self.pieces: dict[int, np.ndarray] = {}  # size -> where the pieces of that size of toxic landmarks fall
+        self.pieces: dict[int, set[str]] = {}  # size -> the pieces of that size of toxic landmarks
         for w in model.toxic:
-            c, _ = code_points([w])
-            if len(c) >= min(PIECES):
-                size = min(max(PIECES), len(c))
-                self.pieces.setdefault(size, np.zeros(1 << 20, bool))[_piece_slots(c, size)] = True
+            if len(w) >= min(PIECES):
+                size = min(max(PIECES), len(w))
+                self.pieces.setdefault(size, set()).update(w[i:i + size] for i in range(len(w) - size + 1))
+        self.slots: dict[int, np.ndarray] = {}  # where their letters' classes fall
+        for size, pieces in self.pieces.items():
+            kind = process_state("letter classes", _letter_classes)[code_points(sorted(pieces))[0]].reshape(-1, size)
+            self.slots[size] = np.zeros(1 << 4 * size, bool)
+            self.slots[size][(kind.astype(np.int64) & 15) @ (1 << 4 * np.arange(size)[::-1])] = True
 
     def joined(self, texts: list[str]) -> list[set[str]]:
         """Of each text the windows of adjacent words, taken without what stands between their letters, that hold
         a piece of a toxic landmark (five letters, of shorter ones all) in a row over a gap ('st upid', 'i-d i-o-t'); whole
-        texts are gone through."""
+        texts are gone through.  Letters are looked up by sixteen classes first, and the few places that may hold a
+        piece letter by letter."""
         low = [t.lower() for t in texts]
         cps, at = code_points(low)
-        place = np.flatnonzero(process_state("word characters", _word_characters)[cps])
+        kind = process_state("letter classes", _letter_classes)[cps]
+        place = np.flatnonzero(kind)
+        kind = (kind[place] & 15).astype(np.uint32)
         out: list[set[str]] = [set() for _ in texts]
-        owner = np.searchsorted(at, place, side="right") - 1
-        for size, grams in self.pieces.items():
-            if len(place) < size:
+        for size, slots in self.slots.items():
+            n = len(place) - size + 1
+            if n <= 0:
                 continue
-            wide = place[size - 1:] - place[:len(place) - size + 1]
-            hit = grams[_piece_slots(cps[place], size)] & (wide >= size) & (wide <= GAPS) & (owner[size - 1:] == owner[:len(place) - size + 1])
-            for k in np.flatnonzero(hit).tolist():
-                text, base = low[owner[k]], at[owner[k]]
+            key = kind[:n].copy()
+            for k in range(1, size):
+                key <<= 4
+                key |= kind[k:n + k]
+            hit = np.flatnonzero(slots[key])
+            wide = place[hit + size - 1] - place[hit]
+            hit = hit[(wide >= size) & (wide <= GAPS)]
+            owner = np.searchsorted(at, place[hit], side="right") - 1
+            for k, i in zip(hit.tolist(), owner.tolist()):
+                text, base = low[i], at[i]
                 a, b = int(place[k] - base), int(place[k + size - 1] - base) + 1
+                if b > len(text) or INSIDE.sub("", text[a:b]) not in self.pieces[size]:
+                    continue
                 left = a
                 while left and a - left < WINDOW and not text[left - 1].isspace():
                     left -= 1
                 right = b
                 while right < len(text) and right - b < WINDOW and not text[right].isspace():
                     right += 1
-                out[owner[k]].add(INSIDE.sub("", text[left:right]))
+                out[i].add(INSIDE.sub("", text[left:right]))
         return out
 
     def learn(self, new: set[str]) -> None:
