@@ -261,7 +261,9 @@ def _hot_cells(spark, cells: DataFrame, keys: list, hot_parts: int, salts: int)
 
 def _written(spark, cells: DataFrame) -> DataFrame:
     """``cells`` as Parquet in the shared checkpoint folder, read again; counts then read the key columns alone.  The folder
-    stays until the owner of the checkpoint folder clears it."""
+    stays until the owner of the checkpoint folder clears it.  Types that Parquet can't hold go through a checkpoint."""
+    if any(kind in cells.schema.simpleString() for kind in ("void", "interval", "variant")):
+        return cells.checkpoint()
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cells-{uuid.uuid4().hex}"
     cells.write.parquet(path)
     return spark.read.schema(cells.schema).parquet(path)
@@ -292,7 +294,7 @@ def _salted_cell_join(spark, fcells: DataFrame, jcells: DataFrame, keys: list,
         return F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col(n), F.lit(1)) - 1))
 
     def own_salt(df, n):
-        cols = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()
+        cols = [f.name for f in df.schema.fields if not any(kind in f.dataType.simpleString() for kind in ("map<", "variant"))
                 and not f.name.startswith("_h")]
         return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cols]), F.coalesce(F.col(n), F.lit(1)))
 

@@ -64,3 +64,9 @@ def test_cells_are_built_once(spark, tables):
     out = X.extract_jobs(marked, jobs, strategy="grid", broadcast_boxes=0, hot_parts=2)
     assert out.count() > 0
     assert built.value <= features.count()
+
+
+def test_columns_that_parquet_cannot_hold(tables):
+    features, jobs = tables
+    odd = features.limit(200).withColumn("nothing", F.lit(None)).withColumn("v", F.parse_json(F.lit("{}")))
+    assert pairs(X.extract_jobs(odd, jobs, strategy="grid")) == pairs(X.extract_jobs(features.limit(200), jobs, strategy="broadcast", broadcast_boxes=10**6))
