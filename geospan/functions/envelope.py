@@ -5,17 +5,21 @@
   ``array_max``.  No Python; the array lambdas are evaluated outside whole-stage codegen.
 * WKB envelopes need byte reinterpretation, which Spark SQL cannot do, so they
   run in an Arrow-batched ``pandas_udf`` (one vectorised call per batch).
+* Text of unknown kind is first read by :mod:`geospan.functions.plain`, a batch at a time; only what isn't in its
+  usual spelling is left to the expressions above, whose patterns cost several passes over a text each.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geospan.functions.bbox import BBOX_FIELDS, make_bbox
+from geospan.functions import plain as _plain
 from geospan.functions import wkb as _wkb
 
 # Fixed pattern of one number in WKT / GeoJSON text: accepts ``-.5``, ``1e-3``,
@@ -84,16 +88,10 @@ def wkb_envelope(values: pd.Series) -> pd.DataFrame:
     return _arrays_frame(*_wkb.wkb_bounds_arrays(values))
 
 
-@F.pandas_udf(ENV_SCHEMA)
-def hex_wkb_envelope(values: pd.Series) -> pd.DataFrame:
-    """Like :func:`wkb_envelope` for hex-encoded WKB text; non-hex is ``bad``."""
-    raw = [None if v is None or not _wkb._HEX.match(v.strip()) else bytes.fromhex(v.strip())
-           for v in values]
-    box, bad = _wkb.wkb_bounds_arrays(raw)
-    # Text that is not hex at all is unreadable, not empty.
-    bad |= np.fromiter((v is not None and r is None for v, r in zip(values, raw)),
-                       dtype=bool, count=len(raw))
-    return _arrays_frame(box, bad)
+@F.arrow_udf(T.StructType([*ENV_SCHEMA.fields, T.StructField("plain", T.BooleanType())]))
+def plain_envelope(values: pa.Array) -> pa.Array:
+    """``struct<xmin,ymin,xmax,ymax,bad,plain>`` of texts in their usual spelling (``plain``) and of hex WKB."""
+    return _plain.text_bounds(values)
 
 
 def env_wkb(col) -> Column:
@@ -162,17 +160,18 @@ def text_envelope(col, with_hex: bool = True) -> tuple[Column, Column]:
     c = _c(col)
     kind = geometry_kind(c)
     gj, wk = env_geojson(c), env_wkt(c)
-    box = F.when(kind == "geojson", gj).when(kind == "wkt", wk)
-    bad = F.when(kind == "geojson", bad_geojson(c, gj)).when(kind == "wkt", bad_wkt(c, wk))
+    # plain texts are read a batch at a time; the expressions are for the others
+    read = plain_envelope(c)
+    found = make_bbox(read.xmin, read.ymin, read.xmax, read.ymax)
+    box = F.when(read.plain, found).when(kind == "geojson", gj).when(kind == "wkt", wk)
+    bad = F.when(read.plain, F.lit(False)).when(kind == "geojson", bad_geojson(c, gj)).when(kind == "wkt", bad_wkt(c, wk))
     if with_hex:
-        hx = hex_wkb_envelope(F.when(kind == "wkb_hex", c))
-        box = box.when(kind == "wkb_hex",
-                       F.when(hx.xmin.isNotNull(), make_bbox(hx.xmin, hx.ymin, hx.xmax, hx.ymax)))
-        bad = bad.when(kind == "wkb_hex", hx.bad)
+        box = box.when(kind == "wkb_hex", F.when(read.xmin.isNotNull(), found))
+        bad = bad.when(kind == "wkb_hex", read.bad)
     return box, bad.otherwise(c.isNotNull())
 
 
-@F.pandas_udf(T.BinaryType())
-def text_to_wkb(values: pd.Series) -> pd.Series:
+@F.arrow_udf(T.BinaryType())
+def text_to_wkb(values: pa.Array) -> pa.Array:
     """GeoJSON / WKT / hex-WKB text -> little-endian ISO WKB bytes; unreadable text -> NULL."""
-    return pd.Series([_wkb.readable(_wkb.geometry_text_to_wkb, v) for v in values], dtype=object)
+    return _plain.values_to_wkb(values)
