@@ -13,12 +13,13 @@ import json
 import math
 import uuid
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geospan.functions import wkb as _wkb
+from geospan.functions import plain as _plain
 from geospan.functions.bbox import zorder_key
 from geospan.functions.envelope import text_to_wkb, wkb_envelope
 from geospan.operators.extent import extent
@@ -31,10 +32,10 @@ from geospan.sinks.geoparquet import FORMAT, GeoParquetSource
 FILE_BYTES = 256 << 20
 
 
-@F.pandas_udf(T.StringType())
-def to_geojson_geometry(values: pd.Series) -> pd.Series:
+@F.arrow_udf(T.StringType())
+def to_geojson_geometry(values: pa.Array) -> pa.Array:
     """Geometry (GeoJSON / WKT / hex text, or WKB bytes) -> GeoJSON text; unreadable -> NULL."""
-    return pd.Series([_wkb.readable(_wkb.geometry_to_geojson, v) for v in values], dtype=object)
+    return _plain.values_to_geojson(values)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -123,36 +124,39 @@ def write_geojson(df: DataFrame, path: str, geometry: str = "geometry",
     if layout == "lines":
         rows.write.mode(mode).text(path)
     elif layout == "collection":
-        rows.mapInPandas(_as_collection, "value string").write.mode(mode).option("lineSep", " ").text(path)
+        rows.mapInArrow(_as_collection, "value string").write.mode(mode).option("lineSep", " ").text(path)
     else:
         raise ValueError("layout: lines or collection")
 
 
 def _as_collection(batches):
     """The features of a task between the head and the end of a collection."""
+    def told(values):
+        return pa.RecordBatch.from_arrays([values], names=["value"])
     begun = False
-    for pdf in batches:
-        v = pdf["value"]
-        if len(v):
-            yield pd.DataFrame({"value": ("," + v) if begun else pd.concat([pd.Series(['{"type":"FeatureCollection","features":[' + v.iloc[0]]), "," + v.iloc[1:]])})
-            begun = True
-    yield pd.DataFrame({"value": ["]}" if begun else '{"type":"FeatureCollection","features":[]}']})
-
-
-@F.pandas_udf(T.BinaryType())
-def zipped(names: pd.Series, contents: pd.Series) -> pd.Series:
-    """Arrays of member names and texts -> the bytes of a zip archive."""
+    for batch in batches:
+        v = batch.column(0)
+        if not len(v):
+            continue
+        rest = v if begun else v.slice(1)
+        if not begun:
+            yield told(pa.array(['{"type":"FeatureCollection","features":[' + v[0].as_py()]))
+        begun = True
+        if len(rest):
+            yield told(pc.binary_join_element_wise(pa.scalar(","), rest, ""))
+    yield told(pa.array(["]}" if begun else '{"type":"FeatureCollection","features":[]}']))
+
+
+def zip_bytes(names, contents) -> bytes:
+    """Names and texts of members -> the bytes of a zip archive."""
     import io
     import zipfile
 
-    out = []
-    for ns, cs in zip(names, contents):
-        box = io.BytesIO()
-        with zipfile.ZipFile(box, "w", zipfile.ZIP_DEFLATED) as z:
-            for n, c in zip(ns, cs):
-                z.writestr(n, c)
-        out.append(box.getvalue())
-    return pd.Series(out, dtype=object)
+    box = io.BytesIO()
+    with zipfile.ZipFile(box, "w", zipfile.ZIP_DEFLATED) as z:
+        for n, c in zip(names, contents):
+            z.writestr(n, c)
+    return box.getvalue()
 
 
 WRITERS = {"csv": write_csv, "parquet": write_geoparquet, "geojson": write_geojson}

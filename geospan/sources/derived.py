@@ -330,28 +330,39 @@ def extraction_jobs(nation: DataFrame) -> DataFrame:
 
 def write_archives(orders: DataFrame, folder: str) -> None:
     """A zip archive per (layer, block of keys), each with a packed GeoJSON member of its features
-    (``data/<block>_a.geojson``), the same under another name (``data/<block>xa.geojson``) and a CSV member."""
-    import pandas as pd
+    (``data/<block>_a.geojson``), the same under another name (``data/<block>xa.geojson``) and a CSV member.
 
-    from geospan.sinks.export import zipped
+    The features of a job come to one task next to each other; it holds those of one archive (KEY_BLOCK keys at most)
+    and a batch, however many archives it writes."""
+    import pyarrow as pa
 
-    rows = _page_rows(orders)
-    block = F.regexp_extract("job", "([0-9]+)$", 1)
-    # a job has KEY_BLOCK features at most
-    packed = (rows.groupBy("job").agg(_collection(F.collect_list("feature")).alias("body"), F.array_join(F.collect_list(
-        F.concat_ws(",", "o_orderkey", "o_orderpriority")), "\n").alias("lines")))
-    names = F.array(F.concat(F.lit("data/"), block, F.lit("_a.geojson")), F.concat(F.lit("data/"), block, F.lit("xa.geojson")),
-                    F.concat(block, F.lit(".csv")))
-    contents = F.array("body", "body", F.concat(F.lit("o_orderkey,layer\n"), "lines", F.lit("\n")))
-    archives = packed.select(F.concat(F.lit(folder + "/"), F.regexp_replace("job", "[^A-Za-z0-9]", "_"), F.lit(".zip")).alias("path"),
-                             zipped(names, contents).alias("content"))
+    from geospan.sinks.export import zip_bytes
+
+    path = F.concat(F.lit(folder + "/"), F.regexp_replace("job", "[^A-Za-z0-9]", "_"), F.lit(".zip"))
+    rows = (_page_rows(orders).select("job", path.alias("path"), F.regexp_extract("job", "([0-9]+)$", 1).alias("block"), "o_orderkey", "feature",
+                                      F.concat_ws(",", "o_orderkey", "o_orderpriority").alias("line"))
+            .repartition("job").sortWithinPartitions("job", "o_orderkey").drop("o_orderkey"))
+
+    def write(path, block, features, lines):
+        body = '{"type":"FeatureCollection","features":[' + ",".join(features) + "]}"
+        write_file(path, zip_bytes((f"data/{block}_a.geojson", f"data/{block}xa.geojson", f"{block}.csv"),
+                                   (body, body, "o_orderkey,layer\n" + "\n".join(lines) + "\n")))
 
     def put(batches):
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                write_file(path, content)
-            yield pd.DataFrame({"n": [len(pdf)]})
-    archives.mapInPandas(put, "n int").agg(F.sum("n")).collect()
+        job, place, features, lines, n = None, None, [], [], 0
+        for batch in batches:
+            for j, *to, feature, line in zip(*(c.to_pylist() for c in batch.columns)):
+                if place is None or j != job:
+                    if place is not None:
+                        write(*place, features, lines)
+                    job, place, features, lines, n = j, to, [], [], n + 1
+                if feature is not None:
+                    features.append(feature)
+                lines.append(line)
+        if place is not None:
+            write(*place, features, lines)
+        yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int32())})
+    rows.mapInArrow(put, "n int").agg(F.sum("n")).collect()
 
 
 def write_file(uri: str, content: bytes) -> None:

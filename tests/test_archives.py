@@ -107,3 +107,26 @@ def test_the_first_character_decides_wherever_it_is(spark, scratch):
     with open(f"{scratch}/rows.json", "w") as f:
         f.write("\n" * 5000 + json.dumps([{"a": [1, 2]}, {"a": [3]}]))
     assert S.read_json_records(spark, f"{scratch}/rows.json").count() == 2
+
+
+def test_an_archive_is_written_as_its_features_come(spark, tmp_path, monkeypatch):
+    """A task holds the features of one archive, not a batch of archives."""
+    from geospan.sources import derived as D
+
+    plans, frame = [], type(spark.range(0))
+    put = frame.mapInArrow
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, *a, **k: plans.append(self) or put(self, *a, **k))
+    orders = spark.createDataFrame([(k, k % 7, f"{k % 3}-LAYER") for k in (*range(1, 61), 10_001, 20_001, 20_001)], "o_orderkey long, o_custkey long, o_orderpriority string")
+    D.write_archives(orders, str(tmp_path / "zips"))
+    assert plans and not any("array" in t for _, t in plans[0].dtypes)  # a row per feature, none per archive
+    found = {}
+    for path in (tmp_path / "zips").iterdir():
+        with zipfile.ZipFile(path) as z:
+            block = path.stem.rsplit("_", 1)[1]
+            assert z.namelist() == [f"data/{block}_a.geojson", f"data/{block}xa.geojson", f"{block}.csv"]
+            assert z.read(z.namelist()[0]) == z.read(z.namelist()[1])
+            keys = sorted(f["properties"]["o_orderkey"] for f in json.loads(z.read(z.namelist()[0]))["features"])
+            head, *lines = z.read(f"{block}.csv").decode().splitlines()
+            assert head == "o_orderkey,layer" and sorted(int(x.split(",")[0]) for x in lines) == keys
+            found[path.stem] = keys
+    assert found["0_LAYER_0"] == list(range(3, 61, 3)) and found["2_LAYER_1"] == [10_001] and found["0_LAYER_2"] == [20_001, 20_001]
