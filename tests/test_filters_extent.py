@@ -114,3 +114,18 @@ def test_exact_filter_on_wkb(spark):
     assert bbox_filter(df, [6, 6, 9, 9], exact=True).count() == 0
     assert bbox_filter(df, [4, 4, 9, 9], exact=True).count() == 1
     assert bbox_filter(df, [-1, -1, 11, 11], exact=True).count() == 1
+
+
+def test_strict_extent_is_computed_once(spark):
+    """The test for bounds and the result share one pass over the features."""
+    from pyspark.sql import functions as F
+
+    from geospan.operators.extent import extent, require_extent
+
+    seen = spark.sparkContext.accumulator(0)
+    count = F.udf(lambda x: seen.add(1) or x, "double")
+    feats = spark.createDataFrame([(1.0, 2.0, 3.0, 4.0)] * 5, "a double, b double, c double, d double").repartition(2)
+    feats = feats.withColumn("bbox", F.struct(count("a").alias("xmin"), F.col("b").alias("ymin"), F.col("c").alias("xmax"), F.col("d").alias("ymax")))
+    got = require_extent(extent(feats)).collect()
+    assert [tuple(r) for r in got] == [(1.0, 2.0, 3.0, 4.0, 5)]
+    assert seen.value == 5
