@@ -225,3 +225,29 @@ def text_bounds(values: pa.Array) -> pa.Array:
         bad[rest] |= np.fromiter((r is None for r in raw), bool, len(raw))
     columns = [pa.array(box[:, k], pa.float64(), mask=np.isnan(box[:, k])) for k in range(4)]
     return pa.StructArray.from_arrays([*columns, pa.array(bad), pa.array(is_plain)], names=["xmin", "ymin", "xmax", "ymax", "bad", "plain"])
+
+
+# Numbers that JSON writers in Java leave as they are, so that a text of them is what Spark's JSON functions give for it.
+_INT = r"(?:0|-?[1-9][0-9]*)"
+_FLOAT = r"-?(?:[1-9][0-9]{0,6}\.(?:0|[0-9]{0,7}[1-9])|0\.(?:0|0{0,2}[1-9](?:[0-9]{0,5}[1-9])?))"
+_KEPT = f"(?:{_INT}|{_FLOAT})"
+
+
+def _kept(numbers: str) -> str:
+    return numbers.replace(_N, _KEPT).replace(" ?", "")
+
+
+_STRING = r'"[^"\\\x00-\x1f]*"'
+_MEMBER = f"{_STRING}:(?:{_STRING}|{_KEPT}|true|false|null)"
+_PROPERTIES = rf"^\{{(?:{_MEMBER}(?:,{_MEMBER})*)?\}}$"
+_GEOMETRY = "^" + _kept(_geojson(("Point", _JXY), ("(?:LineString|MultiPoint)", _JCHAIN), ("(?:Polygon|MultiLineString)", _JRINGS), ("MultiPolygon", _JPARTS))) + "$"
+
+
+def feature_members(properties: pa.Array, geometry: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(geometry, plain): which properties and geometry, cut out of a feature, are JSON in its tersest spelling, and the geometry
+    without zeros at the end of its fractions, as Spark's ``from_json`` gives them as texts."""
+    long = pc.match_substring_regex(geometry, r"\.[0-9]+0[,\]]")
+    if pc.any(long).as_py():
+        short = pc.replace_substring_regex(geometry.filter(long), r"(\.[0-9]*[1-9]|\.0)0+([,\]])", r"\1\2")
+        geometry = pc.replace_with_mask(geometry, long, short)
+    return geometry, _flags(pc.and_(pc.match_substring_regex(properties, _PROPERTIES), pc.match_substring_regex(geometry, _GEOMETRY)))

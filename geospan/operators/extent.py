@@ -30,11 +30,11 @@ def _by(by) -> list:
 
 def extent(df: DataFrame, by: str | Sequence[str] | None = None, column: str = "bbox",
            with_count: bool = True, names: Sequence[str] = BBOX_FIELDS,
-           count_geometries: bool = False) -> DataFrame:
+           count_geometries: bool = False, more: Sequence[Column] = ()) -> DataFrame:
     """AG1/AG2/AG5: ``min(xmin), min(ymin), max(xmax), max(ymax)`` of the
     feature boxes, optionally per group.  NULL and NaN bounds are skipped;
     ``feature_count`` counts every row, including those without geometry;
-    ``geometry_count`` (optional) only rows with a box.
+    ``geometry_count`` (optional) only rows with a box; ``more`` aggregates come last.
     An input with no boxes gives NULL bounds (see :func:`require_extent`)."""
     b = F.col(column)
     aggs = [F.min(_clean(b.xmin)).alias(names[0]), F.min(_clean(b.ymin)).alias(names[1]),
@@ -43,6 +43,7 @@ def extent(df: DataFrame, by: str | Sequence[str] | None = None, column: str = "
         aggs.append(F.count(F.lit(1)).alias("feature_count"))
     if count_geometries:
         aggs.append(F.count(b).alias("geometry_count"))
+    aggs += more
     keys = _by(by)
     return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
 

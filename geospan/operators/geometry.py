@@ -19,6 +19,8 @@ from geospan.functions.envelope import (bad_geojson, bad_wkt, env_geojson, env_w
 # is absent (compared case-insensitively, first match in frame order wins).
 GEOMETRY_NAMES = ("geom", "geometry", "shape", "wkb_geometry")
 DEFAULT_SRID = 4326
+#: Columns that are there while a text is decoded.
+_READ = ("_read_box", "_read_bad")
 
 
 def resolve_geometry_column(df: DataFrame, name: str | None = "geom") -> str:
@@ -63,9 +65,12 @@ def decode_geometry(df: DataFrame, column: str | None = None, fmt: str = "auto",
         bbox = env_geojson(g)
         bad = bad_geojson(g, bbox)
     else:
+        # a row of its own for the long expressions: a filter on the box would repeat them for each of its comparisons
         bbox, bad = text_envelope(g)
+        df = df.select("*", F.inline(F.array(F.struct(bbox.alias(_READ[0]), bad.alias(_READ[1])))))
+        bbox, bad = (F.col(c) for c in _READ)
     bad = F.coalesce(bad, F.lit(False))
-    res = df.withColumns({"bbox": F.when(~bad, bbox), "_bad": bad})
+    res = df.withColumns({"bbox": F.when(~bad, bbox), "_bad": bad}).drop(*_READ)
     if column != out:
         res = res.withColumnRenamed(column, out) if out not in df.columns else \
             res.drop(out).withColumnRenamed(column, out)

@@ -27,7 +27,7 @@ from geospan.operators.pages import (assemble_linked_pages, assemble_offset_page
 from geospan.plans import jobs as J
 from geospan.plans.requests import arcgis_jobs, next_requests, plan_requests, s3_jobs, wfs_jobs
 from geospan.plans.run import run_job_table, run_jobs
-from geospan.session import ensure_checkpoint_dir
+from geospan.session import ensure_checkpoint_dir, side_by_side
 from geospan.sinks import export as X
 from geospan.sinks.publish import (commit_manifest, folder_id, get_or_create_folders, publish,
                                    publish_manifest, read_manifest)
@@ -532,10 +532,13 @@ def job_table_run(spark, sf_dir):
     that can't run, one scan per source; what the manifest says beside what is in the files."""
     base = _scratch(spark, "sources")
     orders, feats = _t(spark, sf_dir, "orders"), D.geojson_features(_t(spark, sf_dir, "orders"))
-    X.write_geojson(feats, f"{base}/a.geojson", layout="collection")
-    X.write_geoparquet(_fa(spark, sf_dir).select("o_orderkey", "layer", F.col("wkt").alias("geom"), "bbox"), f"{base}/b.parquet", geometry="geom", partitions=4)
-    X.write_csv(points_from_lonlat(D.point_features(_t(spark, sf_dir, "events"))).select("event_id", "lon", "lat"), f"{base}/c.csv")
-    D.write_archives(orders, f"{base}/zips")
+    polygons = _fa(spark, sf_dir).select("o_orderkey", "layer", F.col("wkt").alias("geom"), "bbox")
+    points = points_from_lonlat(D.point_features(_t(spark, sf_dir, "events"))).select("event_id", "lon", "lat")
+    side_by_side(spark, lambda write: write(), [
+        lambda: D.write_archives(orders, f"{base}/zips"),
+        lambda: X.write_geojson(feats, f"{base}/a.geojson", layout="collection"),
+        lambda: X.write_geoparquet(polygons, f"{base}/b.parquet", geometry="geom", partitions=4),
+        lambda: X.write_csv(points, f"{base}/c.csv")])
     urls = F.array(*[F.lit(u) for u in (f"{base}/a.geojson", f"{base}/b.parquet", f"{base}/c.csv", f"zip://{base}/zips!data/*_a.geojson", "https://gis.example.org/api/x")])
     k = F.pmod("n_nationkey", F.lit(6)).cast("int")
     n = _t(spark, sf_dir, "nation").withColumn("job_name", F.concat(F.lit("job_"), F.lower("n_name"))).select("job_name", "n_nationkey")

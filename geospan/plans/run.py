@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geospan.functions.bbox import BBOX_FIELDS, zorder_key
@@ -13,13 +13,16 @@ from geospan.operators.extract import extract_jobs
 from geospan.operators.filters import drop_geometry
 from geospan.operators.geometry import resolve_geometry_column
 from geospan.plans.jobs import SUPPORTED_FORMATS, format_status, output_filename, route
+from geospan.session import ensure_checkpoint_dir, side_by_side
 from geospan.sinks.export import FILE_BYTES, _as_wkb, feature_json, stage
 from geospan.sources.files import read_source, select_layer
 
 MANIFEST = ("job_name string, format string, file_name string, path string, status string, feature_count long, "
             "xmin double, ymin double, xmax double, ymax double")
 #: Columns by which rows are dealt to files; the first is the name of the folders.
-DEALT = ("job_folder", "_job_files", "_job_part")
+DEALT = ("job_folder", "_job_files", "_job_first", "_job_part")
+#: Bytes of the table of jobs that may be broadcast.
+BROADCAST_BYTES = 64 << 20
 #: Boxes of a source's jobs that are pushed down one by one; of more, their common extent is.
 PUSHED_BOXES = 64
 
@@ -44,13 +47,26 @@ def _writers(geometry: str) -> dict:
 
 
 def _write_format(rows: DataFrame, sizes: DataFrame, path: str, write, order: list[Column]) -> None:
-    """One distributed write of the rows of all jobs, to ``{path}/job_folder=...``: a job's rows are dealt to as many files as its
-    measured bytes ask for (``sizes``: job_name, _job_files), so there are no more files than jobs plus bytes
-    over the target size, and no job, however large, goes through one task."""
-    out, kind, options = write(rows.join(sizes, "job_name"))
+    """One distributed write of the rows of all jobs in ``sizes``, to ``{path}/job_folder=...``: a job's rows are dealt to as many
+    files as its measured bytes ask for (``sizes``: job_name, _job_files, job_folder), so there are no more files than jobs plus bytes
+    over the target size, and no job, however large, goes through one task.  The rows are shuffled once, to their files."""
+    spark = rows.sparkSession
+    most = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    n, size = sizes.agg(F.coalesce(F.sum("_job_files"), F.lit(0)), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))).first()
+    few = n <= most
+    if few:  # each file to a task of its own; the window is over these few rows
+        before = F.sum("_job_files").over(Window.orderBy("job_name").rowsBetween(Window.unboundedPreceding, -1))
+        sizes = sizes.withColumn("_job_first", F.coalesce(before, F.lit(0)))
+    else:
+        sizes = sizes.withColumn("_job_first", F.lit(0))
+    out, kind, options = write(rows.join(F.broadcast(sizes) if size <= BROADCAST_BYTES else sizes, "job_name"))
     deal = F.pmod(F.xxhash64(*[c for c in out.columns if c not in DEALT]), F.col("_job_files"))
-    out = out.withColumn("_job_part", deal).repartition("job_folder", "_job_part").sortWithinPartitions("job_folder", "_job_part", *order)
-    (out.drop("job_name", "_job_files", "_job_part").write.mode("overwrite").partitionBy("job_folder")
+    # the order is computed once a row, not in each comparison of the sort
+    order = {f"_job_order{k}": c for k, c in enumerate(order)}
+    out = out.withColumns({"_job_part": deal, **order})
+    out = out.repartitionById(n, (F.col("_job_first") + F.col("_job_part")).cast("int")) if few and n else out.repartition("job_folder", "_job_part")
+    out = out.sortWithinPartitions("job_folder", "_job_part", *order)
+    (out.drop("job_name", "_job_files", "_job_first", "_job_part", *order).write.mode("overwrite").partitionBy("job_folder")
      .options(**options).format(kind).save(path))
 
 
@@ -77,23 +93,25 @@ def run_jobs(features: DataFrame, jobs: DataFrame, output_dir: str, timestamp, g
     length = F.length(F.to_json(F.struct(*drop_geometry(pairs).columns)))
     if geometry in pairs.columns:
         length = length + F.coalesce(F.length(geometry), F.lit(0))
-    sizes = pairs.groupBy("job_name").agg(F.sum(length).alias("_bytes"))
+    # a row per job, measured once, with the formats it asks for
+    found = extent(pairs.withColumn("_bytes", length), by="job_name", more=[F.sum("_bytes").alias("_bytes")])
+    found = found.join(jobs.select("job_name", F.transform("output_formats", F.lower).alias("_formats")), "job_name").checkpoint()
+    sizes = found.select("job_name", "_bytes", "_formats")
     total = sizes.agg(F.sum("_bytes")).first()[0] or 1
     files = F.ceil(F.col("_bytes") * (size / total) / F.lit(file_bytes))
-    sizes = sizes.select("job_name", F.greatest(files, F.lit(1)).cast("int").alias("_job_files"), job_folder(F.col("job_name")).alias("job_folder"))
+    sizes = sizes.select("job_name", "_formats", F.greatest(files, F.lit(1)).cast("int").alias("_job_files"), job_folder(F.col("job_name")).alias("job_folder"))
     wanted = jobs.select("job_name", "output_prefix", F.explode("output_formats").alias("format"))
     asked = {r["f"] for r in wanted.select(F.lower("format").alias("f")).distinct().where(F.col("f").isin(*SUPPORTED_FORMATS)).collect()}
-    failed = {}
-    for fmt in SUPPORTED_FORMATS:
-        if fmt not in asked:
-            continue
-        of = wanted.where(F.lower("format") == fmt).select("job_name").distinct()
+
+    def write(fmt: str) -> str | None:
+        of = sizes.where(F.array_contains("_formats", fmt)).drop("_formats")
         order = [zorder_key("bbox")] if fmt == "parquet" and "bbox" in pairs.columns else []
         try:
-            _write_format(pairs.join(of, "job_name", "left_semi"), sizes, f"{base}/{fmt}", _writers(geometry)[fmt], order)
+            _write_format(pairs, of, f"{base}/{fmt}", _writers(geometry)[fmt], order)
         except Exception as e:  # one failed format must not stop the rest
-            failed[fmt] = f"failed: {type(e).__name__}: {str(e).splitlines()[0][:300]}"
-    found = extent(pairs, by="job_name")
+            return f"failed: {type(e).__name__}: {str(e).splitlines()[0][:300]}"
+    formats = [fmt for fmt in SUPPORTED_FORMATS if fmt in asked]
+    failed = {fmt: why for fmt, why in zip(formats, side_by_side(features.sparkSession, write, formats, most=2)) if why}
     count = F.coalesce("feature_count", F.lit(0))
     f = F.lower("format")
     status = F.when(format_status(f) == "supported", F.lit("ok")).otherwise(format_status(f))
@@ -137,6 +155,7 @@ def run_job_table(jobs: DataFrame, output_dir: str, timestamp, tables: Mapping[s
     path; the others run.  Output of source k goes to ``{output_dir}/source_{k}/{format}/...``, in the order of the urls.
     """
     spark = jobs.sparkSession
+    ensure_checkpoint_dir(spark)
     tables, storage_options = tables or {}, storage_options or {}
     jobs = jobs.checkpoint()
     twice = jobs.groupBy("job_name").count().where("count > 1").limit(3).collect()
@@ -152,22 +171,24 @@ def run_job_table(jobs: DataFrame, output_dir: str, timestamp, tables: Mapping[s
         return some.select("job_name", F.explode("output_formats").alias("format"), F.lit(None).cast("string").alias("file_name"),
                            F.lit(None).cast("string").alias("path"), status.alias("status"), F.lit(0).cast("long").alias("feature_count"),
                            *[F.lit(None).cast("double").alias(c) for c in BBOX_FIELDS])
-    parts = [unrun(jobs.where("status <> 'ok' OR status IS NULL"), F.coalesce("status", F.lit("no status")))]
-    for k, s in enumerate(sources):
+
+    def part(source: tuple) -> DataFrame:
+        k, s = source
         mine = ready.where(F.lit(True))
         for c in key:
             mine = mine.where(F.col(c).eqNullSafe(F.lit(s[c])))
         if s["url"] not in tables and s["route"] == "api":
-            parts.append(unrun(mine, F.lit("needs_responses")))
-            continue
+            return unrun(mine, F.lit("needs_responses"))
         try:
             features = tables[s["url"]] if s["url"] in tables else read_source(spark, s["url"], s["geometry_column"], storage_options.get(s["url"]))
             if s["layer_name"] is not None and "layer" in features.columns:
                 features = select_layer(features, s["layer_name"])
             geometry = resolve_geometry_column(features, s["geometry_column"])
-            parts.append(run_jobs(_pushed(features, mine), mine, f"{output_dir.rstrip('/')}/source_{k}", timestamp, geometry, **options))
+            return run_jobs(_pushed(features, mine), mine, f"{output_dir.rstrip('/')}/source_{k}", timestamp, geometry, **options)
         except Exception as e:  # one broken source must not stop the others
-            parts.append(unrun(mine, F.lit(f"failed: {type(e).__name__}: {str(e).splitlines()[0][:300]}")))
+            return unrun(mine, F.lit(f"failed: {type(e).__name__}: {str(e).splitlines()[0][:300]}"))
+    parts = [unrun(jobs.where("status <> 'ok' OR status IS NULL"), F.coalesce("status", F.lit("no status"))),
+             *side_by_side(spark, part, list(enumerate(sources)))]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

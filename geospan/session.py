@@ -8,7 +8,10 @@ master is local (tests, laptops) do we pick a scratch folder ourselves.
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Settings every geospan job relies on.  AQE re-plans joins from runtime sizes
@@ -69,3 +72,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError(
         "spark.checkpoint.dir is not set; point it at a shared folder "
         "(HDFS, object store) before running iterative geospan operators")
+
+
+def side_by_side(spark: SparkSession, do: Callable, things: Sequence, most: int = 4) -> list:
+    """``do`` of each thing, in their order; the Spark jobs of up to ``most`` of them run at the same time, so that
+    the last tasks and the planning of one leave no cores idle."""
+    if len(things) < 2:
+        return [do(x) for x in things]
+    with ThreadPoolExecutor(min(most, len(things))) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(do), things))

@@ -79,11 +79,11 @@ def write_geoparquet(df: DataFrame, path: str, geometry: str = "geometry",
     sidecar; with ``geo_key="footer"`` the files are written by
     :mod:`geospan.sinks.geoparquet` and have the key in their footers (stores that pyarrow reaches).  The number of files follows the bytes of the staged rows
     (``FILE_BYTES`` each) unless ``partitions`` is given, which says that ``df``
-    is staged or cheap to read twice."""
-    if partitions is None:
-        df, size = stage(df)
-        partitions = max(1, math.ceil(size / FILE_BYTES))
+    is staged or cheap to read twice; geometry that is text is staged as WKB first."""
     out = _as_wkb(df, geometry)
+    if partitions is None or out is not df:  # the range partitioner reads its rows twice: texts are converted once
+        out, size = stage(out)
+        partitions = partitions or max(1, math.ceil(size / FILE_BYTES))
     # The hash tiebreaker lets the range partitioner split a Z-range that
     # holds a large share of all rows (a hot spot) over several tasks.
     tie = F.xxhash64(F.col("bbox.xmin"), F.col("bbox.ymin"), F.col("bbox.xmax"),
@@ -147,13 +147,13 @@ def _as_collection(batches):
     yield told(pa.array(["]}" if begun else '{"type":"FeatureCollection","features":[]}']))
 
 
-def zip_bytes(names, contents) -> bytes:
-    """Names and texts of members -> the bytes of a zip archive."""
+def zip_bytes(names, contents, level: int | None = None) -> bytes:
+    """Names and texts of members -> the bytes of a zip archive; ``level``: of compression, 1 the fastest."""
     import io
     import zipfile
 
     box = io.BytesIO()
-    with zipfile.ZipFile(box, "w", zipfile.ZIP_DEFLATED) as z:
+    with zipfile.ZipFile(box, "w", zipfile.ZIP_DEFLATED, compresslevel=level) as z:
         for n, c in zip(names, contents):
             z.writestr(n, c)
     return box.getvalue()

@@ -334,33 +334,43 @@ def write_archives(orders: DataFrame, folder: str) -> None:
 
     The features of a job come to one task next to each other; it holds those of one archive (KEY_BLOCK keys at most)
     and a batch, however many archives it writes."""
+    import re
+
     import pyarrow as pa
+    import pyarrow.compute as pc
 
     from geospan.sinks.export import zip_bytes
 
-    path = F.concat(F.lit(folder + "/"), F.regexp_replace("job", "[^A-Za-z0-9]", "_"), F.lit(".zip"))
-    rows = (_page_rows(orders).select("job", path.alias("path"), F.regexp_extract("job", "([0-9]+)$", 1).alias("block"), "o_orderkey", "feature",
-                                      F.concat_ws(",", "o_orderkey", "o_orderpriority").alias("line"))
+    rows = (_page_rows(orders).select("job", "feature", F.concat_ws(",", "o_orderkey", "o_orderpriority").alias("line"), "o_orderkey")
             .repartition("job").sortWithinPartitions("job", "o_orderkey").drop("o_orderkey"))
 
-    def write(path, block, features, lines):
-        body = '{"type":"FeatureCollection","features":[' + ",".join(features) + "]}"
+    def text(held, column, between):
+        """The texts of a column that are there, joined."""
+        return between.join(v for b in held for v in b.column(column).drop_null().to_pylist())
+
+    def write(job, held):
+        path, block = f"{folder}/{re.sub('[^A-Za-z0-9]', '_', job)}.zip", re.search("[0-9]*$", job)[0]
+        body = '{"type":"FeatureCollection","features":[' + text(held, 1, ",") + "]}"
         write_file(path, zip_bytes((f"data/{block}_a.geojson", f"data/{block}xa.geojson", f"{block}.csv"),
-                                   (body, body, "o_orderkey,layer\n" + "\n".join(lines) + "\n")))
+                                   (body, body, "o_orderkey,layer\n" + text(held, 2, "\n") + "\n"), level=1))
 
     def put(batches):
-        job, place, features, lines, n = None, None, [], [], 0
+        job, held, n = None, [], 0
         for batch in batches:
-            for j, *to, feature, line in zip(*(c.to_pylist() for c in batch.columns)):
-                if place is None or j != job:
-                    if place is not None:
-                        write(*place, features, lines)
-                    job, place, features, lines, n = j, to, [], [], n + 1
-                if feature is not None:
-                    features.append(feature)
-                lines.append(line)
-        if place is not None:
-            write(*place, features, lines)
+            jobs = batch.column(0)
+            change = pc.fill_null(pc.not_equal(jobs[1:], jobs[:-1]), True).to_numpy(zero_copy_only=False)
+            edges = [0, *(change.nonzero()[0] + 1).tolist(), batch.num_rows]
+            for a, z in zip(edges, edges[1:]):
+                if a == z:
+                    continue
+                if held and jobs[a].as_py() != job:
+                    write(job, held)
+                    held, n = [], n + 1
+                job = jobs[a].as_py()
+                held.append(batch.slice(a, z - a))
+        if held:
+            write(job, held)
+            n += 1
         yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int32())})
     rows.mapInArrow(put, "n int").agg(F.sum("n")).collect()
 

@@ -22,7 +22,8 @@ from geospan.functions.bbox import BBOX_FIELDS
 from geospan.operators.geometry import (decode_geometry, points_from_lonlat,
                                         resolve_geometry_column)
 from geospan.plans.jobs import file_kind, hadoop_options, hadoop_path
-from geospan.sources.ranges import fragments, scan_features, scan_fragments
+from geospan.session import ensure_checkpoint_dir
+from geospan.sources.ranges import cut_whole, fragments, scan_features, scan_whole
 from geospan.sources.responses import flatten_properties
 from geospan.stores import file_system
 
@@ -46,14 +47,12 @@ def _scanned_features(spark: SparkSession, path, options: dict | None = None) ->
 
 
 def _features_of(scanned: DataFrame) -> DataFrame:
-    feat = F.from_json("text", "struct<type:string, properties:string, geometry:string>")
-    found = scanned.select("file", "kind", "text", feat.alias("_f"))
-    typed = F.col("_f.type").isNotNull()
+    feature = F.col("feature")
     # a member without a type may still be a feature with properties; one that can't be read is an error
-    readable = typed | F.try_parse_json("text").isNotNull() | F.raise_error(
+    readable = feature.type.isNotNull() | F.try_parse_json("text").isNotNull() | F.raise_error(
         F.concat(F.lit("a member of features that is no JSON in "), "file")).cast("boolean").isNull()
-    return (found.where(((F.col("kind") == "element") & readable) | (F.col("_f.type") == "Feature"))
-            .select(F.col("_f.properties").alias("properties"), F.col("_f.geometry").alias("geometry")))
+    return (scanned.where(((F.col("kind") == "element") & readable) | (feature.type == "Feature"))
+            .select(feature.properties.alias("properties"), feature.geometry.alias("geometry")))
 
 
 def read_geojson_lines(spark: SparkSession, path: str, properties_schema: str | None = None
@@ -98,11 +97,11 @@ def geojson_layouts(spark: SparkSession, path: str, options: dict | None = None)
     """(file, collection, mentions, packed) per file, from the fragments between two ``}``, which are short
     whatever the layout: has it a list of features, does it mention a Feature, and does another object
     follow one on the same line.  One pass with partial counts."""
-    value = F.col("value")
+    value = F.col("value")  # a pattern is tried only where its fixed part is there
     return fragments(spark, path, options).groupBy("file").agg(
-        (F.count_if(value.rlike(r'"features"\s*:\s*(\[|$)')) > 0).alias("collection"),
+        (F.count_if(value.contains('"features"') & value.rlike(r'"features"\s*:\s*(\[|$)')) > 0).alias("collection"),
         (F.count_if(value.contains('"Feature"')) > 0).alias("mentions"),
-        (F.count_if(value.rlike(r"^[ \t]*,[ \t]*\{")) > 0).alias("packed"))
+        (F.count_if(F.ltrim(value, F.lit(" \t")).startswith(",") & value.rlike(r"^[ \t]*,[ \t]*\{")) > 0).alias("packed"))
 
 
 def read_geojson_any(spark: SparkSession, path: str, options: dict | None = None,
@@ -272,7 +271,8 @@ def archive_members(spark: SparkSession, path: str, member_glob: str | None = No
     ``path`` is a file of any name, a folder or a glob; files that aren't archives are left out, and it is an error if
     there is no archive at all.  ``member_glob`` is matched as ``fnmatch`` does it, with its case."""
     files = spark.read.format("binaryFile").load(path).select("path")
-    members = files.mapInPandas(_list_members, _MEMBERS)
+    ensure_checkpoint_dir(spark)
+    members = files.mapInPandas(_list_members, _MEMBERS).checkpoint()  # archives are listed once
     if members.where("member IS NOT NULL").isEmpty():
         raise ValueError(f"no archive with members in {path}")
     members = members.where("member IS NOT NULL")
@@ -313,13 +313,20 @@ def read_archive_features(spark: SparkSession, path: str, member_glob: str | Non
                           properties_schema: str | None = None, chunk_bytes: int = 4 << 20) -> DataFrame:
     """S7 + S1: the features of GeoJSON members of any layout and size (properties, geometry as text).
 
-    Members are cut after a ``}``, so their pieces are the ranges of the scanner of byte ranges."""
-    chunks = read_archive_chunks(spark, path, member_glob, chunk_bytes, b"}", whole=True)
-    text = F.decode("content", "UTF-8")
-    # a piece that ends with the bracket has nothing behind it
-    parts = F.split(F.when(F.endswith(text, F.lit("}")), F.substr(text, F.lit(1), F.length(text) - 1)).otherwise(text), r"\}")
-    cut = chunks.select(F.concat("archive", F.lit("!"), "member").alias("file"), F.col("offset").alias("range"), F.explode(parts).alias("value"))
-    return flatten_properties(_features_of(scan_fragments(cut)), "properties", properties_schema)
+    A task reads a member piece by piece, each up to a ``}``, and cuts its features out as they come."""
+    members = archive_members(spark, path, member_glob)
+    members = members.repartition(spark.sparkContext.defaultParallelism, "archive", "member")
+    return flatten_properties(_features_of(scan_whole(members, _cut_members(chunk_bytes))), "properties", properties_schema)
+
+
+def _cut_members(chunk_bytes: int):
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                with _open(row["archive"]) as f, zipfile.ZipFile(f) as z, z.open(row["member"]) as stream:
+                    pieces = (content for _, content in member_chunks(stream, chunk_bytes, b"}", True))
+                    yield from cut_whole(f"{row['archive']}!{row['member']}", pieces)
+    return run
 
 
 def read_archive_csv(spark: SparkSession, path: str, member_glob: str | None = None, schema: str | None = None,

@@ -5,7 +5,8 @@ the range where they begin.  Whether a range begins inside a string, how deep, a
 from the range itself, so the first pass sums a range up for both cases (quotes, change of depth,
 what was opened last at each level), a running sum over the ranges of a file gives each its state, and
 the second pass cuts the features out.  Features inside one range leave it whole; those that go over its
-end are put together from pieces, so nothing is held but a batch and the features it begins.
+end are put together from pieces, so nothing is held but a batch and the features it begins.  What one task reads
+from its begin to its end (a member of an archive) needs no first pass.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from geospan.functions import plain as _plain
 from geospan.session import ensure_checkpoint_dir
 
 _LIST = re.compile(rb'"features"\s*:\s*\[')
@@ -30,6 +32,8 @@ _CLASS[[ord("{"), ord("[")]] = _OPEN
 _CLASS[[ord("}"), ord("]")]] = _CLOSE
 _CLASS[ord("\\")] = _ESCAPE
 
+#: What is read of a feature, each member as its text.
+FEATURE = "struct<type:string, properties:string, geometry:string>"
 #: Bytes of the table of ranges that may be broadcast; a row counts as 200.
 BROADCAST_BYTES = 256 << 20
 
@@ -70,13 +74,18 @@ def _runs(batches: Iterator[pa.RecordBatch], more: tuple[str, ...] = ()) -> Iter
             yield {n: part.column(n)[0].as_py() for n in ("file", "range", *more)}, joined + b"}"
 
 
+def _lists(data: bytes) -> set[int]:
+    """Places where a list of features begins."""
+    return {m.end() - 1 for m in _LIST.finditer(data)} if b'"features"' in data else set()
+
+
 def _sum_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each run: its quotes, bytes, and for a run that begins outside (0) or inside (1) a string the change of depth
     and, by depth against the run's begin, whether what was opened there last is a list of features."""
     rows: list[dict] = []
     for place, data in _runs(batches):
         at, step, before, quotes = _brackets(data)
-        lists = {m.end() - 1 for m in _LIST.finditer(data)}
+        lists = _lists(data)
         row = {"file": place["file"], "range": place["range"], "quotes": quotes, "bytes": len(data)}
         for inside in (0, 1):
             live = (before + inside) % 2 == 0
@@ -132,9 +141,37 @@ def range_states(cut: DataFrame) -> DataFrame:
 
 
 _STATE = ("inside", "depth", "in_list", "root_from", "element_from")
-_CUT_DDL = "file string, kind string, origin long, range long, text string, list boolean"
+_CUT_DDL = f"file string, kind string, origin long, range long, text string, list boolean, feature {FEATURE}"
+_FEATURE = pa.struct([("type", pa.string()), ("properties", pa.string()), ("geometry", pa.string())])
 _CUT = pa.schema([("file", pa.string()), ("kind", pa.string()), ("origin", pa.int64()), ("range", pa.int64()),
-                  ("text", pa.string()), ("list", pa.bool_())])
+                  ("text", pa.string()), ("list", pa.bool_()), ("feature", _FEATURE)])
+#: What stands before, between and after the properties and the geometry of a feature in the tersest spelling.
+_TERSE = ('{"type":"Feature","properties":', ',"geometry":', "}")
+
+
+def _between(data: bytes, *edges: np.ndarray) -> list[pa.Array]:
+    """The texts from each edge to the next, for rows of edges in rising order: an array over ``data`` whose texts follow each other,
+    of which those between two rows are left out."""
+    k, n = len(edges), len(edges[0])
+    offsets = np.stack(edges, axis=1).astype(np.int32).ravel()
+    every = pa.StringArray.from_buffers(max(0, k * n - 1), pa.py_buffer(offsets), pa.py_buffer(data))
+    return [every.take(pa.array(np.arange(n) * k + j)) for j in range(k - 1)]
+
+
+def _terse(data: bytes, first: np.ndarray, end: np.ndarray, inner: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """(places of the features in the tersest spelling among some, their members); ``inner``: the brackets of what lies right inside them."""
+    at = np.searchsorted(inner, first)
+    some = np.flatnonzero(np.searchsorted(inner, end) - at == 4)
+    a, z, b, y = (inner[at[some] + k] + k % 2 for k in range(4))
+    fits = (a - first[some] == len(_TERSE[0])) & (b - z == len(_TERSE[1])) & (end[some] - y == len(_TERSE[2]))
+    some = some[fits]
+    head, properties, middle, geometry, tail = _between(data, first[some], a[fits], z[fits], b[fits], y[fits], end[some])
+    geometry, plain = _plain.feature_members(properties, geometry)
+    for text, spelled in zip((head, middle, tail), _TERSE):
+        plain &= pc.equal(text, spelled).to_numpy(zero_copy_only=False)
+    keep = pa.array(plain)
+    kinds = pa.repeat(pa.scalar("Feature"), int(plain.sum()))
+    return some[plain], pa.StructArray.from_arrays([kinds, properties.filter(keep), geometry.filter(keep)], fields=list(_FEATURE))
 
 
 class _Cutter:
@@ -150,34 +187,38 @@ class _Cutter:
         self.is_list = self.in_list and self.depth >= 2  # the open root has a list of features
         self.rows: list[tuple] = []
 
-    def feed(self, data: bytes) -> None:
+    def feed(self, data: bytes) -> pa.RecordBatch | None:
+        """The elements that lie whole in ``data``; all others come to ``rows``."""
         at, step, before, quotes = _brackets(data)
         live = (before + self.quotes) % 2 == 0
         at, step = at[live], step[live]
         depth = self.depth + np.cumsum(step)
-        lists = {m.end() - 1 for m in _LIST.finditer(data)}
+        lists = _lists(data)
         # only what happens at the edge of roots, lists and elements
         edge = np.flatnonzero(((step > 0) & ((depth == 1) | (depth == 2) | (depth == 3))) | ((step < 0) & ((depth >= 0) & (depth <= 2))))
+        inner = at[((step > 0) & (depth == 4)) | ((step < 0) & (depth == 3))]
+        at, step, level = at[edge], step[edge], depth[edge]
+        # elements that follow each other between edges of roots and lists are taken together
+        turns = np.flatnonzero(~(((step > 0) & (level == 3)) | ((step < 0) & (level == 2))))
         begin = 0  # where the open element's text goes on in data
-        root = 0
-        for p, s, d in zip(at[edge].tolist(), step[edge].tolist(), depth[edge].tolist()):
+        root, done, whole = 0, 0, []
+        for turn in (*turns.tolist(), len(edge)):
+            if self.in_list and turn > done:
+                begin = self._elements(data, at[done:turn], step[done:turn], begin, whole)
+            done = turn + 1
+            if turn == len(edge):
+                break
+            p, s, d = int(at[turn]), int(step[turn]), int(level[turn])
             if s > 0:
                 if d == 1:
                     self.root, self.is_list, root = ((self.range, []) if data[p] == 0x7B else None), False, p
-                elif d == 2:
+                else:
                     self.in_list = p in lists
                     if self.in_list:
                         self.is_list = True
-                elif self.in_list and data[p] == 0x7B:
-                    self.element, begin = (self.range, []), p
-            elif d == 2:
-                if self.in_list and self.element and data[p] == 0x7D:
-                    self.element[1].append(data[begin:p + 1])
-                    self._done("element", self.element)
-                self.element = None
             elif d == 1:
                 self.in_list = False
-            elif d == 0 and self.root:
+            elif self.root:
                 if not self.is_list:
                     self.root[1].append(data[root:p + 1])
                 self._done("root", self.root, self.is_list)
@@ -188,6 +229,41 @@ class _Cutter:
             self.root[1].append(data[root:])
         self.quotes += quotes
         self.depth = int(depth[-1]) if len(depth) else self.depth
+        return self._whole(data, whole, inner) if whole else None
+
+    def _elements(self, data: bytes, at: np.ndarray, step: np.ndarray, begin: int, whole: list) -> int:
+        """Members of an open list by their brackets, which open and close in turn: those that begin and end here go to ``whole``."""
+        if step[0] < 0:  # begun before
+            if self.element and data[at[0]] == 0x7D:
+                self.element[1].append(data[begin:int(at[0]) + 1])
+                self._done("element", self.element)
+            self.element = None
+            at = at[1:]
+        first, last = at[0::2], at[1::2]
+        raw = np.frombuffer(data, np.uint8)
+        objects = (raw[first[:len(last)]] == 0x7B) & (raw[last] == 0x7D)
+        whole.append((first[:len(last)][objects], last[objects] + 1))
+        if len(first) > len(last) and data[first[-1]] == 0x7B:
+            self.element, begin = (self.range, []), int(first[-1])
+        return begin
+
+    def _whole(self, data: bytes, whole: list, inner: np.ndarray) -> pa.RecordBatch | None:
+        first, end = (np.concatenate(c) for c in zip(*whole))
+        if not len(first):
+            return None
+        try:
+            data[int(first[0]):int(end[-1])].decode("utf-8")
+        except UnicodeDecodeError:
+            self.rows += [(self.file, "element", None, self.range, data[a:b], False) for a, b in zip(first.tolist(), end.tolist())]
+            return None
+        terse, members = _terse(data, first, end, inner)
+        other = np.setdiff1d(np.arange(len(first)), terse, assume_unique=True)
+        (text,), n = _between(data, first[other], end[other]), len(first)
+        same = {"file": self.file, "kind": "element", "origin": None, "range": self.range, "list": False}
+        several = {"text": pa.concat_arrays([pa.nulls(len(terse), pa.string()), text]),
+                   "feature": pa.concat_arrays([members, pa.nulls(len(other), _FEATURE)])}
+        columns = [several[f.name] if f.name in several else pa.repeat(pa.scalar(same[f.name], f.type), n) for f in _CUT]
+        return pa.RecordBatch.from_arrays(columns, schema=_CUT)
 
     def _done(self, kind: str, what: tuple, is_list: bool = False) -> None:
         origin, text = what
@@ -197,41 +273,60 @@ class _Cutter:
         else:
             self.rows.append((self.file, kind, origin, self.range, b"".join(text), is_list))
 
-    def end(self) -> list[tuple]:
+    def told(self) -> Iterator[pa.RecordBatch]:
+        """The rows so far."""
+        if self.rows:
+            file, kind, origin, begin, text, is_list = zip(*self.rows)
+            self.rows = []
+            text = [t.decode("utf-8", "replace") for t in text]
+            columns = [pa.array(c, t.type) for c, t in zip((file, kind, origin, begin, text, is_list), _CUT)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(text), _FEATURE)], schema=_CUT)
+
+    def cut(self, data: bytes) -> Iterator[pa.RecordBatch]:
+        whole = self.feed(data)
+        if whole is not None:
+            yield whole
+        yield from self.told()
+
+    def end(self) -> Iterator[pa.RecordBatch]:
         """What is left open goes on in the next range."""
         for kind, what, is_list in (("element", self.element, False), ("root", self.root, self.is_list)):
             if what:
                 self.rows.append((self.file, kind, what[0], self.range, b"" if is_list else b"".join(what[1]), is_list))
-        rows, self.rows = self.rows, []
-        return rows
+        yield from self.told()
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def told(rows):
-        file, kind, origin, begin, text, is_list = zip(*rows)
-        text = [t.decode("utf-8", "replace") for t in text]
-        return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip((file, kind, origin, begin, text, is_list), _CUT)], schema=_CUT)
     cutter, seen = None, 0
     for place, data in _runs(batches, (*_STATE, "bytes")):
         if place["bytes"] is None:
             raise RuntimeError("the splits of a file changed between two reads; read it again")
         if cutter is None or (cutter.file, cutter.range) != (place["file"], place["range"]):
-            if cutter is not None and (rows := cutter.end()):
-                yield told(rows)
+            if cutter is not None:
+                yield from cutter.end()
             cutter, seen = _Cutter(place), 0
-        cutter.feed(data)
         seen += len(data)
+        yield from cutter.cut(data)
         if seen > place["bytes"]:
             raise RuntimeError("the splits of a file changed between two reads; read it again")
-        if cutter.rows:
-            rows, cutter.rows = cutter.rows, []
-            yield told(rows)
-    if cutter is not None and (rows := cutter.end()):
-        yield told(rows)
+    if cutter is not None:
+        yield from cutter.end()
+
+
+def cut_whole(file: str, pieces: Iterator[bytes]) -> Iterator[pa.RecordBatch]:
+    """The features of a file that is read from its begin to its end, as ``_cut_out`` gives them, and a row of the kind ``broken``
+    if its brackets or quotes don't close.  ``pieces``: its bytes, each piece but the last up to a ``}``."""
+    cutter = _Cutter({"file": file, "range": 0, "inside": False, "depth": 0, "in_list": False, "root_from": None, "element_from": None})
+    for data in pieces:
+        data.decode("utf-8")
+        yield from cutter.cut(data if data.endswith(b"}") else data + b"}")  # as the scanner of ranges has it
+    if cutter.depth not in (0, -1) or cutter.quotes % 2:
+        cutter.rows.append((file, "broken", None, 0, b"", False))
+        yield from cutter.told()
 
 
 def scan_features(spark: SparkSession, path, options: dict | None = None) -> DataFrame:
-    """(file, kind, text) of the features of some files, in any number of ranges; see ``scan_fragments``.
+    """(file, kind, text, feature) of the features of some files, in any number of ranges; see ``scan_fragments``.
 
     A change of Spark's splits between the two reads raises (their number may follow the number of cores; set
     spark.sql.files.minPartitionNum where cores come and go)."""
@@ -239,8 +334,9 @@ def scan_features(spark: SparkSession, path, options: dict | None = None) -> Dat
 
 
 def scan_fragments(cut: DataFrame) -> DataFrame:
-    """(file, kind, text): the objects of every list ``features`` of a top-level object (kind element), and the top-level
-    objects without one (root; newline-delimited files and text sequences), each as its JSON text.
+    """(file, kind, text, feature): the objects of every list ``features`` of a top-level object (kind element), and the top-level
+    objects without one (root; newline-delimited files and text sequences), each as ``feature``, its members type, properties and
+    geometry as text, and as its JSON text where it has no type.
 
     ``cut``: (file, range, value) as ``fragments`` gives it, the rows of a range next to each other and in their
     order.  It is evaluated twice; the result is written once to the shared checkpoint folder, where it stays until the
@@ -248,23 +344,41 @@ def scan_fragments(cut: DataFrame) -> DataFrame:
     collection in any place, several objects in one file and any white space are taken as JSON takes them.  A
     file whose brackets or quotes don't close raises.
     """
-    spark = cut.sparkSession
     states = range_states(cut).checkpoint()
-    broken = [r["file"] for r in states.where("broken").select("file").distinct().limit(5).collect()]
-    if broken:
-        raise ValueError(f"brackets or quotes that don't close in {broken}")
+    _closed(states.where("broken"))
     known = states.select("file", "range", *_STATE, "bytes")
     if states.count() * 200 <= BROADCAST_BYTES:
         stated = cut.join(F.broadcast(known), ["file", "range"], "left")
     else:  # the rows of a range together again, in their order
         stated = (cut.withColumn("place", F.monotonically_increasing_id()).join(known, ["file", "range"], "left")
                   .repartition("file", "range").sortWithinPartitions("file", "range", "place"))
-    found = stated.select("file", "range", "value", *_STATE, "bytes").mapInArrow(_cut_out, _CUT_DDL)
-    staged = f"{ensure_checkpoint_dir(spark).rstrip('/')}/features-{uuid.uuid4().hex}"
-    found.write.parquet(staged)
-    found = spark.read.schema(_CUT_DDL).parquet(staged)
+    found = _staged(stated.select("file", "range", "value", *_STATE, "bytes").mapInArrow(_cut_out, _CUT_DDL))
     # whole features have no origin; the pieces of the others, a feature for each end of a range at most, are put together
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("range", "text"))), lambda p: p.text), "")
     joined = (found.where("origin IS NOT NULL").groupBy("file", "kind", "origin").agg(text.alias("text"), F.max("list").alias("list"))
-              .where("NOT list").select("file", "kind", "text"))
-    return found.where("origin IS NULL").select("file", "kind", "text").unionByName(joined)
+              .where("NOT list").select("file", "kind", "text", F.from_json("text", FEATURE).alias("feature")))
+    return found.where("origin IS NULL").select("file", "kind", "text", "feature").unionByName(joined)
+
+
+def scan_whole(files: DataFrame, read) -> DataFrame:
+    """``scan_fragments`` in one pass, for files that a task reads from their begin to their end: ``read`` makes rows of
+    ``cut_whole`` of a task's batches of ``files``."""
+    found = _staged(files.mapInArrow(read, _CUT_DDL))
+    _closed(found.where("kind = 'broken'"))
+    return found.select("file", "kind", "text", "feature")
+
+
+def _closed(broken: DataFrame) -> None:
+    names = [r["file"] for r in broken.select("file").distinct().limit(5).collect()]
+    if names:
+        raise ValueError(f"brackets or quotes that don't close in {names}")
+
+
+def _staged(found: DataFrame) -> DataFrame:
+    """What was cut, written once, with the members of whole features beside or instead of their text, so that they are parsed once."""
+    spark = found.sparkSession
+    parsed = found.withColumn("feature", F.coalesce("feature", F.when(F.col("origin").isNull(), F.from_json("text", FEATURE))))
+    parsed = parsed.withColumn("text", F.when(F.col("feature.type").isNull(), F.col("text")))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/features-{uuid.uuid4().hex}"
+    parsed.write.parquet(path)
+    return spark.read.schema(parsed.schema).parquet(path)
